@@ -1 +1,440 @@
-"""Registered queries."""
+"""Registered queries: scalar functions (X*), projections (P*), filters
+(F*), sort / limit / batching (O*), prompt and response handling
+(A3, A4, X14-X16), cleaning pipelines (C1, C2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import oracle as O
+from ..catalog import register
+from ..functions import text as X
+from ..operators import projection as P
+from ..operators.aggregate import status_counts
+from ..operators.responses import batch_prompt, explode_labels
+from ..operators.windowing import add_ordinal, batch_assign
+from ..plans.cleaning import VIDEO_CELLS, clean_channel, clean_videos
+from ..schemas import SENTINEL
+from ..sources import adapters as A
+
+SF_STRIP = O.strip
+
+# ---------------------------------------------------------------- titles
+
+TITLES_SQL = f"titles AS (SELECT CAST(p_partkey AS VARCHAR) AS videoid, {O.RAW_TITLE} AS rawtitle FROM part)"
+
+
+def titles(spark: SparkSession, sf: str) -> DataFrame:
+    return A.raw_videos(spark, sf).select(F.col("id").alias("videoid"),
+                                          F.col("snippet.title").alias("rawtitle"))
+
+
+@register("title_prefix", O.with_views([], f"SELECT videoid, split_part({SF_STRIP('rawtitle')}, '|', 1) AS title FROM titles", [TITLES_SQL]))
+def q_title_prefix(spark, sf):
+    return titles(spark, sf).select("videoid", X.title_prefix(X.strip_ws("rawtitle")).alias("title"))
+
+
+_GUEST_SQL = (f"CASE WHEN strpos({SF_STRIP('rawtitle')}, ':') > 0 "
+              f"THEN split_part({SF_STRIP('rawtitle')}, ':', 1) ELSE 'N/A' END")
+
+
+@register("guest_prefix", O.with_views([], f"SELECT videoid, {_GUEST_SQL} AS guest FROM titles", [TITLES_SQL]))
+def q_guest_prefix(spark, sf):
+    return titles(spark, sf).select("videoid", X.guest_prefix(X.strip_ws("rawtitle")).alias("guest"))
+
+
+@register("case_category", O.with_views(
+    [], f"SELECT videoid, {O.CATEGORY} AS videocategory FROM (SELECT videoid, {_GUEST_SQL} AS guest FROM titles) g",
+    [TITLES_SQL]))
+def q_case_category(spark, sf):
+    g = titles(spark, sf).select("videoid", X.guest_prefix(X.strip_ws("rawtitle")).alias("guest"))
+    return g.select("videoid", X.video_category("guest").alias("videocategory"))
+
+
+@register("like_prefix", O.with_views(
+    [], f"SELECT videoid, guest FROM (SELECT videoid, {_GUEST_SQL} AS guest FROM titles) g "
+    "WHERE guest LIKE 'AMA%' OR guest LIKE 'LIVE%'", [TITLES_SQL]))
+def q_like_prefix(spark, sf):
+    g = titles(spark, sf).select("videoid", X.guest_prefix(X.strip_ws("rawtitle")).alias("guest"))
+    return g.where(F.col("guest").like("AMA%") | F.col("guest").like("LIVE%"))
+
+
+@register("concat_link", O.with_views(
+    [], "SELECT p_partkey, '" + O.VIDEO_LINK_PREFIX + "' || (CASE WHEN p_partkey % 50 <> 0 "
+    "THEN CAST(p_partkey AS VARCHAR) END) AS videolink FROM part"))
+def q_concat_link(spark, sf):
+    p = A.table(spark, sf, "part")
+    vid = F.when(F.col("p_partkey") % 50 != 0, F.col("p_partkey").cast("string"))
+    return p.select("p_partkey", X.video_link(vid).alias("videolink"))
+
+
+@register("lower_cols", "SELECT p_partkey, lower(p_name) AS name, lower(p_type) AS type, "
+          "lower(p_brand) AS brand FROM part")
+def q_lower_cols(spark, sf):
+    p = A.table(spark, sf, "part")
+    return p.select("p_partkey", F.lower("p_name").alias("name"), F.lower("p_type").alias("type"),
+                    F.lower("p_brand").alias("brand"))
+
+
+# ------------------------------------------------------- whitespace / text
+
+_WRAP_SQL = "' ' || chr(9) || text || chr(10) || chr(160) || ' '"
+
+
+def _wrapped(c):
+    return F.concat(F.lit(" \t"), c, F.lit("\n\u00a0 "))
+
+
+@register("str_strip_ws", f"SELECT doc_id, {O.strip(_WRAP_SQL)} AS text FROM documents")
+def q_str_strip_ws(spark, sf):
+    d = A.table(spark, sf, "documents")
+    return d.select("doc_id", X.strip_ws(_wrapped(F.col("text"))).alias("text"))
+
+
+@register("str_trim", f"SELECT conv_id, turn, trim({_WRAP_SQL}, ' ') AS text FROM conversations")
+def q_str_trim(spark, sf):
+    c = A.table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", X.trim_spaces(_wrapped(F.col("text"))).alias("text"))
+
+
+@register("remove_newlines", "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents")
+def q_remove_newlines(spark, sf):
+    d = A.table(spark, sf, "documents")
+    return d.select("doc_id", X.remove_newlines("text").alias("text"))
+
+
+_ISO_SQL = "strftime(o_orderdate, '%Y-%m-%d') || 'T' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':15:00Z'"
+
+
+def _iso(o):
+    return F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T"),
+                    F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":15:00Z"))
+
+
+@register("iso_date_prefix", f"SELECT o_orderkey, substr({_ISO_SQL}, 1, 10) AS publishedat FROM orders")
+def q_iso_date_prefix(spark, sf):
+    o = A.table(spark, sf, "orders")
+    return o.select("o_orderkey", X.iso_date_prefix(_iso(o)).alias("publishedat"))
+
+
+@register("to_date_cast", "SELECT o_orderkey, TRY_CAST(substr(CASE WHEN o_orderkey % 17 = 0 THEN 'not-a-date' "
+          f"ELSE {_ISO_SQL} END, 1, 10) AS DATE) AS publisheddate FROM orders")
+def q_to_date_cast(spark, sf):
+    o = A.table(spark, sf, "orders")
+    s = F.when(F.col("o_orderkey") % 17 == 0, F.lit("not-a-date")).otherwise(_iso(o))
+    return o.select("o_orderkey", X.to_date_lenient(s).alias("publisheddate"))
+
+
+# label cells: "joy, positive" | "joy,positive" | "a, b, c" | "" | sentinel | NULL
+_LABEL_SQL = f"""CASE o_orderkey % 6
+  WHEN 0 THEN lower(o_orderpriority) || ', ' || CASE o_orderstatus WHEN 'F' THEN 'positive' ELSE 'negative' END
+  WHEN 1 THEN 'joy,' || o_orderstatus
+  WHEN 2 THEN 'a, b, c'
+  WHEN 3 THEN ''
+  WHEN 4 THEN '{SENTINEL}'
+  ELSE NULL END"""
+
+
+def _label(o):
+    k = F.col("o_orderkey") % 6
+    return (F.when(k == 0, F.concat(F.lower("o_orderpriority"), F.lit(", "),
+                                    F.when(F.col("o_orderstatus") == "F", "positive").otherwise("negative")))
+            .when(k == 1, F.concat(F.lit("joy,"), F.col("o_orderstatus")))
+            .when(k == 2, F.lit("a, b, c")).when(k == 3, F.lit(""))
+            .when(k == 4, F.lit(SENTINEL)))
+
+
+@register("split_pair", f"""SELECT o_orderkey, trim(list_extract(string_split(l, ','), 1)) AS emotion,
+  trim(list_extract(string_split(l, ','), 2)) AS sentimentnature FROM (SELECT o_orderkey, {_LABEL_SQL} AS l FROM orders) x""")
+def q_split_pair(spark, sf):
+    o = A.table(spark, sf, "orders")
+    e, s = X.split_pair(_label(o))
+    return o.select("o_orderkey", e.alias("emotion"), s.alias("sentimentnature"))
+
+
+# ------------------------------------------------------- nested projections
+
+_THREAD_SQL = """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS commentid,
+   CAST(l_partkey AS VARCHAR) AS videoid,
+   strftime(l_shipdate, '%Y-%m-%d') AS publishedat,
+   trim('  ' || l_returnflag || l_linestatus || ' comment on ' || CAST(l_partkey AS VARCHAR) || ' ', ' ') AS textoriginal,
+   '@user' || CAST(l_suppkey AS VARCHAR) AS authordisplayname,
+   'img/u' || CAST(l_suppkey AS VARCHAR) AS authorprofileimageurl,
+   'channel/u' || CAST(l_suppkey AS VARCHAR) AS authorchannelurl,
+   CASE WHEN l_orderkey % 23 <> 0 THEN CAST(trunc(l_quantity) AS BIGINT) END AS likecount,
+   CAST(l_linenumber - 1 AS BIGINT) AS totalreplycount
+ FROM lineitem"""
+
+EXTRACT_FIELDS = {
+    "commentid": "id", "videoid": "snippet.videoId",
+    "publishedat": X.iso_date_prefix("snippet.topLevelComment.snippet.publishedAt"),
+    "textoriginal": X.trim_spaces("snippet.topLevelComment.snippet.textOriginal"),
+    "authordisplayname": "snippet.topLevelComment.snippet.authorDisplayName",
+    "authorprofileimageurl": "snippet.topLevelComment.snippet.authorProfileImageUrl",
+    "authorchannelurl": "snippet.topLevelComment.snippet.authorChannelUrl",
+    "likecount": "snippet.topLevelComment.snippet.likeCount",
+    "totalreplycount": "snippet.totalReplyCount",
+}
+
+
+def extract_comments(threads: DataFrame) -> DataFrame:
+    """Nested thread -> flat top-level comment (P1 + X1 + X3 + F1)."""
+    return P.nested_extract(threads, EXTRACT_FIELDS).where(F.col("likecount").isNotNull())
+
+
+@register("nested_extract", f"SELECT commentid, videoid, likecount FROM ({_THREAD_SQL}) t")
+def q_nested_extract(spark, sf):
+    return P.nested_extract(A.comment_threads(spark, sf), {
+        "commentid": "id", "videoid": "snippet.videoId",
+        "likecount": "snippet.topLevelComment.snippet.likeCount"})
+
+
+@register("extract_comments", f"SELECT * FROM ({_THREAD_SQL}) t WHERE likecount IS NOT NULL")
+def q_extract_comments(spark, sf):
+    return extract_comments(A.comment_threads(spark, sf))
+
+
+@register("filter_not_null", f"SELECT commentid, likecount FROM ({_THREAD_SQL}) t WHERE likecount IS NOT NULL")
+def q_filter_not_null(spark, sf):
+    flat = P.nested_extract(A.comment_threads(spark, sf), {
+        "commentid": "id", "likeCount": "snippet.topLevelComment.snippet.likeCount"})
+    # lower-case name resolves the camel-case column (case-insensitive analysis)
+    return flat.where(F.col("likecount").isNotNull()).select("commentid", F.col("likeCount").alias("likecount"))
+
+
+@register("project_reorder", O.with_views(
+    ["comments"], "SELECT totalreplycount, commentid, videoid, emotion FROM comments"))
+def q_project_reorder(spark, sf):
+    return P.project_reorder(A.comments(spark, sf), ["totalreplycount", "commentid", "videoid", "emotion"])
+
+
+@register("rename_columns", "SELECT CAST(p_partkey AS VARCHAR) AS videoid, CAST(p_size AS VARCHAR) AS likescount, "
+          "CAST(p_size * 3 AS VARCHAR) AS commentscount FROM part")
+def q_rename_columns(spark, sf):
+    flat = P.flatten_struct(A.raw_videos(spark, sf).select("id", "statistics"), "statistics")
+    return P.rename_columns(flat, {"id": "videoid", "likeCount": "likescount",
+                                   "commentCount": "commentscount", "absent": "x"}).drop("viewCount")
+
+
+@register("drop_columns", "SELECT CAST(p_partkey AS VARCHAR) AS id, "
+          "'PT' || CAST(p_size AS VARCHAR) || 'M' || CAST(p_partkey % 60 AS VARCHAR) || 'S' AS duration FROM part")
+def q_drop_columns(spark, sf):
+    flat = P.flatten_struct(A.raw_videos(spark, sf), "contentDetails")
+    return P.drop_columns(flat, ["snippet", "statistics", "not_there"])
+
+
+@register("star_plus_expr", O.with_views(
+    ["videos"], f"SELECT *, {O.CATEGORY} AS videocategory, '{O.VIDEO_LINK_PREFIX}' || videoid AS videolink FROM videos"))
+def q_star_plus_expr(spark, sf):
+    from .marts_q import videos
+    return P.star_plus(videos(spark, sf), {"videocategory": X.video_category("guest"),
+                                           "videolink": X.video_link("videoid")})
+
+
+@register("flatten_struct", "SELECT CAST(p_partkey AS VARCHAR) AS id, "
+          "'2024-01-' || lpad(CAST(1 + p_size % 28 AS VARCHAR), 2, '0') || 'T00:00:00Z' AS publishedAt, "
+          f"{O.RAW_TITLE} AS title, ' ' || p_name || chr(10) || p_type || '  ' AS description, "
+          "CASE WHEN p_partkey % 13 <> 0 THEN 'img/' || CAST(p_partkey AS VARCHAR) || '/maxres.jpg' END "
+          "AS \"thumbnails.maxres.url\" FROM part")
+def q_flatten_struct(spark, sf):
+    return P.flatten_struct(A.raw_videos(spark, sf).select("id", "snippet"), "snippet")
+
+
+_JUNK_VIEWS = ("CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 97 = 0 THEN NULL "
+               "ELSE CAST(floor(p_retailprice) AS BIGINT) END")
+
+
+@register("cast_counts", f"SELECT CAST(p_partkey AS VARCHAR) AS id, {_JUNK_VIEWS} AS viewCount, "
+          "CAST(p_size AS BIGINT) AS likeCount FROM part")
+def q_cast_counts(spark, sf):
+    st = P.flatten_struct(A.raw_videos(spark, sf).select("id", "statistics"), "statistics")
+    junk = st.withColumn("viewCount", F.when(F.col("id").cast("bigint") % 31 == 0, F.lit("n/a"))
+                         .otherwise(F.col("viewCount")))
+    return P.cast_counts(junk.select("id", "viewCount", "likeCount"), ["viewCount", "likeCount"])
+
+
+# ----------------------------------------------------- dict cells
+
+def _py_repr_str(c):
+    """Python ``repr`` of a str column for the plain characters used here:
+    single quotes, with ``\\n`` escaped (a backslash forces the fallback)."""
+    return F.concat(F.lit("'"), F.replace(c, F.lit("\n"), F.lit("\\n")), F.lit("'"))
+
+
+def video_literals(spark: SparkSession, sf: str) -> DataFrame:
+    """Video records as the video API's CSV export holds them: each dict
+    column is the Python ``repr`` of the dict, with ``True`` / ``None``
+    for some videos (so both parse paths are exercised)."""
+    r = A.raw_videos(spark, sf)
+    k = F.col("id").cast("bigint")
+    sn = F.col("snippet")
+    thumb = F.when(sn["thumbnails"].isNotNull(), F.concat(
+        F.lit(", 'thumbnails': {'maxres': {'url': "), _py_repr_str(sn["thumbnails"]["maxres"]["url"]),
+        F.lit(", 'width': 1280}}")))
+    snippet = F.concat(
+        F.lit("{'publishedAt': "), _py_repr_str(sn["publishedAt"]),
+        F.lit(", 'title': "), _py_repr_str(sn["title"]),
+        F.lit(", 'description': "), _py_repr_str(sn["description"]),
+        F.coalesce(thumb, F.lit("")),
+        F.when(k % 4 == 0, F.lit(", 'defaultAudioLanguage': None")).otherwise(F.lit("")),
+        F.lit("}"))
+    st = F.col("statistics")
+    stats = F.concat(
+        F.lit("{"), F.when(st["viewCount"].isNotNull(),
+                           F.concat(F.lit("'viewCount': "), _py_repr_str(st["viewCount"]), F.lit(", ")))
+        .otherwise(F.lit("")),
+        F.lit("'likeCount': "), _py_repr_str(st["likeCount"]),
+        F.lit(", 'commentCount': "), _py_repr_str(st["commentCount"]),
+        F.when(k % 3 == 0, F.lit(", 'hiddenSubscriberCount': False")).otherwise(F.lit("")),
+        F.lit("}"))
+    cd = F.concat(F.lit("{'duration': "), _py_repr_str(F.col("contentDetails.duration")),
+                  F.lit(", 'caption': 'false', 'licensedContent': True}"))
+    return r.select("id", snippet.alias("snippet"), stats.alias("statistics"), cd.alias("contentDetails"))
+
+
+@register("parse_struct_column", "SELECT CAST(p_partkey AS VARCHAR) AS id, "
+          f"{O.RAW_TITLE} AS title, ' ' || p_name || chr(10) || p_type || '  ' AS description, "
+          "CASE WHEN p_partkey % 13 <> 0 THEN 'img/' || CAST(p_partkey AS VARCHAR) || '/maxres.jpg' END AS thumb FROM part")
+def q_parse_struct_column(spark, sf):
+    parsed = P.parse_struct_column(video_literals(spark, sf), "snippet", VIDEO_CELLS["snippet"])
+    return parsed.select("id", F.col("snippet.title").alias("title"),
+                         F.col("snippet.description").alias("description"),
+                         F.col("snippet.thumbnails.maxres.url").alias("thumb"))
+
+
+@register("clean_videos", O.with_views(
+    ["videos"], "SELECT videoid, title, guest, description, publisheddate AS publishedat, duration, "
+    "thumbnailimageurl, viewcount AS viewscount, likescount, commentscount FROM videos"))
+def q_clean_videos(spark, sf):
+    return clean_videos(video_literals(spark, sf))
+
+
+def channel_literals(spark: SparkSession, sf: str) -> DataFrame:
+    r = A.raw_channels(spark, sf)
+    sn = F.col("snippet")
+    snippet = F.concat(
+        F.lit("{'title': "), _py_repr_str(sn["title"]),
+        F.lit(", 'description': "), _py_repr_str(sn["description"]),
+        F.lit(", 'customUrl': "), _py_repr_str(sn["customUrl"]),
+        F.lit(", 'publishedAt': "), _py_repr_str(sn["publishedAt"]),
+        F.lit(", 'thumbnails': {'high': {'url': "), _py_repr_str(sn["thumbnails"]["high"]["url"]), F.lit("}}"),
+        F.when(sn["country"].isNotNull(), F.concat(F.lit(", 'country': "), _py_repr_str(sn["country"])))
+        .otherwise(F.lit("")),
+        F.lit("}"))
+    st = F.col("statistics")
+    stats = F.concat(F.lit("{'viewCount': "), _py_repr_str(st["viewCount"]),
+                     F.lit(", 'subscriberCount': "), _py_repr_str(st["subscriberCount"]),
+                     F.lit(", 'hiddenSubscriberCount': False, 'videoCount': "),
+                     _py_repr_str(st["videoCount"]), F.lit("}"))
+    cd = F.concat(F.lit("{'relatedPlaylists': {'likes': '', 'uploads': "),
+                  _py_repr_str(F.col("contentDetails.uploads")), F.lit("}}"))
+    return r.select("id", snippet.alias("snippet"), stats.alias("statistics"), cd.alias("contentDetails"))
+
+
+@register("clean_channel", """SELECT 'UC' || CAST(s_suppkey AS VARCHAR) AS channelid, s_name AS channeltitle,
+  'About ' || s_name || 'line two' AS description,
+  '@' || lower(replace(s_name, '#', '')) AS channelcustomurl,
+  '2019-0' || CAST(1 + s_suppkey % 9 AS VARCHAR) || '-15' AS publishedat,
+  CASE WHEN s_suppkey % 7 <> 0 THEN 'US' END AS channelcountry,
+  CAST(s_suppkey * 1000 AS VARCHAR) AS viewscount, CAST(s_suppkey * 10 AS VARCHAR) AS subscribercount,
+  CAST(s_nationkey AS VARCHAR) AS videoscount, 'img/ch' || CAST(s_suppkey AS VARCHAR) || '.jpg' AS channelthumbnailurl
+FROM supplier""")
+def q_clean_channel(spark, sf):
+    return clean_channel(channel_literals(spark, sf))
+
+
+# ------------------------------------------------- ordinals, batches, prompts
+
+@register("ordinal_slice", "SELECT videoid, ordinal FROM (SELECT CAST(p_partkey AS VARCHAR) AS videoid, "
+          "row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) - 1 AS ordinal FROM part) o "
+          "WHERE ordinal >= 200 AND ordinal < 280")
+def q_ordinal_slice(spark, sf):
+    ids = A.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("videoid"))
+    o = add_ordinal(ids, [F.col("videoid").asc()])
+    return o.where((F.col("ordinal") >= 200) & (F.col("ordinal") < 280)).select("videoid", "ordinal")
+
+
+@register("batch_assign", "SELECT o_orderkey, o_custkey % 50 AS shard, "
+          "CAST((row_number() OVER w - 1) // 20 AS BIGINT) AS batch_id, "
+          "CAST((row_number() OVER w - 1) % 20 + 1 AS INTEGER) AS pos FROM orders "
+          "WINDOW w AS (PARTITION BY o_custkey % 50 ORDER BY o_orderkey)")
+def q_batch_assign(spark, sf):
+    o = A.table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 50).alias("shard"))
+    return batch_assign(o, F.col("shard"), [F.col("o_orderkey")], 20)
+
+
+_BATCHED_DOCS_SQL = ("SELECT doc_id % 8 AS shard, CAST((row_number() OVER w - 1) // 20 AS BIGINT) AS batch_id, "
+                     "CAST((row_number() OVER w - 1) % 20 + 1 AS INTEGER) AS pos, text FROM documents "
+                     "WINDOW w AS (PARTITION BY doc_id % 8 ORDER BY doc_id)")
+
+
+@register("batch_prompt", "SELECT shard, batch_id, CAST(count(*) AS INTEGER) AS n_comments, "
+          "string_agg('Comment ' || CAST(pos AS VARCHAR) || ': ' || text, chr(10) ORDER BY pos) AS prompt "
+          f"FROM ({_BATCHED_DOCS_SQL}) b GROUP BY shard, batch_id")
+def q_batch_prompt(spark, sf):
+    d = A.table(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 8).alias("shard"))
+    b = batch_assign(d, F.col("shard"), [F.col("doc_id")], 20)
+    return batch_prompt(b, ["shard", "batch_id"], "pos", "text")
+
+
+RESPONSES_SQL = """responses AS (
+  SELECT batch_id, CAST(count(*) AS INTEGER) AS n_comments,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '') AS response
+  FROM (SELECT batch_id, pos, line,
+               batch_id % 7 = 0 AND pos = max(pos) OVER (PARTITION BY batch_id) AS dropped
+        FROM (SELECT o_orderkey // 20 AS batch_id, CAST(o_orderkey % 20 + 1 AS INTEGER) AS pos,
+                     'Comment ' || CAST(o_orderkey % 20 + 1 AS VARCHAR)
+                     || CASE WHEN (o_orderkey // 20) % 11 = 0 AND o_orderkey % 20 + 1 = 3 THEN '' ELSE ':' END
+                     || ' ' || o_orderpriority || ', ' || o_orderstatus AS line
+              FROM orders) l) d
+  GROUP BY batch_id)"""
+
+PARSED_SQL = f"""parsed AS (
+  SELECT batch_id, CAST(pos AS INTEGER) AS pos,
+         CASE WHEN len(ls) <> n_comments THEN '{SENTINEL}'
+              WHEN strpos(ls[pos], ':') > 0 THEN {O.strip("substr(ls[pos], strpos(ls[pos], ':') + 1)")}
+              ELSE '{SENTINEL}' END AS label
+  FROM (SELECT batch_id, n_comments, string_split({O.strip("response")}, chr(10)) AS ls,
+               unnest(generate_series(1, n_comments)) AS pos FROM responses) e)"""
+
+
+def parsed_responses(spark: SparkSession, sf: str) -> DataFrame:
+    return explode_labels(A.responses(spark, sf), ["batch_id"], "response", "n_comments")
+
+
+@register("parse_response_lines", f"WITH {RESPONSES_SQL}, {PARSED_SQL} SELECT * FROM parsed")
+def q_parse_response_lines(spark, sf):
+    return parsed_responses(spark, sf)
+
+
+@register("validate_batch_size", f"WITH {RESPONSES_SQL}, {PARSED_SQL} "
+          f"SELECT batch_id, CAST(count(*) AS BIGINT) AS n_comments, "
+          f"CAST(count(*) FILTER (WHERE label = '{SENTINEL}') AS BIGINT) AS n_failed FROM parsed GROUP BY batch_id")
+def q_validate_batch_size(spark, sf):
+    return parsed_responses(spark, sf).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_comments"),
+        F.count_if(F.col("label") == SENTINEL).alias("n_failed"))
+
+
+@register("status_counts", f"WITH {RESPONSES_SQL}, {PARSED_SQL} "
+          "SELECT CAST(count(*) AS BIGINT) AS total_rows, "
+          f"CAST(count(*) FILTER (WHERE label <> '{SENTINEL}') AS BIGINT) AS processed_rows, "
+          f"CAST(count(*) FILTER (WHERE label IS NULL OR label = '{SENTINEL}') AS BIGINT) AS unprocessed_rows FROM parsed")
+def q_status_counts(spark, sf):
+    p = parsed_responses(spark, sf)
+    return status_counts(p, F.col("label") != SENTINEL)
+
+
+@register("route_by_sentinel", f"WITH {RESPONSES_SQL}, {PARSED_SQL} "
+          f"SELECT batch_id, pos FROM parsed WHERE label IS NULL OR label = '{SENTINEL}'")
+def q_route_by_sentinel(spark, sf):
+    p = parsed_responses(spark, sf)
+    return p.where(F.col("label").isNull() | (F.col("label") == SENTINEL)).select("batch_id", "pos")
+
+
+@register("limit_preview", O.with_views(
+    ["fn_comments"], "SELECT commentid, videoid, emotion FROM fn_comments ORDER BY commentid LIMIT 20"))
+def q_limit_preview(spark, sf):
+    from .marts_q import fn_comments_df
+    return fn_comments_df(spark, sf).orderBy("commentid").limit(20).select("commentid", "videoid", "emotion")
