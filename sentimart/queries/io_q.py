@@ -1 +1,219 @@
-"""Registered queries."""
+"""Registered queries: sources and sinks.
+
+Each query stages files derived from the given tables in the session's
+shared folder (``spark.checkpoint.dir``), then reads them back through the
+operator under test, so its work grows with the tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import oracle as O
+from ..catalog import register
+from ..operators.windowing import batch_assign, dedup_by_key
+from ..plans.cleaning import as_table
+from ..plans.comments import extract_comments
+from ..schemas import COMMENT_THREAD, COMMENTS, with_field
+from ..session import scratch_path
+from ..sinks.files import write_csv, write_parquet_partitioned
+from ..sources import adapters as A
+from ..sources import fetch
+from ..sources.files import (filter_by_suffix, load_skip_bad, load_strict, scan_csv,
+                             scan_parquet, sort_by_suffix, source_label, suffix_of,
+                             with_source_file)
+
+N_SOURCES = 300  # comment files ("videos") the staged threads are spread over
+
+SOURCE_SQL = f"'comments_' || CAST(l_partkey % {N_SOURCES} AS VARCHAR)"
+
+
+def stage_threads(spark: SparkSession, sf: str) -> str:
+    """K3: nested comment threads, one folder per source label."""
+    t = A.comment_threads(spark, sf).withColumn(
+        "source", F.concat(F.lit("comments_"), (F.col("_part") % N_SOURCES).cast("string"))).drop("_part")
+    path = scratch_path(spark, "threads")
+    write_parquet_partitioned(t, path, ["source"])
+    return path
+
+
+_FLAT_SQL = f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS commentid,
+   CAST(l_partkey AS VARCHAR) AS videoid,
+   CASE WHEN l_orderkey % 23 <> 0 THEN CAST(trunc(l_quantity) AS BIGINT) END AS likecount,
+   {SOURCE_SQL} AS source, l_partkey % {N_SOURCES} AS suffix
+ FROM lineitem"""
+
+
+@register("scan_parquet", f"SELECT commentid, videoid, likecount, source FROM ({_FLAT_SQL}) t "
+          "WHERE likecount IS NOT NULL")
+def q_scan_parquet(spark, sf):
+    threads = scan_parquet(spark, stage_threads(spark, sf), with_field(COMMENT_THREAD, "source"))
+    return extract_comments(threads, keep=["source"]).select("commentid", "videoid", "likecount", "source")
+
+
+@register("sink_parquet_partitioned", f"SELECT source, CAST(count(*) AS BIGINT) AS n FROM ({_FLAT_SQL}) t GROUP BY source")
+def q_sink_parquet_partitioned(spark, sf):
+    back = spark.read.parquet(stage_threads(spark, sf))
+    return back.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("source_label", f"SELECT source, CAST(count(*) AS BIGINT) AS n FROM ({_FLAT_SQL}) t GROUP BY source")
+def q_source_label(spark, sf):
+    raw = with_source_file(spark.read.schema(COMMENT_THREAD).option("recursiveFileLookup", "true")
+                           .parquet(stage_threads(spark, sf)))
+    return raw.groupBy(source_label("source_file").alias("source")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("filter_by_suffix", f"SELECT commentid, source FROM ({_FLAT_SQL}) t "
+          "WHERE likecount IS NOT NULL AND suffix >= 200 AND suffix < 280")
+def q_filter_by_suffix(spark, sf):
+    threads = scan_parquet(spark, stage_threads(spark, sf), with_field(COMMENT_THREAD, "source"))
+    picked = filter_by_suffix(threads, "source", 200, 280)
+    return extract_comments(picked, keep=["source"]).select("commentid", "source")
+
+
+@register("sort_by_suffix", f"SELECT DISTINCT source, CAST(suffix AS BIGINT) AS suffix FROM ({_FLAT_SQL}) t")
+def q_sort_by_suffix(spark, sf):
+    labels = spark.read.parquet(stage_threads(spark, sf)).select("source").distinct()
+    return sort_by_suffix(labels, "source").select("source", suffix_of("source").alias("suffix"))
+
+
+# ------------------------------------------------------------------- CSV
+
+def _comment_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return A.comments(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in COMMENTS.fieldNames()])
+
+
+_COMMENT_STR_SQL = O.with_views(["comments"], "SELECT " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" for c in COMMENTS.fieldNames()) + " FROM comments")
+
+
+@register("scan_csv_header", _COMMENT_STR_SQL)
+def q_scan_csv_header(spark, sf):
+    path = scratch_path(spark, "csv")
+    write_csv(_comment_strings(spark, sf), path)
+    return scan_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in COMMENTS.fieldNames()]))
+
+
+@register("typed_schema_cast", O.with_views(["comments"], "SELECT * FROM comments"))
+def q_typed_schema_cast(spark, sf):
+    path = scratch_path(spark, "csv")
+    write_csv(_comment_strings(spark, sf), path)
+    strings = scan_csv(spark, path, T.StructType([T.StructField(f"_c{i}", T.StringType())
+                                                  for i in range(len(COMMENTS.fields))]))
+    return as_table(strings, COMMENTS)
+
+
+_DOC_CELL_SQL = ("CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 9 = 1 THEN '' "
+                 "WHEN doc_id % 9 = 2 THEN '  \"quoted\", with comma' || chr(10) || 'and \\\\ backslash ' "
+                 "ELSE text END")
+
+
+def _doc_cells(spark: SparkSession, sf: str) -> DataFrame:
+    d = A.table(spark, sf, "documents")
+    k = F.col("doc_id") % 9
+    cell = (F.when(k == 0, F.lit(None).cast("string")).when(k == 1, F.lit(""))
+            .when(k == 2, F.lit('  "quoted", with comma\nand \\\\ backslash ')).otherwise(F.col("text")))
+    return d.select("doc_id", cell.alias("text"), "lang")
+
+
+@register("sink_csv_roundtrip", f"SELECT doc_id, {_DOC_CELL_SQL} AS text, lang FROM documents")
+def q_sink_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "csv")
+    write_csv(_doc_cells(spark, sf), path)
+    return scan_csv(spark, path, T.StructType([T.StructField("doc_id", T.LongType()),
+                                               T.StructField("text", T.StringType()),
+                                               T.StructField("lang", T.StringType())]))
+
+
+@register("scan_csv_multiline", "SELECT doc_id, length(text) - length(replace(text, chr(10), '')) AS newlines "
+          "FROM documents")
+def q_scan_csv_multiline(spark, sf):
+    path = scratch_path(spark, "csv")
+    write_csv(A.table(spark, sf, "documents").select("doc_id", "text"), path)
+    back = scan_csv(spark, path, T.StructType([T.StructField("doc_id", T.LongType()),
+                                               T.StructField("text", T.StringType())]))
+    return back.select("doc_id", (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))))
+                       .cast("bigint").alias("newlines"))
+
+
+@register("append_retry_union", "SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+def q_append_retry_union(spark, sf):
+    d = A.table(spark, sf, "documents").select("doc_id", "lang")
+    path = scratch_path(spark, "csv")
+    write_csv(d.where(F.col("doc_id") % 2 == 0), path, mode="overwrite")
+    write_csv(d.where(F.col("doc_id") % 3 == 0), path, mode="append")  # overlaps on % 6
+    back = scan_csv(spark, path, T.StructType([T.StructField("doc_id", T.LongType()),
+                                               T.StructField("lang", T.StringType())]))
+    return dedup_by_key(back, "doc_id")
+
+
+# ------------------------------------------------------------------ loads
+
+# bad rows: date, integer, too few fields, too many fields
+_BAD = [(41, "date"), (43, "int"), (47, "short"), (53, "long")]
+
+
+def _comment_lines(spark: SparkSession, sf: str, with_bad: bool) -> DataFrame:
+    """The comments table as raw CSV lines (values contain no separator or
+    quote), optionally with malformed lines keyed on the order number."""
+    c = A.comments(spark, sf).withColumn("__ok", F.split("commentid", "-")[0].cast("bigint"))
+    cols = [F.col(n).cast("string") for n in COMMENTS.fieldNames()]
+    line = F.concat_ws(",", *[F.coalesce(x, F.lit("")) for x in cols])
+    if with_bad:
+        k = F.col("__ok")
+        date_bad = F.concat_ws(",", *[F.lit("not-a-date") if n == "publishedat" else F.coalesce(x, F.lit(""))
+                                      for n, x in zip(COMMENTS.fieldNames(), cols)])
+        int_bad = F.concat_ws(",", *[F.lit("many") if n == "likecount" else F.coalesce(x, F.lit(""))
+                                     for n, x in zip(COMMENTS.fieldNames(), cols)])
+        short = F.concat_ws(",", *[F.coalesce(x, F.lit("")) for x in cols[:-1]])
+        long_ = F.concat(line, F.lit(",extra"))
+        line = (F.when(k % 41 == 0, date_bad).when(k % 43 == 0, int_bad)
+                .when(k % 47 == 0, short).when(k % 53 == 0, long_).otherwise(line))
+    return c.select(line.alias(",".join(COMMENTS.fieldNames())))
+
+
+def _stage_lines(spark: SparkSession, sf: str, with_bad: bool) -> str:
+    path = scratch_path(spark, "load")
+    # one string column per line; a tab separator means the commas inside
+    # are written verbatim, and the column name is the header line
+    (_comment_lines(spark, sf, with_bad).write.mode("overwrite")
+     .option("header", "true").option("sep", "\t").option("quote", '"').csv(path))
+    return path
+
+
+@register("load_strict", O.with_views(["comments"], "SELECT * FROM comments"))
+def q_load_strict(spark, sf):
+    return load_strict(spark, _stage_lines(spark, sf, with_bad=False), COMMENTS)
+
+
+_ORDERKEY = "CAST(split_part(commentid, '-', 1) AS BIGINT)"
+_NOT_BAD = " AND ".join(f"{_ORDERKEY} % {m} <> 0" for m, _ in _BAD)
+
+
+@register("load_skip_bad", O.with_views(["comments"], f"SELECT * FROM comments WHERE {_NOT_BAD}"))
+def q_load_skip_bad(spark, sf):
+    return load_skip_bad(spark, _stage_lines(spark, sf, with_bad=True), COMMENTS)
+
+
+# ---------------------------------------------------------- fetch
+
+@register("id_batches", "SELECT shard, CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS n_ids, "
+          "string_agg(videoid, ',' ORDER BY videoid) AS ids FROM ("
+          "SELECT p_partkey % 8 AS shard, CAST(p_partkey AS VARCHAR) AS videoid, "
+          "(row_number() OVER (PARTITION BY p_partkey % 8 ORDER BY CAST(p_partkey AS VARCHAR)) - 1) // 50 AS batch_id "
+          "FROM part) b GROUP BY shard, batch_id")
+def q_id_batches(spark, sf):
+    ids = A.table(spark, sf, "part").select((F.col("p_partkey") % 8).alias("shard"),
+                                            F.col("p_partkey").cast("string").alias("videoid"))
+    return fetch.id_batches(ids, "videoid", F.col("shard"), size=50)
+
+
+@register("paged_fetch", "SELECT videoid, CAST(item AS BIGINT) AS item, CAST(item // 100 AS BIGINT) AS page, "
+          "'c' || videoid || '_' || CAST(item AS VARCHAR) AS comment_id FROM ("
+          "SELECT CAST(p_partkey AS VARCHAR) AS videoid, unnest(range(p_partkey % 250)) AS item FROM part) x")
+def q_paged_fetch(spark, sf):
+    ids = A.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("videoid"))
+    return fetch.paged_fetch(ids, "videoid", fetch.synthetic_comment_pages, fetch.PAGE_SCHEMA)

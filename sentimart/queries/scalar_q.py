@@ -15,6 +15,7 @@ from ..operators.aggregate import status_counts
 from ..operators.responses import batch_prompt, explode_labels
 from ..operators.windowing import add_ordinal, batch_assign
 from ..plans.cleaning import VIDEO_CELLS, clean_channel, clean_videos
+from ..plans.comments import extract_comments
 from ..schemas import SENTINEL
 from ..sources import adapters as A
 
@@ -145,8 +146,8 @@ def _label(o):
             .when(k == 4, F.lit(SENTINEL)))
 
 
-@register("split_pair", f"""SELECT o_orderkey, trim(list_extract(string_split(l, ','), 1)) AS emotion,
-  trim(list_extract(string_split(l, ','), 2)) AS sentimentnature FROM (SELECT o_orderkey, {_LABEL_SQL} AS l FROM orders) x""")
+@register("split_pair", f"""SELECT o_orderkey, trim(list_extract(string_split(l, ','), 1), ' ') AS emotion,
+  trim(list_extract(string_split(l, ','), 2), ' ') AS sentimentnature FROM (SELECT o_orderkey, {_LABEL_SQL} AS l FROM orders) x""")
 def q_split_pair(spark, sf):
     o = A.table(spark, sf, "orders")
     e, s = X.split_pair(_label(o))
@@ -158,7 +159,8 @@ def q_split_pair(spark, sf):
 _THREAD_SQL = """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS commentid,
    CAST(l_partkey AS VARCHAR) AS videoid,
    strftime(l_shipdate, '%Y-%m-%d') AS publishedat,
-   trim('  ' || l_returnflag || l_linestatus || ' comment on ' || CAST(l_partkey AS VARCHAR) || ' ', ' ') AS textoriginal,
+   trim('  ' || l_returnflag || l_linestatus || ' comment on ' || CAST(l_partkey AS VARCHAR)
+        || CASE WHEN l_orderkey % 5 = 0 THEN '! ' ELSE ' ' END, ' ') AS textoriginal,
    '@user' || CAST(l_suppkey AS VARCHAR) AS authordisplayname,
    'img/u' || CAST(l_suppkey AS VARCHAR) AS authorprofileimageurl,
    'channel/u' || CAST(l_suppkey AS VARCHAR) AS authorchannelurl,
@@ -166,23 +168,6 @@ _THREAD_SQL = """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber
    CAST(l_linenumber - 1 AS BIGINT) AS totalreplycount
  FROM lineitem"""
 
-EXTRACT_FIELDS = {
-    "commentid": "id", "videoid": "snippet.videoId",
-    "publishedat": X.iso_date_prefix("snippet.topLevelComment.snippet.publishedAt"),
-    "textoriginal": X.trim_spaces("snippet.topLevelComment.snippet.textOriginal"),
-    "authordisplayname": "snippet.topLevelComment.snippet.authorDisplayName",
-    "authorprofileimageurl": "snippet.topLevelComment.snippet.authorProfileImageUrl",
-    "authorchannelurl": "snippet.topLevelComment.snippet.authorChannelUrl",
-    "likecount": "snippet.topLevelComment.snippet.likeCount",
-    "totalreplycount": "snippet.totalReplyCount",
-}
-
-
-def extract_comments(threads: DataFrame) -> DataFrame:
-    """Nested thread -> flat top-level comment (P1 + X1 + X3 + F1)."""
-    return P.nested_extract(threads, EXTRACT_FIELDS).where(F.col("likecount").isNotNull())
-
-
 @register("nested_extract", f"SELECT commentid, videoid, likecount FROM ({_THREAD_SQL}) t")
 def q_nested_extract(spark, sf):
     return P.nested_extract(A.comment_threads(spark, sf), {

@@ -87,5 +87,11 @@ CLASSIFIED_COMMENT = _schema(
     ("authordisplayname", S), ("authorprofileimageurl", S),
     ("authorchannelurl", S), ("likecount", L), ("totalreplycount", L))
 
+def with_field(schema: T.StructType, name: str, dtype: T.DataType = S) -> T.StructType:
+    """Copy of ``schema`` plus one nullable field (``StructType.add``
+    mutates in place, which would corrupt these shared constants)."""
+    return T.StructType(list(schema.fields) + [T.StructField(name, dtype, True)])
+
+
 ALL_STRING_CLASSIFIED = T.StructType(
     [T.StructField(f.name, S, True) for f in CLASSIFIED_COMMENT.fields])

@@ -121,7 +121,9 @@ def comment_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T08:30:00Z"))
         .alias("publishedAt"),
         F.concat(F.lit("  "), F.col("l_returnflag"), F.col("l_linestatus"),
-                 F.lit(" comment on "), _s("l_partkey"), F.lit(" ")).alias("textOriginal"),
+                 F.lit(" comment on "), _s("l_partkey"),
+                 F.when(F.col("l_orderkey") % 5 == 0, F.lit("! ")).otherwise(F.lit(" ")))
+        .alias("textOriginal"),
         F.concat(F.lit("@user"), sk).alias("authorDisplayName"),
         F.concat(F.lit("img/u"), sk).alias("authorProfileImageUrl"),
         F.concat(F.lit("channel/u"), sk).alias("authorChannelUrl"),
