@@ -59,6 +59,31 @@ def rule_based_classifier(texts: list[str]) -> str:
     return "\n".join(f"Comment {i}: {rule_label(t)}" for i, t in enumerate(texts, 1))
 
 
+# --- further stand-ins used by tests and the registered queries ---
+
+def picky_classifier(texts: list[str]) -> str:
+    """Rule-based answers, but no parseable line for ``NO ...`` comments:
+    those fail the first pass and succeed on retry."""
+    return "\n".join(f"Comment {i} ?" if t.startswith("NO") else f"Comment {i}: {rule_label(t)}"
+                     for i, t in enumerate(texts, 1))
+
+
+def flaky_classifier():
+    """A client that fails the first call of every slice (transient error,
+    retried) and answers a line without ``:`` for texts containing ``@``
+    (that comment alone fails)."""
+    seen: set[int] = set()
+
+    def call(texts: list[str]) -> str:
+        key = hash(tuple(texts))
+        if key not in seen:
+            seen.add(key)
+            raise ConnectionError("transient")
+        return "\n".join(f"Comment {i} unreadable" if "@" in t else f"Comment {i}: {rule_label(t)}"
+                         for i, t in enumerate(texts, 1))
+    return call
+
+
 def build_prompt(texts: Sequence[str]) -> str:
     """Prompt for a model client: one ``Comment i: text`` line per comment
     and the answer format (one ``Comment i: emotion, sentiment`` line

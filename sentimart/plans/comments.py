@@ -32,22 +32,26 @@ PROCESSED = "processedcomments"
 FAILED = "notprocessedcomments"
 AUDIT = "logs/uploadedfiles"
 
-EXTRACT_FIELDS: dict[str, str | Column] = {
-    "commentid": "id", "videoid": "snippet.videoId",
-    "publishedat": iso_date_prefix("snippet.topLevelComment.snippet.publishedAt"),
-    "textoriginal": trim_spaces("snippet.topLevelComment.snippet.textOriginal"),
-    "authordisplayname": "snippet.topLevelComment.snippet.authorDisplayName",
-    "authorprofileimageurl": "snippet.topLevelComment.snippet.authorProfileImageUrl",
-    "authorchannelurl": "snippet.topLevelComment.snippet.authorChannelUrl",
-    "likecount": "snippet.topLevelComment.snippet.likeCount",
-    "totalreplycount": "snippet.totalReplyCount",
-}
+def extract_fields() -> dict[str, str | Column]:
+    """Flat comment column -> nested source field (built on demand: no
+    Column may be created at import time, executors import this module)."""
+    snip = "snippet.topLevelComment.snippet."
+    return {
+        "commentid": "id", "videoid": "snippet.videoId",
+        "publishedat": iso_date_prefix(snip + "publishedAt"),
+        "textoriginal": trim_spaces(snip + "textOriginal"),
+        "authordisplayname": snip + "authorDisplayName",
+        "authorprofileimageurl": snip + "authorProfileImageUrl",
+        "authorchannelurl": snip + "authorChannelUrl",
+        "likecount": snip + "likeCount",
+        "totalreplycount": "snippet.totalReplyCount",
+    }
 
 
 def extract_comments(threads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Nested thread -> flat top-level comment (P1 + X1 + X3 + F1).
     Replies are never read (nested column pruning drops them)."""
-    fields = dict(EXTRACT_FIELDS)
+    fields = extract_fields()
     fields.update({k: k for k in keep})
     return nested_extract(threads, fields).where(F.col("likecount").isNotNull())
 

@@ -1 +1,129 @@
-"""Registered queries."""
+"""Registered queries: classification (U1-U6), comment jobs (C3, C4),
+warehouse load (C5), run audit (K9) and the incremental stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import oracle as O
+from ..catalog import register
+from ..operators.classify import (LEXICON, SENTIMENT_OF, classify_comments, flaky_classifier,
+                                  picky_classifier)
+from ..plans import comments as C
+from ..plans.cleaning import as_table
+from ..plans.warehouse import fn_comments
+from ..schemas import COMMENTS, SENTINEL
+from ..session import scratch_path
+from ..sources import adapters as A
+from ..sources.files import load_skip_bad
+from ..streaming.incremental import run_comment_stream
+from .io_q import N_SOURCES, SOURCE_SQL, stage_threads
+from .scalar_q import _THREAD_SQL
+
+
+def _sql_rule(text: str) -> tuple[str, str]:
+    """DuckDB twin of ``rule_label``: (emotion, sentiment) CASE expressions."""
+    def lit(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+    em = "CASE " + " ".join(f"WHEN strpos({text}, {lit(k)}) > 0 THEN {lit(e)}" for k, e in LEXICON) + \
+        " ELSE 'neutral' END"
+    se = "CASE " + " ".join(f"WHEN strpos({text}, {lit(k)}) > 0 THEN {lit(SENTIMENT_OF[e])}"
+                            for k, e in LEXICON) + " ELSE 'neutral' END"
+    return em, se
+
+
+_EM, _SE = _sql_rule("text")
+
+
+@register("classify_comments", f"SELECT CAST(doc_id AS VARCHAR) AS commentid, source AS videoid, "
+          f"{_EM} AS emotion, {_SE} AS sentimentnature FROM documents")
+def q_classify_comments(spark, sf):
+    out = classify_comments(A.comment_text(spark, sf))
+    return out.select("commentid", "videoid", "emotion", "sentimentnature")
+
+
+@register("classify_with_failures", f"SELECT CAST(doc_id AS VARCHAR) AS commentid, "
+          f"CASE WHEN strpos(text, '@') > 0 THEN '{SENTINEL}' ELSE {_EM} END AS emotion, "
+          f"CASE WHEN strpos(text, '@') > 0 THEN NULL ELSE {_SE} END AS sentimentnature FROM documents")
+def q_classify_with_failures(spark, sf):
+    out = classify_comments(A.comment_text(spark, sf), classifier=flaky_classifier(),
+                            sleep=lambda s: None)
+    return out.select("commentid", "emotion", "sentimentnature")
+
+
+_THREAD_ROWS = f"""SELECT {SOURCE_SQL} AS source, l_returnflag || l_linestatus AS fs
+  FROM lineitem WHERE l_orderkey % 23 <> 0"""
+
+
+def _first_pass(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    out = scratch_path(spark, "comments")
+    audit = C.first_pass(spark, stage_threads(spark, sf), out, 0, N_SOURCES,
+                         classifier=picky_classifier, sleep=lambda s: None)
+    return out, audit
+
+
+@register("comments_first_pass", "SELECT source, CAST(count(*) AS BIGINT) AS total_rows, "
+          "CAST(count(*) FILTER (WHERE fs <> 'NO') AS BIGINT) AS processed_rows, "
+          "CAST(count(*) FILTER (WHERE fs = 'NO') AS BIGINT) AS unprocessed_rows "
+          f"FROM ({_THREAD_ROWS}) t GROUP BY source")
+def q_comments_first_pass(spark, sf):
+    _, audit = _first_pass(spark, sf)
+    return audit.drop("run_id", "logged_at")
+
+
+@register("comments_retry_pass", "SELECT source, CAST(count(*) AS BIGINT) AS total_rows, "
+          "CAST(count(*) AS BIGINT) AS processed_rows, CAST(0 AS BIGINT) AS unprocessed_rows "
+          f"FROM ({_THREAD_ROWS}) t WHERE fs = 'NO' GROUP BY source")
+def q_comments_retry_pass(spark, sf):
+    out, _ = _first_pass(spark, sf)
+    return C.retry_pass(spark, out, sleep=lambda s: None).drop("run_id", "logged_at")
+
+
+_TEM, _TSE = _sql_rule("textoriginal")
+_LOADED = (f"SELECT commentid, videoid, CAST(publishedat AS DATE) AS publishedat, textoriginal, "
+           f"{_TEM} AS emotion, {_TSE} AS sentimentnature, authordisplayname, authorprofileimageurl, "
+           f"authorchannelurl, likecount, totalreplycount FROM ({_THREAD_SQL}) t WHERE likecount IS NOT NULL")
+
+
+@register("load_tables", "SELECT commentid, emotion, sentimentnature FROM (SELECT *, row_number() OVER "
+          f"(PARTITION BY commentid ORDER BY CASE WHEN emotion = '{SENTINEL}' THEN 1 ELSE 0 END, "
+          f"{O._COMMENT_ORDER}) AS rw FROM ({_LOADED}) l) d WHERE rw = 1")
+def q_load_tables(spark, sf):
+    """C5 + C7 after both passes: processed CSV folders -> typed comments
+    table (positional, bad rows skipped) -> one row per comment."""
+    out, _ = _first_pass(spark, sf)
+    C.retry_pass(spark, out, sleep=lambda s: None)
+    typed = load_skip_bad(spark, f"{out}/{C.PROCESSED}", COMMENTS)
+    return fn_comments(typed).select("commentid", "emotion", "sentimentnature")
+
+
+@register("run_audit", "SELECT run_id, CAST(count(*) AS BIGINT) AS sources, CAST(sum(total_rows) AS BIGINT) AS total_rows, "
+          "CAST(sum(processed_rows) AS BIGINT) AS processed_rows FROM ("
+          "SELECT 'first' AS run_id, source, count(*) AS total_rows, count(*) FILTER (WHERE fs <> 'NO') AS processed_rows "
+          f"FROM ({_THREAD_ROWS}) t GROUP BY source UNION ALL "
+          "SELECT 'retry' AS run_id, source, count(*) AS total_rows, count(*) AS processed_rows "
+          f"FROM ({_THREAD_ROWS}) t WHERE fs = 'NO' GROUP BY source) a GROUP BY run_id")
+def q_run_audit(spark, sf):
+    """K9: the audit log after both passes, read back from storage."""
+    out, _ = _first_pass(spark, sf)
+    C.retry_pass(spark, out, sleep=lambda s: None)
+    log = spark.read.parquet(f"{out}/{C.AUDIT}")
+    return log.groupBy("run_id").agg(F.count(F.lit(1)).alias("sources"),
+                                     F.sum("total_rows").alias("total_rows"),
+                                     F.sum("processed_rows").alias("processed_rows"))
+
+
+@register("comments_stream", "SELECT source, CAST(count(*) AS BIGINT) AS total_rows, "
+          "CAST(count(*) FILTER (WHERE fs <> 'NO') AS BIGINT) AS processed_rows "
+          f"FROM ({_THREAD_ROWS}) t GROUP BY source")
+def q_comments_stream(spark, sf):
+    """The first pass as an incremental file stream: each micro-batch takes
+    at most a few new comment files; the stream's checkpoint makes every
+    file count exactly once even across restarts."""
+    out = scratch_path(spark, "stream")
+    run_comment_stream(spark, stage_threads(spark, sf), out, classifier=picky_classifier,
+                       max_files_per_trigger=64, sleep=lambda s: None)
+    log = spark.read.parquet(f"{out}/{C.AUDIT}")
+    return log.groupBy("source").agg(F.sum("total_rows").alias("total_rows"),
+                                     F.sum("processed_rows").alias("processed_rows"))
