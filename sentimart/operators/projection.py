@@ -12,11 +12,15 @@ from pyspark.sql import types as T
 
 from ..functions.pyliteral import literal_to_json
 
-# Cells that the JVM JSON reader (single quotes allowed) reads exactly
-# like Python would: no escapes, no Python-only tokens.  Anything else
-# takes the Python fallback.
-_NEEDS_PYTHON = r"[\\()]|True|False|None|\binf\b|\bnan\b"
-_JSON_OPTS = {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}
+# Cells that the JVM JSON reader (single quotes and backslash-anything
+# allowed) reads exactly like ``ast.literal_eval``: only the escapes both
+# languages share (backslash + one of ``\\ n r t ' " u``), and no
+# Python-only tokens or tuples.  Anything else (``\x41``, ``\U...``,
+# ``True``, ``None`` ...) takes the Python fallback; the guard is
+# conservative (a match inside a string only costs speed).
+_NEEDS_PYTHON = r"\\[^\\nrt'\"u]|[()]|True|False|None|\binf\b|\bnan\b"
+_JSON_OPTS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
+              "mode": "PERMISSIVE"}
 
 
 def nested_extract(df: DataFrame, fields: Mapping[str, str | Column]) -> DataFrame:

@@ -61,7 +61,11 @@ def explode_labels(df: DataFrame, keys: list[str], response: str, n: str,
                    label: str = "label") -> DataFrame:
     """Validated labels back to one row per comment: ``(keys, pos, label)``
     with ``pos`` 1..n."""
-    arr = validated_labels(F.col(response), F.col(n))
-    rows = F.transform(F.sequence(F.lit(1), F.col(n)), lambda i: F.struct(
-        i.cast("int").alias("pos"), F.element_at(arr, i).alias(label)))
-    return df.select(*keys, F.inline(rows))
+    # labels are computed once per batch into a column; the per-position
+    # lambda then only indexes it (an inlined expression would be
+    # re-evaluated for every position)
+    with_arr = df.select(*keys, F.col(n).alias("__n"),
+                         validated_labels(F.col(response), F.col(n)).alias("__labels"))
+    rows = F.transform(F.sequence(F.lit(1), F.col("__n")), lambda i: F.struct(
+        i.cast("int").alias("pos"), F.element_at(F.col("__labels"), i).alias(label)))
+    return with_arr.select(*keys, F.inline(rows))
