@@ -56,21 +56,16 @@ def parse_struct_column(df: DataFrame, column: str, schema: T.StructType,
     """Parse a dict held as text (JSON, or a Python literal) into a
     struct with ``schema``; fields missing from the cell are NULL.
 
-    Cells that plain JSON parsing (single quotes allowed) reads exactly
-    stay in the JVM; only cells with Python-only syntax (``True``,
-    ``None``, backslash escapes, tuples) go through the Arrow UDF fallback.
-    The split is two filters over the same input, so the Python worker
-    sees only the fallback rows.
+    One projection, one pass: cells that JSON parsing (single quotes,
+    backslash escapes allowed) reads exactly like Python are parsed in the
+    JVM; only the others are handed to the Arrow UDF, which receives NULL
+    for every fast-path row (so its cost is a null-column transfer there).
     """
     out = out or column
     c = F.col(column)
     fast_ok = c.isNull() | ~c.rlike(_NEEDS_PYTHON)
-    tagged = df.withColumn("__fast", fast_ok)
-    fast = (tagged.where(F.col("__fast"))
-            .withColumn(out, F.from_json(c, schema, _JSON_OPTS)))
-    slow = (tagged.where(~F.col("__fast"))
-            .withColumn(out, F.from_json(literal_to_json(c), schema)))
-    return fast.unionByName(slow).drop("__fast")
+    text = F.when(fast_ok, c).otherwise(literal_to_json(F.when(~fast_ok, c)))
+    return df.withColumn(out, F.from_json(text, schema, _JSON_OPTS))
 
 
 def _leaves(dtype: T.DataType, prefix: str) -> list[str]:
