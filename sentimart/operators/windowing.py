@@ -87,13 +87,22 @@ def add_ordinal(df: DataFrame, order_by: Sequence[Column],
             .drop("__pid", "__local", "__off"))
 
 
+def range_shard(key: str | Column, width: int) -> Column:
+    """Shard of a dense integer key: ``floor(key / width)``.  A shard holds
+    at most ``width`` distinct keys whatever the table size, which bounds
+    every window group built on it (a hash-modulo shard grows with the
+    table)."""
+    k = F.col(key) if isinstance(key, str) else key
+    return F.floor(k / width).cast("bigint")
+
+
 def batch_assign(df: DataFrame, shard: Column, order_by: Sequence[Column],
                  size: int, batch_col: str = "batch_id",
                  pos_col: str = "pos") -> DataFrame:
     """Cut each shard into consecutive batches of ``size`` rows
-    (1-based ``pos`` within the batch).  Shards bound the window groups;
-    the caller picks a shard key with many values (e.g. a hash modulo the
-    partition count) so no shard is large."""
+    (1-based ``pos`` within the batch).  Each shard is one window group,
+    so the caller passes a shard of bounded size (:func:`range_shard`);
+    in-task slicing (``operators.classify``) needs no shard at all."""
     w = Window.partitionBy(shard).orderBy(*order_by)
     rn = F.row_number().over(w) - 1
     return (df.withColumn("__rn", rn)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .. import oracle as O
 from ..catalog import register
-from ..operators.windowing import batch_assign, dedup_by_key
+from ..operators.windowing import dedup_by_key, range_shard
 from ..plans.cleaning import as_table
 from ..plans.comments import extract_comments
 from ..schemas import COMMENT_THREAD, COMMENTS, with_field
@@ -202,11 +202,11 @@ def q_load_skip_bad(spark, sf):
 
 @register("id_batches", "SELECT shard, CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS n_ids, "
           "string_agg(videoid, ',' ORDER BY videoid) AS ids FROM ("
-          "SELECT p_partkey % 8 AS shard, CAST(p_partkey AS VARCHAR) AS videoid, "
-          "(row_number() OVER (PARTITION BY p_partkey % 8 ORDER BY CAST(p_partkey AS VARCHAR)) - 1) // 50 AS batch_id "
+          "SELECT p_partkey // 1000 AS shard, CAST(p_partkey AS VARCHAR) AS videoid, "
+          "(row_number() OVER (PARTITION BY p_partkey // 1000 ORDER BY CAST(p_partkey AS VARCHAR)) - 1) // 50 AS batch_id "
           "FROM part) b GROUP BY shard, batch_id")
 def q_id_batches(spark, sf):
-    ids = A.table(spark, sf, "part").select((F.col("p_partkey") % 8).alias("shard"),
+    ids = A.table(spark, sf, "part").select(range_shard("p_partkey", 1000).alias("shard"),
                                             F.col("p_partkey").cast("string").alias("videoid"))
     return fetch.id_batches(ids, "videoid", F.col("shard"), size=50)
 

@@ -13,7 +13,7 @@ from ..functions import text as X
 from ..operators import projection as P
 from ..operators.aggregate import status_counts
 from ..operators.responses import batch_prompt, explode_labels
-from ..operators.windowing import add_ordinal, batch_assign
+from ..operators.windowing import add_ordinal, batch_assign, range_shard
 from ..plans.cleaning import VIDEO_CELLS, clean_channel, clean_videos
 from ..plans.comments import extract_comments
 from ..schemas import SENTINEL
@@ -340,25 +340,25 @@ def q_ordinal_slice(spark, sf):
     return o.where((F.col("ordinal") >= 200) & (F.col("ordinal") < 280)).select("videoid", "ordinal")
 
 
-@register("batch_assign", "SELECT o_orderkey, o_custkey % 50 AS shard, "
+@register("batch_assign", "SELECT o_orderkey, o_orderkey // 1000 AS shard, "
           "CAST((row_number() OVER w - 1) // 20 AS BIGINT) AS batch_id, "
           "CAST((row_number() OVER w - 1) % 20 + 1 AS INTEGER) AS pos FROM orders "
-          "WINDOW w AS (PARTITION BY o_custkey % 50 ORDER BY o_orderkey)")
+          "WINDOW w AS (PARTITION BY o_orderkey // 1000 ORDER BY o_orderkey)")
 def q_batch_assign(spark, sf):
-    o = A.table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 50).alias("shard"))
+    o = A.table(spark, sf, "orders").select("o_orderkey", range_shard("o_orderkey", 1000).alias("shard"))
     return batch_assign(o, F.col("shard"), [F.col("o_orderkey")], 20)
 
 
-_BATCHED_DOCS_SQL = ("SELECT doc_id % 8 AS shard, CAST((row_number() OVER w - 1) // 20 AS BIGINT) AS batch_id, "
+_BATCHED_DOCS_SQL = ("SELECT doc_id // 1000 AS shard, CAST((row_number() OVER w - 1) // 20 AS BIGINT) AS batch_id, "
                      "CAST((row_number() OVER w - 1) % 20 + 1 AS INTEGER) AS pos, text FROM documents "
-                     "WINDOW w AS (PARTITION BY doc_id % 8 ORDER BY doc_id)")
+                     "WINDOW w AS (PARTITION BY doc_id // 1000 ORDER BY doc_id)")
 
 
 @register("batch_prompt", "SELECT shard, batch_id, CAST(count(*) AS INTEGER) AS n_comments, "
           "string_agg('Comment ' || CAST(pos AS VARCHAR) || ': ' || text, chr(10) ORDER BY pos) AS prompt "
           f"FROM ({_BATCHED_DOCS_SQL}) b GROUP BY shard, batch_id")
 def q_batch_prompt(spark, sf):
-    d = A.table(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 8).alias("shard"))
+    d = A.table(spark, sf, "documents").select("doc_id", "text", range_shard("doc_id", 1000).alias("shard"))
     b = batch_assign(d, F.col("shard"), [F.col("doc_id")], 20)
     return batch_prompt(b, ["shard", "batch_id"], "pos", "text")
 

@@ -26,6 +26,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
     one task."""
     if single_file:
         df = df.coalesce(1)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).options(**CSV_DIALECT)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
@@ -44,9 +46,11 @@ def write_if_nonempty(df: DataFrame, path: str, **kw) -> bool:
 def write_parquet_partitioned(df: DataFrame, path: str, by: Sequence[str],
                               mode: str = "overwrite") -> None:
     """K3: one folder per entity value (the Spark form of one file per
-    entity).  Rows are clustered by the partition columns first so each
-    task writes few files instead of one file per (task, value)."""
-    (df.repartition(*[F.col(c) for c in by]).write.mode(mode)
+    entity).  The ``rebalance`` hint clusters rows by the partition
+    columns so each task writes few files, and lets AQE split a hot value
+    (a third of all rows) over several tasks and merge tiny ones - a plain
+    ``repartition(by)`` would send a hot value to a single task."""
+    (df.hint("rebalance", *by).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path))
 
