@@ -16,8 +16,10 @@ that SQL can reproduce.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark import TaskContext
@@ -131,11 +133,14 @@ def label_partitions(df: DataFrame, text_col: str,
                      classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
                      batch_size: int = BATCH_SIZE, max_attempts: int = MAX_ATTEMPTS,
                      sleep: Callable[[float], None] = time.sleep, pause: float = 0.0,
-                     label_col: str = "label") -> DataFrame:
+                     label_col: str = "label", concurrency: int = 1) -> DataFrame:
     """Add ``label_col`` (``"emotion, sentiment"`` or the sentinel).
 
     A NULL text never reaches the classifier: it gets the sentinel.
-    ``pause`` seconds are slept after each call (U5 rate limit)."""
+    ``pause`` seconds are slept after each call (U5 rate limit).
+    ``concurrency`` > 1 keeps that many calls in flight per task (model
+    calls wait on the network, not the CPU); labels keep input order and
+    the classifier must then be thread-safe."""
     schema = T.StructType(df.schema.fields + [T.StructField(label_col, T.StringType(), True)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,12 +153,19 @@ def label_partitions(df: DataFrame, text_col: str,
             has_text = out[text_col].notna()
             idx = out.index[has_text]
             texts = out.loc[idx, text_col].astype(str).tolist()
-            got: list[str] = []
-            for i in range(0, len(texts), batch_size):
-                got.extend(classify_slice(texts[i:i + batch_size], clf, max_attempts, sleep))
+            slices = [texts[i:i + batch_size] for i in range(0, len(texts), batch_size)]
+
+            def one(sl: list[str]) -> list[str]:
+                res = classify_slice(sl, clf, max_attempts, sleep)
                 if pause:
                     sleep(pause)
-            labels.loc[idx] = got
+                return res
+            if concurrency > 1 and len(slices) > 1:
+                with ThreadPoolExecutor(max_workers=concurrency) as pool:
+                    parts = list(pool.map(one, slices))
+            else:
+                parts = [one(sl) for sl in slices]
+            labels.loc[idx] = [lab for part in parts for lab in part]
             out[label_col] = labels
             return out
 
@@ -178,16 +190,22 @@ def label_partitions(df: DataFrame, text_col: str,
 
 def classify_comments(df: DataFrame, text_col: str = "textoriginal",
                       classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
-                      parallelism: int | None = None, **kw) -> DataFrame:
+                      parallelism: int | None = None, rows_per_task: int | None = None,
+                      **kw) -> DataFrame:
     """U1 + X5/X6: ``emotion`` and ``sentimentnature`` per comment.
 
     ``parallelism`` (optional) spreads rows round-robin over that many
     tasks - concurrency of model calls - without keying on any column (a
     hot key cannot pile up in one task); Spark sorts before round-robin so
-    a re-run task sees the same rows.  The Python stage is evaluated once
+    a re-run task sees the same rows.  ``rows_per_task`` derives that
+    number from a row count instead (one extra counting job): with a model
+    at ~1 call/s, a 128 MB file split would otherwise be hours of work for
+    one task.  The Python stage is evaluated once
     per row only if its output is consumed once: materialise it
     (``sinks.files.materialize``) before routing it two ways.
     """
+    if rows_per_task and not parallelism:
+        parallelism = max(1, math.ceil(df.count() / rows_per_task))
     src = df.repartition(parallelism) if parallelism else df
     labelled = label_partitions(src, text_col, classifier, **kw)
     emotion, sentiment = split_pair("label")

@@ -65,19 +65,21 @@ def test_every_input_row_gets_exactly_one_output_row(spark):
             assert (r.emotion, r.sentimentnature) == (e, s)
 
 
+def size_tagging(batch):
+    """Labels every comment with the size of the slice it was sent in."""
+    return "\n".join(f"Comment {i}: size{len(batch)}, neutral" for i in range(1, len(batch) + 1))
+
+
 def test_slices_span_arrow_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        sizes = []
-
-        def record(batch):
-            sizes.append(len(batch))
-            return rule_based_classifier(batch)
-        # one partition, so the sizes seen by this (local) worker are 20,20,...,rest
-        df = comments(spark, [f"c{i}" for i in range(45)], parts=1)
-        out = K.label_partitions(df, "textoriginal", classifier=record).collect()
-        assert len(out) == 45
-        assert all(r.label == "neutral, neutral" for r in out)
+        df = comments(spark, [f"c{i}" for i in range(45)] + [None], parts=1)
+        out = K.label_partitions(df, "textoriginal", classifier=size_tagging).collect()
+        assert len(out) == 46
+        tags = sorted(r.label for r in out)
+        # Arrow batches of 7 rows, yet slices of 20, 20 and the last 5 texts
+        assert tags.count("size20, neutral") == 40 and tags.count("size5, neutral") == 5
+        assert tags.count(SENTINEL) == 1
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
@@ -123,3 +125,13 @@ def test_first_pass_then_retry_converges(spark):
     assert processed.count() == f[0]
     log = spark.read.parquet(f"{out}/{C.AUDIT}")
     assert sorted(r.run_id for r in log.select("run_id").distinct().collect()) == ["first", "retry"]
+
+
+def test_concurrency_and_rows_per_task_keep_results(spark):
+    texts = [f"c{i}{'!' if i % 3 == 0 else ''}" for i in range(130)]
+    base = {r.commentid: (r.emotion, r.sentimentnature)
+            for r in classify_comments(comments(spark, texts)).collect()}
+    out = classify_comments(comments(spark, texts), concurrency=4, rows_per_task=40)
+    assert out.rdd.getNumPartitions() == 4
+    got = {r.commentid: (r.emotion, r.sentimentnature) for r in out.collect()}
+    assert got == base and len(got) == 130
