@@ -65,12 +65,10 @@ def test_every_input_row_gets_exactly_one_output_row(spark):
             assert (r.emotion, r.sentimentnature) == (e, s)
 
 
-def size_tagging(batch):
-    """Labels every comment with the size of the slice it was sent in."""
-    return "\n".join(f"Comment {i}: size{len(batch)}, neutral" for i in range(1, len(batch) + 1))
-
-
 def test_slices_span_arrow_batches(spark):
+    def size_tagging(batch):  # local: pickled by value for the workers
+        return "\n".join(f"Comment {i}: size{len(batch)}, neutral" for i in range(1, len(batch) + 1))
+
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         df = comments(spark, [f"c{i}" for i in range(45)] + [None], parts=1)
