@@ -15,12 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cols(cs: str | Column | Sequence[str | Column]) -> list[Column]:
-    if isinstance(cs, (str, Column)):
-        cs = [cs]
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
-
-
 def total_order(df: DataFrame, keys: Sequence[str],
                 first: Sequence[Column] = ()) -> list[Column]:
     """``first`` followed by every non-key column ascending, NULLs first:

@@ -31,6 +31,19 @@ RAW_TITLE = """CASE p_partkey % 6
     WHEN 4 THEN p_brand || ': ' || p_name || ' | ' || p_type
     ELSE p_name || ' | ' || p_brand || ': x' END"""
 
+# Flat top-level comments of the comment-thread adapter.
+THREADS_SQL = """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS commentid,
+   CAST(l_partkey AS VARCHAR) AS videoid,
+   strftime(l_shipdate, '%Y-%m-%d') AS publishedat,
+   trim('  ' || l_returnflag || l_linestatus || ' comment on ' || CAST(l_partkey AS VARCHAR)
+        || CASE WHEN l_orderkey % 5 = 0 THEN '! ' ELSE ' ' END, ' ') AS textoriginal,
+   '@user' || CAST(l_suppkey AS VARCHAR) AS authordisplayname,
+   'img/u' || CAST(l_suppkey AS VARCHAR) AS authorprofileimageurl,
+   'channel/u' || CAST(l_suppkey AS VARCHAR) AS authorchannelurl,
+   CASE WHEN l_orderkey % 23 <> 0 THEN CAST(trunc(l_quantity) AS BIGINT) END AS likecount,
+   CAST(l_linenumber - 1 AS BIGINT) AS totalreplycount
+ FROM lineitem"""
+
 CTES: dict[str, str] = {}
 
 CTES["videos"] = f"""videos AS (

@@ -25,7 +25,7 @@ from ..operators.projection import nested_extract
 from ..functions.text import iso_date_prefix, trim_spaces
 from ..schemas import ALL_STRING_CLASSIFIED, COMMENT_THREAD, SENTINEL, with_field
 from ..sinks.files import append_audit, materialize, write_csv
-from ..sources.files import filter_by_suffix, scan_csv, scan_parquet, source_label
+from ..sources.files import filter_by_suffix, scan_csv, scan_parquet
 
 CLASSIFIED_COLUMNS = [f.name for f in ALL_STRING_CLASSIFIED.fields]
 PROCESSED = "processedcomments"

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import video_category, video_link
 from ..operators.windowing import dedup_by_key, total_order
-from ..schemas import SENTINEL
+from ..schemas import SENTINEL, TABLES
+from ..sources.files import load_skip_bad, load_strict
 
 FN_VIDEOS_COLUMNS = ["videoid", "title", "guest", "videocategory", "videolink",
                      "description", "publisheddate", "duration",
@@ -41,3 +42,17 @@ def fn_comments(comments: DataFrame) -> DataFrame:
     failed_last = F.when(F.col("emotion") == SENTINEL, 1).otherwise(0).asc()
     order = total_order(comments, ["commentid"], first=[failed_last])
     return dedup_by_key(comments, "commentid", order).select(*FN_COMMENTS_COLUMNS)
+
+
+def load_warehouse(spark, locations: dict[str, str]) -> dict[str, DataFrame]:
+    """Typed tables from their CSV folders, columns by position.
+
+    ``channel``, ``videos`` and ``topics`` abort on any malformed row
+    (S4); ``comments`` skips malformed rows (S5), as the original load
+    did.  Each table is materialised right after parsing (see
+    ``load_csv_table``)."""
+    out = {}
+    for name, path in locations.items():
+        loader = load_skip_bad if name == "comments" else load_strict
+        out[name] = loader(spark, path, TABLES[name])
+    return out

@@ -11,7 +11,6 @@ from ..catalog import register
 from ..operators.classify import (LEXICON, SENTIMENT_OF, classify_comments, flaky_classifier,
                                   picky_classifier)
 from ..plans import comments as C
-from ..plans.cleaning import as_table
 from ..plans.warehouse import fn_comments
 from ..schemas import COMMENTS, SENTINEL
 from ..session import scratch_path
@@ -19,7 +18,6 @@ from ..sources import adapters as A
 from ..sources.files import load_skip_bad
 from ..streaming.incremental import run_comment_stream
 from .io_q import N_SOURCES, SOURCE_SQL, stage_threads
-from .scalar_q import _THREAD_SQL
 
 
 def _sql_rule(text: str) -> tuple[str, str]:
@@ -83,7 +81,7 @@ def q_comments_retry_pass(spark, sf):
 _TEM, _TSE = _sql_rule("textoriginal")
 _LOADED = (f"SELECT commentid, videoid, CAST(publishedat AS DATE) AS publishedat, textoriginal, "
            f"{_TEM} AS emotion, {_TSE} AS sentimentnature, authordisplayname, authorprofileimageurl, "
-           f"authorchannelurl, likecount, totalreplycount FROM ({_THREAD_SQL}) t WHERE likecount IS NOT NULL")
+           f"authorchannelurl, likecount, totalreplycount FROM ({O.THREADS_SQL}) t WHERE likecount IS NOT NULL")
 
 
 @register("load_tables", "SELECT commentid, emotion, sentimentnature FROM (SELECT *, row_number() OVER "

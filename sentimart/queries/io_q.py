@@ -217,3 +217,31 @@ def q_id_batches(spark, sf):
 def q_paged_fetch(spark, sf):
     ids = A.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("videoid"))
     return fetch.paged_fetch(ids, "videoid", fetch.synthetic_comment_pages, fetch.PAGE_SCHEMA)
+
+
+# ------------------------------------------------------ warehouse load
+
+@register("load_warehouse", "SELECT 'channel' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM supplier "
+          "UNION ALL SELECT 'videos', CAST(count(*) AS BIGINT) FROM part "
+          "UNION ALL SELECT 'topics', CAST(2 * count(*) AS BIGINT) FROM part WHERE p_partkey % 5 <> 0 "
+          "UNION ALL " + O.with_views(["comments"], f"SELECT 'comments', CAST(count(*) AS BIGINT) FROM comments "
+                                      f"WHERE {_NOT_BAD}").replace("WITH ", "(WITH ", 1) + ")")
+def q_load_warehouse(spark, sf):
+    """The four cleaned files written as CSV folders, loaded back into
+    the declared tables (strict for three, skip-bad for comments)."""
+    from ..plans.cleaning import clean_channel, clean_videos
+    from ..plans.warehouse import load_warehouse
+    from .scalar_q import channel_literals, video_literals
+    dirs = {}
+    for name, df in (("channel", clean_channel(channel_literals(spark, sf))),
+                     ("videos", clean_videos(video_literals(spark, sf))),
+                     ("topics", A.topics(spark, sf))):
+        dirs[name] = scratch_path(spark, name)
+        write_csv(df, dirs[name])
+    dirs["comments"] = _stage_lines(spark, sf, with_bad=True)
+    tables = load_warehouse(spark, dirs)
+    out = None
+    for name, t in tables.items():
+        c = t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
