@@ -96,25 +96,38 @@ def build_prompt(texts: Sequence[str]) -> str:
             "Comment <n>: <emotion>, <positive|negative|neutral>")
 
 
-def parse_response(response: str, n: int) -> list[str]:
+def parse_response(response: str, n: int, check_numbers: bool = False) -> list[str]:
     """X15 + X16 for one call: labels per line (text after the first
     ``:``, stripped; a line without ``:`` is the sentinel).  Raises
-    ``ValueError`` unless there is exactly one line per comment."""
-    labels = [ln.split(":", 1)[1].strip() if ":" in ln else SENTINEL
-              for ln in response.strip().split("\n")]
-    if len(labels) != n:
-        raise ValueError(f"{len(labels)} lines for {n} comments")
+    ``ValueError`` unless there is exactly one line per comment.
+
+    Alignment is positional, as in the original job (N13).  With
+    ``check_numbers`` a line whose text before the ``:`` is not
+    ``Comment <its position>`` also fails the call (and is retried)."""
+    lines = response.strip().split("\n")
+    if len(lines) != n:
+        raise ValueError(f"{len(lines)} lines for {n} comments")
+    labels = []
+    for i, ln in enumerate(lines, 1):
+        if ":" not in ln:
+            labels.append(SENTINEL)
+            continue
+        head, label = ln.split(":", 1)
+        if check_numbers and head.strip() != f"Comment {i}":
+            raise ValueError(f"line {i} is labelled {head.strip()!r}")
+        labels.append(label.strip())
     return labels
 
 
 def classify_slice(texts: list[str], classifier: Classifier,
                    max_attempts: int = MAX_ATTEMPTS,
-                   sleep: Callable[[float], None] = time.sleep) -> list[str]:
+                   sleep: Callable[[float], None] = time.sleep,
+                   check_numbers: bool = False) -> list[str]:
     """Up to ``max_attempts`` calls, sleeping ``2**k`` s after the k-th
     failure; the sentinel for every comment when all attempts fail."""
     for attempt in range(1, max_attempts + 1):
         try:
-            return parse_response(str(classifier(texts)), len(texts))
+            return parse_response(str(classifier(texts)), len(texts), check_numbers)
         except Exception:  # noqa: BLE001 - any client or parse failure retries
             if attempt < max_attempts:
                 sleep(2 ** attempt)
@@ -133,7 +146,8 @@ def label_partitions(df: DataFrame, text_col: str,
                      classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
                      batch_size: int = BATCH_SIZE, max_attempts: int = MAX_ATTEMPTS,
                      sleep: Callable[[float], None] = time.sleep, pause: float = 0.0,
-                     label_col: str = "label", concurrency: int = 1) -> DataFrame:
+                     label_col: str = "label", concurrency: int = 1,
+                     check_numbers: bool = False) -> DataFrame:
     """Add ``label_col`` (``"emotion, sentiment"`` or the sentinel).
 
     A NULL text never reaches the classifier: it gets the sentinel.
@@ -156,7 +170,7 @@ def label_partitions(df: DataFrame, text_col: str,
             slices = [texts[i:i + batch_size] for i in range(0, len(texts), batch_size)]
 
             def one(sl: list[str]) -> list[str]:
-                res = classify_slice(sl, clf, max_attempts, sleep)
+                res = classify_slice(sl, clf, max_attempts, sleep, check_numbers)
                 if pause:
                     sleep(pause)
                 return res

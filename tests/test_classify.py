@@ -133,3 +133,13 @@ def test_concurrency_and_rows_per_task_keep_results(spark):
     assert out.rdd.getNumPartitions() == 4
     got = {r.commentid: (r.emotion, r.sentimentnature) for r in out.collect()}
     assert got == base and len(got) == 130
+
+
+def test_n13_optional_line_number_check():
+    swapped = "Comment 2: a, positive\nComment 1: b, negative"
+    assert parse_response(swapped, 2) == ["a, positive", "b, negative"]      # positional
+    with pytest.raises(ValueError):
+        parse_response(swapped, 2, check_numbers=True)
+    waits = []
+    assert classify_slice(["x", "y"], lambda t: swapped, sleep=waits.append,
+                          check_numbers=True) == [SENTINEL, SENTINEL]
