@@ -10,6 +10,8 @@ from ..functions.text import percent_of
 from ..operators.joins import left_join_fanout, left_join_one
 from ..operators.windowing import top_n_per_group
 from ..schemas import SENTIMENTS
+from ..sinks.files import publish_table
+from . import warehouse
 
 PCT_COLUMNS = {"positive": "positivecommentspercentage",
                "negative": "negativecommentspercentage",
@@ -65,3 +67,19 @@ def best_video_per_topic(big: DataFrame) -> DataFrame:
     return top_n_per_group(big, "topic", order, n=1, rank_col="rank",
                            tie_break=[F.col("videoid").asc_nulls_first(),
                                       F.col("title").asc_nulls_first()])
+
+
+def build_marts(videos: DataFrame, comments: DataFrame, topics: DataFrame,
+                location: str, prefix: str = "") -> dict[str, DataFrame]:
+    """The warehouse chain as stored tables (CTAS, K7): ``fn_videos`` and
+    ``fn_comments`` are written once and read by everything after them,
+    so the comment dedup and the video cleaning run once even though the
+    wide table reads the video dimension twice (inner + anti branches)."""
+    def pub(name: str, df: DataFrame) -> DataFrame:
+        return publish_table(df, f"{prefix}{name}", f"{location}/{name}")
+    out = {"fn_videos": pub("fn_videos", warehouse.fn_videos(videos)),
+           "fn_comments": pub("fn_comments", warehouse.fn_comments(comments))}
+    out["sentimentnature_per"] = pub("sentimentnature_per", sentiment_pct(out["fn_comments"]))
+    out["fn_bigtable"] = pub("fn_bigtable", bigtable(out["fn_videos"], out["sentimentnature_per"], topics))
+    out["fn_rk1_table"] = pub("fn_rk1_table", best_video_per_topic(out["fn_bigtable"]))
+    return out

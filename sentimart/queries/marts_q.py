@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from ..operators.windowing import dedup_by_key
 from ..plans import marts, warehouse
 from ..plans.cleaning import videos_table
 from ..schemas import SENTIMENTS
+from ..session import scratch_path
 from ..sources import adapters as A
 
 
@@ -149,3 +152,11 @@ def q_top1_per_topic(spark: SparkSession, sf: str) -> DataFrame:
     ["sentimentnature_per"], "SELECT * FROM sentimentnature_per ORDER BY videoid"))
 def q_order_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return marts.sentiment_pct(fn_comments_df(spark, sf)).orderBy("videoid")
+
+
+@register("publish_marts", O.with_views(["fn_rk1_table"], "SELECT * FROM fn_rk1_table"))
+def q_publish_marts(spark: SparkSession, sf: str) -> DataFrame:
+    """C6-C10 as a chain of stored tables; returns the last one, read back."""
+    tables = marts.build_marts(videos(spark, sf), A.comments(spark, sf), A.topics(spark, sf),
+                               scratch_path(spark, "marts"), prefix=f"m{uuid.uuid4().hex[:8]}_")
+    return tables["fn_rk1_table"]
