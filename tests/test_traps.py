@@ -163,3 +163,20 @@ def test_n9_missing_thumbnail_stays_null(spark):
     assert r.thumbnailimageurl is None and r.commentscount is None and r.likescount is None
     assert (r.title, r.guest, r.description, r.viewscount) == ("T: x", "T", "d", 12)
     assert str(r.publishedat) == "2024-02-03"
+
+
+WS = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(WS + list("ab:|c d​é")), max_size=12),
+                min_size=50, max_size=50))
+def test_strip_title_guest_match_python_on_random_text(spark, texts):
+    df = one_col(spark, texts)
+    got = df.select(X.strip_ws("s").alias("st")).select(
+        "st", X.title_prefix("st").alias("t"), X.guest_prefix("st").alias("g")).collect()
+    for s, r in zip(texts, got):
+        st_ = s.strip()
+        assert r.st == st_
+        assert r.t == st_.split("|")[0]
+        assert r.g == (st_.split(":")[0] if ":" in st_ else "N/A")
