@@ -24,7 +24,7 @@ from ..operators.classify import Classifier, classify_comments, rule_based_class
 from ..operators.projection import nested_extract
 from ..functions.text import iso_date_prefix, trim_spaces
 from ..schemas import ALL_STRING_CLASSIFIED, COMMENT_THREAD, SENTINEL, with_field
-from ..sinks.files import append_audit, materialize, write_csv
+from ..sinks.files import append_audit, materialize_at, remove_path, write_csv
 from ..sources.files import filter_by_suffix, scan_csv, scan_parquet
 
 CLASSIFIED_COLUMNS = [f.name for f in ALL_STRING_CLASSIFIED.fields]
@@ -68,8 +68,8 @@ def route(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classified.where(~bad), classified.where(bad)
 
 
-def _write_outputs(spark: SparkSession, classified: DataFrame, out_dir: str,
-                   processed_mode: str, run_id: str) -> DataFrame:
+def _write_outputs(spark: SparkSession, classified: DataFrame, tmp: str, out_dir: str,
+                   processed_mode: str, run_id: str, keep_intermediate: bool) -> DataFrame:
     processed, failed = route(classified)
     cols = CLASSIFIED_COLUMNS + ["source"]
     write_csv(processed.select(*cols), f"{out_dir}/{PROCESSED}", mode=processed_mode,
@@ -77,13 +77,17 @@ def _write_outputs(spark: SparkSession, classified: DataFrame, out_dir: str,
     # full replacement: the queue is exactly the current failures
     write_csv(failed.select(*cols), f"{out_dir}/{FAILED}", mode="overwrite")
     counts = status_counts(classified, ~is_failed(), by=["source"])
-    return append_audit(spark, counts, f"{out_dir}/{AUDIT}", run_id)
+    audit = append_audit(spark, counts, f"{out_dir}/{AUDIT}", run_id)
+    if not keep_intermediate:
+        remove_path(spark, tmp)  # the classified copy has served all outputs
+    return audit
 
 
 def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
                start: int | None = None, end: int | None = None,
                classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
-               parallelism: int | None = None, run_id: str = "first", **kw) -> DataFrame:
+               parallelism: int | None = None, run_id: str = "first",
+               keep_intermediate: bool = False, **kw) -> DataFrame:
     """Classify every comment thread under ``threads_dir`` (a folder
     partitioned by ``source``), optionally only sources whose label suffix
     is in ``[start, end)``.  Returns the audit rows of this run."""
@@ -91,14 +95,15 @@ def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
     if start is not None and end is not None:
         threads = filter_by_suffix(threads, "source", start, end)
     flat = extract_comments(threads, keep=["source"])
-    classified = materialize(classify_comments(flat, classifier=classifier,
-                                               parallelism=parallelism, **kw), "classified")
-    return _write_outputs(spark, classified, out_dir, "overwrite", run_id)
+    classified, tmp = materialize_at(classify_comments(flat, classifier=classifier,
+                                                       parallelism=parallelism, **kw), "classified")
+    return _write_outputs(spark, classified, tmp, out_dir, "overwrite", run_id, keep_intermediate)
 
 
 def retry_pass(spark: SparkSession, out_dir: str,
                classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
-               parallelism: int | None = None, run_id: str = "retry", **kw) -> DataFrame:
+               parallelism: int | None = None, run_id: str = "retry",
+               keep_intermediate: bool = False, **kw) -> DataFrame:
     """C4: re-classify the failed queue; successes are appended to the
     processed folder, the queue is replaced by what still fails."""
     queue = scan_csv(spark, f"{out_dir}/{FAILED}", with_field(ALL_STRING_CLASSIFIED, "source"),
@@ -106,9 +111,9 @@ def retry_pass(spark: SparkSession, out_dir: str,
     todo = queue.drop("emotion", "sentimentnature").withColumns({
         "likecount": F.col("likecount").try_cast("bigint"),
         "totalreplycount": F.col("totalreplycount").try_cast("bigint")})
-    classified = materialize(classify_comments(todo, classifier=classifier,
-                                               parallelism=parallelism, **kw), "retried")
-    return _write_outputs(spark, classified, out_dir, "append", run_id)
+    classified, tmp = materialize_at(classify_comments(todo, classifier=classifier,
+                                                       parallelism=parallelism, **kw), "retried")
+    return _write_outputs(spark, classified, tmp, out_dir, "append", run_id, keep_intermediate)
 
 
 def processed_comments(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -55,8 +55,9 @@ def write_parquet_partitioned(df: DataFrame, path: str, by: Sequence[str],
      .partitionBy(*by).parquet(path))
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut lineage: write to the session's shared folder and read back.
+def materialize_at(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """Cut lineage: write to a new folder under the session's shared
+    folder and read back; returns the frame and the folder.
 
     Used after expensive or side-effecting stages (the classifier) so
     that several downstream branches, and tasks re-run after an executor
@@ -65,7 +66,22 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     out = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out), out
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """:func:`materialize_at` without the folder."""
+    return materialize_at(df, name)[0]
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library created (a materialised intermediate),
+    through the Hadoop file system of the path's scheme, so it works the
+    same on HDFS, object stores and local disks."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(p, True))
 
 
 def publish_table(df: DataFrame, name: str, location: str,
@@ -81,8 +97,9 @@ def append_audit(spark: SparkSession, counts: DataFrame, path: str,
                  run_id: str) -> DataFrame:
     """K9: append one row per source (total / processed / unprocessed) to
     an audit table, tagged with the run id and time.  Appends are new
-    files, never a read-modify-write of one log object."""
+    files, never a read-modify-write of one log object.  Returns this
+    run's rows, read back from the log (independent of ``counts``)."""
     rows = counts.select(F.lit(run_id).alias("run_id"),
                          F.current_timestamp().alias("logged_at"), "*")
     rows.write.mode("append").parquet(path)
-    return rows
+    return spark.read.parquet(path).where(F.col("run_id") == run_id)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.classify import Classifier, classify_comments, rule_based_classifier
 from ..plans import comments as C
 from ..schemas import COMMENT_THREAD, with_field
-from ..sinks.files import append_audit, materialize, write_csv
+from ..sinks.files import append_audit, materialize_at, remove_path, write_csv
 from ..operators.aggregate import status_counts
 
 
@@ -39,8 +39,8 @@ def run_comment_stream(spark: SparkSession, threads_dir: str, out_dir: str,
     """Start the stream; with ``available_now`` process every file present
     and return when done (otherwise return the running query)."""
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        classified = materialize(classify_comments(batch, classifier=classifier, **kw),
-                                 f"stream-{batch_id}")
+        classified, tmp = materialize_at(classify_comments(batch, classifier=classifier, **kw),
+                                         f"stream-{batch_id}")
         processed, failed = C.route(classified)
         cols = C.CLASSIFIED_COLUMNS + ["source"]
         write_csv(processed.select(*cols), f"{out_dir}/{C.PROCESSED}", mode="append",
@@ -48,6 +48,7 @@ def run_comment_stream(spark: SparkSession, threads_dir: str, out_dir: str,
         write_csv(failed.select(*cols), f"{out_dir}/{C.FAILED}", mode="append")
         append_audit(spark, status_counts(classified, ~C.is_failed(), by=["source"]),
                      f"{out_dir}/{C.AUDIT}", f"batch-{batch_id}")
+        remove_path(spark, tmp)
 
     w = (comment_stream(spark, threads_dir, max_files_per_trigger).writeStream
          .foreachBatch(each_batch)
