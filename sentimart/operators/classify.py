@@ -1,4 +1,4 @@
-"""Comment classification (U1-U5) as one ``mapInPandas`` stage.
+"""Comment classification (U1-U5) as one ``mapInArrow`` stage.
 
 Each task walks its partition in slices of ``batch_size`` comments, calls
 the classifier once per slice, validates the answer (one parseable line
@@ -21,7 +21,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -150,56 +150,56 @@ def label_partitions(df: DataFrame, text_col: str,
                      check_numbers: bool = False) -> DataFrame:
     """Add ``label_col`` (``"emotion, sentiment"`` or the sentinel).
 
-    A NULL text never reaches the classifier: it gets the sentinel.
-    ``pause`` seconds are slept after each call (U5 rate limit).
-    ``concurrency`` > 1 keeps that many calls in flight per task (model
-    calls wait on the network, not the CPU); labels keep input order and
-    the classifier must then be thread-safe."""
+    Runs as ``mapInArrow``: record batches pass through untouched (no
+    pandas conversion, so nullable BIGINTs stay exact) and only the text
+    column is read in Python.  A NULL text never reaches the classifier:
+    it gets the sentinel.  ``pause`` seconds are slept after each call (U5
+    rate limit).  ``concurrency`` > 1 keeps that many calls in flight per
+    task (model calls wait on the network, not the CPU); labels keep input
+    order and the classifier must then be thread-safe."""
     schema = T.StructType(df.schema.fields + [T.StructField(label_col, T.StringType(), True)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clf = _pick(classifier)
-        carry: pd.DataFrame | None = None
-
-        def label(chunk: pd.DataFrame) -> pd.DataFrame:
-            out = chunk.copy()
-            labels = pd.Series(SENTINEL, index=out.index, dtype=object)
-            has_text = out[text_col].notna()
-            idx = out.index[has_text]
-            texts = out.loc[idx, text_col].astype(str).tolist()
-            slices = [texts[i:i + batch_size] for i in range(0, len(texts), batch_size)]
-
-            def one(sl: list[str]) -> list[str]:
-                res = classify_slice(sl, clf, max_attempts, sleep, check_numbers)
-                if pause:
-                    sleep(pause)
-                return res
+
+        def one(sl: list[str]) -> list[str]:
+            res = classify_slice(sl, clf, max_attempts, sleep, check_numbers)
+            if pause:
+                sleep(pause)
+            return res
+
+        def label(rb: pa.RecordBatch, texts: list) -> pa.RecordBatch:
+            idx = [i for i, t in enumerate(texts) if t is not None]
+            vals = [texts[i] for i in idx]
+            slices = [vals[i:i + batch_size] for i in range(0, len(vals), batch_size)]
             if concurrency > 1 and len(slices) > 1:
                 with ThreadPoolExecutor(max_workers=concurrency) as pool:
                     parts = list(pool.map(one, slices))
             else:
                 parts = [one(sl) for sl in slices]
-            labels.loc[idx] = [lab for part in parts for lab in part]
-            out[label_col] = labels
-            return out
-
-        for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            n_text = int(pdf[text_col].notna().sum())
-            full = (n_text // batch_size) * batch_size
+            labels: list[str] = [SENTINEL] * len(texts)
+            for i, lab in zip(idx, (x for part in parts for x in part)):
+                labels[i] = lab
+            return rb.append_column(label_col, pa.array(labels, pa.string()))
+
+        carry: pa.RecordBatch | None = None
+        for rb in batches:
+            if carry is not None and carry.num_rows:
+                rb = pa.concat_batches([carry, rb])
+            texts = rb.column(text_col).to_pylist()
+            present = [i for i, t in enumerate(texts) if t is not None]
+            full = (len(present) // batch_size) * batch_size
             if full == 0:
-                carry = pdf
+                carry = rb
                 continue
-            # cut after the full-th non-NULL text; keep the rest for later
-            pos = pdf.index[pdf[text_col].notna()][full - 1]
-            cut = pdf.index.get_loc(pos) + 1
-            head, carry = pdf.iloc[:cut], pdf.iloc[cut:]
-            yield label(head)
-        if carry is not None and len(carry):
-            yield label(carry)
-
-    return df.mapInPandas(run, schema)
+            # cut after the full-th non-NULL text; the rest waits for more rows
+            cut = present[full - 1] + 1
+            yield label(rb.slice(0, cut), texts[:cut])
+            carry = rb.slice(cut)
+        if carry is not None and carry.num_rows:
+            yield label(carry, carry.column(text_col).to_pylist())
+
+    return df.mapInArrow(run, schema)
 
 
 def classify_comments(df: DataFrame, text_col: str = "textoriginal",

@@ -2,7 +2,7 @@
 
 Both are single Spark jobs over whole folders (no per-file driver loop):
 
-    scan -> select sources -> extract -> classify (mapInPandas)
+    scan -> select sources -> extract -> classify (mapInArrow)
          -> materialise (one model call per comment, durable)
          -> route: processed / failed      (two filters on stored rows)
          -> CSV folders partitioned by source label
