@@ -121,7 +121,7 @@ def q_comments_stream(spark, sf):
     file count exactly once even across restarts."""
     out = scratch_path(spark, "stream")
     run_comment_stream(spark, stage_threads(spark, sf), out, classifier=picky_classifier,
-                       max_files_per_trigger=64, sleep=lambda s: None)
+                       max_files_per_trigger=100, sleep=lambda s: None)
     log = spark.read.parquet(f"{out}/{C.AUDIT}")
     return log.groupBy("source").agg(F.sum("total_rows").alias("total_rows"),
                                      F.sum("processed_rows").alias("processed_rows"))

@@ -6,7 +6,9 @@ folder, classifies them and writes the processed / failed folders and the
 audit rows for that micro-batch.  The stream's checkpoint (in the shared
 folder) records which files were consumed, so a restart after a crash
 resumes without reclassifying or skipping files; ``foreachBatch`` output
-uses the batch id as the run id, so a replayed batch is recognisable.
+writes each micro-batch into its own ``batch=<id>`` folders in overwrite
+mode, so a batch replayed after a crash replaces its earlier partial
+output instead of duplicating it (idempotent sink).
 """
 
 from __future__ import annotations
@@ -43,11 +45,12 @@ def run_comment_stream(spark: SparkSession, threads_dir: str, out_dir: str,
                                          f"stream-{batch_id}")
         processed, failed = C.route(classified)
         cols = C.CLASSIFIED_COLUMNS + ["source"]
-        write_csv(processed.select(*cols), f"{out_dir}/{C.PROCESSED}", mode="append",
+        part = f"batch={batch_id}"
+        write_csv(processed.select(*cols), f"{out_dir}/{C.PROCESSED}/{part}", mode="overwrite",
                   partition_by=["source"])
-        write_csv(failed.select(*cols), f"{out_dir}/{C.FAILED}", mode="append")
+        write_csv(failed.select(*cols), f"{out_dir}/{C.FAILED}/{part}", mode="overwrite")
         append_audit(spark, status_counts(classified, ~C.is_failed(), by=["source"]),
-                     f"{out_dir}/{C.AUDIT}", f"batch-{batch_id}")
+                     f"{out_dir}/{C.AUDIT}/{part}", f"batch-{batch_id}", mode="overwrite")
         remove_path(spark, tmp)
 
     w = (comment_stream(spark, threads_dir, max_files_per_trigger).writeStream
