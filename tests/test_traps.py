@@ -180,3 +180,39 @@ def test_strip_title_guest_match_python_on_random_text(spark, texts):
         assert r.st == st_
         assert r.t == st_.split("|")[0]
         assert r.g == (st_.split(":")[0] if ":" in st_ else "N/A")
+
+
+def test_n8_video_without_labelled_comments_has_null_percentages(spark):
+    from sentimart.plans import marts
+    videos = spark.createDataFrame(
+        [("v1", "t", "g", "Solo", "l", "d", None, "PT1M", None, 5, 1, 1),
+         ("v2", "t", "g", "Solo", "l", "d", None, "PT1M", None, 7, 1, 1)],
+        "videoid string, title string, guest string, videocategory string, videolink string, "
+        "description string, publisheddate date, duration string, thumbnailimageurl string, "
+        "viewcount long, likescount long, commentscount long")
+    comments = spark.createDataFrame([("c1", "v1", "positive"), ("c2", "v2", "unknown")],
+                                     "commentid string, videoid string, sentimentnature string")
+    topics = spark.createDataFrame([("v1", "Sleep")], "videoid string, topic string")
+    big = {r.videoid: r for r in marts.bigtable(videos, marts.sentiment_pct(comments), topics).collect()}
+    assert big["v1"].positivecommentspercentage == 100.0 and big["v1"].topic == "sleep"
+    assert big["v2"].positivecommentspercentage is None and big["v2"].topic is None
+
+
+def test_n10_every_page_is_kept(spark):
+    from sentimart.sources.fetch import PAGE_SCHEMA, paged_fetch, synthetic_comment_pages
+    ids = one_col(spark, ["0", "1", "99", "249", "250", "1234"], "videoid")
+    got = paged_fetch(ids, "videoid", synthetic_comment_pages, PAGE_SCHEMA)
+    counts = {r.videoid: r.n for r in got.groupBy("videoid").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"1": 1, "99": 99, "249": 249, "1234": 234}   # 249 -> 3 pages
+    assert got.where("videoid = '249'").select("page").distinct().count() == 3
+
+
+def test_n11_directory_scan_has_no_listing_cap(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for i in range(1050):
+        pq.write_table(pa.table({"k": [i]}), str(tmp_path / f"v_{i}.parquet"))
+    df = spark.read.parquet(str(tmp_path))
+    assert df.count() == 1050
+    assert filter_by_suffix(df.withColumn("label", source_label(F.col("_metadata.file_path"))),
+                            "label", 200, 280).count() == 80
