@@ -245,3 +245,19 @@ def q_load_warehouse(spark, sf):
         c = t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("clean_videos_csv", O.with_views(
+    ["videos"], "SELECT videoid, title, guest, description, publisheddate AS publishedat, duration, "
+    "thumbnailimageurl, viewcount AS viewscount, likescount, commentscount FROM videos"))
+def q_clean_videos_csv(spark, sf):
+    """S3 + C2 end to end: the raw video export (dict-literal cells with
+    commas, both quote kinds and escaped newlines) written as CSV, read
+    back with the shared dialect, then cleaned."""
+    from ..plans.cleaning import clean_videos
+    from .scalar_q import video_literals
+    path = scratch_path(spark, "raw-videos")
+    write_csv(video_literals(spark, sf), path)
+    raw = scan_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in
+                                              ("id", "snippet", "statistics", "contentDetails")]))
+    return clean_videos(raw)
