@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -184,18 +185,19 @@ def label_partitions(df: DataFrame, text_col: str,
 
         carry: pa.RecordBatch | None = None
         for rb in batches:
+            has_text = pc.is_valid(rb.column(text_col))
+            no_text = rb.filter(pc.invert(has_text))
+            if no_text.num_rows:  # never sent to the classifier, never held back
+                yield label(no_text, [None] * no_text.num_rows)
+            rb = rb.filter(has_text)
             if carry is not None and carry.num_rows:
                 rb = pa.concat_batches([carry, rb])
-            texts = rb.column(text_col).to_pylist()
-            present = [i for i, t in enumerate(texts) if t is not None]
-            full = (len(present) // batch_size) * batch_size
-            if full == 0:
-                carry = rb
-                continue
-            # cut after the full-th non-NULL text; the rest waits for more rows
-            cut = present[full - 1] + 1
-            yield label(rb.slice(0, cut), texts[:cut])
-            carry = rb.slice(cut)
+            full = (rb.num_rows // batch_size) * batch_size
+            if full:
+                head = rb.slice(0, full)
+                yield label(head, head.column(text_col).to_pylist())
+            # fewer than batch_size texts wait for the next Arrow batch
+            carry = rb.slice(full)
         if carry is not None and carry.num_rows:
             yield label(carry, carry.column(text_col).to_pylist())
 
