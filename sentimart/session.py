@@ -64,3 +64,26 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of :func:`shared_dir`."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers, once per
+    SparkContext, for runs where it is not installed on the executors
+    (``spark-submit --py-files`` does the same at launch).
+
+    The package is zipped on the driver and handed to ``addPyFile``,
+    which distributes it through Spark's file server."""
+    import zipfile
+    sc = spark.sparkContext
+    if sc.getConf().get("spark.sentimart.shipped", "") == sc.applicationId:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="sentimart-pkg-"), "sentimart.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    sc._conf.set("spark.sentimart.shipped", sc.applicationId)
