@@ -87,3 +87,26 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(target)
     sc._conf.set("spark.sentimart.shipped", sc.applicationId)
+
+
+def recommended_conf(input_bytes: int, executors_cores: int) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of input on
+    ``executors_cores`` cores in total (pass them to ``spark-submit
+    --conf``).  Shuffles start with ~64 MB partitions and AQE merges them
+    to ``advisoryPartitionSizeInBytes``; skewed join partitions are split;
+    broadcasts stay size-checked by the planner (thresholds, never hints).
+    """
+    initial = max(executors_cores * 2, input_bytes // (64 << 20))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }

@@ -37,3 +37,11 @@ def test_materialize_cuts_lineage(spark):
     m = materialize(df)
     assert sorted(r.x for r in m.collect()) == list(range(0, 20, 2))
     assert "Range" not in m._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recommended_conf_scales_with_input():
+    from sentimart.session import recommended_conf
+    small = recommended_conf(10 << 30, 64)
+    big = recommended_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 160
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (64 << 20)
