@@ -92,11 +92,13 @@ def ship_package(spark: SparkSession) -> None:
 def recommended_conf(input_bytes: int, executors_cores: int) -> dict[str, str]:
     """Session settings for a cluster run over ``input_bytes`` of input on
     ``executors_cores`` cores in total (pass them to ``spark-submit
-    --conf``).  Shuffles start with ~64 MB partitions and AQE merges them
+    --conf``).  Shuffles start with one partition per ~256 MB of input
+    (at least two per core, at most 200,000 so the map-output metadata,
+    which grows with maps x reducers, stays bounded) and AQE merges them
     to ``advisoryPartitionSizeInBytes``; skewed join partitions are split;
     broadcasts stay size-checked by the planner (thresholds, never hints).
     """
-    initial = max(executors_cores * 2, input_bytes // (64 << 20))
+    initial = min(200_000, max(executors_cores * 2, input_bytes // (256 << 20)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -43,5 +43,6 @@ def test_recommended_conf_scales_with_input():
     from sentimart.session import recommended_conf
     small = recommended_conf(10 << 30, 64)
     big = recommended_conf(100 << 40, 8000)
-    assert int(small["spark.sql.shuffle.partitions"]) == 160
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (64 << 20)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # 2 per core
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000          # capped
+    assert int(recommended_conf(10 << 40, 8000)["spark.sql.shuffle.partitions"]) == 40960
