@@ -88,19 +88,34 @@ def video_category(guest: Column | str) -> Column:
             .otherwise("WITH GUEST"))
 
 
-def percent_of(part: Column, total: Column, scale: int = 2) -> Column:
+def _div_half_up(num: Column, den: Column) -> Column:
+    """``round_half_up(num / den)`` for non-negative BIGINTs, exactly."""
+    n2, d2 = num * 2 + den, den * 2
+    return (n2 - F.pmod(n2, d2)) / d2
+
+
+def percent_of(part: Column, total: Column, scale: int = 2,
+               compat_scale6: bool = False) -> Column:
     """``round(100 * part / total, scale)``, half-up on the exact
     rational value.
 
     Computed in integer arithmetic - ``(2*100*10^s*part + total) div
-    (2*total)`` hundredths - so no binary-double artefact can move a
+    (2*total)`` units of ``10^-s`` - so no binary-double artefact can move a
     ``.xx5`` case (23/160 = 14.375 -> 14.38).  The final ``/ 10^s`` is one
     correctly rounded double division, identical in every engine.
+
+    ``compat_scale6`` instead mimics a warehouse that first divides the
+    integers to 6 decimals (half-up), then multiplies by 100 and rounds:
+    1/113 gives 0.89 there, 0.88 exactly.
     """
     f = 10 ** scale
-    num = part.cast("bigint") * (200 * f) + total.cast("bigint")
-    den = total.cast("bigint") * 2
-    return ((num - F.pmod(num, den)) / den) / F.lit(float(f))
+    p, t = part.cast("bigint"), total.cast("bigint")
+    if compat_scale6:
+        q6 = _div_half_up(p * 1_000_000, t)                 # part/total in 1e-6 units
+        units = _div_half_up(q6.cast("bigint") * (100 * f), F.lit(1_000_000))
+    else:
+        units = _div_half_up(p * (100 * f), t)
+    return units / F.lit(float(f))
 
 
 def suffix_number(path: Column | str) -> Column:

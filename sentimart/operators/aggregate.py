@@ -23,7 +23,8 @@ def count_by_keys(df: DataFrame, keys: Sequence[str], value: str,
 
 def ratio_to_group_total(df: DataFrame, keys: Sequence[str], value: str,
                          partition_keys: Sequence[str], name: str = "percentage",
-                         count_name: str = "n", scale: int = 2) -> DataFrame:
+                         count_name: str = "n", scale: int = 2,
+                         compat_scale6: bool = False) -> DataFrame:
     """``ROUND(COUNT(v) / SUM(COUNT(v)) OVER (PARTITION BY p) * 100, s)``.
 
     The count is partially aggregated before its shuffle; the window then
@@ -31,7 +32,7 @@ def ratio_to_group_total(df: DataFrame, keys: Sequence[str], value: str,
     """
     counted = count_by_keys(df, keys, value, count_name)
     total = F.sum(count_name).over(Window.partitionBy(*partition_keys))
-    return counted.withColumn(name, percent_of(F.col(count_name), total, scale))
+    return counted.withColumn(name, percent_of(F.col(count_name), total, scale, compat_scale6))
 
 
 def conditional_sum_pivot(df: DataFrame, keys: Sequence[str], pivot: str,

@@ -24,7 +24,7 @@ BIGTABLE_COLUMNS = ["videoid", "title", "description", "thumbnailimageurl",
                     "neutralcommentspercentage", "topic"]
 
 
-def sentiment_pct(fn_comments: DataFrame) -> DataFrame:
+def sentiment_pct(fn_comments: DataFrame, compat_scale6: bool = False) -> DataFrame:
     """Per video, the share of positive / negative / neutral comments
     among comments carrying one of those three labels, in percent,
     rounded half-up to 2 places; a label with no comments gets 0.
@@ -32,7 +32,8 @@ def sentiment_pct(fn_comments: DataFrame) -> DataFrame:
     Same result as count-by-(video, label) -> window total -> pivot, but
     in ONE hash aggregation keyed by video: the per-label counts are
     conditional counts, their sum is the window total.  One shuffle of
-    partial aggregates instead of three exchanges.
+    partial aggregates instead of three exchanges.  ``compat_scale6``
+    selects the warehouse-style rounding (see ``percent_of``).
     """
     s = F.col("sentimentnature")
     labelled = fn_comments.select("videoid", "sentimentnature").where(s.isin(*SENTIMENTS))
@@ -40,7 +41,7 @@ def sentiment_pct(fn_comments: DataFrame) -> DataFrame:
         *[F.count_if(s == lab).alias(f"__n_{lab}") for lab in SENTIMENTS])
     total = sum((F.col(f"__n_{lab}") for lab in SENTIMENTS), F.lit(0))
     return counts.select("videoid", *[
-        percent_of(F.col(f"__n_{lab}"), total).alias(PCT_COLUMNS[lab])
+        percent_of(F.col(f"__n_{lab}"), total, compat_scale6=compat_scale6).alias(PCT_COLUMNS[lab])
         for lab in SENTIMENTS])
 
 

@@ -216,3 +216,16 @@ def test_n11_directory_scan_has_no_listing_cap(spark, tmp_path):
     assert df.count() == 1050
     assert filter_by_suffix(df.withColumn("label", source_label(F.col("_metadata.file_path"))),
                             "label", 200, 280).count() == 80
+
+
+def test_n5_compat_scale6_rounding(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    pairs = [(n, t) for t in range(1, 130) for n in range(0, t + 1)]
+    df = spark.createDataFrame(pairs, "n long, t long")
+    got = {(r.n, r.t): r.p for r in df.select(
+        "n", "t", X.percent_of(F.col("n"), F.col("t"), compat_scale6=True).alias("p")).collect()}
+    for (n, t), p in got.items():
+        q6 = (Decimal(n) / Decimal(t)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+        want = (q6 * 100).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert p == float(want), (n, t, p, want)
+    assert got[(1, 113)] == 0.89
