@@ -78,3 +78,19 @@ def test_fn_comments_unique_and_idempotent(spark):
     assert fc.count() == fc.select("commentid").distinct().count()
     again = warehouse.fn_comments(fc)
     assert sorted(again.collect()) == sorted(fc.collect())
+
+
+def test_add_ordinal_matches_global_row_number(spark):
+    from sentimart.operators.windowing import add_ordinal
+    df = spark.range(0, 5000, 1, numPartitions=7).selectExpr("cast(id * 7919 % 5003 AS string) AS k", "id")
+    got = {r.k: r.ordinal for r in add_ordinal(df, [F.col("k").asc(), F.col("id").asc()], partitions=6).collect()}
+    want = {k: i for i, k in enumerate(sorted(got, key=lambda k: (k,)))}
+    assert got == want and sorted(got.values()) == list(range(5000))
+
+
+def test_batch_assign_bounded_shards(spark):
+    from sentimart.operators.windowing import batch_assign, range_shard
+    df = spark.range(0, 2345).withColumnRenamed("id", "k")
+    out = batch_assign(df, range_shard("k", 100), [F.col("k")], 20).collect()
+    for r in out:
+        assert r.batch_id == (r.k % 100) // 20 and r.pos == (r.k % 100) % 20 + 1
