@@ -77,7 +77,7 @@ def test_stream_restart_processes_each_file_once(spark, tmp_path):
     from sentimart.streaming.incremental import run_comment_stream
     from sentimart.plans import comments as C
     from sentimart.sinks.files import write_parquet_partitioned
-    threads = stage_threads(spark, SF_SMALL)
+    threads = stage_threads(spark, SF_SMALL, fresh=True)  # this test adds files to it
     out = str(tmp_path / "out")
     run_comment_stream(spark, threads, out, max_files_per_trigger=50, sleep=lambda s: None)
     first = spark.read.parquet(f"{out}/{C.AUDIT}").agg(F.sum("total_rows")).collect()[0][0]
