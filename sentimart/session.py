@@ -66,6 +66,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()  # application ids that already received the package
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by the Python workers, once per
     SparkContext, for runs where it is not installed on the executors
@@ -75,7 +78,7 @@ def ship_package(spark: SparkSession) -> None:
     which distributes it through Spark's file server."""
     import zipfile
     sc = spark.sparkContext
-    if sc.getConf().get("spark.sentimart.shipped", "") == sc.applicationId:
+    if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="sentimart-pkg-"), "sentimart.zip")
@@ -86,7 +89,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(target)
-    sc._conf.set("spark.sentimart.shipped", sc.applicationId)
+    _SHIPPED.add(sc.applicationId)
 
 
 def recommended_conf(input_bytes: int, executors_cores: int) -> dict[str, str]:
