@@ -25,7 +25,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import split_pair
@@ -216,9 +215,9 @@ def classify_comments(df: DataFrame, text_col: str = "textoriginal",
     a re-run task sees the same rows.  ``rows_per_task`` derives that
     number from a row count instead (one extra counting job): with a model
     at ~1 call/s, a 128 MB file split would otherwise be hours of work for
-    one task.  The Python stage is evaluated once
-    per row only if its output is consumed once: materialise it
-    (``sinks.files.materialize``) before routing it two ways.
+    one task.  The Python stage runs once per row only if its output is
+    consumed once: materialise it (``sinks.files.materialize``) before
+    routing it two ways.
     """
     if rows_per_task and not parallelism:
         parallelism = max(1, math.ceil(df.count() / rows_per_task))
