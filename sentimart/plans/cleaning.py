@@ -1,4 +1,4 @@
-"""Cleaning pipelines for channel (C1) and video (C2) records.
+"""Cleaning steps for channel (C1) and video (C2) records.
 
 Both are one narrow stage: parse the dict cells (P6), flatten them beside
 the row (P7), clean strings, rename, cast.  Nothing shuffles.

@@ -1,6 +1,6 @@
 """Registered queries: scalar functions (X*), projections (P*), filters
 (F*), sort / limit / batching (O*), prompt and response handling
-(A3, A4, X14-X16), cleaning pipelines (C1, C2)."""
+(A3, A4, X14-X16), cleaning (C1, C2)."""
 
 from __future__ import annotations
 

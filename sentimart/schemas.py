@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# --- fixed values (must equal the original pipeline's for equal results) ---
+# --- fixed values (must equal the original job's for equal results) ---
 # Sentinel written in place of a label when a comment could not be classified.
 SENTINEL = "Error-Unable to parse emotion"
 # The three sentiment labels counted by the percentage mart.
