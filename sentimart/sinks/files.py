@@ -84,12 +84,20 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def publish_table(df: DataFrame, name: str, location: str,
-                  mode: str = "overwrite") -> DataFrame:
+def publish_table(df: DataFrame, name: str, location: str, mode: str = "overwrite",
+                  bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
     """K7/K8: create-or-replace (``mode='overwrite'``) or create-only
-    (``mode='errorifexists'``) a named table stored at ``location``."""
+    (``mode='errorifexists'``) a named table stored at ``location``.
+
+    ``bucket_by=(n, cols)`` stores the table hash-bucketed on ``cols``:
+    later joins and aggregations on those columns between tables with the
+    same ``n`` read co-partitioned buckets instead of shuffling again."""
     spark = df.sparkSession
-    df.write.mode(mode).format("parquet").option("path", location).saveAsTable(name)
+    w = df.write.mode(mode).format("parquet").option("path", location)
+    if bucket_by is not None:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols)
+    w.saveAsTable(name)
     return spark.table(name)
 
 

@@ -94,3 +94,19 @@ def test_batch_assign_bounded_shards(spark):
     out = batch_assign(df, range_shard("k", 100), [F.col("k")], 20).collect()
     for r in out:
         assert r.batch_id == (r.k % 100) // 20 and r.pos == (r.k % 100) % 20 + 1
+
+
+def test_stored_marts_are_bucketed_by_video(spark):
+    """From the stored chain only topics is shuffled for the wide table, and
+    the per-video aggregation over stored comments shuffles nothing."""
+    from sentimart.queries.marts_q import videos
+    from sentimart.session import scratch_path
+    t = marts.build_marts(videos(spark, SF_SMALL), A.comments(spark, SF_SMALL), A.topics(spark, SF_SMALL),
+                          scratch_path(spark, "marts"), prefix="bucket_test_")
+    no_aqe(spark)
+    try:
+        assert plan(marts.sentiment_pct(t["fn_comments"])).count("Exchange") == 0
+        p = plan(marts.bigtable(t["fn_videos"], t["sentimentnature_per"], A.topics(spark, SF_SMALL)))
+        assert p.count("Exchange hashpartitioning") == 2      # topics rows, topics keys
+    finally:
+        restore(spark)
