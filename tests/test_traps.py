@@ -229,3 +229,14 @@ def test_n5_compat_scale6_rounding(spark):
         want = (q6 * 100).quantize(Decimal("0.01"), ROUND_HALF_UP)
         assert p == float(want), (n, t, p, want)
     assert got[(1, 113)] == 0.89
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list('ab "\',\n\\;é\t#\r')), max_size=10)),
+                min_size=30, max_size=30))
+def test_csv_dialect_round_trips_random_cells(spark, cells):
+    df = spark.createDataFrame(list(enumerate(cells)), "i long, s string")
+    path = tempfile.mkdtemp(prefix="rt-")
+    write_csv(df, path + "/out")
+    back = {r.i: r.s for r in scan_csv(spark, path + "/out", df.schema).collect()}
+    assert back == dict(enumerate(cells))
