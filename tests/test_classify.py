@@ -150,3 +150,28 @@ def test_wide_integers_and_nulls_pass_through_exactly(spark):
     df = spark.createDataFrame(rows, "commentid string, textoriginal string, likecount long")
     got = {r.commentid: r.likecount for r in classify_comments(df).collect()}
     assert got == {"a": 2 ** 60 + 1, "b": None, "c": -(2 ** 62) - 7}
+
+
+def test_catalyst_and_python_response_parsers_agree(spark):
+    """X15/X16 exist twice (stored responses in Catalyst, live calls in the
+    retry loop); both must read every response the same way."""
+    import random
+    from sentimart.operators.responses import validated_labels
+    rng = random.Random(7)
+    pieces = ["Comment 1: joy, positive", "Comment 2:  a: b ", "no colon here", "", " \t",
+              "Comment 3:\r", ":", "x:\u00a0y\u2003", "Comment 9: é, neutral  "]
+    rows = []
+    for i in range(300):
+        n = rng.randint(1, 4)
+        lines = [rng.choice(pieces) for _ in range(rng.randint(0, 5))]
+        lead, trail = rng.choice(["", "\n", " \n"]), rng.choice(["", "\n", "\r\n  "])
+        rows.append((i, n, lead + "\n".join(lines) + trail))
+    df = spark.createDataFrame(rows, "i long, n int, response string")
+    got = {r.i: list(r.labels) for r in df.select("i", validated_labels(F.col("response"), F.col("n"))
+                                                  .alias("labels")).collect()}
+    for i, n, resp in rows:
+        try:
+            want = parse_response(resp, n)
+        except ValueError:
+            want = [SENTINEL] * n
+        assert got[i] == want, (resp, n)
