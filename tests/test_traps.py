@@ -240,3 +240,15 @@ def test_csv_dialect_round_trips_random_cells(spark, cells):
     write_csv(df, path + "/out")
     back = {r.i: r.s for r in scan_csv(spark, path + "/out", df.schema).collect()}
     assert back == dict(enumerate(cells))
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.fixed_dictionaries(
+    {"title": st.text(alphabet=st.sampled_from(list("ab '\"\\\n\té()x41:,{}")), max_size=12),
+     "n": st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("0123 '\"")), max_size=4))},
+    optional={"flag": st.booleans(), "extra": st.none()}), min_size=40, max_size=40))
+def test_n4_parse_struct_column_matches_literal_eval(spark, dicts):
+    schema = T.StructType([T.StructField("title", T.StringType()), T.StructField("n", T.StringType())])
+    df = spark.createDataFrame([(i, repr(d)) for i, d in enumerate(dicts)], "i long, cell string")
+    got = {r.i: (r.p.title, r.p.n) for r in parse_struct_column(df, "cell", schema, "p").collect()}
+    assert got == {i: (d["title"], d["n"]) for i, d in enumerate(dicts)}
