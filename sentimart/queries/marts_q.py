@@ -47,7 +47,7 @@ def q_fn_comments(spark: SparkSession, sf: str) -> DataFrame:
 @register("dedup_by_key", O.with_views(
     ["comments"],
     "SELECT commentid, videoid, sentimentnature, likecount FROM (SELECT *, row_number() OVER "
-    "(PARTITION BY commentid ORDER BY " + O._COMMENT_ORDER + ") AS rw FROM comments) d WHERE rw = 1"))
+    "(PARTITION BY commentid ORDER BY " + O.COMMENT_ORDER + ") AS rw FROM comments) d WHERE rw = 1"))
 def q_dedup_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_by_key(A.comments(spark, sf), "commentid").select(
         "commentid", "videoid", "sentimentnature", "likecount")
