@@ -50,7 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
     local tests, a private temporary folder is created and registered as
     the checkpoint directory, so ``DataFrame.checkpoint()`` works too.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: only the session conf is visible
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        return (d or tempfile.mkdtemp(prefix="sentimart-ckpt-")).rstrip("/")
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
@@ -61,6 +64,14 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of :func:`shared_dir`."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -77,8 +88,8 @@ def ship_package(spark: SparkSession) -> None:
     The package is zipped on the driver and handed to ``addPyFile``,
     which distributes it through Spark's file server."""
     import zipfile
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    sc = _context(spark)
+    if sc is None or sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="sentimart-pkg-"), "sentimart.zip")

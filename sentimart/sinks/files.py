@@ -78,9 +78,12 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder this library created (a materialised intermediate),
     through the Hadoop file system of the path's scheme, so it works the
     same on HDFS, object stores and local disks."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: left for the folder's lifecycle policy
+        return False
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.delete(p, True))
 
 
