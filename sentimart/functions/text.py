@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import VIDEO_LINK_PREFIX
+from ..schemas import (CATEGORY_RULES, DEFAULT_CATEGORY, GUEST_SEP, NO_GUEST,
+                       TITLE_SEP, VIDEO_LINK_PREFIX)
 
 # --- fixed values ---
 # Characters Python's ``str.strip()`` removes (``str.isspace``), as one
@@ -57,14 +58,14 @@ def split_pair(c: Column | str, sep: str = ",") -> tuple[Column, Column]:
 def title_prefix(c: Column | str) -> Column:
     """Text before the first ``|`` (whole string when absent); the
     result is deliberately not re-trimmed."""
-    return F.substring_index(_c(c), "|", 1)
+    return F.substring_index(_c(c), TITLE_SEP, 1)
 
 
 def guest_prefix(c: Column | str) -> Column:
     """Text before the first ``:``, or ``'N/A'`` when there is none."""
     c = _c(c)
-    return F.when(c.contains(":"), F.substring_index(c, ":", 1)).otherwise(
-        F.when(c.isNotNull(), F.lit("N/A")))
+    return F.when(c.contains(GUEST_SEP), F.substring_index(c, GUEST_SEP, 1)).otherwise(
+        F.when(c.isNotNull(), F.lit(NO_GUEST)))
 
 
 def remove_newlines(c: Column | str) -> Column:
@@ -81,11 +82,11 @@ def video_category(guest: Column | str) -> Column:
     """ordered category rules over the guest prefix; NULL falls through
     to the ``ELSE`` branch exactly like a searched SQL ``CASE``."""
     g = _c(guest)
-    return (F.when(g == "N/A", "Solo")
-            .when(g == "Essentials", "Essentials")
-            .when(g.like("AMA%"), "AMA")
-            .when(g.like("LIVE%"), "LIVE EVENT")
-            .otherwise("WITH GUEST"))
+    out = None
+    for op, pattern, category in CATEGORY_RULES:
+        cond = (g == pattern) if op == "=" else g.like(pattern)
+        out = F.when(cond, category) if out is None else out.when(cond, category)
+    return out.otherwise(DEFAULT_CATEGORY)
 
 
 def _div_half_up(num: Column, den: Column) -> Column:

@@ -9,7 +9,7 @@ Each entry of :data:`CTES` mirrors one Spark definition in
 from __future__ import annotations
 
 from .functions.text import PY_WHITESPACE
-from .schemas import SENTINEL, VIDEO_LINK_PREFIX
+from .schemas import CATEGORY_RULES, DEFAULT_CATEGORY, SENTINEL, VIDEO_LINK_PREFIX
 
 STRIP = f"'^{PY_WHITESPACE}+|{PY_WHITESPACE}+$'"
 
@@ -102,11 +102,8 @@ _VIDEO_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
     "thumbnailimageurl", "viewcount", "likescount", "commentscount",
     "videocategory", "videolink"])
 
-CATEGORY = """CASE WHEN guest = 'N/A' THEN 'Solo'
-            WHEN guest = 'Essentials' THEN 'Essentials'
-            WHEN guest LIKE 'AMA%' THEN 'AMA'
-            WHEN guest LIKE 'LIVE%' THEN 'LIVE EVENT'
-            ELSE 'WITH GUEST' END"""
+CATEGORY = ("CASE " + " ".join(f"WHEN guest {op} '{pat}' THEN '{cat}'" for op, pat, cat in CATEGORY_RULES)
+            + f" ELSE '{DEFAULT_CATEGORY}' END")
 
 CTES["fn_videos"] = f"""fn_videos AS (
   SELECT videoid, title, guest, videocategory, videolink, description, publisheddate,

@@ -22,6 +22,20 @@ VIDEO_LINK_PREFIX = "https://www.youtube.com/watch?v="
 # Comments per classifier call; attempts per call.
 BATCH_SIZE = 20
 MAX_ATTEMPTS = 3
+# Title cut: the title ends before the first TITLE_SEP, the guest is the text
+# before the first GUEST_SEP, or NO_GUEST when the title has none.
+TITLE_SEP = "|"
+GUEST_SEP = ":"
+NO_GUEST = "N/A"
+# Video category rules, in order: (operator, guest pattern, category);
+# a guest matching no rule (or NULL) gets DEFAULT_CATEGORY.
+CATEGORY_RULES = [
+    ("=", "N/A", "Solo"),
+    ("=", "Essentials", "Essentials"),
+    ("LIKE", "AMA%", "AMA"),
+    ("LIKE", "LIVE%", "LIVE EVENT"),
+]
+DEFAULT_CATEGORY = "WITH GUEST"
 # --- end of fixed values ---
 
 S, L, D = T.StringType(), T.LongType(), T.DateType()
