@@ -108,9 +108,10 @@ def append_audit(spark: SparkSession, counts: DataFrame, path: str,
                  run_id: str, mode: str = "append") -> DataFrame:
     """K9: append one row per source (total / processed / unprocessed) to
     an audit table, tagged with the run id and time.  Appends are new
-    files, never a read-modify-write of one log object.  Returns this
-    run's rows, read back from the log (independent of ``counts``)."""
+    files, never a read-modify-write of one log object.  The log is
+    partitioned by run id, so reading one run back (returned here,
+    independent of ``counts``) opens only that run's folder."""
     rows = counts.select(F.lit(run_id).alias("run_id"),
                          F.current_timestamp().alias("logged_at"), "*")
-    rows.write.mode(mode).parquet(path)
+    rows.write.mode(mode).partitionBy("run_id").parquet(path)
     return spark.read.parquet(path).where(F.col("run_id") == run_id)
