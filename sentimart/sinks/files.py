@@ -94,8 +94,13 @@ def publish_table(df: DataFrame, name: str, location: str, mode: str = "overwrit
 
     ``bucket_by=(n, cols)`` stores the table hash-bucketed on ``cols``:
     later joins and aggregations on those columns between tables with the
-    same ``n`` read co-partitioned buckets instead of shuffling again."""
+    same ``n`` read co-partitioned buckets instead of shuffling again.  The
+    rows are first hash-partitioned into the same ``n`` partitions (the
+    same hash as the buckets), so each task writes one bucket file instead
+    of up to ``n`` files per task."""
     spark = df.sparkSession
+    if bucket_by is not None:
+        df = df.repartition(bucket_by[0], *[F.col(c) for c in bucket_by[1]])
     w = df.write.mode(mode).format("parquet").option("path", location)
     if bucket_by is not None:
         n, cols = bucket_by

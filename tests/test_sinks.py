@@ -46,3 +46,9 @@ def test_recommended_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # 2 per core
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000          # capped
     assert int(recommended_conf(10 << 40, 8000)["spark.sql.shuffle.partitions"]) == 40960
+
+
+def test_bucketed_table_has_one_file_per_bucket(spark):
+    df = spark.range(0, 10000, 1, numPartitions=8).selectExpr("cast(id as string) AS videoid", "id")
+    t = publish_table(df, "bucket_files_test", scratch_path(spark, "b"), bucket_by=(4, ["videoid"]))
+    assert len(t.inputFiles()) == 4 and t.count() == 10000
