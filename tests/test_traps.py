@@ -252,3 +252,23 @@ def test_n4_parse_struct_column_matches_literal_eval(spark, dicts):
     df = spark.createDataFrame([(i, repr(d)) for i, d in enumerate(dicts)], "i long, cell string")
     got = {r.i: (r.p.title, r.p.n) for r in parse_struct_column(df, "cell", schema, "p").collect()}
     assert got == {i: (d["title"], d["n"]) for i, d in enumerate(dicts)}
+
+
+def test_clean_channel_keeps_every_page_and_only_removes_newlines(spark):
+    from sentimart.plans.cleaning import clean_channel
+    pages = [("UC1", {"title": "A", "description": "one\ntwo\r\nthree", "customUrl": "@a",
+                      "publishedAt": "2019-05-15T12:00:00Z", "thumbnails": {"high": {"url": "u1"}}},
+              {"viewCount": "10", "subscriberCount": "2", "hiddenSubscriberCount": False, "videoCount": "3"}),
+             ("UC2", {"title": "B", "description": None, "publishedAt": "2020-01-02T00:00:00Z"},
+              {"viewCount": "x"})]
+    raw = spark.createDataFrame([(i, repr(s), repr(st), repr({"relatedPlaylists": {"uploads": "UU"}}))
+                                 for i, s, st in pages],
+                                "id string, snippet string, statistics string, contentDetails string")
+    got = {r.channelid: r for r in clean_channel(raw).collect()}
+    assert len(got) == 2                                          # every page kept (N10)
+    a = got["UC1"]
+    assert (a.description, a.publishedat, a.channelthumbnailurl, a.channelcountry) == (
+        "onetwo\rthree", "2019-05-15", "u1", None)
+    assert (a.viewscount, a.subscribercount, a.videoscount) == ("10", "2", "3")
+    b = got["UC2"]
+    assert b.description is None and b.viewscount == "x" and b.channelcustomurl is None
