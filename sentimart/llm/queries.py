@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .common import table
 from .substring_dedup import dedup_word_windows
+from .suffix_dedup import dedup_byte_windows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -51,3 +52,10 @@ FROM words LEFT JOIN gone USING (doc_id)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_word_windows(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_byte_windows(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
