@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .common import table
+from .simhash import simhash_groups
 from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
 
@@ -59,3 +60,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_byte_windows(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
