@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .common import table
+from .decontaminate import benchmark_overlap
 from .simhash import simhash_groups
 from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
@@ -65,3 +66,37 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op3_decontaminate", f"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+items AS (
+  SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[s:s + 9], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS s FROM iw WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM items),
+found AS (
+  SELECT doc_id, s, n, item_id FROM (
+    SELECT doc_id, s, n, array_to_string(ws[s:s + n - 1], ' ') AS w
+    FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM dw, sizes)) JOIN items USING (n, w)),
+hits AS (
+  SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS i FROM found) GROUP BY 1),
+ids AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
+""")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = benchmark_overlap(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return out.select("document.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
