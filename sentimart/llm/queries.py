@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .common import table
 from .decontaminate import benchmark_overlap
+from .line_dedup import dedup_lines
 from .simhash import simhash_groups
 from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
@@ -100,3 +101,32 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("document.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op5_line_dedup", """
+WITH lines AS (
+  SELECT doc_id, i AS line_no, trim(parts[i + 1], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
+  FROM (SELECT doc_id, parts, unnest(range(0, len(parts))) AS i
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
+firsts AS (
+  SELECT line, min((doc_id, line_no)) AS first, length(line) AS n
+  FROM lines WHERE length(line) >= 20 GROUP BY line),
+halves AS (
+  SELECT line, first, n, c, side,
+    CASE side WHEN 0 THEN line[1:c // 2] ELSE line[n - (c - c // 2) + 1:n] END AS half
+  FROM firsts, (VALUES (0), (1)) AS s(side), (VALUES (0), (1)) AS o(less), LATERAL (SELECT n - less AS c)),
+near AS (
+  SELECT DISTINCT a.line FROM halves a JOIN halves b
+    ON a.c = b.c AND a.side = b.side AND a.half = b.half AND b.first < a.first AND a.line <> b.line
+  WHERE levenshtein(a.line, b.line) <= 1),
+gone AS (
+  SELECT doc_id, list(line_no) AS gone FROM lines JOIN firsts USING (line)
+  WHERE (doc_id, line_no) <> first OR line IN (SELECT line FROM near) GROUP BY doc_id)
+SELECT doc_id, len(parts)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN parts
+    ELSE [parts[i + 1] FOR i IN range(0, len(parts)) IF NOT list_contains(gone, i)] END, chr(10))) AS kept_sha256
+FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) LEFT JOIN gone USING (doc_id)
+""")
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("document.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

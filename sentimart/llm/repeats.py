@@ -27,17 +27,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_pieces, stored, text_bytes
-from .windows import BYTE_SYMBOLS, Segments, mix, ranges, segments
+from .sketch import Sketch, estimates, sketch
+from .windows import BYTE_SYMBOLS, Segments, ranges, segments
 
-_BLOCK_BITS = 16
 _FLAT = 1 << 20          # symbols (bytes of text) handled at once
-_FLUSH = 1 << 20         # anchors a task gathers before it emits a sketch
-_FAN_IN = 64             # partition sketches merged at once
 _REMEMBER = 400_000      # contents a task remembers to send each only once
 
 
@@ -51,8 +48,12 @@ class Windows:
     depth: int = 1
 
     def __post_init__(self):
-        if not 0 < self.k <= self.length or self.cells & (self.cells - 1) or self.cells < 1 << _BLOCK_BITS:
-            raise ValueError("k must be 1..length and cells a power of two of at least 2**16")
+        if not 0 < self.k <= self.length:
+            raise ValueError("k must be 1..length")
+
+    @property
+    def sketch(self) -> Sketch:
+        return Sketch(self.cells, self.depth)
 
 
 def _flat(windows: Windows, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -84,133 +85,13 @@ def _pieces(windows: Windows, batches) -> Iterator[tuple[list, list, Segments, n
                 yield ([r[0] for r in piece], [r[1] for r in piece], found, bounds, joined)
 
 
-def _cells(windows: Windows, anchors: np.ndarray, row: int) -> np.ndarray:
-    """The anchors' cells in one row of the sketch, numbered through."""
-    salt = np.uint64(0x632BE59BD9B4E019 * (row + 1) % (1 << 64))
-    bits = windows.cells.bit_length() - 1
-    return (mix(anchors + salt) >> np.uint64(64 - bits)).astype(np.int64) + row * windows.cells
-
-
-#: states of a cell: seen once, several times with one content, with several contents
-_ONCE, _COPIES, _MIXED = 1, 2, 3
-_SKETCH = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("cells", pa.binary()),
-                     ("states", pa.binary()), ("contents", pa.binary())])
-_SKETCH_SQL = "block int, part int, cells binary, states binary, contents binary"
-
-
-def _reduce(cells, states, contents) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One entry a cell: its state and one of its contents."""
-    order = np.argsort(cells, kind="stable")
-    cells, states, contents = cells[order], states[order], contents[order]
-    first = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
-    low, high = np.minimum.reduceat(contents, first), np.maximum.reduceat(contents, first)
-    most = np.maximum.reduceat(states, first)
-    alone = np.diff(np.append(first, len(cells))) == 1
-    state = np.where(low != high, _MIXED, np.where(alone, most, np.maximum(most, _COPIES)))
-    return cells[first], state.astype(np.uint8), low
-
-
-def _sketch_rows(cells, states, contents, part: int) -> Iterator[pa.RecordBatch]:
-    blocks = cells >> _BLOCK_BITS
-    cut = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1], [True])))
-    inner = (cells & ((1 << _BLOCK_BITS) - 1)).astype(np.uint16)
-    for at in range(0, len(cut) - 1, 512):
-        edges = cut[at:at + 513]
-        spans = list(zip(edges[:-1], edges[1:]))
-        yield pa.RecordBatch.from_arrays([
-            pa.array([int(blocks[a]) for a, _ in spans], pa.int32()),
-            pa.array([part] * len(spans), pa.int32()),
-            pa.array([inner[a:b].tobytes() for a, b in spans], pa.binary()),
-            pa.array([states[a:b].tobytes() for a, b in spans], pa.binary()),
-            pa.array([contents[a:b].tobytes() for a, b in spans], pa.binary())], schema=_SKETCH)
-
-
-def _count(windows: Windows):
+def _entries(windows: Windows):
     def run(batches):
-        part = TaskContext.get().partitionId()
-        anchors, digests, held = [], [], 0
-
-        def flush():
-            a, d = np.concatenate(anchors), np.concatenate(digests)
-            cells = np.concatenate([_cells(windows, a, row) for row in range(windows.depth)])
-            ones = np.full(len(cells), _ONCE, dtype=np.uint8)
-            yield from _sketch_rows(*_reduce(cells, ones, np.tile(d, windows.depth)), part)
-
         for _, _, found, _, _ in _pieces(windows, batches):
-            anchors.append(found.anchor)
-            digests.append(found.digest)
-            held += len(found.anchor)
-            if held >= _FLUSH:
-                yield from flush()
-                anchors, digests, held = [], [], 0
-        if held:
-            yield from flush()
-    return run
-
-
-def _merged(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """One block's sketches as one: number of the block, cells, states, contents."""
-    parts = [np.frombuffer(b"".join(table.column(n).to_pylist()), dtype=t)
-             for n, t in (("cells", np.uint16), ("states", np.uint8), ("contents", np.uint64))]
-    return (table.column("block")[0].as_py(), *_reduce(*parts))
-
-
-def _merge(fan_in: int):
-    def run(table: pa.Table) -> pa.Table:
-        block, cells, states, contents = _merged(table)
-        part = table.column("part")[0].as_py() // fan_in
-        return pa.Table.from_pylist([{"block": block, "part": part, "cells": cells.tobytes(),
-                                      "states": states.tobytes(), "contents": contents.tobytes()}],
-                                    schema=_SKETCH)
+            yield found.anchor, found.digest
     return run
 
 
-_MAPS = pa.schema([("block", pa.int32()), ("repeated", pa.binary()), ("mixed", pa.binary())])
-
-
-def _maps(table: pa.Table) -> pa.Table:
-    block, cells, states, _ = _merged(table)
-    out = {"block": block}
-    for name, least in (("repeated", _COPIES), ("mixed", _MIXED)):
-        bits = np.zeros(1 << _BLOCK_BITS, dtype=np.uint8)
-        bits[cells[states >= least]] = 1
-        out[name] = np.packbits(bits).tobytes()
-    return pa.Table.from_pylist([out], schema=_MAPS)
-
-
-def sketch(docs: DataFrame, windows: Windows) -> dict[str, np.ndarray]:
-    """Bit maps of the merged count-min sketch, ``depth * cells`` bits each:
-    ``repeated`` (counted more than once) and ``mixed`` (with more than one
-    segment content)."""
-    parts = (docs.select(F.spark_partition_id().alias("part")).agg(F.max("part")).first()[0] or 0) + 1
-    rows = docs.mapInArrow(_count(windows), _SKETCH_SQL)
-    while parts > _FAN_IN:
-        group = F.floor(F.col("part") / _FAN_IN).alias("group")
-        rows = rows.groupBy("block", group).applyInArrow(_merge(_FAN_IN), _SKETCH_SQL)
-        parts = -(-parts // _FAN_IN)
-    found = stored(rows.groupBy("block").applyInArrow(
-        _maps, "block int, repeated binary, mixed binary"), "sketch")
-    size = windows.cells * windows.depth // 8
-    out = {n: np.zeros(size, dtype=np.uint8) for n in ("repeated", "mixed")}
-    step = (1 << _BLOCK_BITS) // 8
-    for row in found.toLocalIterator():      # one row a block: bounded by the sketch's size
-        for n in out:
-            out[n][row["block"] * step:(row["block"] + 1) * step] = np.frombuffer(row[n], dtype=np.uint8)
-    return out
-
-
-def _estimates(windows: Windows, maps: dict[str, np.ndarray], anchors: np.ndarray):
-    """Whether each anchor is estimated repeated / mixed: the least of its rows."""
-    answers = []
-    for name in ("repeated", "mixed"):
-        yes = np.ones(len(anchors), dtype=bool)
-        for row in range(windows.depth):
-            cells = _cells(windows, anchors, row)
-            yes &= (maps[name][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
-        answers.append(yes)
-    return answers
-
-
 _MEMBER = [("anchor", pa.int64()), ("digest", pa.int64()), ("doc_id", pa.int64()),
            ("text_key", pa.int64()), ("start", pa.int64()), ("n_windows", pa.int32())]
 _MEMBER_SQL = "anchor long, digest long, doc_id long, text_key long, start long, n_windows int"
@@ -229,7 +110,7 @@ def _members(windows: Windows, maps):
 
     def run(batches):
         for ids, keys, found, bounds, _ in _pieces(windows, batches):
-            keep = np.flatnonzero(_estimates(windows, maps.value, found.anchor)[0])
+            keep = np.flatnonzero(estimates(windows.sketch, maps.value, found.anchor)[0])
             if len(keep):
                 yield pa.RecordBatch.from_arrays(_member_columns(ids, keys, found, bounds, keep), schema=schema)
     return run
@@ -255,7 +136,7 @@ def _contents(windows: Windows, maps):
     def run(batches):
         seen: dict[tuple[int, int], tuple] = {}
         for ids, keys, found, bounds, joined in _pieces(windows, batches):
-            repeated, mixed = _estimates(windows, maps.value, found.anchor)
+            repeated, mixed = estimates(windows.sketch, maps.value, found.anchor)
             at = np.flatnonzero(repeated)
             place = found.start[at] - bounds[found.doc[at]]
             keep = []
@@ -305,7 +186,7 @@ def repeated_parts(docs: DataFrame, windows: Windows, judge: Callable[[DataFrame
     spark = docs.sparkSession
     docs = (docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
             .select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text"))
-    maps = spark.sparkContext.broadcast(sketch(docs, windows))
+    maps = spark.sparkContext.broadcast(sketch(docs, windows.sketch, _entries(windows)))
     payload = "array<long>" if windows.words else "binary"
     contents = stored(
         docs.mapInArrow(_contents(windows, maps), f"{_MEMBER_SQL}, payload {payload}")

@@ -64,6 +64,16 @@ class SliceHashes:
         raw = (self._sums[ends] - self._sums[starts]) * self._down[starts]
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
 
+    def without_one(self) -> np.ndarray:
+        """Hash of the whole array, then of the array without each symbol."""
+        n = len(self._sums) - 1
+        total = self._sums[n]
+        shorter = self._sums[:-1] + (total - self._sums[1:]) * self._down[1]
+        raw = np.concatenate((self._sums[n:], shorter))
+        size = np.full(n + 1, n - 1, dtype=np.uint64)
+        size[0] = n
+        return mix(raw + size * np.uint64(_BASE))
+
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` consecutive entries (doubling)."""
