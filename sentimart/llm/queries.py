@@ -15,6 +15,7 @@ from .line_dedup import dedup_lines
 from .simhash import simhash_groups
 from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
+from .toxicity import score_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -130,3 +131,10 @@ FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM doc
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("document.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"),
+                         table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return out.select("document.doc_id", "held_out", "score", "predicted")
