@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .common import table
 from .decontaminate import benchmark_overlap
+from .language_id import identify_language
 from .line_dedup import dedup_lines
 from .simhash import simhash_groups
 from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
+from .topk import top_k
 from .toxicity import score_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +140,26 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_toxicity(table(spark, sf_dir, "documents", "doc_id", "text"),
                          table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return out.select("document.doc_id", "held_out", "score", "predicted")
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = identify_language(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return out.select("document.doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op1_topk", """
+WITH ints AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM ints q, ints c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+  FROM scores)
+SELECT * FROM ranked WHERE rank <= 5
+""")
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
