@@ -13,11 +13,13 @@ from .common import table
 from .decontaminate import benchmark_overlap
 from .language_id import identify_language
 from .line_dedup import dedup_lines
+from .mixing import mix
 from .simhash import simhash_groups
 from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
 from .topk import top_k
 from .toxicity import score_toxicity
+from .url_filter import filter_urls
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -163,3 +165,88 @@ SELECT * FROM ranked WHERE rank <= 5
 """)
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op6_url_filter", """
+WITH rests AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (
+  SELECT page_id, h || p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC, h || p) AS n
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches('.' || host || path,
+  'spam|casino|porn|viagra|/ads/|\\.exe$') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE n = 1) USING (page_id)
+""")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = filter_urls(table(spark, sf_dir, "pages", "page_id", "url"))
+    return out.select("document.page_id", "host", "path", "rule", "verdict")
+
+
+#: integer weights of the mixing query; sources not named weigh 1
+MIX_WEIGHTS = {"domain": {"web": 60, "books": 25, "forums": 15},
+               "lang": {"en": 40, "fr": 20, "de": 20, "es": 20},
+               "source": {"src0": 2}}
+
+
+def source_domain():
+    """The tables name no domain: a source's number decides it."""
+    number = F.try_to_number(F.regexp_extract("source", "([0-9]+)$", 1), F.lit("999999")) % 3
+    return F.when(number == 0, "web").when(number == 1, "books").when(number == 2, "forums")
+
+
+@query("op8_mixing", """
+WITH rows AS (
+  SELECT doc_id, coalesce(CASE try_cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 3
+      WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'forums' END, 'unknown') AS domain,
+    coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))::BIGINT AS n_tokens
+  FROM documents),
+kept AS (SELECT * FROM rows WHERE n_tokens > 0 AND doc_id IS NOT NULL),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens)::BIGINT * 3 AS supply FROM kept GROUP BY ALL),
+d0 AS (
+  SELECT domain, sum(supply)::BIGINT AS supply,
+    CASE domain WHEN 'web' THEN 60 WHEN 'books' THEN 25 WHEN 'forums' THEN 15 ELSE 1 END AS weight,
+    (SELECT floor(sum(tokens) * 0.5::DOUBLE)::BIGINT FROM leaves) AS budget FROM leaves GROUP BY domain),
+d1 AS (
+  SELECT *, (budget - coalesce(sum(supply) OVER before, 0))::DOUBLE
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+  FROM d0 WINDOW before AS (ORDER BY supply::DOUBLE / weight, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+d2 AS (SELECT domain, least(supply, floor(weight * max(level) OVER ()))::BIGINT AS budget FROM d1),
+l0 AS (
+  SELECT domain, lang, supply, weight, budget FROM (
+    SELECT domain, lang, sum(supply)::BIGINT AS supply,
+      CASE lang WHEN 'en' THEN 40 WHEN 'fr' THEN 20 WHEN 'de' THEN 20 WHEN 'es' THEN 20 ELSE 1 END AS weight
+    FROM leaves GROUP BY domain, lang) JOIN d2 USING (domain)),
+l1 AS (
+  SELECT *, (budget - coalesce(sum(supply) OVER before, 0))::DOUBLE
+    / (sum(weight) OVER (PARTITION BY domain) - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+  FROM l0 WINDOW before AS (PARTITION BY domain ORDER BY supply::DOUBLE / weight, lang
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l2 AS (SELECT domain, lang, least(supply, floor(weight * max(level) OVER (PARTITION BY domain)))::BIGINT AS budget FROM l1),
+s0 AS (
+  SELECT domain, lang, source, tokens, supply, CASE source WHEN 'src0' THEN 2 ELSE 1 END AS weight, budget
+  FROM leaves JOIN l2 USING (domain, lang)),
+s1 AS (
+  SELECT *, (budget - coalesce(sum(supply) OVER before, 0))::DOUBLE
+    / (sum(weight) OVER (PARTITION BY domain, lang) - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+  FROM s0 WINDOW before AS (PARTITION BY domain, lang ORDER BY supply::DOUBLE / weight, source
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s2 AS (
+  SELECT domain, lang, source, tokens,
+    least(supply, floor(weight * max(level) OVER (PARTITION BY domain, lang)))::BIGINT AS budget FROM s1),
+s3 AS (SELECT *, budget // tokens AS full_epochs, budget % tokens AS rest FROM s2),
+running AS (
+  SELECT doc_id, domain, lang, source, n_tokens, full_epochs, rest, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5('42:' || (full_epochs + 1) || ':' || doc_id), n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM kept JOIN s3 USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens, (full_epochs + 1)::INT AS epoch FROM running WHERE upto <= rest
+UNION ALL
+SELECT doc_id, domain, lang, source, n_tokens, unnest(range(1, full_epochs + 1))::INT AS epoch FROM running
+""")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), source_domain(), MIX_WEIGHTS)
