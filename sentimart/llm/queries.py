@@ -250,3 +250,9 @@ SELECT doc_id, domain, lang, source, n_tokens, unnest(range(1, full_epochs + 1))
 """)
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"), source_domain(), MIX_WEIGHTS)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline      # it imports this module
+    return corpus_pipeline.run(spark, sf_dir)
