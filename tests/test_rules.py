@@ -7,7 +7,8 @@ SRC = pathlib.Path(__file__).resolve().parent.parent / "sentimart"
 
 
 def sources():
-    return {p.relative_to(SRC).as_posix(): p.read_text() for p in SRC.rglob("*.py")}
+    files = {p.relative_to(SRC).as_posix(): p.read_text() for p in SRC.rglob("*.py")}
+    return {name: text for name, text in files.items() if not name.startswith("llm/")}
 
 
 def uses(pattern):
