@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
+_ROWS = 256
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: the tables' ASCII white space, as a Java regular expression class
 SPACES = r"[\x20\x09-\x0D]+"
@@ -48,9 +49,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
-    """Each text of an Arrow string column as UTF-8 bytes (null: empty)."""
-    for value in column.cast(pa.large_binary()).to_pylist():
-        yield value or b""
+    """Each text of an Arrow string column as UTF-8 bytes (null: empty);
+    few of them are Python objects at a time."""
+    for at in range(0, len(column), _ROWS):
+        for value in column.slice(at, _ROWS).cast(pa.large_binary()).to_pylist():
+            yield value or b""
+
+
+def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, for functions that answer a batch of
+    texts with a batch of texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
 
 
 def in_pieces(values: Iterable, size, most: int) -> Iterator[list]:

@@ -34,7 +34,7 @@ from .common import in_pieces, stored, text_bytes
 from .sketch import Sketch, estimates, sketch
 from .windows import BYTE_SYMBOLS, Segments, ranges, segments
 
-_FLAT = 1 << 20          # symbols (bytes of text) handled at once
+_FLAT = 1 << 18          # bytes of text handled at once
 _REMEMBER = 400_000      # contents a task remembers to send each only once
 
 
@@ -194,7 +194,9 @@ def repeated_parts(docs: DataFrame, windows: Windows, judge: Callable[[DataFrame
         .agg(F.min(F.struct("doc_id", "text_key", "start")).alias("first"),
              F.first("payload", ignorenulls=True).alias("payload")), "contents")
     masks = stored(judge(contents.filter("payload is not null")), "masks")
-    verdicts = contents.drop("payload").join(masks, ["anchor", "digest"], "left")
+    # stored, so that the join with the members has one exchange a side and
+    # AQE can split a content with very many of them
+    verdicts = stored(contents.drop("payload").join(masks, ["anchor", "digest"], "left"), "verdicts")
     members = docs.mapInArrow(_members(windows, maps), _MEMBER_SQL)
     met = members.join(verdicts, ["anchor", "digest"])
     whole = earlier()
@@ -212,14 +214,27 @@ def with_parts(docs: DataFrame, parts: DataFrame) -> DataFrame:
     return docs.join(parts.hint("shuffle_hash"), ["doc_id", "text_key"], "left").drop("text_key")
 
 
-def covered(size: int, length: int, parts) -> np.ndarray:
-    """Which of a text's symbols a removable window covers."""
-    edges = np.zeros(size + 1, dtype=np.int32)
-    for part in parts or ():
-        if part["mask"] is None:
-            starts = np.arange(part["start"], part["start"] + part["n_windows"])
-        else:
-            starts = part["start"] + np.array(part["mask"], dtype=np.int64)
-        np.add.at(edges, starts, 1)
-        np.add.at(edges, starts + length, -1)
+def removable(column: pa.ListArray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+    """For each row of a ``parts`` column the symbol ranges (starts, ends)
+    that its parts remove, None where it has none."""
+    values, offsets = column.values, column.offsets.to_numpy()
+    start, n = values.field("start").to_numpy(), values.field("n_windows").to_numpy()
+    mask = values.field("mask")
+    masked, at = mask.is_valid().to_numpy(zero_copy_only=False), mask.offsets.to_numpy().astype(np.int64)
+    index = mask.values.to_numpy()
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        if a == b:
+            yield None
+            continue
+        whole, some = a + np.flatnonzero(~masked[a:b]), a + np.flatnonzero(masked[a:b])
+        counts = at[some + 1] - at[some]
+        single = np.repeat(start[some], counts) + index[ranges(at[some], counts)]
+        yield (np.concatenate((start[whole], single)),
+               np.concatenate((start[whole] + n[whole] - 1, single)) + length)
+
+
+def covered(size: int, spans: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which of a text's symbols lie in one of the ranges."""
+    starts, ends = spans
+    edges = np.bincount(starts, minlength=size + 1) - np.bincount(ends, minlength=size + 1)
     return np.cumsum(edges[:-1]) > 0

@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
-from .repeats import Windows, covered, repeated_parts, shared_windows, with_parts
+from .common import sliced, text_bytes
+from .repeats import Windows, covered, removable, repeated_parts, shared_windows, with_parts
 
 
 def _kept(length: int):
@@ -17,15 +17,15 @@ def _kept(length: int):
                         ("kept_text", pa.large_string())])
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
-            for doc, text, parts in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")),
-                                        batch.column("parts").to_pylist()):
+            for doc, text, spans in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")),
+                                        removable(batch.column("parts"), length)):
                 words = text.split()
                 gone = 0
                 n = len(words)
-                if parts:
-                    hit = covered(n, length, parts)
+                if spans:
+                    hit = covered(n, spans)
                     gone = int(hit.sum())
                     words = [words[i] for i in np.flatnonzero(~hit).tolist()]
                 out.append((doc, n, gone, b" ".join(words).decode()))

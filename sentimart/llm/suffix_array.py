@@ -105,22 +105,28 @@ def _names(s, lms, ordered) -> tuple[np.ndarray, int]:
 
 
 def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Suffix array of a short string over a large alphabet."""
+    """Suffix array of a short string over a large alphabet: ranks by ever
+    longer prefixes, where only suffixes that still share a rank are sorted
+    again."""
     n, step = len(names), 1
-    rank = names
-    while True:
-        follow = np.zeros(n, dtype=np.int64)
-        follow[:-step] = rank[step:] + 1
-        key = rank * (n + 1) + follow
-        order = np.argsort(key, kind="stable")
-        fresh = np.concatenate(([0], np.cumsum(np.diff(key[order]) != 0)))
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = fresh
-        if fresh[-1] == n - 1:
-            return order
+    order = np.argsort(names, kind="stable")
+    rank = np.empty(n, dtype=np.int64)
+    first = np.concatenate(([True], np.diff(names[order]) != 0))
+    start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    rank[order] = start                    # a rank is its group's first place
+    tied = np.flatnonzero(~(first & np.append(first[1:], True)))
+    while len(tied):
+        at = order[tied]
+        follow = np.where(at + step < n, rank[np.minimum(at + step, n - 1)] + 1, 0)
+        key = rank[at] * (n + 1) + follow
+        by = np.argsort(key)
+        order[tied] = at = at[by]
+        key = key[by]
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[at] = tied[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
+        tied = tied[~(first & np.append(first[1:], True))]
         step *= 2
-        if step >= n:
-            return np.argsort(rank, kind="stable")
+    return order
 
 
 def suffix_array(s: np.ndarray, n_symbols: int) -> np.ndarray:

@@ -7,13 +7,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
-from .repeats import Windows, covered, repeated_parts, shared_windows, with_parts
+from .common import sliced, stored, text_bytes
+from .repeats import Windows, covered, removable, repeated_parts, shared_windows, with_parts
 from .suffix_array import common_prefixes, suffix_array
 from .windows import BYTE_SYMBOLS, SliceHashes
 
 #: bytes a shard's suffix array is meant to hold
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 _CLOSING, _SEPARATOR, _FIRST = 0, 1, 2       # symbols before the 256 byte values
 _MASKS = pa.schema([("anchor", pa.int64()), ("digest", pa.int64()), ("mask", pa.list_(pa.int32()))])
 _HASHES_SQL = ("anchor long, digest long, first struct<doc_id: long, text_key: long, start: long>, "
@@ -116,13 +116,13 @@ def _kept(length: int):
                         ("kept", pa.large_binary())])
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
-            for doc, text, parts in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")),
-                                        batch.column("parts").to_pylist()):
+            for doc, text, ranges in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")),
+                                         removable(batch.column("parts"), length)):
                 spans, kept = [], text
-                if parts:
-                    hit = covered(len(text), length, parts)
+                if ranges:
+                    hit = covered(len(text), ranges)
                     edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0])))).tolist()
                     spans = [{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2])]
                     kept = np.frombuffer(text, dtype=np.uint8)[~hit].tobytes()
