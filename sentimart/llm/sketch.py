@@ -19,14 +19,21 @@ from pyspark.sql import functions as F
 from .common import stored
 from .windows import mix
 
-_BLOCK_BITS = 16
+_BLOCK_BITS = 16         # map bits a block
+_TAG_BITS = 8            # sketch cells a map bit, as a power of two
 _FLUSH = 1 << 20         # keys a task gathers before it emits a sketch
 _FAN_IN = 64             # partition sketches merged at once
 
 
 @dataclass(frozen=True)
 class Sketch:
-    """``depth`` rows of ``cells`` cells each."""
+    """``depth`` rows, each of ``cells`` map bits with 256 sketch cells a bit.
+
+    The cells are counted where they are stored, spread over the cluster;
+    only the maps, a bit for 256 cells, go to every task.  So two keys are
+    confused when they share a cell (few, up to some 10**9 keys), and a key
+    is passed on needlessly when its bit was set by a key that is repeated
+    (about the number of repeated keys over ``cells``)."""
     cells: int
     depth: int = 1
 
@@ -38,8 +45,8 @@ class Sketch:
 def _cells(shape: Sketch, keys: np.ndarray, row: int) -> np.ndarray:
     """The keys' cells in one row of the sketch, numbered through."""
     salt = np.uint64(0x632BE59BD9B4E019 * (row + 1) % (1 << 64))
-    bits = shape.cells.bit_length() - 1
-    return (mix(keys + salt) >> np.uint64(64 - bits)).astype(np.int64) + row * shape.cells
+    bits = shape.cells.bit_length() - 1 + _TAG_BITS
+    return (mix(keys + salt) >> np.uint64(64 - bits)).astype(np.int64) + (row * shape.cells << _TAG_BITS)
 
 
 #: states of a cell: seen once, several times with one content, with several contents
@@ -62,9 +69,9 @@ def _reduce(cells, states, contents) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _sketch_rows(cells, states, contents, part: int) -> Iterator[pa.RecordBatch]:
-    blocks = cells >> _BLOCK_BITS
+    blocks = cells >> (_BLOCK_BITS + _TAG_BITS)
     cut = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1], [True])))
-    inner = (cells & ((1 << _BLOCK_BITS) - 1)).astype(np.uint16)
+    inner = (cells & ((1 << _BLOCK_BITS + _TAG_BITS) - 1)).astype(np.uint32)
     for at in range(0, len(cut) - 1, 512):
         edges = cut[at:at + 513]
         spans = list(zip(edges[:-1], edges[1:]))
@@ -102,7 +109,7 @@ def _count(shape: Sketch, entries):
 def _merged(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """One block's sketches as one: number of the block, cells, states, contents."""
     parts = [np.frombuffer(b"".join(table.column(n).to_pylist()), dtype=t)
-             for n, t in (("cells", np.uint16), ("states", np.uint8), ("contents", np.uint64))]
+             for n, t in (("cells", np.uint32), ("states", np.uint8), ("contents", np.uint64))]
     return (table.column("block")[0].as_py(), *_reduce(*parts))
 
 
@@ -124,7 +131,7 @@ def _maps(table: pa.Table) -> pa.Table:
     out = {"block": block}
     for name, least in (("repeated", _COPIES), ("mixed", _MIXED)):
         bits = np.zeros(1 << _BLOCK_BITS, dtype=np.uint8)
-        bits[cells[states >= least]] = 1
+        bits[cells[states >= least] >> _TAG_BITS] = 1
         out[name] = np.packbits(bits).tobytes()
     return pa.Table.from_pylist([out], schema=_MAPS)
 
@@ -158,7 +165,7 @@ def estimates(shape: Sketch, maps: dict[str, np.ndarray], keys: np.ndarray):
     for name in ("repeated", "mixed"):
         yes = np.ones(len(keys), dtype=bool)
         for row in range(shape.depth):
-            cells = _cells(shape, keys, row)
+            cells = _cells(shape, keys, row) >> _TAG_BITS
             yes &= (maps[name][cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
         answers.append(yes)
     return answers
