@@ -163,7 +163,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, cells: int = 1 << 27) -> D
                                  F.first("line", ignorenulls=True).alias("line"))
         .filter("line is not null or first <> last"), "lines")
     near = stored(_near(contents), "near").withColumn("near", F.lit(True))
-    verdicts = contents.drop("line").join(near, ["h1", "h2"], "left").filter("near or first <> last")
+    # stored, so that the next join has one exchange a side and AQE can
+    # split a line with very many occurrences
+    verdicts = stored(contents.drop("line").join(near, ["h1", "h2"], "left").filter("near or first <> last"), "verdicts")
     met = keyed.mapInArrow(_occurrences(min_chars), _LINE_SQL).join(verdicts, ["h1", "h2"])
     removed = stored(met.filter(F.col("near") | (F.struct(*place) != F.col("first")))
                      .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")), "removed")
