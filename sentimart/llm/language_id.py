@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_pieces
+from .common import in_pieces, sliced
 from .windows import _powers, mix
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -31,8 +31,8 @@ _FLOOR = 1e-7            # probability of a single letter that is no piece
 _SMOOTHING = 0.1
 _TEXT = 4 << 20          # characters of text handled at once
 _WORDS = 1 << 15         # words in one forward sweep
-_GATHER = 200_000        # distinct words a task gathers or remembers
-_GROUPS = (6, 10, 16, _LONGEST_WORD + 1)
+_GATHER = 400_000        # distinct words a task gathers or remembers
+_GROUPS = (*range(2, 17), 20, _LONGEST_WORD + 1)     # longest words of the sweeps
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -130,38 +130,53 @@ class _Lattice:
     def __init__(self, pieces: Pieces, probabilities: np.ndarray, words: list[str], sizes: np.ndarray):
         self.width, self.sizes = int(sizes.max()), sizes
         sums = _sums(_symbols(words, self.width))
-        self._with_none = np.concatenate((probabilities, np.zeros((1, probabilities.shape[1]))))
-        self.ids = {(j - n, j): pieces.find(_slice_hash(sums, j - n, j))
-                    for j in range(1, self.width + 1) for n in range(1, min(j, _LONGEST_PIECE) + 1)}
+        self._probabilities = probabilities
+        self.found = {}      # by (from, to): the words with a piece there, its numbers
+        for j in range(1, self.width + 1):
+            for i in range(max(0, j - _LONGEST_PIECE), j):
+                ids = pieces.find(_slice_hash(sums, i, j))
+                at = np.flatnonzero(ids >= 0)
+                if len(at):
+                    self.found[i, j] = at, ids[at]
         self.forward = np.zeros((self.width + 1, len(words), probabilities.shape[1]))
         self.forward[0] = 1
         for j in range(1, self.width + 1):
+            here = self.forward[j]
             for i in range(max(0, j - _LONGEST_PIECE), j):
-                self.forward[j] += self.forward[i] * self.weight(i, j)
+                if (i, j) in self.found:
+                    at, ids = self.found[i, j]
+                    here[at] += self.forward[i][at] * probabilities[ids]
+            lone = self._lone(j)
+            here[lone] += self.forward[j - 1][lone] * _FLOOR
         self.total = self.forward[sizes, np.arange(len(words))]
 
-    def weight(self, i: int, j: int) -> np.ndarray:
-        ids = self.ids[i, j]
-        found = self._with_none[ids]
-        return np.where(found > 0, found, _FLOOR) if j == i + 1 else found
+    def _lone(self, j: int) -> np.ndarray:
+        """Words whose letter before ``j`` is no piece."""
+        alone = np.ones(len(self.sizes), dtype=bool)
+        if (j - 1, j) in self.found:
+            alone[self.found[j - 1, j][0]] = False
+        return np.flatnonzero(alone)
 
     def expected(self, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece by language, for words that occur
         ``counts`` (words x languages) times."""
         backward = np.zeros_like(self.forward)
         backward[self.sizes, np.arange(len(self.sizes))] = 1
-        out = np.zeros_like(self._with_none)
+        out = np.zeros_like(self._probabilities)
         scale = counts / self.total
         for i in range(self.width - 1, -1, -1):
+            here, uses_here = backward[i], self.forward[i] * scale
             for j in range(i + 1, min(self.width, i + _LONGEST_PIECE) + 1):
-                through = self.weight(i, j) * backward[j]
-                backward[i] += through
-                used = np.flatnonzero(self.ids[i, j] >= 0)
-                if len(used):
-                    uses = self.forward[i][used] * through[used] * scale[used]
+                if (i, j) in self.found:
+                    at, ids = self.found[i, j]
+                    through = self._probabilities[ids] * backward[j][at]
+                    here[at] += through
+                    uses = uses_here[at] * through
                     for language in range(uses.shape[1]):
-                        out[:, language] += np.bincount(self.ids[i, j][used], uses[:, language], len(out))
-        return out[:-1]
+                        out[:, language] += np.bincount(ids, uses[:, language], len(out))
+            lone = self._lone(i + 1)
+            here[lone] += backward[i + 1][lone] * _FLOOR
+        return out
 
 
 def _expectations(shared_pieces, shared_model):
@@ -171,27 +186,31 @@ def _expectations(shared_pieces, shared_model):
         pieces, model = shared_pieces.value, shared_model.value
         number = {name: i for i, name in enumerate(model.languages)}
         total = np.zeros_like(model.probabilities)
-        seen: dict[str, np.ndarray] = {}
+        seen = [Counter() for _ in number]       # words by language
 
         def settle():
-            words = list(seen)
-            counts = np.array([seen[w] for w in words], dtype=np.float64)
+            row: dict[str, int] = {}
+            for counter in seen:
+                for word in counter:
+                    for block in blocks(word):
+                        row.setdefault(block, len(row))
+            counts = np.zeros((len(row), len(number)))
+            for language, counter in enumerate(seen):
+                for word, n in counter.items():
+                    for block in blocks(word):
+                        counts[row[block], language] += n
+                counter.clear()
+            words = list(row)
             for of, sizes in _batches(words):
                 lattice = _Lattice(pieces, model.probabilities, [words[i] for i in of.tolist()], sizes)
                 total[:] += lattice.expected(counts[of])
-            seen.clear()
 
-        for batch in batches:
+        for batch in sliced(batches):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                language = number[lang]
-                for word, n in Counter(_LETTERS.findall(text.lower())).items():
-                    for block in blocks(word):
-                        if block not in seen:
-                            seen[block] = [0] * len(number)
-                        seen[block][language] += n
-                if len(seen) >= _GATHER:
-                    settle()
-        if seen:
+                seen[number[lang]].update(_LETTERS.findall(text.lower()))
+            if sum(map(len, seen)) >= _GATHER:
+                settle()
+        if any(seen):
             settle()
         piece, language = np.nonzero(total)
         for at in range(0, len(piece), 1 << 16):
@@ -223,39 +242,46 @@ def learn(docs: DataFrame, pieces: Pieces, iterations: int = 2) -> Model:
     return model
 
 
+def _log_likelihoods(pieces: Pieces, model: Model, words: list[str]) -> np.ndarray:
+    """Logarithm of each word's probability by language."""
+    of_word = [blocks(w) for w in words]
+    flat = [b for bs in of_word for b in bs]
+    logs = np.zeros((len(flat), len(model.languages)))
+    for of, sizes in _batches(flat):
+        lattice = _Lattice(pieces, model.probabilities, [flat[i] for i in of.tolist()], sizes)
+        logs[of] = np.log(np.maximum(lattice.total, 1e-300))
+    if len(flat) == len(words):
+        return logs
+    return np.add.reduceat(logs, np.concatenate(([0], np.cumsum([len(b) for b in of_word])[:-1])), axis=0)
+
+
 def language(spark, pieces: Pieces, model: Model):
     """A column function: struct<lang_pred, score> of a text."""
     shared_pieces, shared_model = spark.sparkContext.broadcast(pieces), spark.sparkContext.broadcast(model)
 
     def run(iterator: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces, model = shared_pieces.value, shared_model.value
-        known: dict[str, int] = {}               # word blocks to rows of scores
+        known: dict[str, int] = {}               # words to rows of scores
         scores = np.zeros((_GATHER, len(model.languages)))
         prior = np.log(np.maximum(model.shares, 1e-12))
         for texts in iterator:
             names, sure = [], []
             for piece in in_pieces((t or "" for t in texts.to_pylist()), len, _TEXT):
-                words = [_LETTERS.findall(t.lower()) for t in piece]
-                counted = [Counter(b for w in ws for b in blocks(w)) for ws in words]
-                fresh = list({b for c in counted for b in c if b not in known})
-                if len(known) + len(fresh) > _GATHER:
+                counted = [Counter(_LETTERS.findall(t.lower())) for t in piece]
+                fresh = list(set().union(*counted) - known.keys())
+                if len(known) + len(fresh) > len(scores):
                     known.clear()
-                    fresh = list({b for c in counted for b in c})
-                    if len(fresh) > len(scores):
-                        scores = np.zeros((len(fresh) + _GATHER, len(model.languages)))
-                for of, sizes in _batches(fresh):
-                    batch = [fresh[i] for i in of.tolist()]
-                    at = len(known) + np.arange(len(batch))
-                    scores[at] = np.log(np.maximum(
-                        _Lattice(pieces, model.probabilities, batch, sizes).total, 1e-300))
-                    known.update(zip(batch, at.tolist()))
-                for t, ws, c in zip(piece, words, counted):
-                    if not model.languages or not any(ch.isalpha() for w in ws for ch in w):
+                    fresh = list(set().union(*counted))
+                    scores = np.zeros((max(_GATHER, len(fresh)), len(model.languages)))
+                scores[len(known):len(known) + len(fresh)] = _log_likelihoods(pieces, model, fresh)
+                known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+                for words in counted:
+                    if not model.languages or not any(letter.isalpha() for w in words for letter in w):
                         names.append(UNKNOWN)
                         sure.append(0.0)
                         continue
-                    rows = np.fromiter(map(known.__getitem__, c), dtype=np.int64, count=len(c))
-                    z = np.fromiter(c.values(), dtype=np.float64, count=len(c)) @ scores[rows] + prior
+                    rows = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+                    z = np.fromiter(words.values(), dtype=np.float64, count=len(words)) @ scores[rows] + prior
                     best = int(np.argmax(z))
                     names.append(model.languages[best])
                     sure.append(float(1 / np.exp(z - z[best]).sum()))
