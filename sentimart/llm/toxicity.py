@@ -49,15 +49,11 @@ def features(text: bytes) -> np.ndarray:
 
 
 class _Rows:
-    """Texts as sparse rows of feature numbers."""
+    """Texts as sparse rows of the features that a model uses."""
 
-    def __init__(self, rows: list[np.ndarray], column: np.ndarray):
-        kept = [column[r] for r in rows]
-        kept = [r[r >= 0] for r in kept]
-        self.sizes = np.array([len(r) for r in kept], dtype=np.int64)
-        self.at = np.concatenate(kept) if kept else np.zeros(0, dtype=np.int64)
-        self.of = np.repeat(np.arange(len(kept)), self.sizes)
-        self.n = len(kept)
+    def __init__(self, words: np.ndarray, of: np.ndarray, n: int, column: np.ndarray):
+        at = column[words]
+        self.at, self.of, self.n = at[at >= 0], of[at >= 0], n
 
     def margins(self, weights, bias):
         return np.bincount(self.of, weights[self.at], minlength=self.n) + bias
@@ -70,29 +66,35 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """The features whose rates differ clearly between the samples."""
-    seen_p = np.bincount(np.concatenate(positive), minlength=FEATURES)
-    seen_u = np.bincount(np.concatenate(unlabelled), minlength=FEATURES)
-    n_p, n_u = len(positive), len(unlabelled)
+def _telling(seen_p: np.ndarray, seen_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
+    """The features whose rates differ clearly between the samples, by the
+    numbers of texts that hold them."""
     rate = (seen_p + seen_u) / (n_p + n_u)
     error = np.sqrt(np.maximum(rate * (1 - rate) * (1 / n_p + 1 / n_u), 1e-12))
     z = np.abs(seen_p / n_p - seen_u / n_u) / error
     return np.flatnonzero((z >= LEAST_Z) & (seen_p + seen_u >= LEAST_TEXTS))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
+def fit(words: np.ndarray, sizes: np.ndarray, positive: np.ndarray, prior: float) -> Model:
     """Minimise the non-negative PU risk with the logistic loss (Adam, full
-    batches, from zero: the same sample gives the same model)."""
+    batches, from the prior: the same sample gives the same model).  Text i
+    holds the next ``sizes[i]`` feature numbers of ``words`` and is a
+    confirmed toxic one if ``positive[i]``, else unlabelled."""
     weights = np.zeros(FEATURES)
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     bias = float(np.log(prior / (1 - prior)))
-    if not positive or not unlabelled:
-        return Model(weights, bias)
-    frequent = _telling(positive, unlabelled)
-    column = np.full(FEATURES, -1, dtype=np.int64)
+    n_p, n_u = int(positive.sum()), int((~positive).sum())
+    if not n_p or not n_u:
+        return Model(weights.astype(np.float32), bias)
+    toxic = np.repeat(positive, sizes)
+    number = np.where(positive, np.cumsum(positive), np.cumsum(~positive)) - 1     # among its own kind
+    of = np.repeat(number.astype(np.int32), sizes)
+    frequent = _telling(np.bincount(words[toxic], minlength=FEATURES),
+                        np.bincount(words[~toxic], minlength=FEATURES), n_p, n_u)
+    column = np.full(FEATURES, -1, dtype=np.int32)
     column[frequent] = np.arange(len(frequent))
-    p, u = _Rows(positive, column), _Rows(unlabelled, column)
+    p = _Rows(words[toxic], of[toxic], n_p, column)
+    u = _Rows(words[~toxic], of[~toxic], n_u, column)
     w = np.zeros(len(frequent) + 1)              # the bias comes last
     w[-1] = bias
     mean, square = np.zeros_like(w), np.zeros_like(w)
@@ -123,6 +125,18 @@ def _features(batches):
             schema=schema)
 
 
+def _fitted(prior: float):
+    """Fits one model to a sample that is all in one group: its size is
+    bounded by the limits of ``learn``."""
+    def run(sample: pa.Table) -> pa.Table:
+        words = sample.column("words").combine_chunks()
+        sizes = np.diff(words.offsets.to_numpy())
+        model = fit(words.flatten().to_numpy(), sizes,
+                    sample.column("positive").to_numpy(), prior)
+        return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias]})
+    return run
+
+
 def learn(docs: DataFrame, labels: DataFrame, learnable, max_positive: int = MAX_POSITIVE,
           max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Fit on the rows of ``docs`` (doc_id, text) for which the column
@@ -138,12 +152,14 @@ def learn(docs: DataFrame, labels: DataFrame, learnable, max_positive: int = MAX
     unlabelled = ids.distinct().orderBy(order, "doc_id").limit(max_unlabelled)
     sample = (positive.withColumn("positive", F.lit(True))
               .unionByName(unlabelled.withColumn("positive", F.lit(False))))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")   # bounded by the two limits
-            .select("positive", "text").mapInArrow(_features, "positive boolean, words array<int>").toArrow())
-    flags = rows.column("positive").to_pylist()
-    words = [np.asarray(w.values, dtype=np.int64) for w in rows.column("words")]
-    return fit([w for f, w in zip(flags, words) if f], [w for f, w in zip(flags, words) if not f],
-               (toxic or 0) / n if n else 0.0)
+    prior = (toxic or 0) / n if n else 0.0
+    fitted = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")     # bounded by the two limits
+              .select("positive", "text").mapInArrow(_features, "positive boolean, words array<int>")
+              .groupBy(F.lit(0).alias("all")).applyInArrow(_fitted(prior), "weights binary, bias double").first())
+    if fitted is None:
+        none = np.zeros(0, dtype=np.int32)
+        return fit(none, none, none.astype(bool), prior)
+    return Model(np.frombuffer(fitted["weights"], dtype=np.float32), fitted["bias"])
 
 
 def toxicity(spark, model: Model):
