@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -13,8 +13,12 @@ def _oriented(links: DataFrame) -> DataFrame:
             .filter("u <> v").distinct())
 
 
-def _signature(links: DataFrame):
-    return links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _kept(links: DataFrame) -> tuple[DataFrame, dict]:
+    """The stored links, and a count and checksum observed while writing."""
+    seen = Observation()
+    links = links.observe(seen, F.count(F.lit(1)).alias("n"),
+                          F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("checksum"))
+    return stored(links, "links"), seen.get
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,8 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     are aggregated before the shuffle, and a round's links are joined to
     them by plain inner joins, which AQE splits on a hot node."""
     a, b = links.columns
-    now = stored(_oriented(links.select(F.col(a).alias("u"), F.col(b).alias("v"))), "links")
-    before = _signature(now)
+    now, before = _kept(_oriented(links.select(F.col(a).alias("u"), F.col(b).alias("v"))))
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -36,9 +39,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         met = large.join(small, "u")
-        now = stored(_oriented(met.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                               .unionByName(small.select("u", F.col("m").alias("v")))), "links")
-        after = _signature(now)
+        now, after = _kept(_oriented(met.select(F.col("v").alias("u"), F.col("m").alias("v"))
+                                     .unionByName(small.select("u", F.col("m").alias("v")))))
         if after == before:
             break
         before = after

@@ -162,6 +162,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, cells: int = 1 << 27) -> D
         .groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place)).alias("last"),
                                  F.first("line", ignorenulls=True).alias("line"))
         .filter("line is not null or first <> last"), "lines")
+    maps.destroy()
     near = stored(_near(contents), "near").withColumn("near", F.lit(True))
     # stored, so that the next join has one exchange a side and AQE can
     # split a line with very many occurrences

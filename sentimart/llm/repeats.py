@@ -200,11 +200,13 @@ def repeated_parts(docs: DataFrame, windows: Windows, judge: Callable[[DataFrame
     members = docs.mapInArrow(_members(windows, maps), _MEMBER_SQL)
     met = members.join(verdicts, ["anchor", "digest"])
     whole = earlier()
-    return stored(
+    parts = stored(
         met.filter(whole | F.col("mask").isNotNull())
         .select("doc_id", "text_key", F.struct(
             "start", "n_windows", F.when(~whole, F.col("mask")).alias("mask")).alias("part"))
         .groupBy("doc_id", "text_key").agg(F.collect_list("part").alias("parts")), "parts")
+    maps.destroy()
+    return parts
 
 
 def with_parts(docs: DataFrame, parts: DataFrame) -> DataFrame:
