@@ -26,6 +26,11 @@ from sentimart.session import ship_package
 ORACLE_SQL = None
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Every row as one column, beside its doc_id: no name can clash."""
+    return docs.select(F.struct("*").alias("document"), "doc_id")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents predicted toxic.  Null and empty texts stay."""
     ship_package(spark)
@@ -55,9 +60,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = simhash_groups(docs.filter("doc_id is not null"))
     kept = (groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
             .select(F.col("doc_id").alias("kept_id"), "rows"))
-    met = docs.join(stored(kept, "kept").hint("shuffle_hash"), F.col("doc_id") == F.col("kept_id"))
-    once = met.filter("rows = 1").select(*docs.columns)
-    repeated = met.filter("rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    kept = stored(kept, "kept").hint("shuffle_hash")
+    met = _whole(docs).join(kept, F.col("doc_id") == F.col("kept_id"))
+    once = met.filter("rows = 1").select("document.*")
+    repeated = met.filter("rows > 1").dropDuplicates(["doc_id"]).select("document.*")
     return once.unionByName(repeated).unionByName(docs.filter("doc_id is null"))
 
 
@@ -71,9 +77,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Selects documents by the target weights, as many tokens as there are:
     a row (the columns of documents, ``domain``, ``epoch``) for each epoch a
-    document is in.  Rows that repeat a doc_id are selected together."""
+    document is in.  Rows that repeat a doc_id are selected together; input
+    columns of these two names are replaced."""
     chosen = mix(docs, source_domain(), MIX_WEIGHTS, fraction=1.0).select("doc_id", "domain", "epoch").distinct()
-    return docs.join(chosen, "doc_id").select(*docs.columns, "domain", "epoch")
+    names = [c for c in docs.columns if c not in ("domain", "epoch")]
+    return (_whole(docs).join(chosen, "doc_id")
+            .select(*(F.col("document").getField(c).alias(c) for c in names), "domain", "epoch"))
 
 
 STAGES = [

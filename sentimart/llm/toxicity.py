@@ -51,9 +51,8 @@ def features(text: bytes) -> np.ndarray:
 class _Rows:
     """Texts as sparse rows of the features that a model uses."""
 
-    def __init__(self, words: np.ndarray, of: np.ndarray, n: int, column: np.ndarray):
-        at = column[words]
-        self.at, self.of, self.n = at[at >= 0], of[at >= 0], n
+    def __init__(self, at: np.ndarray, of: np.ndarray, n: int):
+        self.at, self.of, self.n = at, of, n
 
     def margins(self, weights, bias):
         return np.bincount(self.of, weights[self.at], minlength=self.n) + bias
@@ -66,6 +65,14 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def _seen(words: np.ndarray) -> np.ndarray:
+    """How often each feature occurs, counted piece by piece."""
+    out = np.zeros(FEATURES, dtype=np.int64)
+    for at in range(0, len(words), 1 << 20):
+        out += np.bincount(words[at:at + (1 << 20)], minlength=FEATURES)
+    return out
+
+
 def _telling(seen_p: np.ndarray, seen_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
     """The features whose rates differ clearly between the samples, by the
     numbers of texts that hold them."""
@@ -87,14 +94,14 @@ def fit(words: np.ndarray, sizes: np.ndarray, positive: np.ndarray, prior: float
     if not n_p or not n_u:
         return Model(weights.astype(np.float32), bias)
     toxic = np.repeat(positive, sizes)
-    number = np.where(positive, np.cumsum(positive), np.cumsum(~positive)) - 1     # among its own kind
-    of = np.repeat(number.astype(np.int32), sizes)
-    frequent = _telling(np.bincount(words[toxic], minlength=FEATURES),
-                        np.bincount(words[~toxic], minlength=FEATURES), n_p, n_u)
+    seen_p = _seen(words[toxic])
+    frequent = _telling(seen_p, _seen(words) - seen_p, n_p, n_u)
     column = np.full(FEATURES, -1, dtype=np.int32)
     column[frequent] = np.arange(len(frequent))
-    p = _Rows(words[toxic], of[toxic], n_p, column)
-    u = _Rows(words[~toxic], of[~toxic], n_u, column)
+    used = np.flatnonzero(column[words] >= 0)
+    number = np.where(positive, np.cumsum(positive), np.cumsum(~positive)) - 1     # among its own kind
+    at, of, toxic = column[words[used]], np.repeat(number.astype(np.int32), sizes)[used], toxic[used]
+    p, u = _Rows(at[toxic], of[toxic], n_p), _Rows(at[~toxic], of[~toxic], n_u)
     w = np.zeros(len(frequent) + 1)              # the bias comes last
     w[-1] = bias
     mean, square = np.zeros_like(w), np.zeros_like(w)
