@@ -17,12 +17,13 @@ from pyspark.sql import types as T
 
 
 def literal_to_json_text(cell: str | None) -> str | None:
-    """One cell: Python literal -> JSON; unreadable input -> NULL."""
+    """One cell: Python literal -> JSON; unreadable input -> NULL.  A cell too
+    large or too deep to parse fails the task instead of losing its fields."""
     if cell is None:
         return None
     try:
         value = ast.literal_eval(cell)
-    except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+    except (ValueError, SyntaxError, TypeError):
         return None
     try:
         return json.dumps(value, ensure_ascii=False, allow_nan=True)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import (CATEGORY_RULES, DEFAULT_CATEGORY, GUEST_SEP, NO_GUEST,
+from ..schemas import (GUEST_SEP, NO_GUEST,
                        TITLE_SEP, VIDEO_LINK_PREFIX)
 
 # --- fixed values ---
@@ -79,14 +79,12 @@ def video_link(videoid: Column | str) -> Column:
 
 
 def video_category(guest: Column | str) -> Column:
-    """ordered category rules over the guest prefix; NULL falls through
-    to the ``ELSE`` branch exactly like a searched SQL ``CASE``."""
+    """the video's category by its guest prefix; a NULL guest falls
+    through to the last one."""
     g = _c(guest)
-    out = None
-    for op, pattern, category in CATEGORY_RULES:
-        cond = (g == pattern) if op == "=" else g.like(pattern)
-        out = F.when(cond, category) if out is None else out.when(cond, category)
-    return out.otherwise(DEFAULT_CATEGORY)
+    return (F.when(g == NO_GUEST, "Solo").when(g == "Essentials", "Essentials")
+            .when(g.startswith("AMA"), "AMA").when(g.startswith("LIVE"), "LIVE EVENT")
+            .otherwise("WITH GUEST"))
 
 
 def _div_half_up(num: Column, den: Column) -> Column:
@@ -117,10 +115,3 @@ def percent_of(part: Column, total: Column, scale: int = 2,
     else:
         units = _div_half_up(p * (100 * f), t)
     return units / F.lit(float(f))
-
-
-def suffix_number(path: Column | str) -> Column:
-    """The ``_<digits>.parquet`` suffix of a file name as BIGINT, or
-    NULL when the name does not end that way."""
-    digits = F.regexp_extract(_c(path), r"_(\d+)\.parquet$", 1)
-    return F.when(digits != "", digits.cast("bigint"))

@@ -45,7 +45,7 @@ def response_labels(response: Column) -> Column:
     lines = F.split(strip_ws(response), "\n")
     return F.transform(lines, lambda ln: F.when(
         F.instr(ln, ":") > 0,
-        strip_ws(F.substring(ln, F.instr(ln, ":") + 1, 1 << 30)))
+        strip_ws(F.substr(ln, F.instr(ln, ":") + 1)))
         .otherwise(F.lit(SENTINEL)))
 
 

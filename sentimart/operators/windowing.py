@@ -67,11 +67,15 @@ def add_ordinal(df: DataFrame, order_by: Sequence[Column],
     never the row count.  ``order_by`` must be a total order (end it with a
     unique key) so a recomputed partition gets the same numbers.
     """
+    from ..sinks.files import materialize
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # stored once: counts and rows must come from one and the same sampling
+    # of the range bounds
     ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__local", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
+    ranged = materialize(ranged, "ordinal")
     counts = ranged.groupBy("__pid").agg(F.count("*").alias("__n"))
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),

@@ -9,7 +9,7 @@ Each entry of :data:`CTES` mirrors one Spark definition in
 from __future__ import annotations
 
 from .functions.text import PY_WHITESPACE
-from .schemas import CATEGORY_RULES, DEFAULT_CATEGORY, SENTINEL, VIDEO_LINK_PREFIX
+from .schemas import SENTINEL, VIDEO_LINK_PREFIX
 
 STRIP = f"'^{PY_WHITESPACE}+|{PY_WHITESPACE}+$'"
 
@@ -19,8 +19,10 @@ def strip(expr: str) -> str:
 
 
 def pct(n: str, total: str) -> str:
-    return (f"(CAST(((20000 * CAST({n} AS BIGINT) + CAST({total} AS BIGINT)) // "
-            f"(2 * CAST({total} AS BIGINT))) AS DOUBLE) / CAST(100 AS DOUBLE))")
+    """Percentage to two places, half up, in exact decimals."""
+    whole = f"(10000 * ({n})::HUGEINT) // ({total})"
+    up = f"((10000 * ({n})::HUGEINT) % ({total})) * 2 >= ({total})"
+    return f"(({whole} + ({up})::INT)::DOUBLE / 100.0::DOUBLE)"
 
 
 RAW_TITLE = """CASE p_partkey % 6
@@ -64,7 +66,7 @@ CTES["videos"] = f"""videos AS (
 
 CTES["comments"] = """comments AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS commentid,
-         CAST(l_partkey AS VARCHAR) AS videoid,
+         CAST(l_partkey + (l_partkey % 10 = 0)::INT AS VARCHAR) AS videoid,
          CAST(l_shipdate AS DATE) AS publishedat,
          l_returnflag || l_linestatus || ' qty ' || CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR)
            AS textoriginal,
@@ -77,12 +79,10 @@ CTES["comments"] = """comments AS (
          'channel/u' || CAST(l_suppkey AS VARCHAR) AS authorchannelurl,
          CAST(trunc(l_quantity) AS BIGINT) AS likecount,
          CAST(l_linenumber AS BIGINT) AS totalreplycount
-  FROM lineitem WHERE l_partkey % 10 <> 0)"""
+  FROM lineitem)"""
 
 CTES["topics"] = """topics AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS videoid, p_type AS topic FROM part WHERE p_partkey % 5 <> 0
-  UNION ALL
-  SELECT CAST(p_partkey AS VARCHAR) AS videoid, p_brand AS topic FROM part WHERE p_partkey % 5 <> 0)"""
+  SELECT CAST(p_partkey + (p_partkey % 5 = 0)::INT AS VARCHAR) AS videoid, unnest([p_type, p_brand]) AS topic FROM part)"""
 
 COMMENT_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
     "videoid", "publishedat", "textoriginal", "emotion", "sentimentnature",
@@ -93,7 +93,7 @@ CTES["fn_comments"] = f"""fn_comments AS (
   SELECT commentid, videoid, publishedat, textoriginal, emotion, sentimentnature,
          authordisplayname, authorprofileimageurl, authorchannelurl, likecount, totalreplycount
   FROM (SELECT *, row_number() OVER (PARTITION BY commentid ORDER BY
-          CASE WHEN emotion = '{SENTINEL}' THEN 1 ELSE 0 END ASC, {COMMENT_ORDER}) AS rw
+          (emotion IS NULL OR emotion = '{SENTINEL}') ASC, {COMMENT_ORDER}) AS rw
         FROM comments) d
   WHERE rw = 1)"""
 
@@ -102,8 +102,9 @@ _VIDEO_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
     "thumbnailimageurl", "viewcount", "likescount", "commentscount",
     "videocategory", "videolink"])
 
-CATEGORY = ("CASE " + " ".join(f"WHEN guest {op} '{pat}' THEN '{cat}'" for op, pat, cat in CATEGORY_RULES)
-            + f" ELSE '{DEFAULT_CATEGORY}' END")
+# written out apart from the library's rule
+CATEGORY = """coalesce(CASE guest WHEN 'N/A' THEN 'Solo' WHEN 'Essentials' THEN 'Essentials' END,
+    CASE left(guest, 3) WHEN 'AMA' THEN 'AMA' END, CASE left(guest, 4) WHEN 'LIVE' THEN 'LIVE EVENT' END, 'WITH GUEST')"""
 
 CTES["fn_videos"] = f"""fn_videos AS (
   SELECT videoid, title, guest, videocategory, videolink, description, publisheddate,
@@ -114,43 +115,26 @@ CTES["fn_videos"] = f"""fn_videos AS (
               FROM videos) e) d
   WHERE rw = 1)"""
 
+# Filtered counts per video; a percentage is null-free because only videos
+# with at least one of the three labels have a row.
+_LABELS = {"positive": "positivecommentspercentage", "negative": "negativecommentspercentage",
+           "neutral": "neutralcommentspercentage"}
 CTES["sentimentnature_per"] = f"""sentimentnature_per AS (
-  WITH cte AS (
-    SELECT videoid, sentimentnature,
-           {pct("COUNT(sentimentnature)", "SUM(COUNT(sentimentnature)) OVER (PARTITION BY videoid)")}
-             AS percentage_sentimentnature
-    FROM fn_comments
-    WHERE sentimentnature = 'positive' OR sentimentnature = 'negative' OR sentimentnature = 'neutral'
-    GROUP BY videoid, sentimentnature)
-  SELECT videoid,
-    CAST(SUM(CASE WHEN sentimentnature = 'positive' THEN percentage_sentimentnature ELSE 0 END) AS DOUBLE)
-      AS positivecommentspercentage,
-    CAST(SUM(CASE WHEN sentimentnature = 'negative' THEN percentage_sentimentnature ELSE 0 END) AS DOUBLE)
-      AS negativecommentspercentage,
-    CAST(SUM(CASE WHEN sentimentnature = 'neutral' THEN percentage_sentimentnature ELSE 0 END) AS DOUBLE)
-      AS neutralcommentspercentage
-  FROM cte GROUP BY videoid)"""
-
-CTES["fn_bigtable"] = """fn_bigtable AS (
-  SELECT a.videoid AS videoid, lower(a.title) AS title, lower(a.description) AS description,
-         a.thumbnailimageurl AS thumbnailimageurl, a.videolink AS videolink,
-         lower(a.videocategory) AS videocategory, lower(a.guest) AS guest,
-         a.publisheddate AS publisheddate, a.duration AS duration, a.viewcount AS viewcount,
-         a.likescount AS likescount, a.commentscount AS commentscount,
-         b.positivecommentspercentage AS positivecommentspercentage,
-         b.negativecommentspercentage AS negativecommentspercentage,
-         b.neutralcommentspercentage AS neutralcommentspercentage,
-         lower(c.topic) AS topic
-  FROM fn_videos AS a
-  LEFT JOIN sentimentnature_per AS b ON a.videoid = b.videoid
-  LEFT JOIN topics AS c ON a.videoid = c.videoid)"""
+  SELECT videoid, {", ".join(f"{pct('n_' + k, 'n_positive + n_negative + n_neutral')} AS {v}" for k, v in _LABELS.items())}
+  FROM (SELECT videoid, {", ".join(f"count(*) FILTER (WHERE sentimentnature = '{k}') AS n_{k}" for k in _LABELS)}
+        FROM fn_comments GROUP BY videoid) counted
+  WHERE n_positive + n_negative + n_neutral > 0)"""
+
+_LOWERED = ["title", "description", "videocategory", "guest"]
+CTES["fn_bigtable"] = f"""fn_bigtable AS (
+  SELECT v.* REPLACE ({", ".join(f"lower({c}) AS {c}" for c in _LOWERED)}),
+         {", ".join(_LABELS.values())}, lower(topic) AS topic
+  FROM (fn_videos v NATURAL LEFT JOIN sentimentnature_per) NATURAL LEFT JOIN topics)"""
 
 CTES["fn_rk1_table"] = """fn_rk1_table AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY topic ORDER BY viewcount DESC NULLS FIRST,
-             likescount DESC NULLS FIRST, videoid ASC NULLS FIRST, title ASC NULLS FIRST) AS rank
-    FROM fn_bigtable) r
-  WHERE rank = 1)"""
+  SELECT *, CAST(1 AS BIGINT) AS rank FROM fn_bigtable
+  QUALIFY row_number() OVER (PARTITION BY topic ORDER BY viewcount DESC NULLS FIRST,
+    likescount DESC NULLS FIRST, videoid NULLS FIRST, title NULLS FIRST) = 1)"""
 
 # Which CTEs each CTE needs (in dependency order).
 DEPS = {

@@ -8,12 +8,16 @@ Both are single Spark jobs over whole folders (no per-file driver loop):
          -> CSV folders partitioned by source label
          -> audit rows per source, appended
 
-The failed queue is *recomputed* on every pass and replaced as a whole,
-so a comment that succeeds on retry leaves the queue (N12).
+Every pass replaces the failed rows of its own sources only.  The failed
+queue is what has failed and is not among the processed comments, so a
+comment that succeeds on retry leaves it (N12) the moment its row is
+appended; a retry that is interrupted, before or after that, can simply be
+run again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +29,7 @@ from ..operators.projection import nested_extract
 from ..functions.text import iso_date_prefix, trim_spaces
 from ..schemas import ALL_STRING_CLASSIFIED, COMMENT_THREAD, SENTINEL, with_field
 from ..sinks.files import append_audit, materialize_at, remove_path, write_csv
-from ..sources.files import filter_by_suffix, scan_csv, scan_parquet
+from ..sources.files import filter_by_suffix, require_nonempty, scan_csv, scan_parquet, source_label
 
 CLASSIFIED_COLUMNS = [f.name for f in ALL_STRING_CLASSIFIED.fields]
 PROCESSED = "processedcomments"
@@ -69,14 +73,20 @@ def route(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _write_outputs(spark: SparkSession, classified: DataFrame, tmp: str, out_dir: str,
-                   processed_mode: str, run_id: str, keep_intermediate: bool) -> DataFrame:
+                   retry: bool, run_id: str | None, keep_intermediate: bool) -> DataFrame:
+    """A first pass replaces its sources' rows, failed ones before
+    processed ones; a retry appends its successes and leaves the stored
+    failures as they are (see :func:`failed_comments`)."""
     processed, failed = route(classified)
     cols = CLASSIFIED_COLUMNS + ["source"]
-    write_csv(processed.select(*cols), f"{out_dir}/{PROCESSED}", mode=processed_mode,
+    if not retry:
+        # the folder repeats the source, which the files keep as a column
+        write_csv(failed.select(*cols, F.col("source").alias("queue")), f"{out_dir}/{FAILED}",
+                  mode="overwrite", partition_by=["queue"])
+    write_csv(processed.select(*cols), f"{out_dir}/{PROCESSED}", mode="append" if retry else "overwrite",
               partition_by=["source"])
-    # full replacement: the queue is exactly the current failures
-    write_csv(failed.select(*cols), f"{out_dir}/{FAILED}", mode="overwrite")
     counts = status_counts(classified, ~is_failed(), by=["source"])
+    run_id = run_id or f"{'retry' if retry else 'first'}-{uuid.uuid4().hex[:12]}"
     audit = append_audit(spark, counts, f"{out_dir}/{AUDIT}", run_id)
     if not keep_intermediate:
         remove_path(spark, tmp)  # the classified copy has served all outputs
@@ -86,34 +96,53 @@ def _write_outputs(spark: SparkSession, classified: DataFrame, tmp: str, out_dir
 def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
                start: int | None = None, end: int | None = None,
                classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
-               parallelism: int | None = None, run_id: str = "first",
-               keep_intermediate: bool = False, **kw) -> DataFrame:
-    """Classify every comment thread under ``threads_dir`` (a folder
-    partitioned by ``source``), optionally only sources whose label suffix
-    is in ``[start, end)``.  Returns the audit rows of this run."""
-    threads = scan_parquet(spark, threads_dir, with_field(COMMENT_THREAD, "source"))
+               parallelism: int | None = None, run_id: str | None = None,
+               keep_intermediate: bool = False, flat_files: bool = False, **kw) -> DataFrame:
+    """Classify every comment thread under ``threads_dir``, optionally
+    only sources whose label suffix is in ``[start, end)``.  Returns the
+    audit rows of this run (``run_id``: a new one unless given).
+
+    The folder is partitioned by ``source``, or holds one file per source
+    with ``flat_files`` (``{id}_{n}.parquet``; the label is the file's
+    name).  An empty selection raises (S10)."""
+    if flat_files:
+        threads = scan_parquet(spark, threads_dir, COMMENT_THREAD).withColumn(
+            "source", source_label("_metadata.file_path"))
+    else:
+        threads = scan_parquet(spark, threads_dir, with_field(COMMENT_THREAD, "source"))
     if start is not None and end is not None:
         threads = filter_by_suffix(threads, "source", start, end)
+    require_nonempty(threads, f"selection [{start}, {end}) of {threads_dir}")
     flat = extract_comments(threads, keep=["source"])
     classified, tmp = materialize_at(classify_comments(flat, classifier=classifier,
                                                        parallelism=parallelism, **kw), "classified")
-    return _write_outputs(spark, classified, tmp, out_dir, "overwrite", run_id, keep_intermediate)
+    return _write_outputs(spark, classified, tmp, out_dir, False, run_id, keep_intermediate)
 
 
 def retry_pass(spark: SparkSession, out_dir: str,
                classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
-               parallelism: int | None = None, run_id: str = "retry",
+               parallelism: int | None = None, run_id: str | None = None,
                keep_intermediate: bool = False, **kw) -> DataFrame:
     """C4: re-classify the failed queue; successes are appended to the
-    processed folder, the queue is replaced by what still fails."""
-    queue = scan_csv(spark, f"{out_dir}/{FAILED}", with_field(ALL_STRING_CLASSIFIED, "source"),
-                     recursive=True)
-    todo = queue.drop("emotion", "sentimentnature").withColumns({
+    processed folder and leave the queue by that."""
+    todo = failed_comments(spark, out_dir).drop("emotion", "sentimentnature").withColumns({
         "likecount": F.col("likecount").try_cast("bigint"),
         "totalreplycount": F.col("totalreplycount").try_cast("bigint")})
     classified, tmp = materialize_at(classify_comments(todo, classifier=classifier,
                                                        parallelism=parallelism, **kw), "retried")
-    return _write_outputs(spark, classified, tmp, out_dir, "append", run_id, keep_intermediate)
+    return _write_outputs(spark, classified, tmp, out_dir, True, run_id, keep_intermediate)
+
+
+def failed_comments(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The failed queue: stored failures that no pass has processed since.
+    Rows are the same comment if all but the labels is equal, as comment
+    ids need not be unique."""
+    same = F.md5(F.to_json(F.struct(*(c for c in CLASSIFIED_COLUMNS if c not in ("emotion", "sentimentnature"))),
+                           {"ignoreNullFields": "false"}))
+    stored = scan_csv(spark, f"{out_dir}/{FAILED}", with_field(ALL_STRING_CLASSIFIED, "source"),
+                      recursive=True)
+    done = processed_comments(spark, out_dir).select(same.alias("same")).distinct()
+    return stored.withColumn("same", same).join(done, "same", "left_anti").drop("same")
 
 
 def processed_comments(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -77,17 +77,18 @@ def build_marts(videos: DataFrame, comments: DataFrame, topics: DataFrame,
     so the comment dedup and the video cleaning run once even though the
     wide table reads the video dimension twice (inner + anti branches).
 
-    ``fn_videos``, ``fn_comments`` and the percentages are bucketed on
+    ``fn_videos`` and the percentages, one row a video, are bucketed on
     ``videoid`` (``buckets``, default the shuffle partition count): the
-    per-video aggregation and the video joins then read co-partitioned
-    buckets, and only ``topics`` is shuffled for the wide table."""
+    video joins then read co-partitioned buckets, and only ``topics`` is
+    shuffled for the wide table."""
     n = buckets or int(videos.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pub(name: str, df: DataFrame, bucketed: bool = False) -> DataFrame:
         return publish_table(df, f"{prefix}{name}", f"{location}/{name}",
                              bucket_by=(n, ["videoid"]) if bucketed else None)
+    # the comments are not bucketed: a video may hold a third of them
     out = {"fn_videos": pub("fn_videos", warehouse.fn_videos(videos), True),
-           "fn_comments": pub("fn_comments", warehouse.fn_comments(comments), True)}
+           "fn_comments": pub("fn_comments", warehouse.fn_comments(comments))}
     out["sentimentnature_per"] = pub("sentimentnature_per", sentiment_pct(out["fn_comments"]), True)
     out["fn_bigtable"] = pub("fn_bigtable", bigtable(out["fn_videos"], out["sentimentnature_per"], topics))
     out["fn_rk1_table"] = pub("fn_rk1_table", best_video_per_topic(out["fn_bigtable"]))

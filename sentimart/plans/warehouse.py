@@ -36,10 +36,10 @@ def fn_videos(videos: DataFrame) -> DataFrame:
 def fn_comments(comments: DataFrame) -> DataFrame:
     """One row per comment id (W1, deterministic survivor).
 
-    Rows whose emotion is the sentinel lose to a classified copy of the
-    same comment, so a retried comment never stays failed in the table
+    Failed rows (no emotion, or the sentinel) lose to a classified copy of
+    the same comment, so a retried comment never stays failed in the table
     (N12)."""
-    failed_last = F.when(F.col("emotion") == SENTINEL, 1).otherwise(0).asc()
+    failed_last = F.when(F.col("emotion").isNull() | (F.col("emotion") == SENTINEL), 1).otherwise(0).asc()
     order = total_order(comments, ["commentid"], first=[failed_last])
     return dedup_by_key(comments, "commentid", order).select(*FN_COMMENTS_COLUMNS)
 

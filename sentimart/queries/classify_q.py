@@ -56,7 +56,7 @@ _THREAD_ROWS = f"""SELECT {SOURCE_SQL} AS source, l_returnflag || l_linestatus A
 
 def _first_pass(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     out = scratch_path(spark, "comments")
-    audit = C.first_pass(spark, stage_threads(spark, sf), out, 0, N_SOURCES,
+    audit = C.first_pass(spark, stage_threads(spark, sf), out, 0, N_SOURCES, run_id="first",
                          classifier=picky_classifier, sleep=lambda s: None)
     return out, audit
 
@@ -75,7 +75,7 @@ def q_comments_first_pass(spark, sf):
           f"FROM ({_THREAD_ROWS}) t WHERE fs = 'NO' GROUP BY source")
 def q_comments_retry_pass(spark, sf):
     out, _ = _first_pass(spark, sf)
-    return C.retry_pass(spark, out, sleep=lambda s: None).drop("run_id", "logged_at")
+    return C.retry_pass(spark, out, run_id="retry", sleep=lambda s: None).drop("run_id", "logged_at")
 
 
 _TEM, _TSE = _sql_rule("textoriginal")
@@ -85,13 +85,13 @@ _LOADED = (f"SELECT commentid, videoid, CAST(publishedat AS DATE) AS publishedat
 
 
 @register("load_tables", "SELECT commentid, emotion, sentimentnature FROM (SELECT *, row_number() OVER "
-          f"(PARTITION BY commentid ORDER BY CASE WHEN emotion = '{SENTINEL}' THEN 1 ELSE 0 END, "
+          f"(PARTITION BY commentid ORDER BY (emotion IS NULL OR emotion = '{SENTINEL}'), "
           f"{O.COMMENT_ORDER}) AS rw FROM ({_LOADED}) l) d WHERE rw = 1")
 def q_load_tables(spark, sf):
     """C5 + C7 after both passes: processed CSV folders -> typed comments
     table (positional, bad rows skipped) -> one row per comment."""
     out, _ = _first_pass(spark, sf)
-    C.retry_pass(spark, out, sleep=lambda s: None)
+    C.retry_pass(spark, out, run_id="retry", sleep=lambda s: None)
     typed = load_skip_bad(spark, f"{out}/{C.PROCESSED}", COMMENTS)
     return fn_comments(typed).select("commentid", "emotion", "sentimentnature")
 
@@ -105,7 +105,7 @@ def q_load_tables(spark, sf):
 def q_run_audit(spark, sf):
     """K9: the audit log after both passes, read back from storage."""
     out, _ = _first_pass(spark, sf)
-    C.retry_pass(spark, out, sleep=lambda s: None)
+    C.retry_pass(spark, out, run_id="retry", sleep=lambda s: None)
     log = spark.read.parquet(f"{out}/{C.AUDIT}")
     return log.groupBy("run_id").agg(F.count(F.lit(1)).alias("sources"),
                                      F.sum("total_rows").alias("total_rows"),

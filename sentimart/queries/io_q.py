@@ -124,16 +124,16 @@ def q_typed_schema_cast(spark, sf):
     return as_table(strings, COMMENTS)
 
 
-_DOC_CELL_SQL = ("CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 9 = 1 THEN '' "
-                 "WHEN doc_id % 9 = 2 THEN '  \"quoted\", with comma' || chr(10) || 'and \\\\ backslash ' "
+_DOC_CELL_SQL = ("CASE WHEN doc_id % 99 = 0 THEN NULL WHEN doc_id % 99 = 1 THEN '' "
+                 "WHEN doc_id % 9 = 2 THEN '  \"quoted\", with comma' || chr(10) || 'and \\\\ backslash ' || text "
                  "ELSE text END")
 
 
 def _doc_cells(spark: SparkSession, sf: str) -> DataFrame:
     d = A.table(spark, sf, "documents")
-    k = F.col("doc_id") % 9
-    cell = (F.when(k == 0, F.lit(None).cast("string")).when(k == 1, F.lit(""))
-            .when(k == 2, F.lit('  "quoted", with comma\nand \\\\ backslash ')).otherwise(F.col("text")))
+    k, few = F.col("doc_id") % 9, F.col("doc_id") % 99
+    cell = (F.when(few == 0, F.lit(None).cast("string")).when(few == 1, F.lit(""))
+            .when(k == 2, F.concat(F.lit('  "quoted", with comma\nand \\\\ backslash '), F.col("text"))).otherwise(F.col("text")))
     return d.select("doc_id", cell.alias("text"), "lang")
 
 
@@ -157,12 +157,12 @@ def q_scan_csv_multiline(spark, sf):
                        .cast("bigint").alias("newlines"))
 
 
-@register("append_retry_union", "SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+@register("append_retry_union", "SELECT doc_id, lang FROM documents")
 def q_append_retry_union(spark, sf):
     d = A.table(spark, sf, "documents").select("doc_id", "lang")
     path = scratch_path(spark, "csv")
     write_csv(d.where(F.col("doc_id") % 2 == 0), path, mode="overwrite")
-    write_csv(d.where(F.col("doc_id") % 3 == 0), path, mode="append")  # overlaps on % 6
+    write_csv(d.where((F.col("doc_id") % 2 == 1) | (F.col("doc_id") % 3 == 0)), path, mode="append")  # overlaps on % 6
     back = scan_csv(spark, path, T.StructType([T.StructField("doc_id", T.LongType()),
                                                T.StructField("lang", T.StringType())]))
     return dedup_by_key(back, "doc_id")
@@ -243,7 +243,7 @@ def q_paged_fetch(spark, sf):
 
 @register("load_warehouse", "SELECT 'channel' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM supplier "
           "UNION ALL SELECT 'videos', CAST(count(*) AS BIGINT) FROM part "
-          "UNION ALL SELECT 'topics', CAST(2 * count(*) AS BIGINT) FROM part WHERE p_partkey % 5 <> 0 "
+          "UNION ALL SELECT 'topics', CAST(2 * count(*) AS BIGINT) FROM part "
           "UNION ALL " + O.with_views(["comments"], f"SELECT 'comments', CAST(count(*) AS BIGINT) FROM comments "
                                       f"WHERE {_NOT_BAD}").replace("WITH ", "(WITH ", 1) + ")")
 def q_load_warehouse(spark, sf):

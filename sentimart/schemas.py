@@ -27,15 +27,6 @@ MAX_ATTEMPTS = 3
 TITLE_SEP = "|"
 GUEST_SEP = ":"
 NO_GUEST = "N/A"
-# Video category rules, in order: (operator, guest pattern, category);
-# a guest matching no rule (or NULL) gets DEFAULT_CATEGORY.
-CATEGORY_RULES = [
-    ("=", "N/A", "Solo"),
-    ("=", "Essentials", "Essentials"),
-    ("LIKE", "AMA%", "AMA"),
-    ("LIKE", "LIVE%", "LIVE EVENT"),
-]
-DEFAULT_CATEGORY = "WITH GUEST"
 # --- end of fixed values ---
 
 S, L, D = T.StringType(), T.LongType(), T.DateType()

@@ -53,17 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
     sc = _context(spark)
     if sc is None:  # Spark Connect: only the session conf is visible
         d = spark.conf.get("spark.checkpoint.dir", None)
-        return (d or tempfile.mkdtemp(prefix="sentimart-ckpt-")).rstrip("/")
+        return (d or _local_folder(spark, spark.conf.get("spark.master", ""))).rstrip("/")
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
     d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="sentimart-ckpt-")
-    sc.setCheckpointDir(d)
+    sc.setCheckpointDir(d or _local_folder(spark, sc.master))
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _local_folder(spark: SparkSession, master: str) -> str:
+    """A private folder for runs in one process; on a cluster the executors
+    would not share it."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="sentimart-ckpt-")
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:

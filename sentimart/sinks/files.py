@@ -118,5 +118,6 @@ def append_audit(spark: SparkSession, counts: DataFrame, path: str,
     independent of ``counts``) opens only that run's folder."""
     rows = counts.select(F.lit(run_id).alias("run_id"),
                          F.current_timestamp().alias("logged_at"), "*")
-    rows.write.mode(mode).partitionBy("run_id").parquet(path)
+    (rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(path))
     return spark.read.parquet(path).where(F.col("run_id") == run_id)

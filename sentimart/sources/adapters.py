@@ -81,11 +81,13 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``commentid`` = order-line, which is *not* unique in the source, so the
     table carries genuine duplicates for the dedup operator.
     """
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 10 != 0)
+    li = table(spark, sf_dir, "lineitem")
+    # comments of every tenth video go to the next one: it has none
+    video = F.col("l_partkey") + (F.col("l_partkey") % 10 == 0).cast("int")
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     return li.select(
         F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("commentid"),
-        _s("l_partkey").alias("videoid"),
+        _s(video).alias("videoid"),
         F.to_date("l_shipdate").alias("publishedat"),
         F.concat(flag, status, F.lit(" qty "), _s(F.col("l_quantity").cast("bigint")))
         .alias("textoriginal"),
@@ -102,10 +104,12 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``topics`` (videoid, topic): two topics per video for 4 of 5 videos."""
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 5 != 0)
+    """``topics`` (videoid, topic): two topics per row; every fifth video has
+    none, its topics go to the next one."""
+    p = table(spark, sf_dir, "part")
+    video = F.col("p_partkey") + (F.col("p_partkey") % 5 == 0).cast("int")
     # one scan: each row yields its two topics
-    return p.select(_s("p_partkey").alias("videoid"),
+    return p.select(_s(video).alias("videoid"),
                     F.explode(F.array("p_type", "p_brand")).alias("topic"))
 
 

@@ -28,32 +28,29 @@ PAGE_SCHEMA = T.StructType([
     T.StructField("page", T.LongType()), T.StructField("comment_id", T.StringType())])
 
 
-def paged_fetch(ids: DataFrame, id_col: str, client: PageClient, schema: T.StructType,
-                max_pages: int | None = None) -> DataFrame:
+def paged_fetch(ids: DataFrame, id_col: str, client: PageClient, schema: T.StructType) -> DataFrame:
     """Every page of every id (all pages are kept, not only the
     last).  Output rows are ``client`` items plus the id column; the item
     dicts must carry the other ``schema`` fields.  Page tokens are
     sequential, so one id's pages are walked by one task; rows leave the
     task every ``FLUSH_ROWS`` items, so its memory does not grow with a hot
-    id.  ``max_pages`` is a caller's guard against a runaway client, off by
-    default (results are complete unless it is set)."""
+    id.  No page is left out."""
     fields = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[dict] = []
         for pdf in batches:
             for entity in pdf[id_col].tolist():
-                token, pages = None, 0
+                token = None
                 while True:
                     items, token = client(entity, token)
                     rows.extend({id_col: entity, **it} for it in items)
-                    pages += 1
                     # flush inside the page loop: one entity may have
                     # millions of items, and memory must not grow with it
                     if len(rows) >= FLUSH_ROWS:
                         yield pd.DataFrame(rows, columns=fields)
                         rows = []
-                    if not token or (max_pages and pages >= max_pages):
+                    if not token:
                         break
         if rows:
             yield pd.DataFrame(rows, columns=fields)

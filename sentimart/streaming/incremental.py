@@ -50,7 +50,7 @@ def run_comment_stream(spark: SparkSession, threads_dir: str, out_dir: str,
                   partition_by=["source"])
         write_csv(failed.select(*cols), f"{out_dir}/{C.FAILED}/{part}", mode="overwrite")
         append_audit(spark, status_counts(classified, ~C.is_failed(), by=["source"]),
-                     f"{out_dir}/{C.AUDIT}/{part}", f"batch-{batch_id}", mode="overwrite")
+                     f"{out_dir}/{C.AUDIT}", f"batch-{batch_id}", mode="overwrite")
         remove_path(spark, tmp)
 
     w = (comment_stream(spark, threads_dir, max_files_per_trigger).writeStream
