@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.text import split_pair
-from ..schemas import BATCH_SIZE, MAX_ATTEMPTS, SENTINEL
+from ..schemas import BATCH_SIZE, EMOTIONS, MAX_ATTEMPTS, SENTINEL
 
 Classifier = Callable[[list[str]], str]
 
@@ -87,13 +87,14 @@ def flaky_classifier():
 
 
 def build_prompt(texts: Sequence[str]) -> str:
-    """Prompt for a model client: one ``Comment i: text`` line per comment
-    and the answer format (one ``Comment i: emotion, sentiment`` line
-    each)."""
+    """Prompt for a model client: one ``Comment i: text`` line per comment,
+    the emotions to choose from and the answer format (one ``Comment i:
+    emotion, sentiment`` line each)."""
     body = "\n".join(f"Comment {i}: {t}" for i, t in enumerate(texts, 1))
     return (f"Classify the emotion and sentiment of each of these {len(texts)} comments.\n"
             f"{body}\n\nAnswer with exactly one line per comment, in order:\n"
-            "Comment <n>: <emotion>, <positive|negative|neutral>")
+            "Comment <n>: <emotion>, <positive|negative|neutral>\n"
+            f"with exactly one emotion out of: {', '.join(EMOTIONS)}.")
 
 
 def parse_response(response: str, n: int, check_numbers: bool = False) -> list[str]:

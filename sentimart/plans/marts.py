@@ -54,9 +54,10 @@ def bigtable(fn_videos: DataFrame, pct: DataFrame, topics: DataFrame) -> DataFra
         "videolink", F.lower("videocategory").alias("videocategory"),
         F.lower("guest").alias("guest"), "publisheddate", "duration",
         "viewcount", "likescount", "commentscount")
-    with_pct = left_join_one(v, pct, "videoid")
     t = topics.select("videoid", F.lower("topic").alias("topic"))
-    return left_join_fanout(with_pct, t, "videoid").select(*BIGTABLE_COLUMNS)
+    # topics first: the fan-out evaluates its left side twice, and the
+    # percentages are the expensive input
+    return left_join_one(left_join_fanout(v, t, "videoid"), pct, "videoid").select(*BIGTABLE_COLUMNS)
 
 
 def best_video_per_topic(big: DataFrame) -> DataFrame:

@@ -104,7 +104,7 @@ def test_ordinals_with_payload_are_dense(spark):
 
 
 def test_stored_marts_are_bucketed_by_video(spark):
-    """From the stored chain only topics is shuffled for the wide table; the
+    """From the stored chain the topics and their fan-out are shuffled; the
     comments, which a hot video may dominate, are not bucketed."""
     from sentimart.queries.marts_q import videos
     from sentimart.session import scratch_path
@@ -114,6 +114,6 @@ def test_stored_marts_are_bucketed_by_video(spark):
     try:
         assert plan(marts.sentiment_pct(t["fn_comments"])).count("Exchange") == 1
         p = plan(marts.bigtable(t["fn_videos"], t["sentimentnature_per"], A.topics(spark, SF_SMALL)))
-        assert p.count("Exchange hashpartitioning") == 2      # topics rows, topics keys
+        assert p.count("Exchange hashpartitioning") == 3      # topics rows, topics keys, the fanned-out rows
     finally:
         restore(spark)
