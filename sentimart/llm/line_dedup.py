@@ -93,7 +93,7 @@ def _occurrences(min_chars: int, shape: Sketch | None = None, maps=None):
             columns = [pa.array(ids[:, 0]), pa.array(ids[:, 1]),
                        *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3))]
             if maps:
-                mixed = estimates(shape, maps.value, _keys(rows).ravel())[1].reshape(-1, 4).any(axis=1)
+                mixed = estimates(shape, maps.value, _keys(rows).ravel(), ("mixed",))[0].reshape(-1, 4).any(axis=1)
                 columns.append(pa.array([r[4] if m else None for r, m in zip(rows, mixed.tolist())], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
     return run

@@ -110,7 +110,7 @@ def _members(windows: Windows, maps):
 
     def run(batches):
         for ids, keys, found, bounds, _ in _pieces(windows, batches):
-            keep = np.flatnonzero(estimates(windows.sketch, maps.value, found.anchor)[0])
+            keep = np.flatnonzero(estimates(windows.sketch, maps.value, found.anchor, ("repeated",))[0])
             if len(keep):
                 yield pa.RecordBatch.from_arrays(_member_columns(ids, keys, found, bounds, keep), schema=schema)
     return run

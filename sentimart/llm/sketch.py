@@ -7,6 +7,7 @@ too low: was it counted more than once, and with more than one content.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -132,11 +133,32 @@ def _maps(table: pa.Table) -> pa.Table:
     for name, least in (("repeated", _COPIES), ("mixed", _MIXED)):
         bits = np.zeros(1 << _BLOCK_BITS, dtype=np.uint8)
         bits[cells[states >= least] >> _TAG_BITS] = 1
-        out[name] = np.packbits(bits).tobytes()
+        out[name] = zlib.compress(np.packbits(bits).tobytes(), 1)
     return pa.Table.from_pylist([out], schema=_MAPS)
 
 
-def sketch(docs: DataFrame, shape: Sketch, entries: Callable) -> dict[str, np.ndarray]:
+class Maps:
+    """A merged sketch's bit maps, compressed block by block: so they pass
+    through the driver and the broadcast; a task unpacks the one it asks
+    for once."""
+
+    def __init__(self, size: int, blocks: dict[str, dict[int, bytes]]):
+        self._size, self._blocks, self._dense = size, blocks, {}
+
+    def __getstate__(self):
+        return {**self.__dict__, "_dense": {}}
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        if name not in self._dense:
+            step = (1 << _BLOCK_BITS) // 8
+            dense = np.zeros(self._size, dtype=np.uint8)
+            for block, packed in self._blocks[name].items():
+                dense[block * step:(block + 1) * step] = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+            self._dense[name] = dense
+        return self._dense[name]
+
+
+def sketch(docs: DataFrame, shape: Sketch, entries: Callable) -> Maps:
     """Bit maps of the merged count-min sketch, ``depth * cells`` bits each:
     ``repeated`` (counted more than once) and ``mixed`` (with more than one
     content).  ``entries`` turns a task's Arrow batches of ``docs`` into
@@ -150,19 +172,17 @@ def sketch(docs: DataFrame, shape: Sketch, entries: Callable) -> dict[str, np.nd
         parts = -(-parts // _FAN_IN)
     found = stored(rows.groupBy("block").applyInArrow(
         _maps, "block int, repeated binary, mixed binary"), "sketch")
-    size = shape.cells * shape.depth // 8
-    out = {n: np.zeros(size, dtype=np.uint8) for n in ("repeated", "mixed")}
-    step = (1 << _BLOCK_BITS) // 8
+    blocks: dict[str, dict[int, bytes]] = {"repeated": {}, "mixed": {}}
     for row in found.toLocalIterator():      # one row a block: bounded by the sketch's size
-        for n in out:
-            out[n][row["block"] * step:(row["block"] + 1) * step] = np.frombuffer(row[n], dtype=np.uint8)
-    return out
+        for name in blocks:
+            blocks[name][row["block"]] = bytes(row[name])
+    return Maps(shape.cells * shape.depth // 8, blocks)
 
 
-def estimates(shape: Sketch, maps: dict[str, np.ndarray], keys: np.ndarray):
+def estimates(shape: Sketch, maps: Maps, keys: np.ndarray, names=("repeated", "mixed")) -> list[np.ndarray]:
     """Whether each key is estimated repeated / mixed: the least of its rows."""
     answers = []
-    for name in ("repeated", "mixed"):
+    for name in names:
         yes = np.ones(len(keys), dtype=bool)
         for row in range(shape.depth):
             cells = _cells(shape, keys, row) >> _TAG_BITS
