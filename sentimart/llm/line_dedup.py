@@ -25,7 +25,7 @@ from .common import stored, text_bytes
 from .sketch import Sketch, estimates, sketch
 from .windows import SliceHashes, mix
 
-_PIECE = 1 << 14         # lines handled at once
+_PIECE = 1 << 12         # lines handled at once
 _SPACE = b" \t\n\r\x0b\x0c"
 
 

@@ -22,7 +22,7 @@ from .windows import mix
 
 _BLOCK_BITS = 16         # map bits a block
 _TAG_BITS = 8            # sketch cells a map bit, as a power of two
-_FLUSH = 1 << 20         # keys a task gathers before it emits a sketch
+_FLUSH = 1 << 18         # keys a task gathers before it emits a sketch
 _FAN_IN = 64             # partition sketches merged at once
 
 
