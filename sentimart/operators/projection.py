@@ -12,17 +12,31 @@ from pyspark.sql import types as T
 
 from ..functions.pyliteral import literal_to_json
 
-# Cells that the JVM JSON reader (single quotes and backslash-anything
-# allowed) reads exactly like ``ast.literal_eval``: only the escapes both
-# languages share (backslash + one of ``\\ n r t ' " u``), and no
-# Python-only tokens or tuples.  Anything else (``\x41``, ``\U...``,
-# ``True``, ``None`` ...) takes the Python fallback; the guard is
-# conservative (a match inside a string only costs speed).
-_NEEDS_PYTHON = r"\\[^\\nrt'\"u]|[()]|True|False|None|\binf\b|\bnan\b"
+# Quoted strings that the JVM JSON reader (single quotes and
+# backslash-anything allowed) reads exactly like ``ast.literal_eval``: no
+# control characters, and only the escapes both languages share.  All
+# repetitions are possessive: the JVM matches those in a loop, so long
+# strings do not deepen its stack.
+_PLAIN = "(?:" + "|".join(rf"{q}(?:[^{q}\\\x00-\x1F]++|\\[\\nrt'\"u])*+{q}" for q in "'\"") + ")"
+# Cells of such strings, numbers, brackets and constants are read in the
+# JVM; anything else (``\x41``, ``\U...``, tuples ...) takes the Python
+# fallback.
+_READ_IN_JVM = rf"^(?:{_PLAIN}|[\s{{}}\[\],:0-9.+-]++|[eE][0-9+-]|True|False|None|true|false|null)*+$"
+_CONSTANTS = {"True": "true", "False": "false", "None": "null"}
 _JSON_OPTS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
               "mode": "PERMISSIVE"}
 
 
+def _json_constants(cell: Column) -> Column:
+    """Python's constants outside quotes as those of JSON.  Each match
+    starts where the last one ended and passes whole strings, so nothing
+    inside quotes is touched."""
+    for word, json in _CONSTANTS.items():
+        before = rf"\G((?:{_PLAIN}|[^'\"{word[0]}])*+)"
+        cell = F.regexp_replace(cell, before + word, "$1" + json)
+    return cell
+
+
 def nested_extract(df: DataFrame, fields: Mapping[str, str | Column]) -> DataFrame:
     """``alias -> dotted path`` (or expression); nested column pruning
     keeps the Parquet scan to exactly these leaves."""
@@ -60,12 +74,25 @@ def parse_struct_column(df: DataFrame, column: str, schema: T.StructType,
     backslash escapes allowed) reads exactly like Python are parsed in the
     JVM; only the others are handed to the Arrow UDF, which receives NULL
     for every fast-path row (so its cost is a null-column transfer there).
+    Unreadable cells give NULL fields; :func:`unreadable_cells` lists them.
     """
-    out = out or column
-    c = F.col(column)
-    fast_ok = c.isNull() | ~c.rlike(_NEEDS_PYTHON)
-    text = F.when(fast_ok, c).otherwise(literal_to_json(F.when(~fast_ok, c)))
-    return df.withColumn(out, F.from_json(text, schema, _JSON_OPTS))
+    return df.withColumn(out or column, F.from_json(_as_json(F.col(column)), schema, _JSON_OPTS))
+
+
+def _as_json(cell: Column) -> Column:
+    fast_ok = cell.isNull() | cell.rlike(_READ_IN_JVM)
+    return F.when(fast_ok, _json_constants(cell)).otherwise(literal_to_json(F.when(~fast_ok, cell)))
+
+
+def unreadable_cells(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+    """The rows of ``df`` whose dict cell in ``column`` is neither NULL nor
+    readable as ``schema``: the rejects of :func:`parse_struct_column`."""
+    bad = "__unreadable"
+    options = {**_JSON_OPTS, "columnNameOfCorruptRecord": bad}
+    parsed = F.from_json(_as_json(F.col(column)), T.StructType([*schema.fields, T.StructField(bad, T.StringType())]),
+                         options)
+    return (df.withColumn(bad, parsed)
+            .where(F.col(column).isNotNull() & (F.col(bad).isNull() | F.col(f"{bad}.{bad}").isNotNull())).drop(bad))
 
 
 def _leaves(dtype: T.DataType, prefix: str) -> list[str]:
@@ -99,3 +126,15 @@ def cast_counts(df: DataFrame, columns: Sequence[str], strict: bool = False) ->
         col = F.col(f"`{c}`")
         return col.cast("bigint") if strict else col.try_cast("bigint")
     return df.withColumns({c: conv(c) for c in columns})
+
+
+def count_rejects(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What :func:`cast_counts` turns into NULL: (column_name, n_good,
+    n_rejected) for each of ``columns``, in one aggregation over the table;
+    NULLs are neither."""
+    def kinds(c: str) -> Column:
+        col = F.col(f"`{c}`")
+        number = col.try_cast("bigint")
+        return F.struct(F.lit(c).alias("column_name"), F.count(number).alias("n_good"),
+                        F.count_if(col.isNotNull() & number.isNull()).alias("n_rejected"))
+    return df.agg(F.array(*[kinds(c) for c in columns]).alias("kinds")).select(F.inline("kinds"))

@@ -26,6 +26,16 @@ def total_order(df: DataFrame, keys: Sequence[str],
     return list(first) + rest
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """MD5 of the columns' texts, a tie-break of fixed length.  Each value
+    comes with its length (NULL: none), so no two different rows of values
+    give one string."""
+    def part(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    return F.md5(F.concat(*[part(c) for c in columns]))
+
+
 def dedup_by_key(df: DataFrame, keys: str | Sequence[str],
                  order_by: Sequence[Column] | None = None) -> DataFrame:
     """Keep one row per key.  The survivor is the first under
@@ -94,6 +104,16 @@ def range_shard(key: str | Column, width: int) -> Column:
     return F.floor(k / width).cast("bigint")
 
 
+def ordinal_batches(df: DataFrame, order_by: Sequence[Column], size: int,
+                    batch_col: str = "batch_id", pos_col: str = "pos") -> DataFrame:
+    """O6 for keys of any type: consecutive batches of ``size`` rows of the
+    whole table in the given total order, cut from its ordinals (O5); only
+    the last batch is smaller.  No shard and no window group is needed."""
+    numbered = add_ordinal(df, order_by, "__rn")
+    return (numbered.withColumn(batch_col, F.floor(F.col("__rn") / size).cast("bigint"))
+            .withColumn(pos_col, (F.col("__rn") % size + 1).cast("int")).drop("__rn"))
+
+
 def batch_assign(df: DataFrame, shard: Column, order_by: Sequence[Column],
                  size: int, batch_col: str = "batch_id",
                  pos_col: str = "pos") -> DataFrame:

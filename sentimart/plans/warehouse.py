@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import video_category, video_link
-from ..operators.windowing import dedup_by_key, total_order
+from ..operators.windowing import dedup_by_key, row_digest
 from ..schemas import SENTINEL, TABLES
 from ..sources.files import load_skip_bad, load_strict
 
@@ -38,9 +38,10 @@ def fn_comments(comments: DataFrame) -> DataFrame:
 
     Failed rows (no emotion, or the sentinel) lose to a classified copy of
     the same comment, so a retried comment never stays failed in the table
-    (N12)."""
+    (N12).  Among equals the smallest digest of the row wins: it is computed
+    in the scan, so a query that needs few columns shuffles only those."""
     failed_last = F.when(F.col("emotion").isNull() | (F.col("emotion") == SENTINEL), 1).otherwise(0).asc()
-    order = total_order(comments, ["commentid"], first=[failed_last])
+    order = [failed_last, row_digest([c for c in FN_COMMENTS_COLUMNS if c != "commentid"]).asc()]
     return dedup_by_key(comments, "commentid", order).select(*FN_COMMENTS_COLUMNS)
 
 

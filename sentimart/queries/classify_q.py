@@ -86,7 +86,7 @@ _LOADED = (f"SELECT commentid, videoid, CAST(publishedat AS DATE) AS publishedat
 
 @register("load_tables", "SELECT commentid, emotion, sentimentnature FROM (SELECT *, row_number() OVER "
           f"(PARTITION BY commentid ORDER BY (emotion IS NULL OR emotion = '{SENTINEL}'), "
-          f"{O.COMMENT_ORDER}) AS rw FROM ({_LOADED}) l) d WHERE rw = 1")
+          f"{O.COMMENT_DIGEST}) AS rw FROM ({_LOADED}) l) d WHERE rw = 1")
 def q_load_tables(spark, sf):
     """C5 + C7 after both passes: processed CSV folders -> typed comments
     table (positional, bad rows skipped) -> one row per comment."""

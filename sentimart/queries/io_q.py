@@ -21,7 +21,7 @@ from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet_partitioned
 from ..sources import adapters as A
 from ..sources import fetch
-from ..sources.files import (filter_by_suffix, load_skip_bad, load_strict, scan_csv,
+from ..sources.files import (filter_by_suffix, load_csv_table, load_skip_bad, load_strict, scan_csv,
                              scan_parquet, sort_by_suffix, source_label, suffix_of,
                              with_source_file)
 
@@ -218,8 +218,28 @@ def q_load_skip_bad(spark, sf):
     return load_skip_bad(spark, _stage_lines(spark, sf, with_bad=True), COMMENTS)
 
 
+@register("load_rejects", O.with_views(
+    ["comments"], f"SELECT CASE WHEN {_NOT_BAD} THEN 'good' ELSE 'rejected' END AS kind, "
+    "CAST(count(*) AS BIGINT) AS n_rows FROM comments GROUP BY 1"))
+def q_load_rejects(spark, sf):
+    """What the tolerant load keeps and what it refuses."""
+    good, bad = load_csv_table(spark, _stage_lines(spark, sf, with_bad=True), COMMENTS)
+    kinds = good.select(F.lit("good").alias("kind")).unionByName(bad.select(F.lit("rejected").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count("*").alias("n_rows"))
+
+
 # ---------------------------------------------------------- fetch
 
+@register("id_batches_text", "SELECT batch_id, CAST(count(*) AS INTEGER) AS n_ids, "
+          "string_agg(videoid, ',' ORDER BY videoid) AS ids FROM ("
+          "SELECT 'v-' || CAST(p_partkey AS VARCHAR) AS videoid, CAST((row_number() OVER ("
+          "ORDER BY 'v-' || CAST(p_partkey AS VARCHAR)) - 1) // 50 AS BIGINT) AS batch_id FROM part) b GROUP BY batch_id")
+def q_id_batches_text(spark, sf):
+    """S12 over ids that are texts: no integer shard exists."""
+    ids = A.table(spark, sf, "part").select(F.concat(F.lit("v-"), F.col("p_partkey").cast("string")).alias("videoid"))
+    return fetch.id_batches(ids, "videoid", size=50)
+
+
 @register("id_batches", "SELECT shard, CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS n_ids, "
           "string_agg(videoid, ',' ORDER BY videoid) AS ids FROM ("
           "SELECT p_partkey // 1000 AS shard, CAST(p_partkey AS VARCHAR) AS videoid, "

@@ -230,8 +230,28 @@ def q_cast_counts(spark, sf):
     return P.cast_counts(junk.select("id", "viewCount", "likeCount"), ["viewCount", "likeCount"])
 
 
+@register("count_rejects", f"SELECT 'viewCount' AS column_name, CAST(count(v) AS BIGINT) AS n_good, "
+          "CAST(count(*) FILTER (WHERE p_partkey % 31 = 0) AS BIGINT) AS n_rejected "
+          f"FROM (SELECT p_partkey, {_JUNK_VIEWS} AS v FROM part) t "
+          "UNION ALL SELECT 'likeCount', CAST(count(p_size) AS BIGINT), CAST(0 AS BIGINT) FROM part")
+def q_count_rejects(spark, sf):
+    st = P.flatten_struct(A.raw_videos(spark, sf).select("id", "statistics"), "statistics")
+    junk = st.withColumn("viewCount", F.when(F.col("id").cast("bigint") % 31 == 0, F.lit("n/a"))
+                         .otherwise(F.col("viewCount")))
+    return P.count_rejects(junk, ["viewCount", "likeCount"])
+
+
 # ----------------------------------------------------- dict cells
 
+@register("unreadable_cells", "SELECT CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_partkey % 37 = 0")
+def q_unreadable_cells(spark, sf):
+    """Dict cells that lost their last character."""
+    v = video_literals(spark, sf).withColumn("statistics", F.when(
+        F.col("id").cast("bigint") % 37 == 0, F.expr("left(statistics, char_length(statistics) - 1)"))
+        .otherwise(F.col("statistics")))
+    return P.unreadable_cells(v, "statistics", VIDEO_CELLS["statistics"]).select("id")
+
+
 def _py_repr_str(c):
     """Python ``repr`` of a str column for the plain characters used here:
     single quotes, with ``\\n`` escaped (a backslash forces the fallback)."""

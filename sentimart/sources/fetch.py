@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.windowing import batch_assign
+from ..operators.windowing import batch_assign, ordinal_batches
 
 PageClient = Callable[[str, "str | None"], "tuple[list[dict], str | None]"]
 
@@ -68,10 +68,16 @@ def synthetic_comment_pages(entity: str, token: str | None) -> tuple[list[dict],
     return items, (str(page + 1) if hi < n else None)
 
 
-def id_batches(ids: DataFrame, id_col: str, shard: Column, size: int = 50) -> DataFrame:
-    """Ids in batches of ``size`` per shard, joined by ``,`` (one
-    detail request each).  Groups are bounded by ``size``."""
-    b = batch_assign(ids.withColumn("shard", shard), F.col("shard"), [F.col(id_col)], size)
-    return b.groupBy("shard", "batch_id").agg(
+def id_batches(ids: DataFrame, id_col: str, shard: Column | None = None, size: int = 50) -> DataFrame:
+    """Ids in batches of ``size``, joined by ``,`` (one detail request
+    each).  Groups are bounded by ``size``.  Ids of any type are batched over
+    the whole table; with ``shard``, over each of its values (bounded ones,
+    see ``range_shard``)."""
+    if shard is None:
+        b, keys = ordinal_batches(ids.select(id_col), [F.col(id_col)], size), ["batch_id"]
+    else:
+        b = batch_assign(ids.withColumn("shard", shard), F.col("shard"), [F.col(id_col)], size)
+        keys = ["shard", "batch_id"]
+    return b.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("int").alias("n_ids"),
         F.array_join(F.array_sort(F.collect_list(id_col)), ",").alias("ids"))

@@ -254,6 +254,65 @@ def test_n4_parse_struct_column_matches_literal_eval(spark, dicts):
     assert got == {i: (d["title"], d["n"]) for i, d in enumerate(dicts)}
 
 
+def test_n4_constants_are_read_in_the_jvm_and_only_outside_quotes(spark, monkeypatch):
+    from sentimart.operators import projection
+
+    def refuse(cell):
+        return F.when(cell.isNotNull(), F.raise_error(F.lit("python path")).cast("string"))
+    monkeypatch.setattr(projection, "literal_to_json", refuse)
+    titles = ["True, None: False", "it's (True)", 'say "None"', "a\nTrue", "None", "x" * 200_000 + " True '" + "\n" * 50_000]
+    dicts = [{"flag": True, "title": t, "n": None, "more": [False, None, True, 1.5e3]} for t in titles]
+    schema = T.StructType([T.StructField("flag", T.BooleanType()), T.StructField("title", T.StringType()),
+                           T.StructField("n", T.StringType())])
+    df = spark.createDataFrame([(i, repr(d)) for i, d in enumerate(dicts)], "i long, cell string")
+    got = {r.i: (r.p.flag, r.p.title, r.p.n) for r in parse_struct_column(df, "cell", schema, "p").collect()}
+    assert got == {i: (True, t, None) for i, t in enumerate(titles)}
+
+
+def test_unreadable_cells_and_count_rejects(spark):
+    from sentimart.operators.projection import count_rejects, unreadable_cells
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    cells = ["{'a': 'x'}", "{'a': 'x'", None, "{'a': None}", "{}", "no dict", "{'a': '\\x41'}", "{'a': ('x'}", ""]
+    df = spark.createDataFrame(list(enumerate(cells)), "i long, cell string")
+    assert sorted(r.i for r in unreadable_cells(df, "cell", schema).collect()) == [1, 5, 7, 8]
+    counts = spark.createDataFrame([("1", "x"), (None, "2"), ("", "3")], "a string, b string")
+    assert {tuple(r) for r in count_rejects(counts, ["a", "b"]).collect()} == {("a", 1, 1), ("b", 2, 1)}
+
+
+def test_batches_of_text_ids_hold_every_id_once(spark):
+    from sentimart.sources.fetch import id_batches
+    ids = [f"dQw4-{i:05d}" for i in range(1_234)]
+    rows = id_batches(spark.createDataFrame([(i,) for i in ids], "id string"), "id", size=50).collect()
+    assert sorted(r.n_ids for r in rows) == [34] + [50] * 24
+    assert sorted(x for r in rows for x in r.ids.split(",")) == ids
+
+
+def test_failed_strict_load_leaves_nothing_behind(spark):
+    from sentimart.session import shared_dir
+    d = tempfile.mkdtemp(prefix="load-")
+    with open(f"{d}/a.csv", "w") as f:
+        f.write("a\n1\nx\n")
+    here = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(here)) if os.path.isdir(here) else set()
+    with pytest.raises(LoadError):
+        load_strict(spark, d, T.StructType([T.StructField("a", T.LongType())]))
+    assert (set(os.listdir(here)) if os.path.isdir(here) else set()) <= before
+
+
+def test_percentages_do_not_shuffle_the_comment_texts(spark):
+    from sentimart.plans.marts import sentiment_pct
+    from sentimart.plans.warehouse import fn_comments
+    from sentimart.schemas import COMMENTS
+    d = tempfile.mkdtemp(prefix="c-") + "/c"
+    spark.createDataFrame([], COMMENTS).write.parquet(d)
+    plan = sentiment_pct(fn_comments(spark.read.schema(COMMENTS).parquet(d)))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert windows and all("textoriginal" not in x for x in windows)
+    below = plan.splitlines()[plan.splitlines().index(windows[0]) + 1:]
+    project = next(x for x in below if "Project [" in x)
+    assert "textoriginal" not in project.split("md5(")[0]
+
+
 def test_clean_channel_keeps_every_page_and_only_removes_newlines(spark):
     from sentimart.plans.cleaning import clean_channel
     pages = [("UC1", {"title": "A", "description": "one\ntwo\r\nthree", "customUrl": "@a",
