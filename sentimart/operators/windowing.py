@@ -26,16 +26,6 @@ def total_order(df: DataFrame, keys: Sequence[str],
     return list(first) + rest
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """MD5 of the columns' texts, a tie-break of fixed length.  Each value
-    comes with its length (NULL: none), so no two different rows of values
-    give one string."""
-    def part(c: str) -> Column:
-        text = F.col(f"`{c}`").cast("string")
-        return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-    return F.md5(F.concat(*[part(c) for c in columns]))
-
-
 def dedup_by_key(df: DataFrame, keys: str | Sequence[str],
                  order_by: Sequence[Column] | None = None) -> DataFrame:
     """Keep one row per key.  The survivor is the first under

@@ -84,16 +84,16 @@ _LOADED = (f"SELECT commentid, videoid, CAST(publishedat AS DATE) AS publishedat
            f"authorchannelurl, likecount, totalreplycount FROM ({O.THREADS_SQL}) t WHERE likecount IS NOT NULL")
 
 
-@register("load_tables", "SELECT commentid, emotion, sentimentnature FROM (SELECT *, row_number() OVER "
+@register("load_tables", "SELECT * EXCLUDE (rw) FROM (SELECT *, row_number() OVER "
           f"(PARTITION BY commentid ORDER BY (emotion IS NULL OR emotion = '{SENTINEL}'), "
-          f"{O.COMMENT_DIGEST}) AS rw FROM ({_LOADED}) l) d WHERE rw = 1")
+          f"{O.COMMENT_ORDER}) AS rw FROM ({_LOADED}) l) d WHERE rw = 1")
 def q_load_tables(spark, sf):
     """C5 + C7 after both passes: processed CSV folders -> typed comments
     table (positional, bad rows skipped) -> one row per comment."""
     out, _ = _first_pass(spark, sf)
     C.retry_pass(spark, out, run_id="retry", sleep=lambda s: None)
     typed = load_skip_bad(spark, f"{out}/{C.PROCESSED}", COMMENTS)
-    return fn_comments(typed).select("commentid", "emotion", "sentimentnature")
+    return fn_comments(typed)
 
 
 @register("run_audit", "SELECT run_id, CAST(count(*) AS BIGINT) AS sources, CAST(sum(total_rows) AS BIGINT) AS total_rows, "

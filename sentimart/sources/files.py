@@ -95,8 +95,8 @@ class LoadError(ValueError):
 def load_strict(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                 glob: str | None = "*.csv") -> DataFrame:
     """Typed load that aborts on the first bad row (``ON_ERROR`` =
-    abort): raises :class:`LoadError`, and nothing of the load stays.  All
-    columns are parsed, since all are stored."""
+    abort): raises :class:`LoadError` with a sample of bad rows, and nothing
+    of the load stays.  All columns are parsed, since all are stored."""
     from ..sinks.files import remove_path
     raw = scan_csv(spark, path, schema, glob=glob, recursive=True, mode="FAILFAST", enforceSchema="true")
     out = scratch_path(spark, "load")
@@ -104,18 +104,16 @@ def load_strict(spark: SparkSession, path: str | Sequence[str], schema: T.Struct
         raw.write.parquet(out)
     except Exception as e:
         remove_path(spark, out)
-        if "MALFORMED" in str(e):
-            raise LoadError(f"malformed row: {_first_line(e)}") from e
-        raise
+        if "MALFORMED" not in str(e):
+            raise
+        full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        bad = scan_csv(spark, path, full, glob=glob, recursive=True, mode="PERMISSIVE",
+                       columnNameOfCorruptRecord=CORRUPT, enforceSchema="true").where(F.col(CORRUPT).isNotNull())
+        sample = bad.limit(3).collect()
+        raise LoadError("malformed rows, e.g. " + "; ".join(repr(r[CORRUPT]) for r in sample)) from e
     return spark.read.schema(schema).parquet(out)
 
 
-def _first_line(e: Exception) -> str:
-    """The part of an error that names the malformed record."""
-    lines = [x.strip() for x in str(e).splitlines() if "MALFORMED" in x]
-    return lines[0] if lines else str(e)
-
-
 def load_skip_bad(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                   glob: str | None = "*.csv") -> DataFrame:
     """Typed load that skips bad rows (``ON_ERROR = CONTINUE``)."""

@@ -299,20 +299,6 @@ def test_failed_strict_load_leaves_nothing_behind(spark):
     assert (set(os.listdir(here)) if os.path.isdir(here) else set()) <= before
 
 
-def test_percentages_do_not_shuffle_the_comment_texts(spark):
-    from sentimart.plans.marts import sentiment_pct
-    from sentimart.plans.warehouse import fn_comments
-    from sentimart.schemas import COMMENTS
-    d = tempfile.mkdtemp(prefix="c-") + "/c"
-    spark.createDataFrame([], COMMENTS).write.parquet(d)
-    plan = sentiment_pct(fn_comments(spark.read.schema(COMMENTS).parquet(d)))._jdf.queryExecution().optimizedPlan().toString()
-    windows = [x for x in plan.splitlines() if "Window [" in x]
-    assert windows and all("textoriginal" not in x for x in windows)
-    below = plan.splitlines()[plan.splitlines().index(windows[0]) + 1:]
-    project = next(x for x in below if "Project [" in x)
-    assert "textoriginal" not in project.split("md5(")[0]
-
-
 def test_clean_channel_keeps_every_page_and_only_removes_newlines(spark):
     from sentimart.plans.cleaning import clean_channel
     pages = [("UC1", {"title": "A", "description": "one\ntwo\r\nthree", "customUrl": "@a",
