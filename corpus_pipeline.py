@@ -39,11 +39,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that an earlier line repeats within one edit, and
-    documents of which nothing but white space is left by that.  ``n_chars``
-    follows the new text; untouched documents stay as they are."""
+    """Removes lines that an earlier line repeats within one edit (lines of
+    fewer than 20 characters: exactly), and documents of which nothing but
+    white space is left by that.  ``n_chars`` follows the new text;
+    untouched documents stay as they are."""
     ship_package(spark)
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, min_exact=1)
     touched = F.col("n_removed") > 0
     left = F.regexp_replace("kept_text", r"[\x20\x09-\x0D]+", "") != ""
     new = {"text": F.when(touched, F.col("kept_text")).otherwise(F.col("document.text")),

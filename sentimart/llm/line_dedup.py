@@ -29,19 +29,19 @@ _PIECE = 1 << 12         # lines handled at once
 _SPACE = b" \t\n\r\x0b\x0c"
 
 
-def _lines(batches, min_chars: int):
+def _lines(batches, least: int):
     """Rows (doc_id, text_key, line number, stripped line, its characters)
-    of the lines that are long enough, in lists."""
+    of the lines of ``least`` characters and more, in lists."""
     rows = []
     for batch in batches:
         for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(),
                                   text_bytes(batch.column("text"))):
             for number, line in enumerate(text.split(b"\n")):
                 line = line.strip(_SPACE)
-                if len(line) < min_chars:
+                if len(line) < least:
                     continue
                 chars = line.decode()
-                if len(chars) >= min_chars:
+                if len(chars) >= least:
                     rows.append((doc, key, number, line, chars))
             if len(rows) >= _PIECE:
                 yield rows
@@ -82,19 +82,26 @@ _LINE = [("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("text_
 _LINE_SQL = "h1 long, h2 long, doc_id long, text_key long, line_no long"
 
 
-def _occurrences(min_chars: int, shape: Sketch | None = None, maps=None):
-    """Every line's hash and place; with ``maps`` also the text of lines
-    that may have a neighbour."""
+def _occurrences(least: int, min_chars: int = 0, shape: Sketch | None = None, maps=None):
+    """The hash and place of every line of ``least`` characters and more;
+    with ``maps`` also the text of lines that may have a neighbour (and are
+    of ``min_chars`` and more)."""
     schema = pa.schema([*_LINE, *([("line", pa.string())] if maps else [])])
 
     def run(batches):
-        for rows in _lines(batches, min_chars):
+        for rows in _lines(batches, least):
             ids = _ids(rows).view(np.int64)
             columns = [pa.array(ids[:, 0]), pa.array(ids[:, 1]),
                        *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3))]
             if maps:
-                mixed = estimates(shape, maps.value, _keys(rows).ravel(), ("mixed",))[0].reshape(-1, 4).any(axis=1)
-                columns.append(pa.array([r[4] if m else None for r, m in zip(rows, mixed.tolist())], pa.string()))
+                near = [i for i, r in enumerate(rows) if len(r[4]) >= min_chars]
+                lines = [None] * len(rows)
+                if near:
+                    keys = _keys([rows[i] for i in near]).ravel()
+                    mixed = estimates(shape, maps.value, keys, ("mixed",))[0].reshape(-1, 4).any(axis=1)
+                    for i, m in zip(near, mixed.tolist()):
+                        lines[i] = rows[i][4] if m else None
+                columns.append(pa.array(lines, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
     return run
 
@@ -139,26 +146,31 @@ def _rebuild(texts: pa.Array, removed: pa.Array) -> pa.Array:
         names=["kept_text", "n_lines", "n_removed"])
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, cells: int = 1 << 27) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 20, cells: int = 1 << 27,
+                min_exact: int | None = None) -> DataFrame:
     """(document, kept_text, n_lines, n_removed) of every row of ``docs``
     (with doc_id and text; ``document`` holds all its columns): a line goes
     if an earlier line (smaller doc_id, or before it in its document) is
     within one character edit of it; lines are judged on the input.
 
     Lines are separated by LF and compared without surrounding ASCII white
-    space; lines of fewer than ``min_chars`` characters stay and take no
-    part.  Null texts have one empty line and give an empty kept_text; rows
+    space.  Lines of fewer than ``min_chars`` characters are not compared
+    by edits: one edit makes another word or number of a short line.  They
+    go as exact repeats from ``min_exact`` characters on (default:
+    ``min_chars``; 1: every line that is not empty); shorter ones stay and
+    take no part.  Null texts have one empty line and give an empty kept_text; rows
     with a null doc_id are returned whole and take no part; repeated rows
     (same doc_id and text) count as one document; an empty table gives an
     empty result."""
     spark = docs.sparkSession
+    least = min_chars if min_exact is None else max(1, min(min_exact, min_chars))
     keyed = (docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
              .select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text"))
     shape = Sketch(cells)
     maps = spark.sparkContext.broadcast(sketch(keyed, shape, _entries(min_chars)))
     place = ("doc_id", "text_key", "line_no")
     contents = stored(
-        keyed.mapInArrow(_occurrences(min_chars, shape, maps), f"{_LINE_SQL}, line string")
+        keyed.mapInArrow(_occurrences(least, min_chars, shape, maps), f"{_LINE_SQL}, line string")
         .groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place)).alias("last"),
                                  F.first("line", ignorenulls=True).alias("line"))
         .filter("line is not null or first <> last"), "lines")
@@ -167,7 +179,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, cells: int = 1 << 27) -> D
     # stored, so that the next join has one exchange a side and AQE can
     # split a line with very many occurrences
     verdicts = stored(contents.drop("line").join(near, ["h1", "h2"], "left").filter("near or first <> last"), "verdicts")
-    met = keyed.mapInArrow(_occurrences(min_chars), _LINE_SQL).join(verdicts, ["h1", "h2"])
+    met = keyed.mapInArrow(_occurrences(least), _LINE_SQL).join(verdicts, ["h1", "h2"])
     removed = stored(met.filter(F.col("near") | (F.struct(*place) != F.col("first")))
                      .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")), "removed")
     whole = docs.select(F.struct("*").alias("document"), F.col("doc_id").cast("long").alias("doc_id"),

@@ -1,10 +1,16 @@
 """The corpus pipeline: every stage's decisions, on the stage's own input."""
 
+import random
+
+import pytest
+from test_brute_force import edits
+
 import corpus_pipeline as P
 from sentimart.llm.common import stored
 from sentimart.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def test_stages_take_effect(spark, duck):
@@ -49,3 +55,35 @@ def test_edges(spark, edge_docs, no_docs):
     mixed = P.mixing(spark, edge_docs, SF)
     assert mixed.filter("doc_id is null").count() == 0
     assert P.mixing(spark, no_docs, SF).count() == 0
+
+
+def test_short_lines_go_as_exact_repeats(spark):
+    long = "a line of more than twenty characters"
+    texts = {1: f"Menu\n{long}\nYes\nx\n\n", 2: f" Menu\t\nYet\nx\n{long}!\n\nnew", 3: "Menu\nx", 4: "Menu 1\nMenu 2\nMenu 1"}
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in texts.items()], DOCUMENTS)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in P.line_dedup(spark, docs, SF).collect()}
+    want = {1: texts[1], 2: "Yet\n\nnew", 4: "Menu 1\nMenu 2"}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_stage_by_brute_force(spark, seed):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choices("abé ", k=rng.choice((1, 2, 3, 19, 20, 21)))).strip() for _ in range(40)]
+    rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 6)))) for i in range(60)]
+    exact, near, want = set(), [], {}
+    for doc, text in rows:
+        kept = []
+        for line in text.split("\n"):
+            if line in exact or len(line) >= 20 and any(edits(line, other) <= 1 for other in near):
+                gone = True
+            else:
+                gone = False
+                kept.append(line)
+            if line:
+                exact.add(line)
+                near += [line] if len(line) >= 20 else []
+        if "".join(kept) or "\n".join(kept) == text:
+            want[doc] = "\n".join(kept)
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], DOCUMENTS)
+    assert {r["doc_id"]: r["text"] for r in P.line_dedup(spark, docs, SF).collect()} == want and len(want) < 60
