@@ -25,12 +25,12 @@ from .windows import _powers, mix
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
 _START = "▁"        # the vocabulary's mark of a word's start
-_LONGEST_PIECE = 10
-_LONGEST_WORD = 24       # longer words are taken in blocks of so many letters
+_LONGEST_WORD = 24       # longer words are swept with scaled sums
 _FLOOR = 1e-7            # probability of a single letter that is no piece
 _SMOOTHING = 0.1
 _TEXT = 4 << 20          # characters of text handled at once
 _WORDS = 1 << 15         # words in one forward sweep
+_CELLS = 1 << 17         # letters of long words handled at once
 _GATHER = 400_000        # distinct words a task gathers or remembers
 _GROUPS = (*range(2, 17), 20, _LONGEST_WORD + 1)     # longest words of the sweeps
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -41,6 +41,7 @@ class Pieces:
 
     def __init__(self, pieces: list[str]):
         self.pieces = pieces
+        self.longest = max(map(len, pieces), default=1)
         n = len(pieces)
         self._mask = np.uint64((1 << max(4, (4 * n).bit_length())) - 1)
         self._keys = np.zeros(int(self._mask) + 1, dtype=np.uint64)
@@ -96,7 +97,7 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = {model.id_to_piece(i) for i in range(model.get_piece_size())}
-    return Pieces(sorted(p for p in names if len(p) <= _LONGEST_PIECE and p.removeprefix(_START).isalpha()))
+    return Pieces(sorted(p for p in names if p.removeprefix(_START).isalpha()))
 
 
 @dataclass(frozen=True)
@@ -106,15 +107,9 @@ class Model:
     probabilities: np.ndarray    # pieces x languages
 
 
-def blocks(word: str) -> list[str]:
-    """A word with the mark of its start, in blocks that a sweep takes."""
-    if len(word) <= _LONGEST_WORD:
-        return [_START + word]
-    return [(_START if at == 0 else "") + word[at:at + _LONGEST_WORD] for at in range(0, len(word), _LONGEST_WORD)]
-
-
 def _batches(words: list[str]):
-    """Numbers of words of similar length, few at a time."""
+    """Numbers of words of similar length, few at a time; words of more
+    than ``_LONGEST_WORD`` letters are left to ``_long_batches``."""
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     least = 0
     for most in _GROUPS:
@@ -124,16 +119,31 @@ def _batches(words: list[str]):
         least = most
 
 
+def _long_batches(words: list[str]):
+    """Numbers of the longer words, by length, about ``_CELLS`` letters (or
+    one word) at a time; the longest of a batch is last and at most a
+    quarter longer than the first."""
+    sizes = {i: len(w) for i, w in enumerate(words) if len(w) > _GROUPS[-1]}
+    batch: list[int] = []
+    for i in sorted(sizes, key=sizes.get):
+        if batch and (4 * sizes[i] > 5 * sizes[batch[0]] or sizes[i] * (len(batch) + 1) > _CELLS):
+            yield batch
+            batch = []
+        batch.append(i)
+    if batch:
+        yield batch
+
+
 class _Lattice:
     """All pieces inside a batch of words, and the forward sums over them."""
 
     def __init__(self, pieces: Pieces, probabilities: np.ndarray, words: list[str], sizes: np.ndarray):
-        self.width, self.sizes = int(sizes.max()), sizes
+        self.width, self.sizes, self._longest = int(sizes.max()), sizes, pieces.longest
         sums = _sums(_symbols(words, self.width))
         self._probabilities = probabilities
         self.found = {}      # by (from, to): the words with a piece there, its numbers
         for j in range(1, self.width + 1):
-            for i in range(max(0, j - _LONGEST_PIECE), j):
+            for i in range(max(0, j - pieces.longest), j):
                 ids = pieces.find(_slice_hash(sums, i, j))
                 at = np.flatnonzero(ids >= 0)
                 if len(at):
@@ -142,7 +152,7 @@ class _Lattice:
         self.forward[0] = 1
         for j in range(1, self.width + 1):
             here = self.forward[j]
-            for i in range(max(0, j - _LONGEST_PIECE), j):
+            for i in range(max(0, j - pieces.longest), j):
                 if (i, j) in self.found:
                     at, ids = self.found[i, j]
                     here[at] += self.forward[i][at] * probabilities[ids]
@@ -166,7 +176,7 @@ class _Lattice:
         scale = counts / self.total
         for i in range(self.width - 1, -1, -1):
             here, uses_here = backward[i], self.forward[i] * scale
-            for j in range(i + 1, min(self.width, i + _LONGEST_PIECE) + 1):
+            for j in range(i + 1, min(self.width, i + self._longest) + 1):
                 if (i, j) in self.found:
                     at, ids = self.found[i, j]
                     through = self._probabilities[ids] * backward[j][at]
@@ -179,6 +189,89 @@ class _Lattice:
         return out
 
 
+class _Sweep:
+    """The sums of ``_Lattice`` over words of any length.
+
+    Only ratios of neighbouring forward sums are kept, so nothing
+    underflows: a piece's weight is the share of the sum at its end that
+    comes through it.  Words are taken ``_CELLS`` letters at a time; the
+    way back computes a stretch's weights again from the ratios kept at
+    its start."""
+
+    def __init__(self, pieces: Pieces, probabilities: np.ndarray, words: list[str]):
+        self._pieces, self._words = pieces, words
+        # the last row is that of a letter that is no piece
+        self._probabilities = np.vstack((probabilities, np.full(probabilities.shape[1], _FLOOR)))
+        self.sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        self._step = max(1, _CELLS // len(words))
+        # sums at the last places, as multiples of the latest one
+        last = np.zeros((pieces.longest, len(words), probabilities.shape[1]))
+        last[0] = 1
+        self.log_total = np.zeros(last.shape[1:])
+        self._kept = []
+        for start in range(0, int(self.sizes.max()), self._step):
+            self._kept.append(last.copy())
+            self._stretch(start, last, self.log_total)
+
+    def _found(self, start: int, end: int):
+        """All pieces that end in (start, end], by end and word: ends (from
+        0), words, lengths and numbers."""
+        before = max(0, start - self._pieces.longest + 1)
+        sums = _sums(_symbols([w[before:end] for w in self._words], end - before))
+        down = _powers(sums.shape[1])[1]
+        found = []
+        for size in range(1, min(self._pieces.longest, end - before) + 1):
+            first = max(0, start + 1 - size - before)        # the earliest beginning
+            raw = (sums[:, first + size:] - sums[:, first:-size]) * down[first:sums.shape[1] - size]
+            ids = self._pieces.find(mix(raw + np.uint64(size)).ravel()).reshape(raw.shape)
+            if size == 1:
+                ids[ids < 0] = len(self._probabilities) - 1
+            word, at = np.nonzero(ids >= 0)
+            found.append((at + (before + first + size - 1 - start), word, np.full(len(at), size), ids[word, at]))
+        ends, word, size, ids = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((word, ends))
+        return ends[order], word[order], size[order], ids[order]
+
+    def _stretch(self, start: int, last: np.ndarray, logs: np.ndarray | None = None):
+        """Pieces that end in the stretch from ``start`` and their weights;
+        ``last`` and ``logs`` are carried on."""
+        end = min(int(self.sizes.max()), start + self._step)
+        ends, word, size, ids = self._found(start, end)
+        edges = np.searchsorted(ends, np.arange(end - start + 1))
+        weights = np.empty((len(ids), last.shape[2]))
+        for j, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            of = word[a:b]
+            through = self._probabilities[ids[a:b]] * last[size[a:b] - 1, of]
+            # every word has an entry at every place: its single letter
+            ratio = np.add.reduceat(through, np.flatnonzero(np.diff(of, prepend=-1)), axis=0)
+            weights[a:b] = through / ratio[of]
+            last[1:] = last[:-1] / ratio
+            last[0] = 1
+            if logs is not None:
+                logs += np.where((start + j < self.sizes)[:, None], np.log(ratio), 0.0)
+        return edges, word, size, ids, weights
+
+    def expected(self, counts: np.ndarray) -> np.ndarray:
+        """As ``_Lattice.expected``."""
+        out = np.zeros_like(self._probabilities)
+        # uses of the pieces that begin at a place, for it and those before it
+        ahead = np.zeros((self._pieces.longest + 1, *counts.shape))
+        for number in range(len(self._kept) - 1, -1, -1):
+            start = number * self._step
+            edges, word, size, ids, weights = self._stretch(start, self._kept[number].copy())
+            for j in range(len(edges) - 2, -1, -1):
+                a, b = edges[j], edges[j + 1]
+                ending = self.sizes == start + j + 1
+                ahead[0][ending] = counts[ending]
+                weights[a:b] *= ahead[0][word[a:b]]
+                ahead[size[a:b], word[a:b]] += weights[a:b]
+                ahead[:-1] = ahead[1:]
+                ahead[-1] = 0
+            for language in range(out.shape[1]):
+                out[:, language] += np.bincount(ids, weights[:, language], len(out))
+        return out[:-1]
+
+
 def _expectations(shared_pieces, shared_model):
     schema = pa.schema([("piece", pa.int32()), ("language", pa.int32()), ("uses", pa.float64())])
 
@@ -192,18 +285,18 @@ def _expectations(shared_pieces, shared_model):
             row: dict[str, int] = {}
             for counter in seen:
                 for word in counter:
-                    for block in blocks(word):
-                        row.setdefault(block, len(row))
+                    row.setdefault(_START + word, len(row))
             counts = np.zeros((len(row), len(number)))
             for language, counter in enumerate(seen):
                 for word, n in counter.items():
-                    for block in blocks(word):
-                        counts[row[block], language] += n
+                    counts[row[_START + word], language] += n
                 counter.clear()
             words = list(row)
             for of, sizes in _batches(words):
                 lattice = _Lattice(pieces, model.probabilities, [words[i] for i in of.tolist()], sizes)
                 total[:] += lattice.expected(counts[of])
+            for of in _long_batches(words):
+                total[:] += _Sweep(pieces, model.probabilities, [words[i] for i in of]).expected(counts[of])
 
         for batch in sliced(batches):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
@@ -244,15 +337,14 @@ def learn(docs: DataFrame, pieces: Pieces, iterations: int = 2) -> Model:
 
 def _log_likelihoods(pieces: Pieces, model: Model, words: list[str]) -> np.ndarray:
     """Logarithm of each word's probability by language."""
-    of_word = [blocks(w) for w in words]
-    flat = [b for bs in of_word for b in bs]
-    logs = np.zeros((len(flat), len(model.languages)))
-    for of, sizes in _batches(flat):
-        lattice = _Lattice(pieces, model.probabilities, [flat[i] for i in of.tolist()], sizes)
+    words = [_START + w for w in words]
+    logs = np.zeros((len(words), len(model.languages)))
+    for of, sizes in _batches(words):
+        lattice = _Lattice(pieces, model.probabilities, [words[i] for i in of.tolist()], sizes)
         logs[of] = np.log(np.maximum(lattice.total, 1e-300))
-    if len(flat) == len(words):
-        return logs
-    return np.add.reduceat(logs, np.concatenate(([0], np.cumsum([len(b) for b in of_word])[:-1])), axis=0)
+    for of in _long_batches(words):
+        logs[of] = _Sweep(pieces, model.probabilities, [words[i] for i in of]).log_total
+    return logs
 
 
 def language(spark, pieces: Pieces, model: Model):

@@ -40,6 +40,56 @@ def test_expected_uses_add_up():
     assert letters == pytest.approx(4 + 2 * 2)
 
 
+def test_whole_vocabulary_is_loaded():
+    pieces = L.load_pieces()
+    assert {"▁information", "▁government", "translation"} <= set(pieces.pieces)
+    assert pieces.longest == max(map(len, pieces.pieces)) == 16
+
+
+def long_words():
+    rng = np.random.default_rng(4)
+    return ["".join(rng.choice(list("abz"), size=n)) for n in (3, 24, 25, 26, 40, 60, 61, 300, 2_000)]
+
+
+@pytest.mark.parametrize("cells", [1 << 17, 70])
+def test_long_words_sum_every_segmentation(monkeypatch, cells):
+    # few cells: words are swept in stretches
+    monkeypatch.setattr(L, "_CELLS", cells)
+    pieces = L.Pieces(sorted(["▁a", "a", "b", "ab", "▁ab", "ba", "abbaabba", "aaaaaaaaaaaaa"]))
+    rng = np.random.default_rng(0)
+    probability = rng.random((len(pieces.pieces), 2)) / 20
+    value = dict(zip(pieces.pieces, probability))
+    words = [*long_words(), "a" * 50]
+    got = L._log_likelihoods(pieces, L.Model(["x", "y"], np.ones(2) / 2, probability), words)
+    for word, logs in zip(words, got):
+        word = "▁" + word
+        sums, scale = [np.ones(2)], np.zeros(2)
+        for j in range(1, len(word) + 1):
+            total = np.zeros(2)
+            for i in range(max(0, j - pieces.longest), j):
+                total += sums[i] * value.get(word[i:j], L._FLOOR if j - i == 1 else 0.0)
+            sums = [s / total for s in sums] + [np.ones(2)]
+            sums[:max(0, j - pieces.longest)] = [np.zeros(2)] * max(0, j - pieces.longest)
+            scale += np.log(total)
+        assert logs == pytest.approx(scale)
+
+
+@pytest.mark.parametrize("cells", [1 << 17, 70])
+def test_long_words_expected_uses(monkeypatch, cells):
+    monkeypatch.setattr(L, "_CELLS", cells)
+    pieces = L.Pieces(sorted(["▁a", "▁b", "▁z", "▁", "a", "b", "z", "ab", "ba", "abbaabba", "aaaaaaaaaaaaa"]))
+    probability = np.random.default_rng(1).random((len(pieces.pieces), 2))
+    words = ["▁" + w for w in long_words()[:4]]
+    counts = np.array([[1.0, 2.0], [3.0, 0.0], [1.0, 1.0], [0.0, 4.0]])
+    short = L._Lattice(pieces, probability, words, np.array([len(w) for w in words])).expected(counts)
+    assert L._Sweep(pieces, probability, words).expected(counts) == pytest.approx(short)
+    long = ["▁" + w for w in long_words()[4:]]
+    uses = sum(L._Sweep(pieces, probability, [long[i] for i in of]).expected(np.ones((len(of), 2)))
+               for of in L._long_batches(long))
+    letters = uses.T @ np.array([len(p) for p in pieces.pieces])
+    assert letters == pytest.approx(sum(map(len, long)))
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     found = QUERIES["op7_language_id"](spark, SF).filter("held_out").join(docs, "doc_id").toPandas()
