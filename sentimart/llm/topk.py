@@ -153,8 +153,9 @@ def top_k(vectors: DataFrame, queries, k: int = 5, slots: int | None = None) ->
     Components x become floor(256 * x), x as double.  Null vectors, null or
     non-finite components and null ids take no part; rows of different
     dimensions are not compared; rows that share a vec_id are not each
-    other's candidates, and as queries they are one; an empty table gives an
-    empty result.  ``slots`` (default: the session's shuffle partitions) is
+    other's candidates, as queries they are one, and as candidates of
+    another row each is a result of its own; an empty table gives an empty
+    result.  ``slots`` (default: the session's shuffle partitions) is
     the number of tasks that candidate blocks are spread over."""
     spark = vectors.sparkSession
     slots = slots or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -195,6 +196,6 @@ def top_k(vectors: DataFrame, queries, k: int = 5, slots: int | None = None) ->
         if width == 1:
             break
         width //= _BINS
-    best = _paired(asked, state, rows, slots).mapInArrow(_best(k), "query_id long, vec_id long, score long").distinct()
+    best = _paired(asked, state, rows, slots).mapInArrow(_best(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -145,6 +145,16 @@ def test_top_k(spark):
     assert top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("copies", [3, 5, 9])
+def test_top_k_repeated_best(spark, copies):
+    rows = [(0, [1.0, 0.0]), *[(9, [2.0, 0.0])] * copies, (3, [1.0, 1.0]), (4, [0.5, 0.0]), (5, [0.25, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in
+           top_k(vectors, F.col("vec_id") == 0).orderBy("rank").collect()]
+    scores = sorted([(-2 * 256 * 256, 9)] * copies + [(-256 * 256, 3), (-128 * 256, 4), (-64 * 256, 5)])
+    assert got == [(i, v, -s) for i, (s, v) in enumerate(scores[:5], 1)]
+
+
 @pytest.mark.parametrize("url,host,path,rule,verdict", [
     (None, "", "", None, "allow"), ("", "", "", None, "allow"), ("no scheme", "", "", None, "allow"),
     ("http://Example.ORG/es/x?q=/es/", "example.org", "/es/x", "example.org/es/", "block"),
