@@ -17,7 +17,7 @@ from sentimart.llm.decontaminate import benchmark_overlap
 from sentimart.llm.line_dedup import dedup_lines
 from sentimart.llm.mixing import mix
 from sentimart.llm.queries import MIX_WEIGHTS, source_domain
-from sentimart.llm.simhash import simhash_groups
+from sentimart.llm.simhash import simhash_heads
 from sentimart.llm.toxicity import score_toxicity
 from sentimart.session import ship_package
 
@@ -55,16 +55,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, the one with the smallest doc_id, of each SimHash
-    group.  Of rows that repeat a doc_id one stays; rows without a doc_id
-    cannot be told apart and stay."""
+    group.  Different texts under one doc_id are documents of their own (in
+    one group, that with the smallest hash of the text stays); of rows that
+    repeat doc_id and text one stays, picked by a hash of all columns; rows
+    without a doc_id cannot be told apart and stay."""
     ship_package(spark)
-    groups = simhash_groups(docs.filter("doc_id is not null"))
-    kept = (groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-            .select(F.col("doc_id").alias("kept_id"), "rows"))
-    kept = stored(kept, "kept").hint("shuffle_hash")
-    met = _whole(docs).join(kept, F.col("doc_id") == F.col("kept_id"))
+    kept = stored(simhash_heads(docs.filter("doc_id is not null")), "kept").hint("shuffle_hash")
+    keyed = docs.select(F.struct("*").alias("document"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.xxhash64("text").alias("text_key"))
+    met = keyed.join(kept, ["doc_id", "text_key"])
     once = met.filter("rows = 1").select("document.*")
-    repeated = met.filter("rows > 1").dropDuplicates(["doc_id"]).select("document.*")
+    repeated = (met.filter("rows > 1").groupBy("doc_id", "text_key")
+                .agg(F.min_by("document", F.xxhash64("document")).alias("document")).select("document.*"))
     return once.unionByName(repeated).unionByName(docs.filter("doc_id is null"))
 
 

@@ -42,13 +42,14 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def _fingerprints(shingle: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("fingerprint", pa.int64())])
 
     def run(batches):
         for batch in batches:
             values = np.array([fingerprint(t, shingle) for t in text_bytes(batch.column("text"))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(values.view(np.int64))], schema=schema)
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array(values.view(np.int64))],
+                schema=schema)
     return run
 
 
@@ -94,6 +95,33 @@ def links(fingerprints: DataFrame, max_bits: int) -> DataFrame:
             .select("a", "b").distinct())
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, text_key, fingerprint, root, component_id) of every row:
+    ``text_key`` is the text's hash, ``root`` the component itself, as
+    components share their smallest doc_id where doc_ids repeat."""
+    marked = stored(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        _fingerprints(shingle), "doc_id long, text_key long, fingerprint long"), "fingerprints")
+    nodes = stored(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
+    roots = components(links(nodes, max_bits))
+    rooted = (nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+              .withColumn("root", F.coalesce("root", "fingerprint")))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = rooted.join(ids, "root").select("fingerprint", "root", "component_id")
+    return marked.join(labels, "fingerprint")
+
+
+def simhash_heads(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """(doc_id, text_key, rows) of one document of each SimHash group of
+    ``docs`` (doc_id, not null, and text): the one with the smallest doc_id,
+    and under that the smallest ``text_key`` (``xxhash64(text)``).  ``rows``
+    is how many rows have both."""
+    heads = _grouped(docs, shingle, max_bits).filter("doc_id = component_id")
+    heads = heads.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("rows"))
+    return (heads.groupBy("root", "doc_id")
+            .agg(F.min("text_key").alias("least"), F.min_by("rows", "text_key").alias("rows"))
+            .select("doc_id", F.col("least").alias("text_key"), "rows"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs``
     (doc_id, text; other columns are not read): the 64-bit fingerprint as
@@ -104,13 +132,5 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
     pairs.  Null and empty texts have fingerprint zero and link like any
     other; null doc_ids get a row and count as no id; repeated rows get one
     row each; an empty table gives an empty result."""
-    marked = stored(docs.select("doc_id", "text").mapInArrow(_fingerprints(shingle), "doc_id long, fingerprint long"),
-                    "fingerprints")
-    nodes = stored(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes, max_bits))
-    rooted = (nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-              .withColumn("root", F.coalesce("root", "fingerprint")))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = rooted.join(ids, "root").select("fingerprint", "component_id")
-    return (marked.join(labels, "fingerprint")
+    return (_grouped(docs, shingle, max_bits)
             .select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"))

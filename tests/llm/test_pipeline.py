@@ -87,3 +87,18 @@ def test_line_stage_by_brute_force(spark, seed):
             want[doc] = "\n".join(kept)
     docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], DOCUMENTS)
     assert {r["doc_id"]: r["text"] for r in P.line_dedup(spark, docs, SF).collect()} == want and len(want) < 60
+
+
+def test_near_duplicates_under_one_id(spark):
+    clean, other = (" ".join(f"{w}{i}" for i in range(300)) for w in ("clean", "other"))
+    rows = [(1, other, "en"), (5, clean, "en"), (5, other, "en"),           # one of 5 is a copy of 1
+            (7, "seven one", "en"), (7, "quite another text", "fr"),        # both are clean
+            (8, "folded", "en"), (8, "folded", "en"), (8, "kept beside it", "de"),
+            (9, " seven   ONE", "en"), (3, "Order of groups", "en"), (3, "order of  groups", "en")]
+    docs = spark.createDataFrame([(i, t, lang, "src0", len(t)) for i, t, lang in rows], DOCUMENTS)
+    got = sorted((r["doc_id"], r["text"]) for r in P.near_duplicates(spark, docs, SF).collect())
+    assert len([t for i, t in got if i == 3]) == 1
+    assert [x for x in got if x[0] != 3] == sorted([
+        (1, other), (5, clean), (7, "seven one"), (7, "quite another text"), (8, "folded"), (8, "kept beside it")])
+    again = docs.orderBy("text").repartition(7)
+    assert sorted((r["doc_id"], r["text"]) for r in P.near_duplicates(spark, again, SF).collect()) == got
