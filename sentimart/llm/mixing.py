@@ -61,13 +61,15 @@ def leaf_budgets(leaves: DataFrame, budget: Column, weights: Mapping[str, Mappin
     """(domain, lang, source, tokens, budget) of the leaves (domain, lang,
     source, tokens), with the total ``budget`` (a column over ``tokens``,
     the sum of all)."""
-    supplied = leaves.withColumn("supply", F.col("tokens") * max_epochs)
-    total = supplied.agg(F.sum("tokens").alias("tokens")).select(F.coalesce(budget, F.lit(0)).cast("long").alias("budget"))
+    # a leaf below a node of weight 0 supplies nothing to those above it
+    open_ = [_weight(name, weights.get(name, {}), default_weight) > 0 for name in LEVELS]
+    supplied = leaves.withColumn("supply", F.col("tokens") * max_epochs).filter(open_[0] & open_[1] & open_[2])
+    total = leaves.agg(F.sum("tokens").alias("tokens")).select(F.coalesce(budget, F.lit(0)).cast("long").alias("budget"))
     above: DataFrame | None = None
     for depth, name in enumerate(LEVELS, 1):
         keys, parents = list(LEVELS[:depth]), list(LEVELS[:depth - 1])
         nodes = supplied.groupBy(*keys).agg(F.sum("supply").alias("supply"))
-        nodes = nodes.withColumn("weight", _weight(name, weights.get(name, {}), default_weight)).filter("weight > 0")
+        nodes = nodes.withColumn("weight", _weight(name, weights.get(name, {}), default_weight))
         if above is None:
             nodes = nodes.join(total.hint("broadcast"), how="left")      # one row
             nodes = _share(nodes.withColumn("root", F.lit(0)), ["root"], name).drop("root")

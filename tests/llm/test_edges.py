@@ -131,6 +131,17 @@ def test_mixing(spark, edge_docs, no_docs):
     assert mix(no_docs, domain, {}).count() == 0
 
 
+def test_mixing_without_weight(spark):
+    rows = [(i, "w " * 10, lang, "src0") for i, lang in enumerate(["en"] * 10 + ["fr"] * 10)]
+    rows += [(i, "w " * 10, "en", "src1") for i in range(20, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    domain = F.when(F.col("source") == "src0", "a").otherwise("b")
+    out = mix(docs, domain, {"domain": {"a": 1, "b": 1}, "lang": {"fr": 0}}, fraction=0.5, max_epochs=1)
+    # of 300 tokens a can give 100 in English, so b gives the other 200
+    got = {r["domain"]: r["n"] for r in out.groupBy("domain").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert got == {"a": 100, "b": 200} and out.filter("lang = 'fr'").count() == 0
+
+
 def test_top_k(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, -9.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]),
             (6, [float("inf"), 1.0]), (7, [0.5, 0.5]), (7, [0.5, 0.5]), (None, [1.0, 1.0]), (50, [0.0, 0.0]), (100, [1.0]),
