@@ -106,7 +106,7 @@ def test_first_pass_then_retry_converges(spark):
     """Comments that fail first and succeed on retry leave the queue,
     and the audit log has one row per source and run."""
     from sentimart.queries.io_q import stage_threads
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     threads = stage_threads(spark, SF_SMALL)
     out = scratch_path(spark, "jobs")
     first = C.first_pass(spark, threads, out, classifier=K.picky_classifier, sleep=lambda s: None)
@@ -128,7 +128,7 @@ def test_two_ranges_keep_both_queues_and_flat_files_work(spark):
     audit; an empty selection raises; a retry after a lost run repeats."""
     from sentimart.queries.io_q import stage_threads
     from sentimart.sources.files import LoadError
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     threads = stage_threads(spark, SF_SMALL)
     out = scratch_path(spark, "ranges")
     kw = {"classifier": K.picky_classifier, "sleep": lambda s: None}

@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from sentimart import catalog
 from tools.oracle_check import rows_key
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 # the training-data queries have their own tests, in tests/llm
 catalog.load_all()

@@ -6,7 +6,7 @@ from sentimart.plans import marts, warehouse
 from sentimart.queries.marts_q import bigtable_df, fn_comments_df
 from sentimart.sources import adapters as A
 
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 
 
 def plan(df):

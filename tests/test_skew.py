@@ -13,7 +13,7 @@ from sentimart.plans import marts, warehouse
 from sentimart.schemas import SENTINEL, SENTIMENTS
 from sentimart.sources import adapters as A
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def hot_comments(spark):
