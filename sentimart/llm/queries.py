@@ -14,6 +14,7 @@ from .decontaminate import benchmark_overlap
 from .language_id import identify_language
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .quality import score_quality
 from .simhash import simhash_groups
 from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
@@ -144,6 +145,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("document.doc_id", "held_out", "score", "predicted")
 
 
+@query("op13_quality")
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_quality(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return out.select("document.doc_id", "held_out", "score", "predicted")
+
+
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = identify_language(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
