@@ -12,6 +12,7 @@ from ..session import ship_package
 from .common import table
 from .decontaminate import benchmark_overlap
 from .language_id import identify_language
+from .lexical import rank_documents
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .quality import score_quality
@@ -145,6 +146,38 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("document.doc_id", "held_out", "score", "predicted")
 
 
+@query("op11_lexical", f"""
+WITH docs AS (
+  SELECT rid, doc_id, ws, len(ws)::BIGINT AS n FROM (
+    SELECT row_number() OVER () AS rid, doc_id,
+      regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents)
+  WHERE len(ws) > 0),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+asked AS (
+  SELECT item, item_id, w, count(*)::BIGINT AS q FROM (
+    SELECT row_number() OVER () AS item, item_id,
+      unnest(regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS w
+    FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)) GROUP BY ALL),
+counted AS (
+  SELECT rid, w, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(ws) AS w FROM docs)
+  WHERE w IN (SELECT w FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT w, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT w, count(*) AS df FROM counted GROUP BY w), totals),
+scores AS (
+  SELECT item, item_id, rid, doc_id,
+    sum(q * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (w) JOIN counted USING (w) JOIN docs USING (rid), totals
+  WHERE doc_id IS NOT NULL GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INT AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+""")
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                          table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 @query("op13_quality")
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_quality(table(spark, sf_dir, "documents", "doc_id", "text"),
