@@ -21,6 +21,7 @@ from .substring_dedup import dedup_word_windows
 from .suffix_dedup import dedup_byte_windows
 from .topk import top_k
 from .toxicity import score_toxicity
+from .trie import rebuilt_trie
 from .url_filter import filter_urls
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -178,6 +179,52 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
                           table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+@query("op12_prefix_trie", """
+WITH turns AS (
+  SELECT conv_id, turn, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS k,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS n FROM turns),
+-- CRC-32 of the id's decimal text: each character is mixed in, then eight shifts
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+        FOR c IN string_split(conv_id::VARCHAR, '')])),
+      lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END),
+      4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS own, n, k, words FROM convs c JOIN numbered b ON b.conv_id = c.base AND n <= h
+  UNION ALL SELECT conv_id, 1, n, k, words FROM convs JOIN numbered USING (conv_id) WHERE n > h),
+paths AS (
+  SELECT conv_id, list(k ORDER BY own, n) AS ks, list(words ORDER BY own, n) AS ws FROM rebuilt GROUP BY conv_id),
+members AS (
+  SELECT conv_id, coalesce(ks, []) AS ks, coalesce(ws, []) AS ws FROM convs LEFT JOIN paths USING (conv_id)),
+seen AS (
+  SELECT conv_id, d, array_to_string(ks[1:d], '/') AS node, array_to_string(ks[1:d - 1], '/') AS parent,
+    CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS words, d = len(ks) AS ended
+  FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM members)),
+nodes AS (
+  SELECT node, d, CASE WHEN d > 0 THEN any_value(parent) END AS parent, any_value(words) AS words,
+    count(*) AS n_convs, min(conv_id) AS conv_id FROM seen GROUP BY node, d),
+ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends FROM seen WHERE ended GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+counted AS (SELECT *, coalesce(n_children, 0) AS children FROM nodes LEFT JOIN kids USING (node)),
+totals AS (
+  SELECT array_to_string(ks[1:a], '/') AS node, sum((children = 0)::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT c.*, ks, unnest(range(0, d + 1)) AS a FROM counted c JOIN members USING (conv_id)) GROUP BY 1)
+SELECT c.conv_id, c.d::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs,
+  c.children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+  sha256(coalesce(ends, '')) AS ends_sha256
+FROM counted c JOIN totals USING (node) LEFT JOIN ends USING (node) LEFT JOIN nodes p ON c.parent = p.node
+""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rebuilt_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                      "ends_sha256")
+
+
 @query("op13_quality")
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_quality(table(spark, sf_dir, "documents", "doc_id", "text"),
