@@ -25,7 +25,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_registered_once_each():
     numbers = sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in Q.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in Q.QUERIES
     assert set(Q.QUERIES) <= set(E.queries()) and set(Q.ORACLE) <= set(E.oracle_sql())
 
 
