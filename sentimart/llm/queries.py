@@ -118,11 +118,11 @@ WITH lines AS (
         FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
 firsts AS (
   SELECT line, min((doc_id, line_no)) AS first, length(line) AS n
-  FROM lines WHERE length(line) >= 20 GROUP BY line),
+  FROM lines WHERE line <> '' GROUP BY line),
 halves AS (
   SELECT line, first, n, c, side,
     CASE side WHEN 0 THEN line[1:c // 2] ELSE line[n - (c - c // 2) + 1:n] END AS half
-  FROM firsts, (VALUES (0), (1)) AS s(side), (VALUES (0), (1)) AS o(less), LATERAL (SELECT n - less AS c)),
+  FROM firsts, (VALUES (0), (1)) AS s(side), (VALUES (0), (1)) AS o(less), LATERAL (SELECT n - less AS c) WHERE n >= 20),
 near AS (
   SELECT DISTINCT a.line FROM halves a JOIN halves b
     ON a.c = b.c AND a.side = b.side AND a.half = b.half AND b.first < a.first AND a.line <> b.line
@@ -136,7 +136,7 @@ SELECT doc_id, len(parts)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS
 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) LEFT JOIN gone USING (doc_id)
 """)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    out = dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"), min_exact=1)
     return out.select("document.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -240,12 +240,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_topk", """
 WITH ints AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT vec_id, embedding, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+asked AS (SELECT vec_id, arg_min(v, embedding) AS v FROM ints WHERE vec_id % 50 = 0 GROUP BY vec_id),
 scores AS (
   SELECT q.vec_id AS query_id, c.vec_id,
     list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM ints q, ints c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+  FROM asked q, ints c WHERE q.vec_id <> c.vec_id),
 ranked AS (
   SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
   FROM scores)

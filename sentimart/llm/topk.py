@@ -153,7 +153,8 @@ def top_k(vectors: DataFrame, queries, k: int = 5, slots: int | None = None) ->
     Components x become floor(256 * x), x as double.  Null vectors, null or
     non-finite components and null ids take no part; rows of different
     dimensions are not compared; rows that share a vec_id are not each
-    other's candidates, as queries they are one, and as candidates of
+    other's candidates, as queries they are one - the smallest of their
+    vectors that take part, component by component - and as candidates of
     another row each is a result of its own; an empty table gives an empty
     result.  ``slots`` (default: the session's shuffle partitions) is
     the number of tasks that candidate blocks are spread over."""
@@ -161,8 +162,11 @@ def top_k(vectors: DataFrame, queries, k: int = 5, slots: int | None = None) ->
     slots = slots or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vectors = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     rows = stored(vectors.mapInArrow(_pack(_ROW_BLOCK), _BLOCK_SQL)
-                  .withColumn("slot", (F.monotonically_increasing_id() % slots).cast("int")), "candidates")
-    asked = stored(vectors.filter(queries).dropDuplicates(["vec_id"]).mapInArrow(_pack(_QUERY_BLOCK), _BLOCK_SQL)
+                  .withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int")), "candidates")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    asked = vectors.filter(queries).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
+    asked = stored(asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+                   .mapInArrow(_pack(_QUERY_BLOCK), _BLOCK_SQL)
                    .withColumn("block", F.sha2(F.col("ids"), 256))
                    .mapInArrow(_unpacked_ids, _BLOCK_SQL + ", block string, query_ids array<long>"), "queries")
     bounds = (asked.groupBy("dim").agg(F.max("largest").alias("q")).join(
