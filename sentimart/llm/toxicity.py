@@ -18,7 +18,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import stored, text_bytes
 from .decontaminate import words_of
 
 #: hashed features; bounds on the sample
@@ -124,10 +124,11 @@ def fit(words: np.ndarray, sizes: np.ndarray, positive: np.ndarray, prior: float
 
 
 def _features(batches):
-    schema = pa.schema([("positive", pa.bool_()), ("words", pa.list_(pa.int32()))])
+    schema = pa.schema([("positive", pa.bool_()), ("doc_id", pa.int64()), ("text_key", pa.int64()),
+                        ("words", pa.list_(pa.int32()))])
     for batch in batches:
         yield pa.RecordBatch.from_arrays(
-            [batch.column("positive"),
+            [batch.column("positive"), batch.column("doc_id"), batch.column("text_key"),
              pa.array([features(t).astype(np.int32) for t in text_bytes(batch.column("text"))], pa.list_(pa.int32()))],
             schema=schema)
 
@@ -148,8 +149,8 @@ def learn(docs: DataFrame, labels: DataFrame, learnable, max_positive: int = MAX
           max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Fit on the rows of ``docs`` (doc_id, text) for which the column
     ``learnable`` holds: the confirmed ones (``labels.toxic`` = 1) and
-    unlabelled ones, each at most ``max_...`` rows, taken by a hash of the
-    doc_id.  The prior is the toxic share of all labelled learnable rows."""
+    unlabelled ones, each at most ``max_...`` rows of different doc_id and
+    text, taken by a hash of the doc_id.  The prior is the toxic share of all labelled learnable rows."""
     ids = docs.filter(learnable & F.col("doc_id").isNotNull()).select("doc_id")
     marks = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = ids.join(marks, "doc_id")
@@ -160,8 +161,16 @@ def learn(docs: DataFrame, labels: DataFrame, learnable, max_positive: int = MAX
     sample = (positive.withColumn("positive", F.lit(True))
               .unionByName(unlabelled.withColumn("positive", F.lit(False))))
     prior = (toxic or 0) / n if n else 0.0
-    fitted = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")     # bounded by the two limits
-              .select("positive", "text").mapInArrow(_features, "positive boolean, words array<int>")
+    # one doc_id may have many rows: equal ones are one, and the limits hold
+    # for what is left
+    texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+                   .join(F.broadcast(sample), "doc_id")         # bounded by the two limits
+                   .select("positive", "doc_id", "text_key", "text")
+                   .mapInArrow(_features, "positive boolean, doc_id long, text_key long, words array<int>")
+                   .dropDuplicates(["positive", "doc_id", "text_key"]), "sample")
+    kinds = [texts.filter(kind).orderBy(order, "doc_id", "text_key").limit(most).select("positive", "words")
+             for kind, most in (("positive", max_positive), ("not positive", max_unlabelled))]
+    fitted = (kinds[0].unionByName(kinds[1])
               .groupBy(F.lit(0).alias("all")).applyInArrow(_fitted(prior), "weights binary, bias double").first())
     if fitted is None:
         none = np.zeros(0, dtype=np.int32)
