@@ -11,7 +11,7 @@ more epoch in seeded order.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,7 +80,7 @@ def leaf_budgets(leaves: DataFrame, budget: Column, weights: Mapping[str, Mappin
 
 
 def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]], fraction: float = 0.5,
-        max_epochs: int = 3, default_weight: int = 1, seed: int = 42) -> DataFrame:
+        max_epochs: int = 3, default_weight: int = 1, seed: int = 42, keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, domain, lang, source, n_tokens, epoch): the documents of
     ``docs`` (doc_id, text, lang, source and what ``domain`` reads) selected
     for a corpus of ``fraction`` of all tokens whose shares follow the
@@ -95,13 +95,14 @@ def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]
 
     Tokens are words; rows without tokens or with a null doc_id take no
     part; null lang, source or domain are the name ``unknown``; repeated
-    rows are separate documents with one order key; an empty table gives an
-    empty result."""
+    rows are separate documents with one order key (a bucket, and so a task,
+    holds the rows of one doc_id in a leaf, without their texts); an empty
+    table gives an empty result.  The columns ``keep`` come along."""
     unknown = F.lit("unknown")
     rows = stored(
         docs.select(F.col("doc_id").cast("long"), F.coalesce(domain, unknown).alias("domain"),
                     F.coalesce("lang", unknown).alias("lang"), F.coalesce("source", unknown).alias("source"),
-                    token_count(F.col("text")).alias("n_tokens"))
+                    token_count(F.col("text")).alias("n_tokens"), *keep)
         .filter("n_tokens > 0 and doc_id is not null"), "tokens")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     budget = F.floor(F.col("tokens") * F.lit(fraction))
@@ -119,12 +120,12 @@ def mix(docs: DataFrame, domain: Column, weights: Mapping[str, Mapping[str, int]
     ends = (sums.withColumn("upto", upto).filter("upto > rest").groupBy(*LEVELS)
             .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("tokens")).alias("before"))).alias("end")))
     placed = partial.join(stored(ends, "ends"), list(LEVELS))
-    columns = ["doc_id", *LEVELS, "n_tokens", (F.col("full") + 1).cast("int").alias("epoch")]
+    columns = ["doc_id", *LEVELS, "n_tokens", (F.col("full") + 1).cast("int").alias("epoch"), *keep]
     inside = placed.filter(F.col("bucket") < F.col("end.bucket")).select(*columns)
     running = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("order_key", "n_tokens")
                                      .rowsBetween(Window.unboundedPreceding, 0))
     edge = (placed.filter(F.col("bucket") == F.col("end.bucket")).withColumn("running", running)
             .filter(F.col("end.before") + F.col("running") <= F.col("rest")).select(*columns))
     whole = (selected.filter("full > 0")
-             .select("doc_id", *LEVELS, "n_tokens", F.explode(F.sequence(F.lit(1), F.col("full").cast("int"))).alias("epoch")))
+             .select("doc_id", *LEVELS, "n_tokens", F.explode(F.sequence(F.lit(1), F.col("full").cast("int"))).alias("epoch"), *keep))
     return whole.unionByName(inside).unionByName(edge)
