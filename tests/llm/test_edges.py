@@ -102,6 +102,13 @@ def test_lines(spark, edge_docs, no_docs):
     assert dedup_lines(no_docs, cells=1 << 16).count() == 0
 
 
+def test_short_lines_go_as_exact_repeats(spark):
+    docs = spark.createDataFrame([(1, "Yes\nYet\n\nPage 1"), (2, "Yes\nPage 2\n\n Yes "), (3, "")], "doc_id long, text string")
+    got = {r["document"]["doc_id"]: (r["n_lines"], r["n_removed"], r["kept_text"])
+           for r in dedup_lines(docs, cells=1 << 16, min_exact=1).collect()}
+    assert got == {1: (4, 0, "Yes\nYet\n\nPage 1"), 2: (4, 2, "Page 2\n"), 3: (1, 0, "")}
+
+
 def test_toxicity(spark, edge_docs, no_docs):
     marks = labels(spark, [(2, 1), (2, 0), (99, 1), (3, None), (None, 1)])
     out = score_toxicity(edge_docs, marks).collect()
@@ -111,6 +118,20 @@ def test_toxicity(spark, edge_docs, no_docs):
     assert score_toxicity(no_docs, marks).count() == 0
 
 
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    import numpy as np
+    from sentimart.llm import toxicity as X
+    seen = []
+    monkeypatch.setattr(X, "_fitted", lambda prior: lambda sample: (__import__("pyarrow").table(
+        {"weights": __import__("pyarrow").array([np.zeros(X.FEATURES, np.float32).tobytes()], __import__("pyarrow").binary()),
+         "bias": [float(sample.num_rows)]})))
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "same")] * 500 + [(i, "x") for i in range(3, 40)],
+                                 "doc_id long, text string")
+    marks = labels(spark, [(1, 1), (2, 1), (3, 0)])
+    seen.append(X.learn(docs, marks, F.lit(True), max_positive=10, max_unlabelled=20).bias)
+    assert seen[0] == 10 + 20
+
+
 def test_language(spark, edge_docs, no_docs):
     out = identify_language(edge_docs).collect()
     assert len(out) == 13
@@ -131,6 +152,14 @@ def test_mixing(spark, edge_docs, no_docs):
     assert mix(no_docs, domain, {}).count() == 0
 
 
+def test_mixing_of_one_id_in_two_leaves(spark):
+    rows = [(1, "a b c", "en", "src0"), (1, "d e", "fr", "src1"), (2, "f", "en", "src0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("at", F.col("text"))
+    domain = F.when(F.col("source") == "src0", "a").otherwise("b")
+    out = mix(docs, domain, {"domain": {"a": 1, "b": 0}}, fraction=1.0, keep=["at"]).collect()
+    assert {(r["doc_id"], r["at"], r["domain"]) for r in out} == {(1, "a b c", "a"), (2, "f", "a")}
+
+
 def test_mixing_without_weight(spark):
     rows = [(i, "w " * 10, lang, "src0") for i, lang in enumerate(["en"] * 10 + ["fr"] * 10)]
     rows += [(i, "w " * 10, "en", "src1") for i in range(20, 60)]
@@ -156,6 +185,24 @@ def test_top_k(spark):
     assert top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8, 211])
+def test_top_k_repeated_queries(spark, parts):
+    rows = [(0, None), (0, [0.0, 1.0]), (0, [1.0, 0.0]), (0, [float("nan"), 0.0]), (0, [0.0, 1.0]), (1, [2.0, 0.0]), (2, [0.0, 3.0]),
+            (50, None), (None, [9.0, 9.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(parts)
+    got = sorted(tuple(r) for r in top_k(vectors, F.col("vec_id") % 50 == 0).collect())
+    assert got == [(0, 1, 2, 3 * 256 * 256), (0, 2, 1, 0)]          # the smallest vector of 0 that takes part
+
+
+@pytest.mark.parametrize("slots", [8, 200])
+def test_candidate_blocks_are_spread(spark, slots):
+    from sentimart.llm import topk as K
+    blocks = spark.range(0, 400 * 64, 1, 400).selectExpr("id as vec_id", "array(cast(id as double)) as embedding")
+    slot = F.pmod(F.xxhash64("ids"), F.lit(slots))
+    n = blocks.mapInArrow(K._pack(64), K._BLOCK_SQL).groupBy(slot.alias("slot")).count().collect()
+    assert len(n) > 0.6 * min(slots, 400) and max(r["count"] for r in n) < 400 / slots * 2 + 6
+
+
 @pytest.mark.parametrize("copies", [3, 5, 9])
 def test_top_k_repeated_best(spark, copies):
     rows = [(0, [1.0, 0.0]), *[(9, [2.0, 0.0])] * copies, (3, [1.0, 1.0]), (4, [0.5, 0.0]), (5, [0.25, 0.0])]

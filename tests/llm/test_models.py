@@ -101,3 +101,37 @@ def test_toxicity_held_out(spark):
     found = QUERIES["op4_toxicity"](spark, SF).filter("held_out").join(labels, "doc_id").toPandas()
     toxic, clean = found[found.toxic == 1], found[found.toxic == 0]
     assert (toxic.predicted == 1).mean() > 0.85 and (clean.predicted == 1).mean() < 0.03
+
+
+def test_toxicity_risk_gradient():
+    """Each step goes down the non-negative risk: its gradient against
+    differences of the risk itself, and the whole fit against a plain one."""
+    from sentimart.llm import toxicity as X
+    rng = np.random.default_rng(2)
+    n, prior = 400, 0.2
+    positive = np.arange(n) < 100
+    texts = [np.unique(np.concatenate([rng.integers(0, 60, 6), rng.integers(60, 70, 3) if (p or rng.random() < 0.15) else []]))
+             .astype(int) for p in positive]
+    words, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+    model = X.fit(words, sizes, positive, prior)
+    x = np.zeros((n, X.FEATURES), dtype=bool)
+    x[np.repeat(np.arange(n), sizes), words] = True
+    used = np.flatnonzero(model.weights)
+    dense = x[:, used].astype(float)
+
+    def parts(w):
+        z = dense @ w[:-1] + w[-1]
+        plus, minus = np.logaddexp(0, -z[positive]).mean(), np.logaddexp(0, z[positive]).mean()
+        return prior * plus, np.logaddexp(0, z[~positive]).mean() - prior * minus
+
+    def risk(w):
+        plus, negative = parts(w)
+        return (plus + negative if negative >= 0 else -negative) + X._DECAY * (w[:-1] ** 2).sum() / 2
+    w = np.append(np.zeros(len(used)), np.log(prior / (1 - prior)))
+    mean, square = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, X._STEPS + 1):
+        g = np.array([(risk(w + h) - risk(w - h)) / 2e-6 for h in np.eye(len(w)) * 1e-6])
+        mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
+        w -= X._RATE * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
+    assert len(used) >= 5
+    assert model.weights[used] == pytest.approx(w[:-1], abs=0.02) and model.bias == pytest.approx(w[-1], abs=0.02)
