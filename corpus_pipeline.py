@@ -80,11 +80,17 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Selects documents by the target weights, as many tokens as there are:
     a row (the columns of documents, ``domain``, ``epoch``) for each epoch a
-    document is in.  Rows that repeat a doc_id are selected together; input
-    columns of these two names are replaced."""
-    chosen = mix(docs, source_domain(), MIX_WEIGHTS, fraction=1.0).select("doc_id", "domain", "epoch").distinct()
+    document is in; input columns of these two names are replaced.  Each row
+    has its own place, also where rows share a doc_id; rows equal in all
+    columns are interchangeable, and as many of them come out as were
+    chosen.  Rows with a null doc_id, which the other stages keep, and rows
+    without a token are left out."""
     names = [c for c in docs.columns if c not in ("domain", "epoch")]
-    return (_whole(docs).join(chosen, "doc_id")
+    row = F.struct(*names)
+    keyed = docs.select("doc_id", "text", "lang", "source", F.xxhash64(row).alias("row_key"), row.alias("document"))
+    chosen = mix(keyed, source_domain(), MIX_WEIGHTS, fraction=1.0, keep=["row_key"])
+    once = keyed.groupBy("row_key").agg(F.first("document").alias("document"))
+    return (once.join(chosen.select("row_key", "domain", "epoch"), "row_key")
             .select(*(F.col("document").getField(c).alias(c) for c in names), "domain", "epoch"))
 
 
