@@ -31,9 +31,9 @@ from .common import stored, text_bytes
 #: bytes of items that share the scans and broadcasts
 GROUP_BYTES = 8 << 20
 #: cells of a dense matrix (items or documents by terms) in a task
-_CELLS = 1 << 22
-_SHARD = 1_024           # documents indexed at once, at most
-_BLOCK = 16              # documents of a block, about
+_CELLS = 1 << 23
+_SHARD = 2_048           # documents indexed at once, at most
+_BLOCK = 4               # documents of a block, about: larger ones have looser bounds
 _DIMS = 16               # of the projection that clusters documents
 _PIECE = 1 << 20
 _MERGES = 64             # first ranking: so many parts of an item's candidates
@@ -305,7 +305,9 @@ def _ranked(docs: DataFrame, items: Items, k: int, kind: str) -> DataFrame:
     weights = np.array([math.floor(1000 * math.log((2 * documents + 2) / (2 * int(d) + 1))) for d in df], dtype=np.int64)
     shared = spark.sparkContext.broadcast((items, weights))
     names = spark.createDataFrame(list(enumerate(items.ids)), f"item int, item_id {kind}")
-    best = (vectors.filter("doc_id is not null and size(terms) > 0")
+    # the stored rows are small: read as they lie, few tasks would index many
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    best = (vectors.filter("doc_id is not null and size(terms) > 0").repartition(tasks)
             .mapInArrow(_searched(shared, documents, length or 1, k), "item int, doc_id long, score long")
             .withColumn("part", F.spark_partition_id() % _MERGES))
     order = (F.desc("score"), "doc_id")
