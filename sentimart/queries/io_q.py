@@ -20,7 +20,7 @@ from ..schemas import COMMENT_THREAD, COMMENTS, with_field
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet_partitioned
 from ..sources import adapters as A
-from ..sources import fetch
+from ..sources import fetch, pages
 from ..sources.files import (filter_by_suffix, load_csv_table, load_skip_bad, load_strict, scan_csv,
                              scan_parquet, sort_by_suffix, source_label, suffix_of,
                              with_source_file)
@@ -251,12 +251,43 @@ def q_id_batches(spark, sf):
     return fetch.id_batches(ids, "videoid", F.col("shard"), size=50)
 
 
-@register("paged_fetch", "SELECT videoid, CAST(item AS BIGINT) AS item, CAST(item // 100 AS BIGINT) AS page, "
-          "'c' || videoid || '_' || CAST(item AS VARCHAR) AS comment_id FROM ("
-          "SELECT CAST(p_partkey AS VARCHAR) AS videoid, unnest(range(p_partkey % 250)) AS item FROM part) x")
+def _page_sql(entity: str, rows: str, order: str, columns: str, size: int) -> str:
+    """All pages of ``rows``: the entity, its page, the next page's token,
+    the item's ordinal and its columns."""
+    return (f"SELECT entity, n // {size} AS page, CASE WHEN (n // {size} + 1) * {size} < total "
+            f"THEN CAST(n // {size} + 1 AS VARCHAR) END AS next_token, n AS ordinal, {columns} FROM ("
+            f"SELECT CAST({entity} AS VARCHAR) AS entity, {columns}, count(*) OVER (PARTITION BY {entity}) AS total, "
+            f"row_number() OVER (PARTITION BY {entity} ORDER BY {order}) - 1 AS n FROM ({rows}) r) p")
+
+
+def _fetched(spark: SparkSession, items: DataFrame, entity: str, order: list, size: int) -> DataFrame:
+    path = scratch_path(spark, "pages")
+    pages.store_pages(items, entity, order, path, page_size=size)
+    return pages.paged_fetch(spark, path).drop("span", "at")
+
+
+_COMMENT_PAGE_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity", "l_partkey", "l_shipdate"]
+
+
+@register("paged_fetch", _page_sql(
+    "source", f"SELECT {SOURCE_SQL} AS source, * FROM lineitem", ", ".join(_COMMENT_PAGE_ORDER),
+    "l_orderkey, l_linenumber, l_partkey, l_extendedprice", pages.COMMENTS_PER_PAGE))
 def q_paged_fetch(spark, sf):
-    ids = A.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("videoid"))
-    return fetch.paged_fetch(ids, "videoid", fetch.synthetic_comment_pages, fetch.PAGE_SCHEMA)
+    """The comment lines of each source, 100 a page."""
+    lines = A.table(spark, sf, "lineitem").withColumn(
+        "source", F.concat(F.lit("comments_"), (F.col("l_partkey") % N_SOURCES).cast("string")))
+    items = lines.select("source", *_COMMENT_PAGE_ORDER)
+    return (_fetched(spark, items, "source", [F.col(c) for c in _COMMENT_PAGE_ORDER], pages.COMMENTS_PER_PAGE)
+            .select("entity", "page", "next_token", "ordinal", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"))
+
+
+@register("paged_fetch_ids", _page_sql(
+    "l_suppkey", "SELECT DISTINCT l_suppkey, CAST(l_partkey AS VARCHAR) AS videoid FROM lineitem", "videoid", "videoid",
+    pages.IDS_PER_PAGE))
+def q_paged_fetch_ids(spark, sf):
+    """The video ids of each channel, 50 a page."""
+    ids = A.table(spark, sf, "lineitem").select("l_suppkey", F.col("l_partkey").cast("string").alias("videoid")).distinct()
+    return _fetched(spark, ids, "l_suppkey", [F.col("videoid")], pages.IDS_PER_PAGE)
 
 
 # ------------------------------------------------------ warehouse load

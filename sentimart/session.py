@@ -32,6 +32,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.sql.python.filterPushdown.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", driver_memory))
@@ -131,4 +132,5 @@ def recommended_conf(input_bytes: int, executors_cores: int) -> dict[str, str]:
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.python.filterPushdown.enabled": "true",
     }

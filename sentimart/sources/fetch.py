@@ -1,72 +1,13 @@
-"""Paged fetch from a remote API (S11) and id batching.
-
-The remote client is injected: ``client(entity_id, page_token) ->
-(items, next_token)``.  ``paged_fetch`` runs it inside tasks with
-``mapInPandas`` - one entity's pages are walked by one task, entities are
-spread over all tasks - so fetching parallelises with the id table and no
-response ever passes through the driver.
-"""
+"""Id batching (S12): the ids of detail requests, a bounded number each.
+Paged acquisition (S11) is ``sources.pages``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.windowing import batch_assign, ordinal_batches
 
-PageClient = Callable[[str, "str | None"], "tuple[list[dict], str | None]"]
-
-PAGE_SIZE = 100  # comment threads per page (fixed by the comment API)
-FLUSH_ROWS = 10_000  # rows per emitted batch
-
-PAGE_SCHEMA = T.StructType([
-    T.StructField("videoid", T.StringType()), T.StructField("item", T.LongType()),
-    T.StructField("page", T.LongType()), T.StructField("comment_id", T.StringType())])
-
-
-def paged_fetch(ids: DataFrame, id_col: str, client: PageClient, schema: T.StructType) -> DataFrame:
-    """Every page of every id (all pages are kept, not only the
-    last).  Output rows are ``client`` items plus the id column; the item
-    dicts must carry the other ``schema`` fields.  Page tokens are
-    sequential, so one id's pages are walked by one task; rows leave the
-    task every ``FLUSH_ROWS`` items, so its memory does not grow with a hot
-    id.  No page is left out."""
-    fields = [f.name for f in schema.fields]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[dict] = []
-        for pdf in batches:
-            for entity in pdf[id_col].tolist():
-                token = None
-                while True:
-                    items, token = client(entity, token)
-                    rows.extend({id_col: entity, **it} for it in items)
-                    # flush inside the page loop: one entity may have
-                    # millions of items, and memory must not grow with it
-                    if len(rows) >= FLUSH_ROWS:
-                        yield pd.DataFrame(rows, columns=fields)
-                        rows = []
-                    if not token:
-                        break
-        if rows:
-            yield pd.DataFrame(rows, columns=fields)
-
-    return ids.select(id_col).mapInPandas(run, schema)
-
-
-def synthetic_comment_pages(entity: str, token: str | None) -> tuple[list[dict], str | None]:
-    """Offline stand-in for the comment API: video ``v`` has ``int(v) %
-    250`` comment threads, served ``PAGE_SIZE`` per page."""
-    n = int(entity) % 250
-    page = int(token or 0)
-    lo, hi = page * PAGE_SIZE, min(n, (page + 1) * PAGE_SIZE)
-    items = [{"item": i, "page": page, "comment_id": f"c{entity}_{i}"} for i in range(lo, hi)]
-    return items, (str(page + 1) if hi < n else None)
-
 
 def id_batches(ids: DataFrame, id_col: str, shard: Column | None = None, size: int = 50) -> DataFrame:
     """Ids in batches of ``size``, joined by ``,`` (one detail request

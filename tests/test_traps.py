@@ -199,12 +199,17 @@ def test_n8_video_without_labelled_comments_has_null_percentages(spark):
 
 
 def test_n10_every_page_is_kept(spark):
-    from sentimart.sources.fetch import PAGE_SCHEMA, paged_fetch, synthetic_comment_pages
-    ids = one_col(spark, ["0", "1", "99", "249", "250", "1234"], "videoid")
-    got = paged_fetch(ids, "videoid", synthetic_comment_pages, PAGE_SCHEMA)
-    counts = {r.videoid: r.n for r in got.groupBy("videoid").agg(F.count("*").alias("n")).collect()}
-    assert counts == {"1": 1, "99": 99, "249": 249, "1234": 234}   # 249 -> 3 pages
-    assert got.where("videoid = '249'").select("page").distinct().count() == 3
+    from sentimart.session import scratch_path
+    from sentimart.sources.pages import paged_fetch, store_pages
+    sizes = {"a": 1, "b": 99, "c": 100, "d": 249, "e": 250}
+    items = spark.createDataFrame([(e, f"{i:03}") for e, n in sizes.items() for i in range(n)], "videoid string, id string")
+    path = scratch_path(spark, "pages")
+    store_pages(items, "videoid", [F.col("id")], path, page_size=100)
+    got = paged_fetch(spark, path)
+    assert {r.entity: (r.n, r.p) for r in got.groupBy("entity").agg(
+        F.count("*").alias("n"), F.countDistinct("page").alias("p")).collect()} == {
+        "a": (1, 1), "b": (99, 1), "c": (100, 1), "d": (249, 3), "e": (250, 3)}
+    assert got.where("cast(id as long) <> ordinal").count() == 0
 
 
 def test_n11_directory_scan_has_no_listing_cap(spark, tmp_path):
