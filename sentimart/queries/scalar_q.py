@@ -12,8 +12,9 @@ from ..catalog import register
 from ..functions import text as X
 from ..operators import projection as P
 from ..operators.aggregate import status_counts
+from ..operators.ranks import rank_slice
 from ..operators.responses import batch_prompt, explode_labels
-from ..operators.windowing import add_ordinal, batch_assign, range_shard
+from ..operators.windowing import batch_assign, range_shard
 from ..plans.cleaning import VIDEO_CELLS, clean_channel, clean_videos
 from ..plans.comments import extract_comments
 from ..schemas import SENTINEL
@@ -347,8 +348,19 @@ def q_clean_channel(spark, sf):
           "WHERE ordinal >= 200 AND ordinal < 280")
 def q_ordinal_slice(spark, sf):
     ids = A.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("videoid"))
-    o = add_ordinal(ids, [F.col("videoid").asc()])
-    return o.where((F.col("ordinal") >= 200) & (F.col("ordinal") < 280)).select("videoid", "ordinal")
+    return rank_slice(ids, ["videoid"], 200, 280)
+
+
+@register("ordinal_slice_wide", "SELECT * EXCLUDE (rn), rn AS ordinal FROM (SELECT *, row_number() OVER ("
+          "ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS rn "
+          "FROM lineitem) o WHERE rn >= (SELECT count(*) // 2 FROM lineitem) "
+          "AND rn < (SELECT count(*) // 2 FROM lineitem) + 1000")
+def q_ordinal_slice_wide(spark, sf):
+    """O5 in the middle of the largest table, over six columns: whole rows."""
+    lines = A.table(spark, sf, "lineitem")
+    middle = lines.count() // 2
+    return rank_slice(lines, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+                      middle, middle + 1000)
 
 
 @register("batch_assign", "SELECT o_orderkey, o_orderkey // 1000 AS shard, "
