@@ -3,6 +3,8 @@ warehouse load (C5), run audit (K9) and the incremental stream."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +12,12 @@ from .. import oracle as O
 from ..catalog import register
 from ..operators.classify import (LEXICON, SENTIMENT_OF, classify_comments, flaky_classifier,
                                   picky_classifier)
+from ..operators.leases import classify_leased, lease_report
 from ..plans import comments as C
 from ..plans.warehouse import fn_comments
 from ..schemas import COMMENTS, SENTINEL
 from ..session import scratch_path
+from ..sinks.files import materialize
 from ..sources import adapters as A
 from ..sources.files import load_skip_bad
 from ..streaming.incremental import run_comment_stream
@@ -50,6 +54,30 @@ def q_classify_with_failures(spark, sf):
     return out.select("commentid", "emotion", "sentimentnature")
 
 
+#: calls a second and key of the leased query, and its keys
+LEASE_RATE, LEASES = 400.0, 4
+
+
+def _leased(spark: SparkSession, sf: str) -> DataFrame:
+    clients = [picky_classifier] * LEASES
+    return materialize(classify_leased(A.comment_text(spark, sf), clients, LEASE_RATE, burst=2, sleep=time.sleep), "leased")
+
+
+@register("classify_leased", f"SELECT CAST(doc_id AS VARCHAR) AS commentid, source AS videoid, "
+          f"CASE WHEN starts_with(text, 'NO') THEN '{SENTINEL}' ELSE {_EM} END AS emotion, "
+          f"CASE WHEN starts_with(text, 'NO') THEN NULL ELSE {_SE} END AS sentimentnature FROM documents")
+def q_classify_leased(spark, sf):
+    """U1-U5 with each of four keys leased to one task, at its rate."""
+    return _leased(spark, sf).select("commentid", "videoid", "emotion", "sentimentnature")
+
+
+@register("lease_report", "SELECT CAST(k AS INTEGER) AS lease, CAST(0 AS BIGINT) AS n_overlapping, "
+          f"CAST(0 AS BIGINT) AS n_over_rate FROM range({LEASES}) AS r(k), (SELECT count(*) AS n FROM documents) d WHERE n >= {LEASES}")
+def q_lease_report(spark, sf):
+    """U4 + U5: no call of a key overlaps another, none exceeds the rate."""
+    return lease_report(_leased(spark, sf), LEASE_RATE, burst=2).select("lease", "n_overlapping", "n_over_rate")
+
+
 _THREAD_ROWS = f"""SELECT {SOURCE_SQL} AS source, l_returnflag || l_linestatus AS fs
   FROM lineitem WHERE l_orderkey % 23 <> 0"""
 

@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
@@ -132,16 +133,16 @@ class PageReader(DataSourceReader):
         number = pa.array(range(at, at + pages.num_rows), pa.int64())
         pages = pages.append_column("at", number)
         if self.wanted is not None:
-            pages = pages.filter(pa.compute.is_in(pages.column("entity"), pa.array(sorted(self.wanted), pa.string())))
+            pages = pages.filter(pc.is_in(pages.column("entity"), pa.array(sorted(self.wanted), pa.string())))
         items = pages.column("items")
-        rows, item = pa.compute.list_parent_indices(items), items.flatten()
+        rows, item = pc.list_parent_indices(items), items.flatten()
         def repeat(name):
             return pages.column(name).take(rows)
         starts = pa.array(items.offsets, pa.int64()) if isinstance(items, pa.LargeListArray) else items.offsets.cast(pa.int64())
-        within = pa.compute.subtract(pa.array(range(len(item)), pa.int64()),
-                                     pa.compute.subtract(starts.slice(0, len(items)), starts[0]).take(rows))
+        within = pc.subtract(pa.array(range(len(item)), pa.int64()),
+                                     pc.subtract(starts.slice(0, len(items)), starts[0]).take(rows))
         columns = {"entity": repeat("entity"), "page": repeat("page"), "next_token": repeat("next_token"),
-                   "ordinal": pa.compute.add(repeat("first"), within),
+                   "ordinal": pc.add(repeat("first"), within),
                    "span": pa.array([file] * len(item), pa.string()), "at": repeat("at")}
         return pa.RecordBatch.from_arrays(
             [*(columns[f.name] for f in PLACE.fields), *item.flatten()], names=[f.name for f in self.schema.fields])
