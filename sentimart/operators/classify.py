@@ -32,6 +32,10 @@ from ..schemas import BATCH_SIZE, EMOTIONS, MAX_ATTEMPTS, SENTINEL
 
 Classifier = Callable[[list[str]], str]
 
+#: reasons of a sentinel besides the failure of a whole call
+NO_TEXT = "no text"
+NO_LABEL = "no label in its line"
+
 # --- fixed values of the stand-in classifier (our own rule set) ---
 # Ordered keyword rules: the first keyword found (case-sensitive substring)
 # decides the emotion; no keyword -> neutral.
@@ -70,6 +74,13 @@ def picky_classifier(texts: list[str]) -> str:
                      for i, t in enumerate(texts, 1))
 
 
+def shy_classifier(texts: list[str]) -> str:
+    """Like the picky one, but only ``NO ...`` comments that shout have no
+    answer."""
+    return "\n".join(f"Comment {i} ?" if t.startswith("NO") and "!" in t else f"Comment {i}: {rule_label(t)}"
+                     for i, t in enumerate(texts, 1))
+
+
 def flaky_classifier():
     """A client that fails the first call of every slice (transient error,
     retried) and answers a line without ``:`` for texts containing ``@``
@@ -123,15 +134,18 @@ def parse_response(response: str, n: int, check_numbers: bool = False) -> list[s
 def classify_slice(texts: list[str], classifier: Classifier,
                    max_attempts: int = MAX_ATTEMPTS,
                    sleep: Callable[[float], None] = time.sleep,
-                   check_numbers: bool = False) -> list[str]:
+                   check_numbers: bool = False, reasons: list[str] | None = None) -> list[str]:
     """Up to ``max_attempts`` calls, sleeping ``2**k`` s after the k-th
-    failure; the sentinel for every comment when all attempts fail."""
+    failure; the sentinel for every comment when all attempts fail.  What
+    failed last is added to ``reasons``, if given."""
     for attempt in range(1, max_attempts + 1):
         try:
             return parse_response(str(classifier(texts)), len(texts), check_numbers)
-        except Exception:  # noqa: BLE001 - any client or parse failure retries
+        except Exception as e:  # noqa: BLE001 - any client or parse failure retries
             if attempt < max_attempts:
                 sleep(2 ** attempt)
+            elif reasons is not None:
+                reasons.append(f"{type(e).__name__}: {e}")
     return [SENTINEL] * len(texts)
 
 
@@ -148,7 +162,7 @@ def label_partitions(df: DataFrame, text_col: str,
                      batch_size: int = BATCH_SIZE, max_attempts: int = MAX_ATTEMPTS,
                      sleep: Callable[[float], None] = time.sleep, pause: float = 0.0,
                      label_col: str = "label", concurrency: int = 1,
-                     check_numbers: bool = False) -> DataFrame:
+                     check_numbers: bool = False, reason_col: str | None = None) -> DataFrame:
     """Add ``label_col`` (``"emotion, sentiment"`` or the sentinel).
 
     Runs as ``mapInArrow``: record batches pass through untouched (no
@@ -157,17 +171,21 @@ def label_partitions(df: DataFrame, text_col: str,
     it gets the sentinel.  ``pause`` seconds are slept after each call (U5
     rate limit).  ``concurrency`` > 1 keeps that many calls in flight per
     task (model calls wait on the network, not the CPU); labels keep input
-    order and the classifier must then be thread-safe."""
-    schema = T.StructType(df.schema.fields + [T.StructField(label_col, T.StringType(), True)])
+    order and the classifier must then be thread-safe.  ``reason_col`` adds
+    why a comment has the sentinel (NULL where it has a label)."""
+    added = [label_col] + ([reason_col] if reason_col else [])
+    schema = T.StructType(df.schema.fields + [T.StructField(c, T.StringType(), True) for c in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clf = _pick(classifier)
 
-        def one(sl: list[str]) -> list[str]:
-            res = classify_slice(sl, clf, max_attempts, sleep, check_numbers)
+        def one(sl: list[str]) -> list[tuple[str, str | None]]:
+            why: list[str] = []
+            res = classify_slice(sl, clf, max_attempts, sleep, check_numbers, why)
             if pause:
                 sleep(pause)
-            return res
+            why = why or [NO_LABEL]
+            return [(x, why[0] if x == SENTINEL else None) for x in res]
 
         def label(rb: pa.RecordBatch, texts: list) -> pa.RecordBatch:
             idx = [i for i, t in enumerate(texts) if t is not None]
@@ -178,10 +196,12 @@ def label_partitions(df: DataFrame, text_col: str,
                     parts = list(pool.map(one, slices))
             else:
                 parts = [one(sl) for sl in slices]
-            labels: list[str] = [SENTINEL] * len(texts)
+            labels: list[tuple[str, str | None]] = [(SENTINEL, NO_TEXT)] * len(texts)
             for i, lab in zip(idx, (x for part in parts for x in part)):
                 labels[i] = lab
-            return rb.append_column(label_col, pa.array(labels, pa.string()))
+            for k, name in enumerate(added):
+                rb = rb.append_column(name, pa.array([x[k] for x in labels], pa.string()))
+            return rb
 
         carry: pa.RecordBatch | None = None
         for rb in batches:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..catalog import register
-from ..operators.classify import (LEXICON, SENTIMENT_OF, classify_comments, flaky_classifier,
-                                  picky_classifier)
+from ..operators.classify import (LEXICON, NO_LABEL, SENTIMENT_OF, classify_comments, flaky_classifier,
+                                  picky_classifier, shy_classifier)
 from ..operators.leases import classify_leased, lease_report
 from ..plans import comments as C
 from ..plans.warehouse import fn_comments
@@ -19,7 +19,6 @@ from ..schemas import COMMENTS, SENTINEL
 from ..session import scratch_path
 from ..sinks.files import materialize
 from ..sources import adapters as A
-from ..sources.files import load_skip_bad
 from ..streaming.incremental import run_comment_stream
 from .io_q import N_SOURCES, SOURCE_SQL, stage_threads
 
@@ -120,10 +119,68 @@ def q_load_tables(spark, sf):
     table (positional, bad rows skipped) -> one row per comment."""
     out, _ = _first_pass(spark, sf)
     C.retry_pass(spark, out, run_id="retry", sleep=lambda s: None)
-    typed = load_skip_bad(spark, f"{out}/{C.PROCESSED}", COMMENTS)
+    typed = C.load_processed(spark, out, COMMENTS)
     return fn_comments(typed)
 
 
+_ROWS = ["commentid", "videoid", "publishedat", "textoriginal", "authordisplayname", "authorprofileimageurl",
+         "authorchannelurl", "likecount", "totalreplycount"]
+
+
+def _rows_sql(failed: str) -> str:
+    """Every classified row as text with its status; ``failed`` says which
+    rows the classifier does not answer."""
+    return (f"SELECT CASE WHEN {failed} THEN 'failed' ELSE 'processed' END AS status, "
+            + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _ROWS)
+            + f", CASE WHEN {failed} THEN '{SENTINEL}' ELSE {_TEM} END AS emotion, "
+            f"CASE WHEN {failed} THEN NULL ELSE {_TSE} END AS sentimentnature "
+            f"FROM ({O.THREADS_SQL}) t WHERE likecount IS NOT NULL")
+
+
+def _rows(spark: SparkSession, out: str) -> DataFrame:
+    """What readers see of the runs in ``out``: processed rows and queue."""
+    columns = [*(F.col(c).cast("string").alias(c) for c in _ROWS), "emotion", "sentimentnature"]
+    both = [df.select(F.lit(status).alias("status"), *columns) for status, df in
+            (("processed", C.processed_comments(spark, out)), ("failed", C.failed_comments(spark, out)))]
+    return both[0].unionByName(both[1])
+
+
+@register("comments_first_pass_rows", _rows_sql("starts_with(textoriginal, 'NO')"))
+def q_comments_first_pass_rows(spark, sf):
+    """The rows themselves, processed and queued."""
+    return _rows(spark, _first_pass(spark, sf)[0])
+
+
+@register("comments_retry_rows", _rows_sql("starts_with(textoriginal, 'NO') AND strpos(textoriginal, '!') > 0"))
+def q_comments_retry_rows(spark, sf):
+    """C4: all rows after a pass that was published twice under one run id,
+    one that died before its commit, and a retry that answers but some."""
+    out, _ = _first_pass(spark, sf)
+    C.first_pass(spark, stage_threads(spark, sf), out, 0, N_SOURCES, run_id="first", classifier=picky_classifier,
+                 sleep=lambda s: None)
+    C.retry_pass(spark, out, run_id="retry", classifier=shy_classifier, sleep=lambda s: None)
+    return _rows(spark, out)
+
+
+@register("comments_queue", f"SELECT commentid, source, CAST(2 AS INTEGER) AS attempts, '{NO_LABEL}' AS reason FROM ("
+          f"SELECT *, 'comments_' || CAST(CAST(videoid AS BIGINT) % {N_SOURCES} AS VARCHAR) AS source FROM ({O.THREADS_SQL}) r) t "
+          "WHERE likecount IS NOT NULL AND starts_with(textoriginal, 'NO') AND strpos(textoriginal, '!') > 0")
+def q_comments_queue(spark, sf):
+    """C4: the queue after two passes, with attempts and reasons."""
+    out, _ = _first_pass(spark, sf)
+    C.retry_pass(spark, out, run_id="retry", classifier=shy_classifier, sleep=lambda s: None)
+    return C.failed_comments(spark, out).select("commentid", "source", "attempts", "reason")
+
+
+@register("comments_stream_rows", _rows_sql("starts_with(textoriginal, 'NO')"))
+def q_comments_stream_rows(spark, sf):
+    """The stream's rows, processed and queued."""
+    out = scratch_path(spark, "stream")
+    run_comment_stream(spark, stage_threads(spark, sf), out, classifier=picky_classifier,
+                       max_files_per_trigger=100, sleep=lambda s: None)
+    return _rows(spark, out)
+
+
 @register("run_audit", "SELECT run_id, CAST(count(*) AS BIGINT) AS sources, CAST(sum(total_rows) AS BIGINT) AS total_rows, "
           "CAST(sum(processed_rows) AS BIGINT) AS processed_rows FROM ("
           "SELECT 'first' AS run_id, source, count(*) AS total_rows, count(*) FILTER (WHERE fs <> 'NO') AS processed_rows "
@@ -134,7 +191,7 @@ def q_run_audit(spark, sf):
     """K9: the audit log after both passes, read back from storage."""
     out, _ = _first_pass(spark, sf)
     C.retry_pass(spark, out, run_id="retry", sleep=lambda s: None)
-    log = spark.read.parquet(f"{out}/{C.AUDIT}")
+    log = C.audit_log(spark, out)
     return log.groupBy("run_id").agg(F.count(F.lit(1)).alias("sources"),
                                      F.sum("total_rows").alias("total_rows"),
                                      F.sum("processed_rows").alias("processed_rows"))
@@ -150,6 +207,6 @@ def q_comments_stream(spark, sf):
     out = scratch_path(spark, "stream")
     run_comment_stream(spark, stage_threads(spark, sf), out, classifier=picky_classifier,
                        max_files_per_trigger=100, sleep=lambda s: None)
-    log = spark.read.parquet(f"{out}/{C.AUDIT}")
+    log = C.audit_log(spark, out)
     return log.groupBy("source").agg(F.sum("total_rows").alias("total_rows"),
                                      F.sum("processed_rows").alias("processed_rows"))

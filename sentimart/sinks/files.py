@@ -110,10 +110,11 @@ def publish_table(df: DataFrame, name: str, location: str, mode: str = "overwrit
 
 
 def append_audit(spark: SparkSession, counts: DataFrame, path: str,
-                 run_id: str, mode: str = "append") -> DataFrame:
-    """K9: append one row per source (total / processed / unprocessed) to
-    an audit table, tagged with the run id and time.  Appends are new
-    files, never a read-modify-write of one log object.  The log is
+                 run_id: str, mode: str = "overwrite") -> DataFrame:
+    """K9: add one row per source (total / processed / unprocessed) to an
+    audit table, tagged with the run id and time.  Runs are new files, never
+    a read-modify-write of one log object; a run id that is logged again
+    replaces its rows (``mode='append'``: adds to them).  The log is
     partitioned by run id, so reading one run back (returned here,
     independent of ``counts``) opens only that run's folder."""
     rows = counts.select(F.lit(run_id).alias("run_id"),

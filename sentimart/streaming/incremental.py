@@ -5,10 +5,10 @@ takes at most ``max_files_per_trigger`` new comment files from the
 folder, classifies them and writes the processed / failed folders and the
 audit rows for that micro-batch.  The stream's checkpoint (in the shared
 folder) records which files were consumed, so a restart after a crash
-resumes without reclassifying or skipping files; ``foreachBatch`` output
-writes each micro-batch into its own ``batch=<id>`` folders in overwrite
-mode, so a batch replayed after a crash replaces its earlier partial
-output instead of duplicating it (idempotent sink).
+resumes without reclassifying or skipping files; each micro-batch is a run
+of its own id, so a batch replayed after a crash replaces what it had
+published instead of duplicating it (idempotent sink).  What fails joins
+the retry queue like the failures of a first pass.
 """
 
 from __future__ import annotations
@@ -16,12 +16,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.classify import Classifier, classify_comments, rule_based_classifier
 from ..plans import comments as C
 from ..schemas import COMMENT_THREAD, with_field
-from ..sinks.files import append_audit, materialize_at, remove_path, write_csv
-from ..operators.aggregate import status_counts
 
 
 def comment_stream(spark: SparkSession, threads_dir: str,
@@ -41,17 +40,8 @@ def run_comment_stream(spark: SparkSession, threads_dir: str, out_dir: str,
     """Start the stream; with ``available_now`` process every file present
     and return when done (otherwise return the running query)."""
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        classified, tmp = materialize_at(classify_comments(batch, classifier=classifier, **kw),
-                                         f"stream-{batch_id}")
-        processed, failed = C.route(classified)
-        cols = C.CLASSIFIED_COLUMNS + ["source"]
-        part = f"batch={batch_id}"
-        write_csv(processed.select(*cols), f"{out_dir}/{C.PROCESSED}/{part}", mode="overwrite",
-                  partition_by=["source"])
-        write_csv(failed.select(*cols), f"{out_dir}/{C.FAILED}/{part}", mode="overwrite")
-        append_audit(spark, status_counts(classified, ~C.is_failed(), by=["source"]),
-                     f"{out_dir}/{C.AUDIT}", f"batch-{batch_id}", mode="overwrite")
-        remove_path(spark, tmp)
+        labelled = classify_comments(batch, classifier=classifier, reason_col="reason", **kw)
+        C.publish(spark, labelled.withColumn("attempts", F.lit(0)), out_dir, "append", f"batch-{batch_id}")
 
     w = (comment_stream(spark, threads_dir, max_files_per_trigger).writeStream
          .foreachBatch(each_batch)

@@ -118,7 +118,7 @@ def test_first_pass_then_retry_converges(spark):
     assert C.failed_comments(spark, out).count() == 0
     processed = C.processed_comments(spark, out)
     assert processed.count() == f[0]
-    log = spark.read.parquet(f"{out}/{C.AUDIT}")
+    log = C.audit_log(spark, out)
     assert sorted(r.run_id.split("-")[0] for r in log.select("run_id").distinct().collect()) == ["first", "retry"]
 
 

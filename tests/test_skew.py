@@ -80,13 +80,13 @@ def test_stream_restart_processes_each_file_once(spark, tmp_path):
     threads = stage_threads(spark, SF_SMALL, fresh=True)  # this test adds files to it
     out = str(tmp_path / "out")
     run_comment_stream(spark, threads, out, max_files_per_trigger=50, sleep=lambda s: None)
-    first = spark.read.parquet(f"{out}/{C.AUDIT}").agg(F.sum("total_rows")).collect()[0][0]
+    first = C.audit_log(spark, out).agg(F.sum("total_rows")).collect()[0][0]
     # new files arrive in new source folders; restart on the same checkpoint
     extra = spark.read.parquet(threads).where(F.col("source") == "comments_7") \
         .withColumn("source", F.lit("comments_999"))
     write_parquet_partitioned(extra, threads, ["source"], mode="append")
     run_comment_stream(spark, threads, out, max_files_per_trigger=50, sleep=lambda s: None)
-    log = spark.read.parquet(f"{out}/{C.AUDIT}")
+    log = C.audit_log(spark, out)
     total = log.agg(F.sum("total_rows")).collect()[0][0]
     n_extra = C.extract_comments(extra).count()
     assert total == first + n_extra
