@@ -4,6 +4,7 @@ expressions (P8), count casts (P9/P10)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -95,13 +96,15 @@ def unreadable_cells(df: DataFrame, column: str, schema: T.StructType) -> DataFr
             .where(F.col(column).isNotNull() & (F.col(bad).isNull() | F.col(f"{bad}.{bad}").isNotNull())).drop(bad))
 
 
-def _leaves(dtype: T.DataType, prefix: str) -> list[str]:
+def _leaves(dtype: T.DataType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """The paths of a struct's leaves; a name may hold dots itself."""
     if isinstance(dtype, T.StructType):
-        out: list[str] = []
-        for f in dtype.fields:
-            out.extend(_leaves(f.dataType, f"{prefix}.{f.name}" if prefix else f.name))
-        return out
-    return [prefix]
+        return [leaf for f in dtype.fields for leaf in _leaves(f.dataType, (*path, f.name))]
+    return [path]
+
+
+def _quoted(path: Sequence[str]) -> str:
+    return ".".join("`" + p.replace("`", "``") + "`" for p in path)
 
 
 def flatten_struct(df: DataFrame, column: str, keep_prefix: bool = False) -> DataFrame:
@@ -110,15 +113,61 @@ def flatten_struct(df: DataFrame, column: str, keep_prefix: bool = False) -> Dat
     ``json_normalize`` glued beside the row.  Stays within the row: no
     join, no shuffle."""
     dtype = df.schema[column].dataType
-    leaves = _leaves(dtype, "")
-    path = ".".join(f"`{p}`" for p in column.split("."))
-    cols = [F.col(f"`{c}`") for c in df.columns if c != column]
-    for leaf in leaves:
-        ref = path + "." + ".".join(f"`{p}`" for p in leaf.split("."))
-        cols.append(F.col(ref).alias(f"{column}.{leaf}" if keep_prefix else leaf))
+    cols = [F.col(_quoted([c])) for c in df.columns if c != column]
+    for leaf in _leaves(dtype):
+        name = ".".join(leaf)
+        cols.append(F.col(_quoted([column, *leaf])).alias(f"{column}.{name}" if keep_prefix else name))
     return df.select(*cols)
 
 
+# types as they are written in an inferred schema, where a field's name may
+# be one of these words (it is followed by a colon)
+_INFERRED_TYPE = re.compile(r"(?:(?<=: )|(?<=<)|^)(OBJECT<>|OBJECT<|VARIANT|VOID|DECIMAL\(\d+,\d+\))(?!:)")
+_QUOTED_NAME = re.compile(r"(`(?:[^`]|``)*`)")
+
+
+def _declared(inferred: str) -> str:
+    """An inferred type as one that a parser can be given: decimals become
+    doubles; what has no single type, or only nulls, is text."""
+    def one(m: re.Match) -> str:
+        word = m.group(1)
+        return "STRUCT<" if word == "OBJECT<" else "DOUBLE" if word.startswith("DECIMAL") else "STRING"
+    return "".join(part if i % 2 else _INFERRED_TYPE.sub(one, part)
+                   for i, part in enumerate(_QUOTED_NAME.split(inferred)))
+
+
+def discover_schemas(df: DataFrame, columns: Sequence[str]) -> dict[str, T.StructType]:
+    """The schemas that the dict cells of ``columns`` have between them,
+    found in one aggregation: every task merges the types of its cells
+    (NULL, whole number, number, text ... up to "several", which is read as
+    text) and the results are merged, so they depend neither on the order
+    nor on the partitions.  Fields are in the order of their names; cells
+    that are not dicts have no part in it."""
+    def inferred(column: str) -> Column:
+        value = F.from_json(_as_json(F.col(_quoted([column]))), "variant", _JSON_OPTS)
+        return F.schema_of_variant_agg(F.when(F.schema_of_variant(value).startswith("OBJECT<"), value))
+    found = df.agg(*(inferred(c).alias(f"s{i}") for i, c in enumerate(columns))).first()
+    out = {}
+    for i, column in enumerate(columns):
+        ddl = _declared(found[f"s{i}"] or "VOID")
+        out[column] = T.StructType.fromDDL(f"s {ddl}")["s"].dataType if ddl.startswith("STRUCT<") else T.StructType([])
+    return out
+
+
+def flatten_discovered(df: DataFrame, columns: Sequence[str], keep_prefix: bool = False) -> DataFrame:
+    """P7 without a given schema: the dict cells of ``columns`` become one
+    column a leaf that any of them has, glued beside the row.  One scan
+    finds the schemas, the parse is within the row.  A field that a cell
+    lacks is NULL; a column without any dict disappears."""
+    schemas = discover_schemas(df, columns)
+    for column in columns:
+        if not schemas[column].fields:
+            df = df.drop(column)
+            continue
+        df = flatten_struct(parse_struct_column(df, column, schemas[column]), column, keep_prefix)
+    return df
+
+
 def cast_counts(df: DataFrame, columns: Sequence[str], strict: bool = False) -> DataFrame:
     """Text counts -> BIGINT.  Default ``try_cast`` (junk -> NULL);
     ``strict=True`` uses an ANSI cast, which fails the job on junk."""

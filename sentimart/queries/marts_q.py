@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from ..plans import marts, warehouse
 from ..plans.cleaning import videos_table
 from ..schemas import SENTIMENTS
 from ..session import scratch_path
+from ..sinks.files import publish_table
 from ..sources import adapters as A
 
 
@@ -160,3 +162,34 @@ def q_publish_marts(spark: SparkSession, sf: str) -> DataFrame:
     tables = marts.build_marts(videos(spark, sf), A.comments(spark, sf), A.topics(spark, sf),
                                scratch_path(spark, "marts"), prefix=f"m{uuid.uuid4().hex[:8]}_")
     return tables["fn_rk1_table"]
+
+
+@register("table_replace", O.with_views(["fn_videos"], "SELECT * FROM fn_videos WHERE likescount > 25"))
+def q_table_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """K7: a table, replaced once as a whole, then by rows that fail half
+    way: what is left is the first replacement."""
+    name, location = f"replaced_{uuid.uuid4().hex[:12]}", scratch_path(spark, "replaced")
+    videos = fn_videos_df(spark, sf)
+    publish_table(videos, name, location)
+    publish_table(videos.where("likescount > 25"), name, location)
+    broken = videos.withColumn("title", F.when(F.col("likescount") > 25, F.raise_error(F.lit("broken"))).otherwise(F.col("title")))
+    try:
+        publish_table(broken, name, location)
+    except Exception as e:  # noqa: BLE001 - whatever the failed task is reported as
+        if "broken" not in str(e):
+            raise
+        return spark.table(name)
+    raise AssertionError("the broken rows were published")
+
+
+@register("table_create_only", O.with_views(["fn_videos"], "SELECT * FROM fn_videos"))
+def q_table_create_only(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: a second create of one name fails and changes nothing."""
+    name, location = f"created_{uuid.uuid4().hex[:12]}", scratch_path(spark, "created")
+    videos = fn_videos_df(spark, sf)
+    publish_table(videos, name, location, mode="errorifexists")
+    try:
+        publish_table(videos.where("likescount > 25"), name, location, mode="errorifexists")
+    except AnalysisException:
+        return spark.table(name)
+    raise AssertionError("the table was created twice")

@@ -218,6 +218,32 @@ def q_flatten_struct(spark, sf):
     return P.flatten_struct(A.raw_videos(spark, sf).select("id", "snippet"), "snippet")
 
 
+def drifting_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Video records with a dict cell whose fields drift: missing, nested
+    deeper, of another type, Python and JSON spellings."""
+    k = F.col("id").cast("bigint")
+    extra = (F.when(k % 5 == 0, F.concat(F.lit("{'n': "), F.col("id"), F.lit(", 'live': True}")))
+             .when(k % 5 == 1, F.concat(F.lit('{"n": '), F.col("id"), F.lit('.5, "mixed": 1, "tags": ["a", "b"]}')))
+             .when(k % 5 == 2, F.concat(F.lit("{'deep': {'x.y': {'z': '"), F.col("id"), F.lit("'}}, 'mixed': 'text', 'n': None}")))
+             .when(k % 5 == 3, F.lit("not a dict")))
+    return video_literals(spark, sf).select("id", "statistics", extra.alias("extra"))
+
+
+@register("flatten_discovered", "SELECT CAST(p_partkey AS VARCHAR) AS id, "
+          "CAST(p_size * 3 AS VARCHAR) AS commentCount, CAST(p_size AS VARCHAR) AS likeCount, "
+          "CASE WHEN p_partkey % 97 <> 0 THEN CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) END AS viewCount, "
+          "CASE WHEN p_partkey % 3 = 0 THEN false END AS hiddenSubscriberCount, "
+          "CASE p_partkey % 5 WHEN 2 THEN CAST(p_partkey AS VARCHAR) END AS \"deep.x.y.z\", "
+          "CASE p_partkey % 5 WHEN 0 THEN true END AS live, "
+          "CASE p_partkey % 5 WHEN 1 THEN '1' WHEN 2 THEN 'text' END AS mixed, "
+          "CASE p_partkey % 5 WHEN 0 THEN p_partkey::DOUBLE WHEN 1 THEN p_partkey + 0.5::DOUBLE END AS n, "
+          "CASE p_partkey % 5 WHEN 1 THEN 'a,b' END AS tags FROM part")
+def q_flatten_discovered(spark, sf):
+    """P7 with the fields found in the data."""
+    out = P.flatten_discovered(drifting_cells(spark, sf), ["statistics", "extra"])
+    return out.withColumn("tags", F.array_join("tags", ","))
+
+
 _JUNK_VIEWS = ("CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 97 = 0 THEN NULL "
                "ELSE CAST(floor(p_retailprice) AS BIGINT) END")
 

@@ -8,8 +8,10 @@ re-runs tasks and still commits each output exactly once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,10 @@ from ..session import scratch_path
 from ..sources.files import CSV_DIALECT
 
 
+#: folders of a published table's versions begin with this
+VERSION = "v-"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
               partition_by: Sequence[str] = (), single_file: bool = False) -> None:
     """K1/K4: CSV with the shared dialect.  ``partition_by`` writes one
@@ -88,9 +94,18 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 
 
 def publish_table(df: DataFrame, name: str, location: str, mode: str = "overwrite",
-                  bucket_by: tuple[int, Sequence[str]] | None = None) -> DataFrame:
+                  bucket_by: tuple[int, Sequence[str]] | None = None, keep: int = 1) -> DataFrame:
     """K7/K8: create-or-replace (``mode='overwrite'``) or create-only
-    (``mode='errorifexists'``) a named table stored at ``location``.
+    (``mode='errorifexists'``) a named table stored below ``location``.
+
+    The rows are written aside, as a version of their own, and only a whole
+    version becomes the table: a replace points the table at it (one change
+    of its location in the catalog), a create renames the version's table,
+    which fails if the name is taken by then.  A replace that fails leaves
+    the table as it was, and what reads it meanwhile reads one version.  The
+    ``keep`` versions before the last one stay for such readers.  A replace
+    with other columns or buckets cannot be one change: the name is dropped
+    and given to the new version, so for a moment there is none.
 
     ``bucket_by=(n, cols)`` stores the table hash-bucketed on ``cols``:
     later joins and aggregations on those columns between tables with the
@@ -99,16 +114,49 @@ def publish_table(df: DataFrame, name: str, location: str, mode: str = "overwrit
     same hash as the buckets), so each task writes one bucket file instead
     of up to ``n`` files per task."""
     spark = df.sparkSession
+    exists = spark.catalog.tableExists(name)
+    if exists and mode == "errorifexists":
+        raise AnalysisException(f"table {name} already exists")
+    version = f"{time.time_ns():020d}"
+    aside, path = f"{name}__v{version}", f"{location}/{VERSION}{version}"
     if bucket_by is not None:
         df = df.repartition(bucket_by[0], *[F.col(c) for c in bucket_by[1]])
-    w = df.write.mode(mode).format("parquet").option("path", location)
+    w = df.write.mode("errorifexists").format("parquet").option("path", path)
     if bucket_by is not None:
-        n, cols = bucket_by
-        w = w.bucketBy(n, *cols)
-    w.saveAsTable(name)
+        w = w.bucketBy(bucket_by[0], *bucket_by[1])
+    try:
+        w.saveAsTable(aside)
+        if exists and _shape(spark, name) == _shape(spark, aside):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+        else:
+            if exists:
+                spark.sql(f"DROP TABLE {name}")          # the files of an external table stay
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        remove_path(spark, path)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    for old in _versions(spark, location)[:-1 - keep]:
+        remove_path(spark, old)
     return spark.table(name)
 
 
+def _shape(spark: SparkSession, name: str) -> tuple:
+    """What a change of location cannot change: columns and buckets."""
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    return (spark.table(name).schema, described.get("Num Buckets"), described.get("Bucket Columns"))
+
+
+def _versions(spark: SparkSession, location: str) -> list[str]:
+    """The folders of a table's versions, oldest first."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(f"{location}/{n}" for n in names if n.startswith(VERSION))
+
+
 def append_audit(spark: SparkSession, counts: DataFrame, path: str,
                  run_id: str, mode: str = "overwrite") -> DataFrame:
     """K9: add one row per source (total / processed / unprocessed) to an

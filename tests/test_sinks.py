@@ -26,6 +26,51 @@ def test_publish_replace_and_create_only(spark):
         publish_table(spark.range(1), "k7_table", loc, mode="errorifexists")   # K8
 
 
+def rows(spark, name):
+    return sorted(r[0] for r in spark.table(name).collect())
+
+
+@pytest.mark.parametrize("buckets", [None, (3, ["id"])])
+def test_failed_replace_leaves_the_table(spark, buckets):
+    from pyspark.sql import functions as F
+    loc, name = scratch_path(spark, "tbl"), f"k7_atomic_{'b' if buckets else 'p'}"
+    publish_table(spark.range(5), name, loc, bucket_by=buckets)
+    reader = spark.table(name)                                     # planned before the replacements
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") > 6, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="broken"):
+        publish_table(broken.select(F.col("id").cast("long")), name, loc, bucket_by=buckets)
+    assert rows(spark, name) == list(range(5))
+    publish_table(spark.range(3), name, loc, bucket_by=buckets)
+    assert rows(spark, name) == [0, 1, 2]
+    assert reader.count() in (3, 5)                                # one version or the other, never none
+    publish_table(spark.range(7), name, loc, bucket_by=buckets)
+    from sentimart.sinks.files import _versions
+    assert rows(spark, name) == list(range(7)) and len(_versions(spark, loc)) == 2
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    publish_table(spark.range(2).withColumn("more", F.lit("x")), name, loc)      # other columns
+    assert spark.table(name).columns == ["id", "more"] and rows(spark, name) == [0, 1]
+
+
+def test_create_only_loses_to_an_earlier_create(spark, monkeypatch):
+    import sentimart.sinks.files as S
+    loc = scratch_path(spark, "tbl")
+    publish_table(spark.range(5), "k8_race", loc)
+    # the name is taken after the check: the rename finds out
+    monkeypatch.setattr(type(spark.catalog), "tableExists", lambda self, name: False)
+    with pytest.raises(AnalysisException):
+        S.publish_table(spark.range(2), "k8_race", loc, mode="errorifexists")
+    monkeypatch.undo()
+    assert rows(spark, "k8_race") == list(range(5)) and len(S._versions(spark, loc)) == 1
+
+
+def test_single_file(spark):
+    from sentimart.sinks.files import write_csv
+    p = scratch_path(spark, "k5")
+    write_csv(spark.range(0, 100, 1, 8).selectExpr("id", "'a\nb' as text"), p, single_file=True)       # K5
+    back = spark.read.option("header", "true").option("multiLine", "true").csv(p)
+    assert len(back.inputFiles()) == 1 and back.count() == 100
+
+
 def test_require_nonempty(spark):
     with pytest.raises(LoadError):
         require_nonempty(spark.range(0))
