@@ -21,6 +21,7 @@ from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet_partitioned
 from ..sources import adapters as A
 from ..sources import fetch, pages
+from ..sources.rejects import located_rejects
 from ..sources.files import (filter_by_suffix, load_csv_table, load_skip_bad, load_strict, scan_csv,
                              scan_parquet, sort_by_suffix, source_label, suffix_of,
                              with_source_file)
@@ -228,6 +229,52 @@ def q_load_rejects(spark, sf):
     return kinds.groupBy("kind").agg(F.count("*").alias("n_rows"))
 
 
+def _stage_located(spark: SparkSession, sf: str) -> str:
+    """Comment lines, malformed ones among them, one file a source in a
+    known order; the text of some has a quoted line break."""
+    def build() -> str:
+        path = scratch_path(spark, "located")
+        names = COMMENTS.fieldNames()
+        key = F.split("commentid", "-")[0].cast("bigint")
+        c = A.comments(spark, sf).withColumns({
+            "k": key, "source": F.concat(F.lit("s"), (F.col("videoid").cast("bigint") % 50).cast("string"))})
+        cells = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
+        two_lines = F.concat(F.lit('"'), F.col("textoriginal"), F.lit('\n""said"", once"'))
+        cells[names.index("textoriginal")] = F.when(F.col("k") % 3 == 0, two_lines).otherwise(F.col("textoriginal"))
+        def joined(**changed):
+            return F.concat_ws(",", *[changed.get(n, x) for n, x in zip(names, cells)])
+        line = (F.when(F.col("k") % 41 == 0, joined(publishedat=F.lit("not-a-date"))).when(F.col("k") % 43 == 0, joined(likecount=F.lit("many")))
+                .when(F.col("k") % 47 == 0, F.concat_ws(",", *cells[:-1])).when(F.col("k") % 53 == 0, F.concat(joined(), F.lit(",extra")))
+                .otherwise(joined()))
+        order = [F.col(n) for n in names]
+        lines = c.select("source", F.lit(1).alias("body"), "k", *names, line.alias("value"))
+        header = lines.select("source").distinct().select(
+            "source", F.lit(0).alias("body"), F.lit(None).cast("bigint").alias("k"),
+            *(F.lit(None).cast(f.dataType).alias(f.name) for f in COMMENTS.fields), F.lit(",".join(names)).alias("value"))
+        (header.unionByName(lines).repartition("source").sortWithinPartitions("source", "body", *order)
+         .select("source", "value").write.partitionBy("source").text(path))
+        return path
+    return _staged(spark, sf, "located", build, fresh=False)
+
+
+_LOCATED_SQL = O.with_views(["comments"], f"""SELECT source, line, column_name, reason FROM (
+  SELECT *, 1 + n + coalesce(sum(CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY n
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line,
+    CASE WHEN k % 41 = 0 THEN 'publishedat' WHEN k % 43 = 0 THEN 'likecount' END AS column_name,
+    CASE WHEN k % 41 = 0 THEN 'not a date: not-a-date' WHEN k % 43 = 0 THEN 'not a bigint: many'
+      WHEN k % 47 = 0 THEN '10 fields of 11' WHEN k % 53 = 0 THEN '12 fields for 11' END AS reason
+  FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {", ".join(COMMENTS.fieldNames())}) AS n
+        FROM (SELECT *, {_ORDERKEY} AS k, 's' || CAST(CAST(videoid AS BIGINT) % 50 AS VARCHAR) AS source FROM comments) a) b) c
+  WHERE reason IS NOT NULL""")
+
+
+@register("reject_places", _LOCATED_SQL)
+def q_reject_places(spark, sf):
+    """File, line, column and reason of every row the load skips."""
+    bad = located_rejects(spark, _stage_located(spark, sf), COMMENTS, glob="*.txt")
+    return bad.select(source_label("file").alias("source"), "line", "column_name", "reason")
+
+
 # ---------------------------------------------------------- fetch
 
 @register("id_batches_text", "SELECT batch_id, CAST(count(*) AS INTEGER) AS n_ids, "
