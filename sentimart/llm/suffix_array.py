@@ -1,14 +1,17 @@
 """Suffix arrays by induced sorting and permuted common prefixes, in numpy.
 
-Every sweep of the induced sort visits the buckets in order and moves all
-predecessors of a bucket's entries at once, so a sweep is a few array
-operations a bucket and linear work in all.
+A sweep of the induced sort over a small alphabet visits the buckets in
+order and moves all predecessors of a bucket's entries at once, so it is a
+few array operations a bucket and linear work in all.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: entries a bucket on average from which a sweep goes bucket by bucket
+_LARGE_BUCKET = 32
+
 
 def _types(s: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than its right neighbour (S type).
@@ -104,29 +107,31 @@ def _names(s, lms, ordered) -> tuple[np.ndarray, int]:
     return names, int(rank[-1]) + 1
 
 
-def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Suffix array of a short string over a large alphabet: ranks by ever
-    longer prefixes, where only suffixes that still share a rank are sorted
-    again."""
-    n, step = len(names), 1
-    order = np.argsort(names, kind="stable")
-    rank = np.empty(n, dtype=np.int64)
-    first = np.concatenate(([True], np.diff(names[order]) != 0))
-    start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    rank[order] = start                    # a rank is its group's first place
-    tied = np.flatnonzero(~(first & np.append(first[1:], True)))
-    while len(tied):
-        at = order[tied]
-        follow = np.where(at + step < n, rank[np.minimum(at + step, n - 1)] + 1, 0)
-        key = rank[at] * (n + 1) + follow
-        by = np.argsort(key)
-        order[tied] = at = at[by]
-        key = key[by]
-        first = np.concatenate(([True], key[1:] != key[:-1]))
-        rank[at] = tied[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
-        tied = tied[~(first & np.append(first[1:], True))]
-        step *= 2
-    return order
+def _induce_singly(s, smaller, lms, bounds) -> np.ndarray:
+    """The same two sweeps entry by entry, for alphabets of which most
+    buckets are small."""
+    n, first = len(s), s[lms]                    # ``lms`` is in the order of its first symbols
+    own = np.bincount(first, minlength=len(bounds) - 1)
+    sa = np.full(n, -1, dtype=np.int64)
+    sa[bounds[1:][first] - own[first] + np.arange(len(lms)) - (np.cumsum(own) - own)[first]] = lms
+    sa = sa.tolist()
+    # the symbol before each position, where that is of the type that a
+    # sweep moves, else -1; so is what stands for "no entry", the last one
+    before = np.concatenate(([-1], s[:-1].astype(np.int64), [-1]))
+    rises = np.concatenate(([False], smaller[:-1], [False]))
+    symbol, head = np.where(rises, -1, before).tolist(), bounds[:-1].tolist()
+    for at in sa:                                # sees what the loop itself writes further on
+        c = symbol[at]
+        if c >= 0:
+            sa[head[c]] = at - 1
+            head[c] += 1
+    symbol, tail = np.where(rises, before, -1).tolist(), bounds[1:].tolist()
+    for at in reversed(sa):
+        c = symbol[at]
+        if c >= 0:
+            tail[c] -= 1
+            sa[tail[c]] = at - 1
+    return np.array(sa, dtype=np.int64)
 
 
 def suffix_array(s: np.ndarray, n_symbols: int) -> np.ndarray:
@@ -135,25 +140,23 @@ def suffix_array(s: np.ndarray, n_symbols: int) -> np.ndarray:
 
     The suffixes are classified, the leftmost-smaller substrings are
     sorted by one induced sweep and named, the string of their names is
-    sorted recursively, and its order induces all suffixes.  A sweep costs
-    a few array calls a bucket, so a level whose alphabet is large for its
-    length (few names left to tell apart) is finished by rank doubling."""
+    sorted recursively, and its order induces all suffixes.  The work is
+    linear.  A sweep goes bucket by bucket where these are large, and entry
+    by entry where they are not (the names of deeper levels)."""
     if len(s) == 1:
         return np.zeros(1, dtype=np.int64)
     smaller = _types(s)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     bounds = np.concatenate(([0], np.cumsum(np.bincount(s, minlength=n_symbols))))
-    rough = _induce(s, smaller, lms[np.argsort(s[lms], kind="stable")], bounds)
+    induce = _induce if len(s) >= _LARGE_BUCKET * n_symbols else _induce_singly
+    rough = induce(s, smaller, lms[np.argsort(s[lms], kind="stable")], bounds)
     is_lms = np.zeros(len(s), dtype=bool)
     is_lms[lms] = True
     ordered = rough[is_lms[rough]]
     names, n_names = _names(s, lms, ordered)
     if n_names < len(lms):
-        small = n_names * 32 <= len(lms)
-        dtype = np.uint16 if n_names <= 1 << 16 else np.int64
-        order = suffix_array(names.astype(dtype), n_names) if small else _by_doubling(names)
-        ordered = lms[order]
-    return _induce(s, smaller, ordered, bounds)
+        ordered = lms[suffix_array(names, n_names)]
+    return induce(s, smaller, ordered, bounds)
 
 
 def common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
