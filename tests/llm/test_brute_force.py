@@ -171,3 +171,25 @@ def test_automaton_is_glob():
         pattern = "".join("" if not p else ("[^/]*" if p == "*" else ".*") if p[0] == "*" else re.escape(p) for p in parts)
         want = [re.fullmatch(pattern, t.decode()) is not None for t in texts]
         assert found[:, i].tolist() == want, g
+
+
+@pytest.mark.parametrize("n_letters", [1, 2, 4, 26])
+def test_suffix_array_recurses_to_a_sorted_order(monkeypatch, n_letters):
+    from sentimart.llm import suffix_array as S
+    rng = np.random.default_rng(n_letters)
+    phrase = rng.integers(1, n_letters + 1, 700)
+    text = np.concatenate([phrase, phrase[:300], rng.integers(1, n_letters + 1, 900), phrase, [0]]).astype(np.uint16)
+    levels, inner = [], S.suffix_array
+
+    def traced(s, n_symbols):
+        levels.append((len(s), n_symbols))
+        return inner(s, n_symbols)
+    monkeypatch.setattr(S, "suffix_array", traced)
+    values = text.tolist()
+    want = sorted(range(len(values)), key=lambda i: values[i:])
+    for bucket in (0, 32, 10**9):                      # both kinds of sweep at every level
+        levels.clear()
+        monkeypatch.setattr(S, "_LARGE_BUCKET", bucket)
+        assert traced(text, n_letters + 1).tolist() == want
+        assert len(levels) > 2 or n_letters == 1
+        assert all(b[0] <= a[0] / 2 for a, b in zip(levels, levels[1:]))
