@@ -65,7 +65,29 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op10_suffix_dedup")
+@query("op10_suffix_dedup", """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM docs),
+chunks AS (                          -- short strings, as substr reads its whole argument
+  SELECT doc_id, c, n, substr(h, 2 * c + 1, 398) AS h FROM (SELECT *, unnest(range(0, n - 99, 100)) AS c FROM sized)),
+starts AS (
+  SELECT doc_id, c + i AS s, md5(substr(h, 2 * i + 1, 200)) AS w
+  FROM (SELECT *, unnest(range(0, least(100, n - 99 - c))) AS i FROM chunks)),
+firsts AS (SELECT w, min((doc_id, s)) AS first FROM starts GROUP BY w HAVING count(*) > 1),
+hits AS (SELECT doc_id, s FROM starts JOIN firsts USING (w) WHERE (doc_id, s) <> first),
+edges AS (
+  SELECT doc_id, s, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100, true) AS opens FROM hits),
+runs AS (SELECT doc_id, s, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM edges),
+spans AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY doc_id, run),
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans JOIN sized USING (doc_id))
+  GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM sized LEFT JOIN kept USING (doc_id)
+""")
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_byte_windows(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
