@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
+from ..sinks.files import remove_path
 
 _ROWS = 256
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -37,12 +39,50 @@ def _shuffles_dropped(spark: SparkSession):
             spark.conf.set(_CLEANUP, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+class _Scope:
+    """The folders that were stored inside, and those of them that stay."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.kept: list[str] = []
+
+
+_scopes: contextvars.ContextVar[tuple[_Scope, ...]] = contextvars.ContextVar("scopes", default=())
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession):
+    """What ``stored`` writes inside is removed at the end, all of it if the
+    block fails, else all but what it was told to keep; that belongs to the
+    block around this one, if there is any.  Frames that leave the block may
+    read only what is kept."""
+    scope = _Scope()
+    token = _scopes.set((*_scopes.get(), scope))
+    try:
+        yield scope
+    except BaseException:
+        scope.kept = []
+        raise
+    finally:
+        _scopes.reset(token)
+        for path in scope.paths:
+            if path not in scope.kept:
+                remove_path(spark, path)
+        if _scopes.get():
+            _scopes.get()[-1].paths.extend(scope.kept)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Cut lineage: write to a new folder below the session's shared
     folder (``spark.checkpoint.dir``) and read back.  What was written
-    survives the loss of executors; nothing is kept on their disks."""
+    survives the loss of executors; nothing is kept on their disks.  Within
+    ``intermediates`` it goes at the end of the block unless ``keep``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for scope in _scopes.get()[-1:]:
+        scope.paths.append(path)
+        if keep:
+            scope.kept.append(path)
     with _shuffles_dropped(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,6 +24,8 @@ from .windows import _powers, mix
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
+#: values of lang that may be learnt
+MAX_LANGUAGES = 400
 _START = "▁"        # the vocabulary's mark of a word's start
 _LONGEST_WORD = 24       # longer words are swept with scaled sums
 _FLOOR = 1e-7            # probability of a single letter that is no piece
@@ -316,10 +318,12 @@ def _expectations(shared_pieces, shared_model):
 def learn(docs: DataFrame, pieces: Pieces, iterations: int = 2) -> Model:
     """Piece probabilities from all rows of ``docs`` (text, lang; both not
     null).  The model's size is the vocabulary's times the number of
-    languages; texts are read ``iterations`` times and never moved."""
+    languages (at most ``MAX_LANGUAGES``, else an error); texts are read ``iterations`` times and never moved."""
     spark = docs.sparkSession
     docs = docs.filter("text is not null and lang is not null").select("text", "lang")
-    found = sorted((r[0], r[1]) for r in docs.groupBy("lang").count().collect())
+    found = sorted((r[0], r[1]) for r in docs.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different values of lang: the model would not fit a task")
     languages = [name for name, _ in found]
     shares = np.array([n for _, n in found], dtype=np.float64)
     n = len(pieces.pieces)

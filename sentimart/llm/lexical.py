@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import intermediates, stored, text_bytes
 
 #: bytes of items that share the scans and broadcasts
 GROUP_BYTES = 8 << 20
@@ -285,7 +285,10 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null")
     items = items.filter("item_id is not null and text is not null").select("item_id", "text").distinct()
     kind = items.schema["item_id"].dataType.simpleString()
-    results = [_ranked(docs, group, k, kind) for group in _groups(items)]
+    results = []
+    for group in _groups(items):
+        with intermediates(spark):
+            results.append(_ranked(docs, group, k, kind))
     if not results:
         return spark.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long")
     out = results[0]
@@ -314,7 +317,7 @@ def _ranked(docs: DataFrame, items: Items, k: int, kind: str) -> DataFrame:
     for keys in (["item", "part"], ["item"]):
         best = (best.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
                 .filter(F.col("rank") <= k))
-    out = stored(best.join(names, "item").select("item_id", "rank", "doc_id", "score"), "ranked")
+    out = stored(best.join(names, "item").select("item_id", "rank", "doc_id", "score"), "ranked", keep=True)
     for used in (terms, shared):
         used.destroy()
     return out

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import intermediates, stored, text_bytes
 from .sketch import Sketch, estimates, sketch
 from .windows import SliceHashes, mix
 
@@ -167,21 +167,23 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, cells: int = 1 << 27,
     keyed = (docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
              .select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text"))
     shape = Sketch(cells)
-    maps = spark.sparkContext.broadcast(sketch(keyed, shape, _entries(min_chars)))
-    place = ("doc_id", "text_key", "line_no")
-    contents = stored(
-        keyed.mapInArrow(_occurrences(least, min_chars, shape, maps), f"{_LINE_SQL}, line string")
-        .groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place)).alias("last"),
-                                 F.first("line", ignorenulls=True).alias("line"))
-        .filter("line is not null or first <> last"), "lines")
-    maps.destroy()
-    near = stored(_near(contents), "near").withColumn("near", F.lit(True))
-    # stored, so that the next join has one exchange a side and AQE can
-    # split a line with very many occurrences
-    verdicts = stored(contents.drop("line").join(near, ["h1", "h2"], "left").filter("near or first <> last"), "verdicts")
-    met = keyed.mapInArrow(_occurrences(least), _LINE_SQL).join(verdicts, ["h1", "h2"])
-    removed = stored(met.filter(F.col("near") | (F.struct(*place) != F.col("first")))
-                     .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")), "removed")
+    with intermediates(spark):
+        maps = spark.sparkContext.broadcast(sketch(keyed, shape, _entries(min_chars)))
+        place = ("doc_id", "text_key", "line_no")
+        contents = stored(
+            keyed.mapInArrow(_occurrences(least, min_chars, shape, maps), f"{_LINE_SQL}, line string")
+            .groupBy("h1", "h2").agg(F.min(F.struct(*place)).alias("first"), F.max(F.struct(*place)).alias("last"),
+                                     F.first("line", ignorenulls=True).alias("line"))
+            .filter("line is not null or first <> last"), "lines")
+        maps.destroy()
+        near = stored(_near(contents), "near").withColumn("near", F.lit(True))
+        # stored, so that the next join has one exchange a side and AQE can
+        # split a line with very many occurrences
+        verdicts = stored(contents.drop("line").join(near, ["h1", "h2"], "left").filter("near or first <> last"), "verdicts")
+        met = keyed.mapInArrow(_occurrences(least), _LINE_SQL).join(verdicts, ["h1", "h2"])
+        removed = stored(met.filter(F.col("near") | (F.struct(*place) != F.col("first")))
+                         .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed")), "removed",
+                         keep=True)
     whole = docs.select(F.struct("*").alias("document"), F.col("doc_id").cast("long").alias("doc_id"),
                         F.xxhash64("text").alias("text_key"))
     out = whole.join(removed.hint("shuffle_hash"), ["doc_id", "text_key"], "left")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import intermediates, stored, text_bytes
 
 #: a text's distinct words, word triples and lines are counted in pieces
 _PIECE = 1 << 20
@@ -279,7 +279,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold:
     and of several labels of a doc_id the smallest counts.  Without rows of
     both classes every score is 0.5; an empty table gives an empty result."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
-    score = quality(docs.sparkSession, learn(docs.select("doc_id", "text"), labels, folds))
+    with intermediates(docs.sparkSession):
+        model = learn(docs.select("doc_id", "text"), labels, folds)
+    score = quality(docs.sparkSession, model)
     return (docs.select(F.struct("*").alias("document"), held_out.alias("held_out"))
             .select("document", "held_out", score("document.text").alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_pieces, stored, text_bytes
+from .common import in_pieces, intermediates, stored, text_bytes
 from .sketch import Sketch, estimates, sketch
 from .windows import BYTE_SYMBOLS, Segments, ranges, segments
 
@@ -186,26 +186,27 @@ def repeated_parts(docs: DataFrame, windows: Windows, judge: Callable[[DataFrame
     spark = docs.sparkSession
     docs = (docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
             .select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text"))
-    maps = spark.sparkContext.broadcast(sketch(docs, windows.sketch, _entries(windows)))
-    payload = "array<long>" if windows.words else "binary"
-    contents = stored(
-        docs.mapInArrow(_contents(windows, maps), f"{_MEMBER_SQL}, payload {payload}")
-        .groupBy("anchor", "digest")
-        .agg(F.min(F.struct("doc_id", "text_key", "start")).alias("first"),
-             F.first("payload", ignorenulls=True).alias("payload")), "contents")
-    masks = stored(judge(contents.filter("payload is not null")), "masks")
-    # stored, so that the join with the members has one exchange a side and
-    # AQE can split a content with very many of them
-    verdicts = stored(contents.drop("payload").join(masks, ["anchor", "digest"], "left"), "verdicts")
-    members = docs.mapInArrow(_members(windows, maps), _MEMBER_SQL)
-    met = members.join(verdicts, ["anchor", "digest"])
-    whole = earlier()
-    parts = stored(
-        met.filter(whole | F.col("mask").isNotNull())
-        .select("doc_id", "text_key", F.struct(
-            "start", "n_windows", F.when(~whole, F.col("mask")).alias("mask")).alias("part"))
-        .groupBy("doc_id", "text_key").agg(F.collect_list("part").alias("parts")), "parts")
-    maps.destroy()
+    with intermediates(spark):
+        maps = spark.sparkContext.broadcast(sketch(docs, windows.sketch, _entries(windows)))
+        payload = "array<long>" if windows.words else "binary"
+        contents = stored(
+            docs.mapInArrow(_contents(windows, maps), f"{_MEMBER_SQL}, payload {payload}")
+            .groupBy("anchor", "digest")
+            .agg(F.min(F.struct("doc_id", "text_key", "start")).alias("first"),
+                 F.first("payload", ignorenulls=True).alias("payload")), "contents")
+        masks = stored(judge(contents.filter("payload is not null")), "masks")
+        # stored, so that the join with the members has one exchange a side and
+        # AQE can split a content with very many of them
+        verdicts = stored(contents.drop("payload").join(masks, ["anchor", "digest"], "left"), "verdicts")
+        members = docs.mapInArrow(_members(windows, maps), _MEMBER_SQL)
+        met = members.join(verdicts, ["anchor", "digest"])
+        whole = earlier()
+        parts = stored(
+            met.filter(whole | F.col("mask").isNotNull())
+            .select("doc_id", "text_key", F.struct(
+                "start", "n_windows", F.when(~whole, F.col("mask")).alias("mask")).alias("part"))
+            .groupBy("doc_id", "text_key").agg(F.collect_list("part").alias("parts")), "parts", keep=True)
+        maps.destroy()
     return parts
 
 

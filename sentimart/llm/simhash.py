@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import intermediates, stored, text_bytes
 from .components import components
 
 _SEED = 42
@@ -99,14 +99,15 @@ def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     """(doc_id, text_key, fingerprint, root, component_id) of every row:
     ``text_key`` is the text's hash, ``root`` the component itself, as
     components share their smallest doc_id where doc_ids repeat."""
-    marked = stored(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        _fingerprints(shingle), "doc_id long, text_key long, fingerprint long"), "fingerprints")
-    nodes = stored(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(links(nodes, max_bits))
-    rooted = (nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-              .withColumn("root", F.coalesce("root", "fingerprint")))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = rooted.join(ids, "root").select("fingerprint", "root", "component_id")
+    with intermediates(docs.sparkSession):
+        marked = stored(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+            _fingerprints(shingle), "doc_id long, text_key long, fingerprint long"), "fingerprints", keep=True)
+        nodes = stored(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
+        roots = components(links(nodes, max_bits))
+        rooted = (nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+                  .withColumn("root", F.coalesce("root", "fingerprint")))
+        ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+        labels = stored(rooted.join(ids, "root").select("fingerprint", "root", "component_id"), "labels", keep=True)
     return marked.join(labels, "fingerprint")
 
 

@@ -100,8 +100,10 @@ def _judge(length: int):
         total = anchors.agg(F.sum("bytes")).first()[0] or 0
         shards = int(total // SHARD_BYTES) + 1
         rows = contents.join(anchors.drop("n"), "anchor")
+        # as many tasks as there are, as shards are small and cost CPU
+        tasks = min(shards, int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         normal = (rows.filter(F.col("bytes") <= SHARD_BYTES)
-                  .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+                  .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(tasks, "shard")
                   .groupBy("shard").applyInArrow(_shard(length), _MASKS_SQL))
         hot = (rows.filter(F.col("bytes") > SHARD_BYTES).select("anchor", "digest", "first", "payload")
                .mapInArrow(_with_hashes(length), _HASHES_SQL))

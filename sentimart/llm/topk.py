@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import intermediates, stored
 
 _QUERY_BLOCK = 512       # queries scored at once
 _ROW_BLOCK = 4_096       # candidates scored at once
@@ -161,45 +161,47 @@ def top_k(vectors: DataFrame, queries, k: int = 5, slots: int | None = None) ->
     spark = vectors.sparkSession
     slots = slots or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vectors = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    rows = stored(vectors.mapInArrow(_pack(_ROW_BLOCK), _BLOCK_SQL)
-                  .withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int")), "candidates")
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    asked = vectors.filter(queries).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
-    asked = stored(asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-                   .mapInArrow(_pack(_QUERY_BLOCK), _BLOCK_SQL)
-                   .withColumn("block", F.sha2(F.col("ids"), 256))
-                   .mapInArrow(_unpacked_ids, _BLOCK_SQL + ", block string, query_ids array<long>"), "queries")
-    bounds = (asked.groupBy("dim").agg(F.max("largest").alias("q")).join(
-        rows.groupBy("dim").agg(F.max("largest").alias("c")), "dim")
-        .agg(F.max(F.col("q").cast("decimal(38,0)") * F.col("c") * F.col("dim"))).first()[0])
-    bound = int(bounds or 0)
-    if bound >= 1 << 61:
-        raise ValueError("inner products may not fit a 64-bit integer")
-    width = 1
-    while width * _BINS < 2 * bound + 1:
-        width *= _BINS
-    ids = asked.select(F.explode("query_ids").alias("query_id"))
-    state = stored(ids.select("query_id", F.lit(-bound).cast("long").alias("low"), F.lit(k).cast("long").alias("need")),
-                   "ranges")
-    while True:
-        counts = (_paired(asked, state, rows, slots).mapInArrow(_histograms(width), "query_id long, bin int, n long")
-                  .groupBy("query_id", "bin").agg(F.sum("n").alias("n")))
-        # the bins of one query are few; the bin of its k-th score is the
-        # largest one at which the counts from the top reach what is needed
-        bins = counts.groupBy("query_id").agg(F.reverse(F.sort_array(F.collect_list(F.struct("bin", "n")))).alias("bins"))
-        found = F.aggregate(
-            "bins", F.struct(F.col("need").alias("need"), F.lit(-1).alias("bin")),
-            lambda a, b: F.when(a["bin"] >= 0, a).when(b["n"] >= a["need"], F.struct(a["need"].alias("need"), b["bin"].alias("bin")))
-            .otherwise(F.struct((a["need"] - b["n"]).alias("need"), F.lit(-1).alias("bin"))))
-        # fewer candidates than k: nothing is narrowed, all of them stay
-        step = state.join(bins, "query_id", "left").withColumn("found", F.when(F.col("bins").isNotNull(), found))
-        hit = F.col("found.bin") >= 0
-        state = stored(step.select(
-            "query_id", F.when(hit, F.col("low") + F.col("found.bin") * F.lit(width)).otherwise(F.col("low")).cast("long").alias("low"),
-            F.when(hit, F.col("found.need")).otherwise(F.col("need")).cast("long").alias("need")), "ranges")
-        if width == 1:
-            break
-        width //= _BINS
-    best = _paired(asked, state, rows, slots).mapInArrow(_best(k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    with intermediates(spark):
+        rows = stored(vectors.mapInArrow(_pack(_ROW_BLOCK), _BLOCK_SQL)
+                      .withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int")), "candidates")
+        finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+        asked = vectors.filter(queries).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
+        asked = stored(asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+                       .mapInArrow(_pack(_QUERY_BLOCK), _BLOCK_SQL)
+                       .withColumn("block", F.sha2(F.col("ids"), 256))
+                       .mapInArrow(_unpacked_ids, _BLOCK_SQL + ", block string, query_ids array<long>"), "queries")
+        bounds = (asked.groupBy("dim").agg(F.max("largest").alias("q")).join(
+            rows.groupBy("dim").agg(F.max("largest").alias("c")), "dim")
+            .agg(F.max(F.col("q").cast("decimal(38,0)") * F.col("c") * F.col("dim"))).first()[0])
+        bound = int(bounds or 0)
+        if bound >= 1 << 61:
+            raise ValueError("inner products may not fit a 64-bit integer")
+        width = 1
+        while width * _BINS < 2 * bound + 1:
+            width *= _BINS
+        ids = asked.select(F.explode("query_ids").alias("query_id"))
+        state = stored(ids.select("query_id", F.lit(-bound).cast("long").alias("low"), F.lit(k).cast("long").alias("need")),
+                       "ranges")
+        while True:
+            counts = (_paired(asked, state, rows, slots).mapInArrow(_histograms(width), "query_id long, bin int, n long")
+                      .groupBy("query_id", "bin").agg(F.sum("n").alias("n")))
+            # the bins of one query are few; the bin of its k-th score is the
+            # largest one at which the counts from the top reach what is needed
+            bins = counts.groupBy("query_id").agg(F.reverse(F.sort_array(F.collect_list(F.struct("bin", "n")))).alias("bins"))
+            found = F.aggregate(
+                "bins", F.struct(F.col("need").alias("need"), F.lit(-1).alias("bin")),
+                lambda a, b: F.when(a["bin"] >= 0, a).when(b["n"] >= a["need"], F.struct(a["need"].alias("need"), b["bin"].alias("bin")))
+                .otherwise(F.struct((a["need"] - b["n"]).alias("need"), F.lit(-1).alias("bin"))))
+            # fewer candidates than k: nothing is narrowed, all of them stay
+            step = state.join(bins, "query_id", "left").withColumn("found", F.when(F.col("bins").isNotNull(), found))
+            hit = F.col("found.bin") >= 0
+            state = stored(step.select(
+                "query_id", F.when(hit, F.col("low") + F.col("found.bin") * F.lit(width)).otherwise(F.col("low")).cast("long").alias("low"),
+                F.when(hit, F.col("found.need")).otherwise(F.col("need")).cast("long").alias("need")), "ranges")
+            if width == 1:
+                break
+            width //= _BINS
+        best = _paired(asked, state, rows, slots).mapInArrow(_best(k), "query_id long, vec_id long, score long")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return stored(best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"),
+                      "best", keep=True)

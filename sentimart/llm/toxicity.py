@@ -18,7 +18,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_bytes
+from .common import intermediates, stored, text_bytes
 from .decontaminate import words_of
 
 #: hashed features; bounds on the sample
@@ -202,7 +202,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFr
     count as toxic if any is; without labels or rows the score is the
     prior's."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
-    model = learn(docs.select("doc_id", "text"), labels, ~held_out)
+    with intermediates(docs.sparkSession):
+        model = learn(docs.select("doc_id", "text"), labels, ~held_out)
     score = toxicity(docs.sparkSession, model)
     return (docs.select(F.struct("*").alias("document"), held_out.alias("held_out"))
             .select("document", "held_out", score("document.text").alias("score"))

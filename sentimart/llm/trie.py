@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import intermediates, stored
 from .mixing import token_count
 
 _MODULUS = (1 << 127) - 1
@@ -401,6 +401,8 @@ def rebuilt_trie(conversations: DataFrame, group: int = 20, most: int = 4, **lim
     and turns of one number (repeated rows too, each a turn of its own) by
     the MD5 of the MD5s of role and text; rows without a conv_id take no
     part; an empty table gives an empty result."""
-    turns = turn_keys(conversations)
-    return prefix_trie(with_shared_heads(turns, group, most), turns.select("conv_id").distinct(),
-                       [F.col("own"), F.col("depth")], **limits)
+    with intermediates(conversations.sparkSession):
+        turns = turn_keys(conversations)
+        nodes = prefix_trie(with_shared_heads(turns, group, most), turns.select("conv_id").distinct(),
+                            [F.col("own"), F.col("depth")], **limits)
+        return stored(nodes, "trie", keep=True)
