@@ -228,3 +228,50 @@ def test_urls(spark, url, host, path, rule, verdict):
     got = [(r["host"], r["path"], r["rule"], r["verdict"]) for r in filter_urls(pages).collect()]
     assert got == [(host, path, rule, verdict)] * 2
     assert filter_urls(pages.limit(0)).count() == 0
+
+
+def folders(spark):
+    import os
+    from sentimart.session import shared_dir
+    return set(os.listdir(shared_dir(spark).removeprefix("file:")))
+
+
+def test_intermediates_are_removed(spark, edge_docs):
+    from sentimart.llm.common import intermediates, stored
+    before = folders(spark)
+    with intermediates(spark):
+        stored(spark.range(3), "gone")
+        with intermediates(spark):
+            stored(spark.range(3), "gone")
+            inner = stored(spark.range(3), "inner", keep=True)
+        outer = stored(inner.selectExpr("id + 1 as id"), "outer", keep=True)
+    assert {f.split("-")[0] for f in folders(spark) - before} == {"outer"} and outer.count() == 3
+    before = folders(spark)
+    with pytest.raises(ZeroDivisionError), intermediates(spark):
+        stored(spark.range(3), "lost", keep=True)
+        1 / 0
+    assert folders(spark) == before
+    marks = spark.createDataFrame([(4, 1, 0), (5, 0, 1)], "doc_id long, quality int, toxic int")
+    vectors = spark.createDataFrame([(i, [float(i)]) for i in range(60)], "vec_id long, embedding array<float>")
+    bench = items(spark, [(1, "copied1 copied2")])
+    from sentimart.llm.lexical import rank_documents
+    from sentimart.llm.quality import score_quality
+    for run, kept in ((lambda: dedup_word_windows(edge_docs, cells=1 << 16), {"parts"}),
+                      (lambda: dedup_byte_windows(edge_docs, cells=1 << 16), {"parts"}),
+                      (lambda: dedup_lines(edge_docs, cells=1 << 16), {"removed"}),
+                      (lambda: simhash_groups(edge_docs), {"fingerprints", "labels"}),
+                      (lambda: top_k(vectors, F.col("vec_id") % 50 == 0), {"best"}),
+                      (lambda: score_toxicity(edge_docs, marks), set()), (lambda: score_quality(edge_docs, marks), set()),
+                      (lambda: benchmark_overlap(edge_docs, bench), set()), (lambda: rank_documents(edge_docs, bench), {"ranked"})):
+        before = folders(spark)
+        out = run()
+        assert {f.split("-")[0] for f in folders(spark) - before} == kept
+        out.collect()                                  # nothing that was removed is read
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    from sentimart.llm import language_id as L
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 3)
+    docs = spark.createDataFrame([(i, "abc", f"l{i}") for i in range(9)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        identify_language(docs)
