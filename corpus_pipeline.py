@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentimart.llm.common import stored, table
+from sentimart.llm.common import intermediates, stored, table
 from sentimart.llm.decontaminate import benchmark_overlap
 from sentimart.llm.line_dedup import dedup_lines
 from sentimart.llm.mixing import mix
@@ -20,6 +20,7 @@ from sentimart.llm.queries import MIX_WEIGHTS, source_domain
 from sentimart.llm.simhash import simhash_heads
 from sentimart.llm.toxicity import score_toxicity
 from sentimart.session import ship_package
+from sentimart.sinks.files import remove_path
 
 #: SQL cannot express the classifier, the fingerprints and the line edits;
 #: the stages are tested against brute force instead
@@ -104,8 +105,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the ``documents`` table."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order over the ``documents`` table.  What a stage
+    stored goes when its result is written, and that when the next one's
+    is; only the last one's stays."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with intermediates(spark) as written:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        for path in before:
+            remove_path(spark, path)
+        before = written.kept[-1:]
     return docs
