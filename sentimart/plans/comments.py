@@ -31,14 +31,16 @@ from ..operators.classify import Classifier, classify_comments, rule_based_class
 from ..operators.projection import nested_extract
 from ..schemas import ALL_STRING_CLASSIFIED, CLASSIFIED_COMMENT, COMMENT_THREAD, SENTINEL, with_field
 from ..sinks import runs
-from ..sinks.files import remove_path, write_csv
-from ..sources.files import filter_by_suffix, load_skip_bad, require_nonempty, scan_csv, scan_parquet, source_label
+from ..sinks.files import materialize, remove_path, write_csv
+from ..sources.files import (filter_by_suffix, list_files, load_skip_bad, require_nonempty, scan_csv, scan_parquet,
+                             select_files, source_label)
 
 CLASSIFIED_COLUMNS = [f.name for f in ALL_STRING_CLASSIFIED.fields]
 PROCESSED = "processedcomments"
 #: classified rows by status; the failed ones stay and are the queue
 CLASSIFIED = "notprocessedcomments"
 AUDIT = "logs/uploadedfiles"
+FILES = "logs/files"
 FAILED_STATUS, PROCESSED_STATUS = "failed", "processed"
 
 #: what the queue knows of a comment besides its columns
@@ -86,14 +88,16 @@ def route(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, run_id: str | None = None,
-            carried: DataFrame | None = None, backoff: float = 0.0, keep_intermediate: bool = False) -> DataFrame:
+            carried: DataFrame | None = None, files: DataFrame | None = None, backoff: float = 0.0,
+            keep_intermediate: bool = False) -> DataFrame:
     """Store, route, count and commit a run's classified rows (the columns
     of a classified comment, source, reason and the ``attempts`` before
     this one); returns its audit rows.
 
     One write takes the rows from the classifier and routes them by status;
     its counts are observed on the way.  ``carried`` are rows of the queue
-    that this run does not touch but whose sources it has.  A comment that
+    that this run does not touch but whose sources it has; ``files`` the
+    files that it read, which the commit makes known.  A comment that
     failed is due again after ``backoff`` seconds, doubled each time."""
     run_id, attempt = run_id or f"{kind}-{uuid.uuid4().hex[:12]}", runs.new_attempt()
     copy = f"{out_dir}/{CLASSIFIED}/attempt={attempt}"
@@ -116,6 +120,8 @@ def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, r
     (counts.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("logged_at"), "*")
      .write.parquet(audit_dir))
     audit = spark.read.schema(_AUDIT_SQL).parquet(audit_dir)
+    if files is not None:
+        files.write.parquet(f"{out_dir}/{FILES}/attempt={attempt}")
     total, failed = seen.get["total"], seen.get["failed"]
     runs.commit(spark, out_dir, run_id, attempt, kind, total - failed, failed)
     if not keep_intermediate:
@@ -127,7 +133,8 @@ def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
                start: int | None = None, end: int | None = None,
                classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
                parallelism: int | None = None, run_id: str | None = None,
-               keep_intermediate: bool = False, flat_files: bool = False, backoff: float = 0.0, **kw) -> DataFrame:
+               keep_intermediate: bool = False, flat_files: bool = False, only_new: bool = False,
+               backoff: float = 0.0, **kw) -> DataFrame:
     """Classify every comment thread under ``threads_dir``, optionally
     only sources whose label suffix is in ``[start, end)``.  Returns the
     audit rows of this run (``run_id``: a new one unless given; the same one
@@ -135,8 +142,19 @@ def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
 
     The folder is partitioned by ``source``, or holds one file per source
     with ``flat_files`` (``{id}_{n}.parquet``; the label is the file's
-    name).  An empty selection raises (S10)."""
-    if flat_files:
+    name).  ``only_new`` (flat files) takes the files that no run that holds
+    has read, or that have changed since; others are not opened, and the
+    rows of a changed file replace those it gave before.  An empty selection
+    raises (S10)."""
+    files = None
+    if only_new:
+        if not flat_files:
+            raise ValueError("new files can be told apart where a source is one file")
+        files = select_files(list_files(spark, threads_dir), start, end, read_files(spark, out_dir, run_id))
+        files, start, end = materialize(files, "files"), None, None
+        paths = [r["path"] for r in require_nonempty(files, f"new files of {threads_dir}").select("path").collect()]
+        threads = scan_parquet(spark, paths, COMMENT_THREAD).withColumn("source", source_label("_metadata.file_path"))
+    elif flat_files:
         threads = scan_parquet(spark, threads_dir, COMMENT_THREAD).withColumn(
             "source", source_label("_metadata.file_path"))
     else:
@@ -146,7 +164,7 @@ def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
     require_nonempty(threads, f"selection [{start}, {end}) of {threads_dir}")
     labelled = classify_comments(extract_comments(threads, keep=["source"]), classifier=classifier,
                                  parallelism=parallelism, reason_col="reason", **kw)
-    return publish(spark, labelled.withColumn("attempts", F.lit(0)), out_dir, "first", run_id,
+    return publish(spark, labelled.withColumn("attempts", F.lit(0)), out_dir, "first", run_id, files=files,
                    backoff=backoff, keep_intermediate=keep_intermediate)
 
 
@@ -176,6 +194,14 @@ def retry_pass(spark: SparkSession, out_dir: str,
                    keep_intermediate=keep_intermediate)
 
 
+def read_files(spark: SparkSession, out_dir: str, without: str | None = None) -> DataFrame:
+    """The files that runs that hold have read, as they were then."""
+    schema = "path string, length long, modified timestamp"
+    paths = [p for c in runs.commits(spark, out_dir, without) for p in [f"{out_dir}/{FILES}/attempt={c.attempt}"]
+             if runs.exists(spark, p)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def audit_log(spark: SparkSession, out_dir: str, without: str | None = None) -> DataFrame:
     """K9: the audit rows of the runs that hold, with their ``attempt``."""
     held = runs.commits(spark, out_dir, without)
@@ -245,7 +271,7 @@ def load_processed(spark: SparkSession, out_dir: str, schema: T.StructType) -> D
 def vacuum(spark: SparkSession, out_dir: str) -> list[str]:
     """Remove the outputs of attempts that died or were repeated.  Not for
     a time when a run is under way, which has no commit yet."""
-    dead = [p for folder in (CLASSIFIED, PROCESSED, AUDIT) for p in runs.dead_attempts(spark, out_dir, folder)]
+    dead = [p for folder in (CLASSIFIED, PROCESSED, AUDIT, FILES) for p in runs.dead_attempts(spark, out_dir, folder)]
     for path in dead:
         remove_path(spark, path)
     return dead

@@ -15,10 +15,11 @@ from ..operators.classify import (LEXICON, NO_LABEL, SENTIMENT_OF, classify_comm
 from ..operators.leases import classify_leased, lease_report
 from ..plans import comments as C
 from ..plans.warehouse import fn_comments
-from ..schemas import COMMENTS, SENTINEL
+from ..schemas import COMMENT_THREAD, COMMENTS, SENTINEL, with_field
 from ..session import scratch_path
-from ..sinks.files import materialize
+from ..sinks.files import materialize, write_entity_files
 from ..sources import adapters as A
+from ..sources.files import LoadError
 from ..streaming.incremental import run_comment_stream
 from .io_q import N_SOURCES, SOURCE_SQL, stage_threads
 
@@ -181,6 +182,25 @@ def q_comments_stream_rows(spark, sf):
     return _rows(spark, out)
 
 
+@register("incremental_selection", "SELECT CASE WHEN suffix < 150 THEN 'one' ELSE 'two' END AS run_id, source, "
+          "CAST(count(*) AS BIGINT) AS total_rows FROM ("
+          f"SELECT {SOURCE_SQL} AS source, l_partkey % {N_SOURCES} AS suffix FROM lineitem WHERE l_orderkey % 23 <> 0) t "
+          "GROUP BY source, suffix")
+def q_incremental_selection(spark, sf):
+    """S8 + N11: flat files, of which a second run opens only those that the
+    first did not, and a third finds none."""
+    flat, out = scratch_path(spark, "flat"), scratch_path(spark, "comments")
+    write_entity_files(spark.read.schema(with_field(COMMENT_THREAD, "source")).parquet(stage_threads(spark, sf)), flat, "source")
+    kw = {"classifier": picky_classifier, "sleep": lambda s: None, "flat_files": True, "only_new": True}
+    C.first_pass(spark, flat, out, 0, 150, run_id="one", **kw)
+    C.first_pass(spark, flat, out, 100, N_SOURCES, run_id="two", **kw)
+    try:
+        C.first_pass(spark, flat, out, 0, N_SOURCES, run_id="three", **kw)
+    except LoadError:
+        return C.audit_log(spark, out).select("run_id", "source", "total_rows")
+    raise AssertionError("a file was read twice")
+
+
 @register("run_audit", "SELECT run_id, CAST(count(*) AS BIGINT) AS sources, CAST(sum(total_rows) AS BIGINT) AS total_rows, "
           "CAST(sum(processed_rows) AS BIGINT) AS processed_rows FROM ("
           "SELECT 'first' AS run_id, source, count(*) AS total_rows, count(*) FILTER (WHERE fs <> 'NO') AS processed_rows "

@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 
 from .. import oracle as O
 from ..catalog import register
+from ..operators.projection import nested_extract
 from ..operators.windowing import dedup_by_key, range_shard
 from ..plans.cleaning import as_table
-from ..plans.comments import extract_comments
+from ..plans.comments import extract_comments, extract_fields
 from ..schemas import COMMENT_THREAD, COMMENTS, with_field
 from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet_partitioned
@@ -28,6 +29,7 @@ from ..sources.files import (filter_by_suffix, load_csv_table, load_skip_bad, lo
 
 N_SOURCES = 300  # comment files ("videos") the staged threads are spread over
 
+SOURCE_SQL_OF_VIDEO = f"'comments_' || CAST(CAST(videoid AS BIGINT) % {N_SOURCES} AS VARCHAR)"
 SOURCE_SQL = f"'comments_' || CAST(l_partkey % {N_SOURCES} AS VARCHAR)"
 
 
@@ -72,17 +74,26 @@ def q_scan_parquet(spark, sf):
     return extract_comments(threads, keep=["source"]).select("commentid", "videoid", "likecount", "source")
 
 
-@register("sink_parquet_partitioned", f"SELECT source, CAST(count(*) AS BIGINT) AS n FROM ({_FLAT_SQL}) t GROUP BY source")
+_THREAD_SQL = f"SELECT *, {SOURCE_SQL_OF_VIDEO} AS source FROM ({O.THREADS_SQL}) t"
+
+
+def _thread_rows(threads: DataFrame) -> DataFrame:
+    """Whole threads, flat, without the not-null filter of the extractor."""
+    return nested_extract(threads, {**extract_fields(), "source": "source"})
+
+
+@register("sink_parquet_partitioned", _THREAD_SQL)
 def q_sink_parquet_partitioned(spark, sf):
-    back = spark.read.parquet(stage_threads(spark, sf, fresh=True))  # the sink is the operator here
-    return back.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    """K3: what the sink wrote, row by row."""
+    return _thread_rows(spark.read.parquet(stage_threads(spark, sf, fresh=True)))
 
 
-@register("source_label", f"SELECT source, CAST(count(*) AS BIGINT) AS n FROM ({_FLAT_SQL}) t GROUP BY source")
+@register("source_label", _THREAD_SQL)
 def q_source_label(spark, sf):
+    """Each row with the label of its folder."""
     raw = with_source_file(spark.read.schema(COMMENT_THREAD).option("recursiveFileLookup", "true")
                            .parquet(stage_threads(spark, sf)))
-    return raw.groupBy(source_label("source_file").alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    return _thread_rows(raw.withColumn("source", source_label("source_file")))
 
 
 @register("filter_by_suffix", f"SELECT commentid, source FROM ({_FLAT_SQL}) t "
@@ -147,14 +158,14 @@ def q_sink_csv_roundtrip(spark, sf):
                                                T.StructField("lang", T.StringType())]))
 
 
-@register("scan_csv_multiline", "SELECT doc_id, length(text) - length(replace(text, chr(10), '')) AS newlines "
+@register("scan_csv_multiline", "SELECT doc_id, text, length(text) - length(replace(text, chr(10), '')) AS newlines "
           "FROM documents")
 def q_scan_csv_multiline(spark, sf):
     path = scratch_path(spark, "csv")
     write_csv(A.table(spark, sf, "documents").select("doc_id", "text"), path)
     back = scan_csv(spark, path, T.StructType([T.StructField("doc_id", T.LongType()),
                                                T.StructField("text", T.StringType())]))
-    return back.select("doc_id", (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))))
+    return back.select("doc_id", "text", (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))))
                        .cast("bigint").alias("newlines"))
 
 
@@ -365,6 +376,17 @@ def q_load_warehouse(spark, sf):
     return out
 
 
+@register("load_warehouse_videos", O.with_views(["videos"], "SELECT * FROM videos"))
+def q_load_warehouse_videos(spark, sf):
+    """The rows of a table that was loaded by position."""
+    from ..plans.cleaning import clean_videos
+    from ..plans.warehouse import load_warehouse
+    from .scalar_q import video_literals
+    path = scratch_path(spark, "videos")
+    write_csv(clean_videos(video_literals(spark, sf)), path)
+    return load_warehouse(spark, {"videos": path})["videos"]
+
+
 @register("clean_videos_csv", O.with_views(
     ["videos"], "SELECT videoid, title, guest, description, publisheddate AS publishedat, duration, "
     "thumbnailimageurl, viewcount AS viewscount, likescount, commentscount FROM videos"))

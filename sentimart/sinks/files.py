@@ -61,6 +61,25 @@ def write_parquet_partitioned(df: DataFrame, path: str, by: Sequence[str],
      .partitionBy(*by).parquet(path))
 
 
+def write_entity_files(df: DataFrame, path: str, by: str) -> None:
+    """K3 as it was: one file an entity, ``<entity>.parquet``, in one flat
+    folder.  An entity is written by one task, as its file is one, and the
+    files get their names, by which they are selected later, by a rename."""
+    spark, aside = df.sparkSession, f"{path}/_entities"
+    df.repartition(by).write.mode("overwrite").partitionBy(by).parquet(aside)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(aside)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entity in fs.listStatus(folder):
+        if entity.isDirectory():
+            name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(
+                entity.getPath().getName().split("=", 1)[1])
+            for part in fs.listStatus(entity.getPath()):
+                if part.getPath().getName().endswith(".parquet"):
+                    fs.rename(part.getPath(), hadoop.Path(f"{path}/{name}.parquet"))
+    fs.delete(folder, True)
+
+
 def materialize_at(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
     """Cut lineage: write to a new folder under the session's shared
     folder and read back; returns the frame and the folder.

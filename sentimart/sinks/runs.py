@@ -88,6 +88,11 @@ def commit(spark: SparkSession, out_dir: str, run_id: str, attempt: str, kind: s
     raise RuntimeError(f"no free commit number in {out_dir} after {_TRIES} tries")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def dead_attempts(spark: SparkSession, out_dir: str, folder: str) -> list[str]:
     """The attempts below ``folder`` that no commit that holds names: of
     runs that died or were repeated."""

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 CORRUPT = "_corrupt_record"
+KIND = "_load_kind"
 
 # One CSV dialect for both directions (S6): comma, one header line,
 # optional double-quote enclosure with doubled quotes, multi-line cells,
@@ -81,10 +82,12 @@ def load_csv_table(spark: SparkSession, path: str | Sequence[str],
                    mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
                    enforceSchema="true")
     out = scratch_path(spark, "load")
-    raw.write.mode("overwrite").parquet(out)
-    loaded = spark.read.parquet(out)
-    good = loaded.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = loaded.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    # routed as they are written: readers open the folder of their kind only
+    (raw.withColumn(KIND, F.when(F.col(CORRUPT).isNull(), "good").otherwise("rejected"))
+     .write.mode("overwrite").partitionBy(KIND).parquet(out))
+    loaded = spark.read.schema(T.StructType([*full.fields, T.StructField(KIND, T.StringType())])).parquet(out)
+    good = loaded.where(F.col(KIND) == "good").drop(CORRUPT, KIND)
+    bad = loaded.where(F.col(KIND) == "rejected").select(CORRUPT)
     return good, bad
 
 
@@ -160,6 +163,27 @@ def sort_by_suffix(df: DataFrame, label: Column | str,
     return df.orderBy(suffix_of(c, pattern).asc_nulls_last(), c.asc())
 
 
+def list_files(spark: SparkSession, path: str, glob: str | None = "*.parquet") -> DataFrame:
+    """(path, length, modified) of every file below a folder, without
+    a cap and without opening one: the contents are not asked for."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def select_files(files: DataFrame, start: int | None = None, end: int | None = None,
+                 seen: DataFrame | None = None) -> DataFrame:
+    """The files whose name ends with ``_<n>``, ``start <= n < end``
+    (without bounds: all), and which ``seen`` does not have: a file that has
+    changed its length or time since counts as another."""
+    if start is not None and end is not None:
+        files = filter_by_suffix(files, source_label("path"), start, end)
+    if seen is not None:
+        files = files.join(seen.select("path", "length", "modified"), ["path", "length", "modified"], "left_anti")
+    return files
+
+
 def require_nonempty(df: DataFrame, what: str = "selection") -> DataFrame:
     """Fail fast when nothing was selected (one ``limit(1)`` job)."""
     if df.isEmpty():

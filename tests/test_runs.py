@@ -158,3 +158,52 @@ def test_two_commits_cannot_have_one_number(spark, monkeypatch):
     b = runs.commit(spark, out, "b", "y", "first", 2, 0)
     assert (a.number, b.number) == (1, 2) and [c.run_id for c in real(spark, out)] == ["a", "b"]
     assert abs(a.committed_at - time.time()) < 600
+
+
+def flat_threads(spark, sources, path, n=6):
+    from sentimart.sinks.files import write_entity_files
+    from sentimart.schemas import COMMENT_THREAD, with_field
+    df = spark.read.schema(with_field(COMMENT_THREAD, "source")).parquet(threads(spark, sources, n))
+    write_entity_files(df, path, "source")
+    return path
+
+
+def test_a_second_run_opens_only_new_and_changed_files(spark):
+    import os
+    from sentimart.sources.files import LoadError, list_files, select_files
+    flat, out = scratch_path(spark, "flat"), scratch_path(spark, "out")
+    flat_threads(spark, ["s_9", "s_10", "s_11", "other"], flat)
+    assert sorted(os.listdir(flat.removeprefix("file:"))) and len(list_files(spark, flat).collect()) == 4
+    kw = {"flat_files": True, "only_new": True}
+    got = {r["source"] for r in first(spark, flat, out, start=9, end=11, **kw).collect()}
+    assert got == {"s_9", "s_10"}                              # half open; a name without a number is not selected
+    chosen = select_files(list_files(spark, flat), None, None, C.read_files(spark, out))
+    assert {r["path"].rsplit("/")[-1] for r in chosen.collect()} == {"s_11.parquet", "other.parquet"}
+    assert {r["source"] for r in first(spark, flat, out, **kw).collect()} == {"s_11", "other"}
+    with pytest.raises(LoadError):
+        first(spark, flat, out, **kw)
+    before = state(spark, out)
+    assert len(before[0]) == 16 and len(before[1]) == 8
+    more = flat_threads(spark, ["s_10"], scratch_path(spark, "flat"), n=9)
+    os.replace(more.removeprefix("file:") + "/s_10.parquet", flat.removeprefix("file:") + "/s_10.parquet")
+    crc = flat.removeprefix("file:") + "/.s_10.parquet.crc"
+    if os.path.exists(crc):                                    # the old checksum is not that of the new file
+        os.remove(crc)
+    assert {r["source"]: r["total_rows"] for r in first(spark, flat, out, **kw).collect()} == {"s_10": 9}
+    after = state(spark, out)
+    assert len(after[0]) == 18 and len(after[1]) == 9           # its rows replaced the old ones
+    with pytest.raises(ValueError):
+        first(spark, flat, out, only_new=True)
+
+
+def test_files_of_a_run_that_died_are_new(spark, monkeypatch):
+    flat, out = flat_threads(spark, ["s_1"], scratch_path(spark, "flat")), scratch_path(spark, "out")
+
+    def die(*a, **kw):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(C.runs, "commit", die)
+        with pytest.raises(RuntimeError):
+            first(spark, flat, out, flat_files=True, only_new=True)
+    assert C.read_files(spark, out).count() == 0
+    assert first(spark, flat, out, flat_files=True, only_new=True).count() == 1
