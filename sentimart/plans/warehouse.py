@@ -7,19 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import video_category, video_link
 from ..operators.windowing import dedup_by_key, total_order
-from ..schemas import SENTINEL, TABLES
+from ..schemas import FN_COMMENTS_COLUMNS, FN_VIDEOS_COLUMNS, SENTINEL, TABLES
 from ..sources.files import load_skip_bad, load_strict
 
-FN_VIDEOS_COLUMNS = ["videoid", "title", "guest", "videocategory", "videolink",
-                     "description", "publisheddate", "duration",
-                     "thumbnailimageurl", "viewcount", "likescount",
-                     "commentscount"]
-
-FN_COMMENTS_COLUMNS = ["commentid", "videoid", "publishedat", "textoriginal",
-                       "emotion", "sentimentnature", "authordisplayname",
-                       "authorprofileimageurl", "authorchannelurl",
-                       "likecount", "totalreplycount"]
-
 
 def fn_videos(videos: DataFrame) -> DataFrame:
     """Category (F5) and watch link (X11) added, one row per video.
