@@ -66,11 +66,11 @@ def commits(spark: SparkSession, out_dir: str, without: str | None = None) -> li
 def commit(spark: SparkSession, out_dir: str, run_id: str, attempt: str, kind: str, processed: int, failed: int) -> Commit:
     """Publish an attempt's outputs, under the next free number."""
     jvm, folder, context, fs = _files(spark, out_dir)
-    fs.mkdirs(folder)
     path = jvm.org.apache.hadoop.fs.Path
     no_overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     for _ in range(_TRIES):
         taken = all_commits(spark, out_dir)
+        fs.mkdirs(folder)
         entry = Commit(taken[-1].number + 1 if taken else 1, run_id, attempt, kind, processed, failed, time.time())
         aside = path(folder, f"_{attempt}-{entry.number}")
         stream = fs.create(aside, True)
