@@ -134,8 +134,12 @@ def source_label(path: Column | str) -> Column:
     ``key=value`` folder when the data is partitioned, else the file's
     base name without its extension."""
     p = F.col(path) if isinstance(path, str) else path
-    part = F.regexp_extract(p, r"[^/=]+=([^/]+)/[^/]*$", 1)
-    base = F.regexp_extract(p, r"([^/]+?)(\.[^./]*)?$", 1)
+    # a label is asked for in every row: the patterns see the last two names
+    # alone, as over a whole path they try each of its places as a start
+    last_two = F.substring_index(p, "/", -2)
+    folder = F.when(F.contains(last_two, F.lit("/")), F.substring_index(last_two, "/", 1))
+    part = F.when(F.contains(folder, F.lit("=")), F.regexp_extract(folder, r"[^/=]+=([^/]+)", 1))
+    base = F.regexp_extract(F.substring_index(p, "/", -1), r"([^/]+?)(\.[^./]*)?$", 1)
     return F.when(part != "", part).otherwise(base)
 
 
