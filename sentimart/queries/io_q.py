@@ -18,8 +18,8 @@ from ..operators.windowing import dedup_by_key, range_shard
 from ..plans.cleaning import as_table
 from ..plans.comments import extract_comments, extract_fields
 from ..schemas import COMMENT_THREAD, COMMENTS, with_field
-from ..session import scratch_path
-from ..sinks.files import write_csv, write_parquet_partitioned
+from ..session import open_files, scratch_path
+from ..sinks.files import RECORDS_PER_FILE, write_csv, write_parquet_partitioned
 from ..sources import adapters as A
 from ..sources import fetch, pages
 from ..sources.rejects import located_rejects
@@ -28,6 +28,7 @@ from ..sources.files import (filter_by_suffix, load_csv_table, load_skip_bad, lo
                              with_source_file)
 
 N_SOURCES = 300  # comment files ("videos") the staged threads are spread over
+N_LOCATED = 50   # files of the comment lines whose malformed ones are located
 
 SOURCE_SQL_OF_VIDEO = f"'comments_' || CAST(CAST(videoid AS BIGINT) % {N_SOURCES} AS VARCHAR)"
 SOURCE_SQL = f"'comments_' || CAST(l_partkey % {N_SOURCES} AS VARCHAR)"
@@ -52,8 +53,8 @@ def _staged(spark: SparkSession, sf: str, kind: str, build, fresh: bool) -> str:
 def stage_threads(spark: SparkSession, sf: str, fresh: bool = False) -> str:
     """K3: nested comment threads, one folder per source label."""
     def build() -> str:
-        t = A.comment_threads(spark, sf).withColumn(
-            "source", F.concat(F.lit("comments_"), (F.col("_part") % N_SOURCES).cast("string"))).drop("_part")
+        lines = A.table(spark, sf, "lineitem").select(
+            *A.COMMENT_LINE, F.concat(F.lit("comments_"), (F.col("l_partkey") % N_SOURCES).cast("string")).alias("source"))
         path = scratch_path(spark, "threads")
         write_parquet_partitioned(t, path, ["source"])
         return path

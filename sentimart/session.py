@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +86,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Writes below it that route rows to folders keep up to ``most`` files
+    open in a task and write rows as they come.  Spark otherwise sorts a
+    task's rows by their folder first, and spills what does not fit; rows of
+    further folders than ``most`` still are."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 _SHIPPED: set[str] = set()  # application ids that already received the package
 
 

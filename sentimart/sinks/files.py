@@ -9,18 +9,23 @@ re-runs tasks and still commits each output exactly once.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import open_files, scratch_path
 from ..sources.files import CSV_DIALECT
 
 
 #: folders of a published table's versions begin with this
 VERSION = "v-"
+#: a CSV file with multi-line cells is read by one task, so files are bounded
+RECORDS_PER_FILE = 100_000
+#: files a task keeps open: CSV writers hold a small buffer, Parquet writers
+#: the rows of their row group
+OPEN_CSV, OPEN_PARQUET = 500, 20
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
@@ -50,15 +55,20 @@ def write_if_nonempty(df: DataFrame, path: str, **kw) -> bool:
 
 
 def write_parquet_partitioned(df: DataFrame, path: str, by: Sequence[str],
-                              mode: str = "overwrite") -> None:
+                              mode: str = "overwrite",
+                              shape: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K3: one folder per entity value (the Spark form of one file per
     entity).  The ``rebalance`` hint clusters rows by the partition
     columns so each task writes few files, and lets AQE split a hot value
     (a third of all rows) over several tasks and merge tiny ones - a plain
-    ``repartition(by)`` would send a hot value to a single task."""
-    (df.hint("rebalance", *by).write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*by).parquet(path))
+    ``repartition(by)`` would send a hot value to a single task.  Wide rows
+    that are made of a few columns are better given as these: ``shape``
+    makes them once the few have been moved."""
+    rows = df.hint("rebalance", *by)
+    with open_files(df.sparkSession, OPEN_PARQUET):
+        ((rows if shape is None else shape(rows)).write.mode(mode)
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*by).parquet(path))
 
 
 def write_entity_files(df: DataFrame, path: str, by: str) -> None:
@@ -66,7 +76,8 @@ def write_entity_files(df: DataFrame, path: str, by: str) -> None:
     folder.  An entity is written by one task, as its file is one, and the
     files get their names, by which they are selected later, by a rename."""
     spark, aside = df.sparkSession, f"{path}/_entities"
-    df.repartition(by).write.mode("overwrite").partitionBy(by).parquet(aside)
+    with open_files(spark, OPEN_PARQUET):
+        df.repartition(by).write.mode("overwrite").partitionBy(by).parquet(aside)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(aside)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -7,6 +7,8 @@ grows with the table and Catalyst prunes the scan to the columns used.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,7 +83,15 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``commentid`` = order-line, which is *not* unique in the source, so the
     table carries genuine duplicates for the dedup operator.
     """
-    li = table(spark, sf_dir, "lineitem")
+    return comments_of(table(spark, sf_dir, "lineitem"))
+
+
+#: the columns of ``lineitem`` that :func:`comments_of` reads
+COMMENT_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity"]
+
+
+def comments_of(li: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The comments of some ``lineitem`` rows, with the columns ``keep``."""
     # comments of every tenth video go to the next one: it has none
     video = F.col("l_partkey") + (F.col("l_partkey") % 10 == 0).cast("int")
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
@@ -100,7 +110,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("img/u"), _s("l_suppkey")).alias("authorprofileimageurl"),
         F.concat(F.lit("channel/u"), _s("l_suppkey")).alias("authorchannelurl"),
         F.col("l_quantity").cast("bigint").alias("likecount"),
-        F.col("l_linenumber").cast("bigint").alias("totalreplycount"))
+        F.col("l_linenumber").cast("bigint").alias("totalreplycount"), *keep)
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +129,12 @@ def comment_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``likeCount`` is NULL for one line in 23 so the not-null filter has
     work; text gets surrounding blanks so the trim has work.
     """
-    li = table(spark, sf_dir, "lineitem")
+    return threads_of(table(spark, sf_dir, "lineitem"), keep=[F.col("l_partkey").alias("_part")])
+
+
+def threads_of(li: DataFrame, keep: Sequence[str | F.Column] = ()) -> DataFrame:
+    """The threads of some ``lineitem`` rows (``COMMENT_LINE``), with the
+    columns ``keep``."""
     sk = _s("l_suppkey")
     inner = F.struct(
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T08:30:00Z"))
@@ -138,8 +153,7 @@ def comment_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_s("l_partkey").alias("videoId"),
                  (F.col("l_linenumber") - 1).cast("bigint").alias("totalReplyCount"),
                  F.struct(inner.alias("snippet")).alias("topLevelComment"))
-        .alias("snippet"),
-        F.col("l_partkey").alias("_part"))
+        .alias("snippet"), *keep)
 
 
 def comment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
