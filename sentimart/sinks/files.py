@@ -29,20 +29,28 @@ OPEN_CSV, OPEN_PARQUET = 500, 20
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
-              partition_by: Sequence[str] = (), single_file: bool = False) -> None:
+              partition_by: Sequence[str] = (), single_file: bool = False, clustered: bool = False,
+              compression: str | None = None) -> None:
     """K1/K4: CSV with the shared dialect.  ``partition_by`` writes one
     folder per value; with ``mode='overwrite'`` only the folders present in
-    ``df`` are replaced (dynamic partition overwrite).  ``single_file``
-    (K5) is for small dimension outputs only - it funnels the data through
-    one task."""
+    ``df`` are replaced (dynamic partition overwrite).  Rows that come
+    ``clustered`` by these columns, as those of one file a value do, are not
+    shuffled again.  A file holds ``RECORDS_PER_FILE`` records at most, but
+    for ``single_file`` (K5), which is for small dimension outputs only - it
+    funnels the data through one task."""
     if single_file:
         df = df.coalesce(1)
-    elif partition_by:
+    elif partition_by and not clustered:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).options(**CSV_DIALECT)
+    if not single_file:
+        w = w.option("maxRecordsPerFile", RECORDS_PER_FILE)
+    if compression:
+        w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.csv(path)
+    with open_files(df.sparkSession, OPEN_CSV):
+        w.csv(path)
 
 
 def write_if_nonempty(df: DataFrame, path: str, **kw) -> bool:
