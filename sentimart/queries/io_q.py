@@ -212,7 +212,8 @@ def _stage_lines(spark: SparkSession, sf: str, with_bad: bool) -> str:
         # one string column per line; a tab separator means the commas inside
         # are written verbatim, and the column name is the header line
         (_comment_lines(spark, sf, with_bad).write.mode("overwrite")
-         .option("header", "true").option("sep", "\t").option("quote", '"').csv(path))
+         .option("header", "true").option("sep", "\t").option("quote", '"')
+         .option("maxRecordsPerFile", RECORDS_PER_FILE).csv(path))
         return path
     return _staged(spark, sf, f"lines-{with_bad}", build, fresh=False)
 

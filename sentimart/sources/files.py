@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import open_files, scratch_path
 
 CORRUPT = "_corrupt_record"
 KIND = "_load_kind"
@@ -83,8 +83,9 @@ def load_csv_table(spark: SparkSession, path: str | Sequence[str],
                    enforceSchema="true")
     out = scratch_path(spark, "load")
     # routed as they are written: readers open the folder of their kind only
-    (raw.withColumn(KIND, F.when(F.col(CORRUPT).isNull(), "good").otherwise("rejected"))
-     .write.mode("overwrite").partitionBy(KIND).parquet(out))
+    with open_files(spark, 2):
+        (raw.withColumn(KIND, F.when(F.col(CORRUPT).isNull(), "good").otherwise("rejected"))
+         .write.mode("overwrite").partitionBy(KIND).parquet(out))
     loaded = spark.read.schema(T.StructType([*full.fields, T.StructField(KIND, T.StringType())])).parquet(out)
     good = loaded.where(F.col(KIND) == "good").drop(CORRUPT, KIND)
     bad = loaded.where(F.col(KIND) == "rejected").select(CORRUPT)
