@@ -56,7 +56,7 @@ def stage_threads(spark: SparkSession, sf: str, fresh: bool = False) -> str:
         lines = A.table(spark, sf, "lineitem").select(
             *A.COMMENT_LINE, F.concat(F.lit("comments_"), (F.col("l_partkey") % N_SOURCES).cast("string")).alias("source"))
         path = scratch_path(spark, "threads")
-        write_parquet_partitioned(t, path, ["source"])
+        write_parquet_partitioned(lines, path, ["source"], shape=lambda rows: A.threads_of(rows, keep=["source"]))
         return path
     return _staged(spark, sf, "threads", build, fresh)
 
@@ -248,9 +248,17 @@ def _stage_located(spark: SparkSession, sf: str) -> str:
     def build() -> str:
         path = scratch_path(spark, "located")
         names = COMMENTS.fieldNames()
-        key = F.split("commentid", "-")[0].cast("bigint")
-        c = A.comments(spark, sf).withColumns({
-            "k": key, "source": F.concat(F.lit("s"), (F.col("videoid").cast("bigint") % 50).cast("string"))})
+        # a source is one file, so one task's: a task has one source, whose
+        # rows are moved as the few columns that they are made of
+        number = "__source"
+        body = (A.comments_of(A.table(spark, sf, "lineitem"), keep=A.COMMENT_LINE)
+                .select(*A.COMMENT_LINE, (F.col("videoid").cast("bigint") % N_LOCATED).cast("int").alias(number), F.lit(1).alias("body")))
+        header = body.select(number).distinct().select(
+            *(F.lit(None).cast(f.dataType).alias(f.name) for f in body.schema.fields[:-2]), number, F.lit(0).alias("body"))
+        moved = header.unionByName(body).repartitionById(N_LOCATED, F.col(number))
+        c = A.comments_of(moved, keep=[number, "body"]).withColumns({
+            "k": F.split("commentid", "-")[0].cast("bigint"),
+            "source": F.concat(F.lit("s"), F.col(number).cast("string"))})
         cells = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
         two_lines = F.concat(F.lit('"'), F.col("textoriginal"), F.lit('\n""said"", once"'))
         cells[names.index("textoriginal")] = F.when(F.col("k") % 3 == 0, two_lines).otherwise(F.col("textoriginal"))
@@ -259,13 +267,10 @@ def _stage_located(spark: SparkSession, sf: str) -> str:
         line = (F.when(F.col("k") % 41 == 0, joined(publishedat=F.lit("not-a-date"))).when(F.col("k") % 43 == 0, joined(likecount=F.lit("many")))
                 .when(F.col("k") % 47 == 0, F.concat_ws(",", *cells[:-1])).when(F.col("k") % 53 == 0, F.concat(joined(), F.lit(",extra")))
                 .otherwise(joined()))
-        order = [F.col(n) for n in names]
-        lines = c.select("source", F.lit(1).alias("body"), "k", *names, line.alias("value"))
-        header = lines.select("source").distinct().select(
-            "source", F.lit(0).alias("body"), F.lit(None).cast("bigint").alias("k"),
-            *(F.lit(None).cast(f.dataType).alias(f.name) for f in COMMENTS.fields), F.lit(",".join(names)).alias("value"))
-        (header.unionByName(lines).repartition("source").sortWithinPartitions("source", "body", *order)
-         .select("source", "value").write.partitionBy("source").text(path))
+        value = F.when(F.col("body") == 0, F.lit(",".join(names))).otherwise(line)
+        lines = c.sortWithinPartitions("source", "body", *names).select("source", value.alias("value"))
+        with open_files(spark, 2):
+            lines.write.partitionBy("source").text(path)
         return path
     return _staged(spark, sf, "located", build, fresh=False)
 
