@@ -30,6 +30,7 @@ from ..operators.aggregate import status_counts
 from ..operators.classify import Classifier, classify_comments, rule_based_classifier
 from ..operators.projection import nested_extract
 from ..schemas import ALL_STRING_CLASSIFIED, CLASSIFIED_COMMENT, COMMENT_THREAD, SENTINEL, with_field
+from ..session import open_files
 from ..sinks import runs
 from ..sinks.files import materialize, remove_path, write_csv
 from ..sources.files import (filter_by_suffix, list_files, load_skip_bad, require_nonempty, scan_csv, scan_parquet,
@@ -37,6 +38,8 @@ from ..sources.files import (filter_by_suffix, list_files, load_skip_bad, requir
 
 CLASSIFIED_COLUMNS = [f.name for f in ALL_STRING_CLASSIFIED.fields]
 PROCESSED = "processedcomments"
+#: they are compressed: a CSV file is read by one task either way
+PROCESSED_FILES = "*.csv*"
 #: classified rows by status; the failed ones stay and are the queue
 CLASSIFIED = "notprocessedcomments"
 AUDIT = "logs/uploadedfiles"
@@ -89,7 +92,7 @@ def route(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, run_id: str | None = None,
             carried: DataFrame | None = None, files: DataFrame | None = None, backoff: float = 0.0,
-            keep_intermediate: bool = False) -> DataFrame:
+            keep_intermediate: bool = False, clustered: bool = False) -> DataFrame:
     """Store, route, count and commit a run's classified rows (the columns
     of a classified comment, source, reason and the ``attempts`` before
     this one); returns its audit rows.
@@ -98,7 +101,9 @@ def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, r
     its counts are observed on the way.  ``carried`` are rows of the queue
     that this run does not touch but whose sources it has; ``files`` the
     files that it read, which the commit makes known.  A comment that
-    failed is due again after ``backoff`` seconds, doubled each time."""
+    failed is due again after ``backoff`` seconds, doubled each time.  Rows
+    that come ``clustered`` by source (a task reads one file after another)
+    go to their folders without a shuffle: about a file for each file read."""
     run_id, attempt = run_id or f"{kind}-{uuid.uuid4().hex[:12]}", runs.new_attempt()
     copy = f"{out_dir}/{CLASSIFIED}/attempt={attempt}"
     wait = F.lit(backoff) * F.pow(F.lit(2.0), F.col("attempts") - 1)
@@ -109,12 +114,13 @@ def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, r
         rows = rows.unionByName(carried.withColumn("carried", F.lit(True)).select(*QUEUE.names))
     seen = Observation()
     status = F.when(is_failed(), FAILED_STATUS).otherwise(PROCESSED_STATUS)
-    (rows.withColumn("status", status)
-     .observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(is_failed()).alias("failed"))
-     .write.partitionBy("status").parquet(copy))
+    with open_files(rows.sparkSession, 2):
+        (rows.withColumn("status", status)
+         .observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(is_failed()).alias("failed"))
+         .write.partitionBy("status").parquet(copy))
     stored = spark.read.schema(with_field(QUEUE, "status")).parquet(copy)
     write_csv(stored.where(F.col("status") == PROCESSED_STATUS).select(*CLASSIFIED_COLUMNS, "source"),
-              f"{out_dir}/{PROCESSED}/attempt={attempt}", partition_by=["source"])
+              f"{out_dir}/{PROCESSED}/attempt={attempt}", partition_by=["source"], clustered=clustered, compression="gzip")
     counts = status_counts(stored.where(~F.col("carried")), F.col("status") == PROCESSED_STATUS, by=["source"])
     audit_dir = f"{out_dir}/{AUDIT}/attempt={attempt}"
     (counts.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("logged_at"), "*")
@@ -165,7 +171,8 @@ def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
     labelled = classify_comments(extract_comments(threads, keep=["source"]), classifier=classifier,
                                  parallelism=parallelism, reason_col="reason", **kw)
     return publish(spark, labelled.withColumn("attempts", F.lit(0)), out_dir, "first", run_id, files=files,
-                   backoff=backoff, keep_intermediate=keep_intermediate)
+                   backoff=backoff, keep_intermediate=keep_intermediate,
+                   clustered=not (parallelism or kw.get("rows_per_task")))
 
 
 def retry_pass(spark: SparkSession, out_dir: str,
@@ -258,14 +265,14 @@ def processed_comments(spark: SparkSession, out_dir: str) -> DataFrame:
     paths = _processed_paths(spark, out_dir)
     if not paths:
         return spark.createDataFrame([], ALL_STRING_CLASSIFIED)
-    return scan_csv(spark, paths, ALL_STRING_CLASSIFIED, recursive=True)
+    return scan_csv(spark, paths, ALL_STRING_CLASSIFIED, glob=PROCESSED_FILES, recursive=True)
 
 
 def load_processed(spark: SparkSession, out_dir: str, schema: T.StructType) -> DataFrame:
     """C5 for the processed rows: by position into ``schema``, bad rows
     skipped."""
     paths = _processed_paths(spark, out_dir)
-    return load_skip_bad(spark, paths, schema) if paths else spark.createDataFrame([], schema)
+    return load_skip_bad(spark, paths, schema, glob=PROCESSED_FILES) if paths else spark.createDataFrame([], schema)
 
 
 def vacuum(spark: SparkSession, out_dir: str) -> list[str]:

@@ -41,7 +41,8 @@ def run_comment_stream(spark: SparkSession, threads_dir: str, out_dir: str,
     and return when done (otherwise return the running query)."""
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         labelled = classify_comments(batch, classifier=classifier, reason_col="reason", **kw)
-        C.publish(spark, labelled.withColumn("attempts", F.lit(0)), out_dir, "append", f"batch-{batch_id}")
+        C.publish(spark, labelled.withColumn("attempts", F.lit(0)), out_dir, "append", f"batch-{batch_id}",
+                  clustered=not (kw.get("parallelism") or kw.get("rows_per_task")))
 
     w = (comment_stream(spark, threads_dir, max_files_per_trigger).writeStream
          .foreachBatch(each_batch)
