@@ -3,11 +3,13 @@
 Each client (an API key) is leased to exactly one task: rows are dealt into
 as many partitions as there are clients, so the calls of one key follow one
 another whatever the size of the table or of the cluster.  A token bucket
-in the task keeps them within the key's rate.
+in the task keeps them within the key's rate.  A table that is too large
+for one task a key goes in turns: a key's tasks then follow one another.
 """
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -21,6 +23,8 @@ from pyspark.sql import types as T
 
 from ..functions.text import split_pair
 from ..schemas import BATCH_SIZE, MAX_ATTEMPTS, SENTINEL
+from ..session import open_files, scratch_path
+from ..sinks.files import OPEN_PARQUET, remove_path
 from .classify import Classifier, classify_slice
 
 #: what a row's ``call`` tells: the key, the number of its slice within the
@@ -88,7 +92,7 @@ def deal(df: DataFrame, keys: int) -> DataFrame:
 def label_leased(df: DataFrame, text_col: str, clients: Sequence[Classifier], rate: float, burst: int = 1,
                  batch_size: int = BATCH_SIZE, max_attempts: int = MAX_ATTEMPTS, check_numbers: bool = False,
                  sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.time,
-                 barrier: bool = False, label_col: str = "label", call_col: str = "call") -> DataFrame:
+                 barrier: bool = False, label_col: str = "label", call_col: str = "call", turn: int = 0) -> DataFrame:
     """U1-U5 with one task a key: every row of ``df`` with its label and the
     ``call`` that it came from (NULL for a NULL text, which is not sent and
     gets the sentinel).  Each call, also a repeated one, takes a token of
@@ -96,7 +100,9 @@ def label_leased(df: DataFrame, text_col: str, clients: Sequence[Classifier], ra
     that the calls of the attempt before it are not exceeded.
 
     ``barrier`` runs all keys' tasks at once, or none, and never a second
-    copy of one; without it the job should not run under speculation."""
+    copy of one; without it the job should not run under speculation.  A
+    later ``turn`` of the same keys starts without tokens too, and its slices
+    are numbered after those of the turns before it."""
     schema = T.StructType([*df.schema.fields, T.StructField(label_col, T.StringType()), T.StructField(call_col, CALL)])
     calls = pa.struct([("lease", pa.int32()), ("slice", pa.int64()), ("attempts", pa.int32()),
                        ("started", pa.list_(pa.float64())), ("ended", pa.list_(pa.float64()))])
@@ -104,9 +110,9 @@ def label_leased(df: DataFrame, text_col: str, clients: Sequence[Classifier], ra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
         key = ctx.partitionId() % len(clients)
-        bucket = TokenBucket(rate, burst, ctx.attemptNumber() == 0, clock, sleep)
+        bucket = TokenBucket(rate, burst, turn == 0 and ctx.attemptNumber() == 0, clock, sleep)
         lease = _Lease(key, clients[key], bucket, clock)
-        number = 0
+        number = turn << 32
 
         def labelled(rows: pa.RecordBatch) -> pa.RecordBatch:
             nonlocal number
@@ -145,6 +151,33 @@ def classify_leased(df: DataFrame, clients: Sequence[Classifier], rate: float, t
             .withColumns({"emotion": emotion, "sentimentnature": sentiment}).drop("label"))
 
 
+#: bytes of text that a key's task takes in one turn
+TEXT_PER_TURN = 512 << 20
+
+
+def store_leased(df: DataFrame, clients: Sequence[Classifier], rate: float, text_col: str = "textoriginal",
+                 name: str = "leased", text_per_turn: int = TEXT_PER_TURN, **kw) -> DataFrame:
+    """:func:`classify_leased`, stored.  As a key is one task's at a time,
+    what the task reads grows with the table; so the rows are dealt into
+    turns of about ``text_per_turn`` bytes of text a key, and a turn is a job
+    that begins when the one before it has ended."""
+    spark = df.sparkSession
+    out, total = scratch_path(spark, name), df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    turns = max(1, math.ceil(total / (len(clients) * text_per_turn)))
+    if turns == 1:
+        classify_leased(df, clients, rate, text_col, **kw).write.parquet(f"{out}/turn=0")
+    else:
+        dealt = scratch_path(spark, f"{name}-turns")
+        with open_files(spark, OPEN_PARQUET):
+            (df.withColumn("turn", F.pmod(F.monotonically_increasing_id(), F.lit(turns)).cast("int"))
+             .write.partitionBy("turn").parquet(dealt))
+        for turn in range(turns):
+            rows = spark.read.schema(df.schema).parquet(f"{dealt}/turn={turn}")
+            classify_leased(rows, clients, rate, text_col, turn=turn, **kw).write.parquet(f"{out}/turn={turn}")
+        remove_path(spark, dealt)
+    return spark.read.parquet(out).drop("turn")
+
+
 def lease_report(calls: DataFrame, rate: float, burst: int = 1, call: str | Column = "call") -> DataFrame:
     """(lease, n_calls, n_overlapping, n_over_rate) of the rows that
     :func:`label_leased` gave, once stored: calls that began before the

@@ -12,12 +12,12 @@ from .. import oracle as O
 from ..catalog import register
 from ..operators.classify import (LEXICON, NO_LABEL, SENTIMENT_OF, classify_comments, flaky_classifier,
                                   picky_classifier, shy_classifier)
-from ..operators.leases import classify_leased, lease_report
+from ..operators.leases import lease_report, store_leased
 from ..plans import comments as C
 from ..plans.warehouse import fn_comments
 from ..schemas import COMMENT_THREAD, COMMENTS, SENTINEL, with_field
 from ..session import scratch_path
-from ..sinks.files import materialize, write_entity_files
+from ..sinks.files import write_entity_files
 from ..sources import adapters as A
 from ..sources.files import LoadError
 from ..streaming.incremental import run_comment_stream
@@ -60,7 +60,7 @@ LEASE_RATE, LEASES = 400.0, 4
 
 def _leased(spark: SparkSession, sf: str) -> DataFrame:
     clients = [picky_classifier] * LEASES
-    return materialize(classify_leased(A.comment_text(spark, sf), clients, LEASE_RATE, burst=2, sleep=time.sleep), "leased")
+    return store_leased(A.comment_text(spark, sf), clients, LEASE_RATE, burst=2, sleep=time.sleep)
 
 
 @register("classify_leased", f"SELECT CAST(doc_id AS VARCHAR) AS commentid, source AS videoid, "
