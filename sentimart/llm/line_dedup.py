@@ -121,16 +121,22 @@ def _near(contents: DataFrame) -> DataFrame:
     """(h1, h2) of the lines with another line, of an earlier first
     occurrence, within one edit.  A variant's group holds at most the
     distinct lines that are it or one character more, however large the
-    corpus is."""
-    lines = contents.filter("line is not null")
-    variants = (lines.select("h1", "h2", "line").mapInArrow(_variants, "variant long, h1 long, h2 long")
-                .join(lines.select("h1", "h2", "first"), ["h1", "h2"]))
-    mine = variants.select("variant", "h1", "h2", "first")
-    other = variants.select("variant", F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("o_first"))
-    pairs = mine.join(other, "variant").filter("o_first < first").select("h1", "h2", "o1", "o2").distinct()
-    texts = lines.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("line").alias("o_line"))
-    return (pairs.join(lines.select("h1", "h2", "line"), ["h1", "h2"]).join(texts, ["o1", "o2"])
-            .filter(F.levenshtein("line", "o_line", 1) >= 0).select("h1", "h2").distinct())
+    corpus is.
+
+    The joins are merge joins by hint: the planner takes the variants to be
+    smaller than their lines, of which each has as many as characters, and
+    the lines to be as small as they are compressed; it would broadcast them
+    through the driver."""
+    lines = contents.filter("line is not null").select("h1", "h2", "first", "line")
+    variants = lines.select("h1", "h2", "line").mapInArrow(_variants, "variant long, h1 long, h2 long")
+    other = variants.select("variant", F.col("h1").alias("o1"), F.col("h2").alias("o2"))
+    pairs = (variants.join(other.hint("merge"), "variant").filter("o1 < h1 or (o1 = h1 and o2 < h2)")
+             .select("h1", "h2", "o1", "o2").distinct())
+    others = lines.select(*(F.col(c).alias(o) for c, o in (("h1", "o1"), ("h2", "o2"), ("first", "o_first"), ("line", "o_line"))))
+    earlier = F.col("o_first") < F.col("first")
+    return (pairs.join(lines.hint("merge"), ["h1", "h2"]).join(others.hint("merge"), ["o1", "o2"])
+            .filter(F.levenshtein("line", "o_line", 1) >= 0)
+            .select(*(F.when(earlier, F.col(c)).otherwise(F.col(o)).alias(c) for c, o in (("h1", "o1"), ("h2", "o2")))).distinct())
 
 
 def _rebuild(texts: pa.Array, removed: pa.Array) -> pa.Array:
