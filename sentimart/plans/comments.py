@@ -19,7 +19,7 @@ that succeeds on retry has left it (N12).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -92,7 +92,7 @@ def route(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, run_id: str | None = None,
             carried: DataFrame | None = None, files: DataFrame | None = None, backoff: float = 0.0,
-            keep_intermediate: bool = False, clustered: bool = False) -> DataFrame:
+            keep_intermediate: bool = False, clustered: bool = False, commit: Callable | None = None) -> DataFrame:
     """Store, route, count and commit a run's classified rows (the columns
     of a classified comment, source, reason and the ``attempts`` before
     this one); returns its audit rows.
@@ -103,7 +103,8 @@ def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, r
     files that it read, which the commit makes known.  A comment that
     failed is due again after ``backoff`` seconds, doubled each time.  Rows
     that come ``clustered`` by source (a task reads one file after another)
-    go to their folders without a shuffle: about a file for each file read."""
+    go to their folders without a shuffle: about a file for each file read.
+    ``commit`` is called in place of ``runs.commit``, when all is written."""
     run_id, attempt = run_id or f"{kind}-{uuid.uuid4().hex[:12]}", runs.new_attempt()
     copy = f"{out_dir}/{CLASSIFIED}/attempt={attempt}"
     wait = F.lit(backoff) * F.pow(F.lit(2.0), F.col("attempts") - 1)
@@ -129,7 +130,7 @@ def publish(spark: SparkSession, labelled: DataFrame, out_dir: str, kind: str, r
     if files is not None:
         files.write.parquet(f"{out_dir}/{FILES}/attempt={attempt}")
     total, failed = seen.get["total"], seen.get["failed"]
-    runs.commit(spark, out_dir, run_id, attempt, kind, total - failed, failed)
+    (commit or runs.commit)(spark, out_dir, run_id, attempt, kind, total - failed, failed)
     if not keep_intermediate:
         remove_path(spark, f"{copy}/status={PROCESSED_STATUS}")      # they are in the CSV folders now
     return audit
@@ -140,7 +141,7 @@ def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
                classifier: Classifier | Sequence[Classifier] = rule_based_classifier,
                parallelism: int | None = None, run_id: str | None = None,
                keep_intermediate: bool = False, flat_files: bool = False, only_new: bool = False,
-               backoff: float = 0.0, **kw) -> DataFrame:
+               backoff: float = 0.0, commit: Callable | None = None, **kw) -> DataFrame:
     """Classify every comment thread under ``threads_dir``, optionally
     only sources whose label suffix is in ``[start, end)``.  Returns the
     audit rows of this run (``run_id``: a new one unless given; the same one
@@ -172,7 +173,7 @@ def first_pass(spark: SparkSession, threads_dir: str, out_dir: str,
                                  parallelism=parallelism, reason_col="reason", **kw)
     return publish(spark, labelled.withColumn("attempts", F.lit(0)), out_dir, "first", run_id, files=files,
                    backoff=backoff, keep_intermediate=keep_intermediate,
-                   clustered=not (parallelism or kw.get("rows_per_task")))
+                   clustered=not (parallelism or kw.get("rows_per_task")), commit=commit)
 
 
 def retry_pass(spark: SparkSession, out_dir: str,
